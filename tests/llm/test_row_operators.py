@@ -1,0 +1,194 @@
+"""PII, chat formatting, quality rules, mixing and packing against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from fundlab.llm import chat, mixing, packing, pii, quality_rules, queries
+from tests.llm.helpers import documents, odd_documents, save, words
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def base_spans(text):
+    digits = lambda s: re.sub(r"[^0-9]", "", s)
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 14 <= len(digits(m[0])) <= 19 and pii.luhn(digits(m[0]))]
+    out += [("phone", *m.span()) for m in PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(out, key=lambda x: (x[1], ["email", "ip", "card", "phone"].index(x[0])))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab1205.@-+ ()_%é", max_size=40) | st.lists(st.sampled_from(["a@b.c", "1.2.3.4", "4111 1111 1111 1111", "+1 (555) 010-9999", "@", ".", "-", " ", "9"]), max_size=8).map("".join))
+def test_pii_base_spans_are_those_of_the_plain_patterns(text):
+    assert [x[:3] for x in pii.spans_of(text) if x[0] in pii.BASE_KINDS] == base_spans(text)
+
+
+def test_pii_is_linear_on_long_runs():
+    for text in ("a" * 400_000 + "@", "1" * 400_000 + ".", "1." * 200_000, "+1" + "(" * 400_000, "a@" * 200_000, "1-" * 200_000):
+        pii.spans_of(text)
+
+
+def test_pii_validators_and_context():
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
+    kinds = lambda t: {x[0] for x in pii.spans_of(t)}
+    assert "iban" in kinds("IBAN GB82 WEST 1234 5698 7654 32 please")
+    assert "ssn" in kinds("social security 123-45-6789") and "ssn" not in kinds("part 123-45-6789")
+    near, far = pii.spans_of("call tel +1 555 010 9999")[0], pii.spans_of("+1 555 010 9999")[0]
+    assert near[3] > far[3]
+    assert pii.mask("mail a@b.co now", pii.spans_of("mail a@b.co now")) == "mail <EMAIL> now"
+
+
+def test_pii_query_on_odd_rows(spark, tmp_path):
+    rows = [*odd_documents(), (20, "x a@b.co 4111 1111 1111 1111", "en", "s1")]
+    out = queries.op4_pii(spark, save(spark, documents(spark, rows, extra=True), tmp_path)).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    for r in out:
+        text = next(t for i, t, *_ in rows if i == r.doc_id) or ""
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(text))
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+    again = pii.redact(documents(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in again}[20] == "x <EMAIL> <CARD>" and {r.doc_id: r.text for r in again}[1] is None
+
+
+def counts(text):
+    w = words(text)
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    windows = Counter(zip(w, w[1:], w[2:], strict=False))
+    inside = {p for k in range(len(w) - 2) if windows[tuple(w[k : k + 3])] > 1 for p in (k, k + 1, k + 2)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside)
+
+
+def test_quality_counts_and_verdicts(spark, tmp_path):
+    rows = odd_documents()
+    rows += [(100 + k, " ".join(f"w{(k * 7 + j * j) % 4999}x" for j in range(60 + k % 9)) + ".\nnext line", "en", "s1") for k in range(120)]
+    rows += [(900, "### bad $$$ | junk " + " ".join(f"w{j}|#" for j in range(80)), "en", "s1"), (901, "a b c\na b c\nz a b c\n" * 20, "en", "s1")]
+    out = queries.op10_quality_rules(spark, save(spark, documents(spark, rows, extra=True), tmp_path)).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    for r in out:
+        n, chars, symbols, lines, repeats = counts(next(t for i, t, *_ in rows if i == r.doc_id))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, lines, repeats)
+        assert r.base_failed == (n < 50 or 100 * repeats > 50 * n)
+    kept = {r.doc_id: r.kept for r in out}
+    assert all(kept[100 + k] for k in range(120)) and not kept[900] and not kept[901]
+
+
+def test_quality_limits_merge_small_groups(spark):
+    base = [(k, " ".join(f"w{k}a{j}" for j in range(60)), "en", f"s{k % 3}") for k in range(150)]
+    limit = quality_rules.limits(quality_rules.measured(documents(spark, base), ["doc_id", "lang", "source"]))
+    got = {(r.g_lang, r.g_source): r._limit for r in limit.collect()}
+    assert len(set(got.values())) == 1  # no source has 100 documents: all take the language's sketch
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="<|\\a/[]", max_size=12), min_size=1, max_size=5))
+def test_chat_round_trip_texts(texts):
+    escaped = [re.sub(r"<(\\*)\|", lambda m: f"<{m[1]}\\|", t) for t in texts]
+    assert all("<|" not in e for e in escaped)
+    assert [re.sub(r"<\\(\\*)\|", lambda m: f"<{m[1]}|", e) for e in escaped] == texts
+
+
+EVENTS = "conv_id long, seq long, message_id string, kind string, role string, text string"
+
+
+def test_chat_folds_events(spark):
+    rows = [
+        (1, 1, "q", "message", "user", "hi"), (1, 2, "a", "delta", "assistant", "he"), (1, 3, "a", "delta", None, "llo"), (1, 4, "a", "regenerate", None, None),
+        (1, 5, "a", "delta", None, "good "), (1, 6, "a", "delta", None, "day"), (1, 7, "q", "edit", None, "hello"), (2, 1, "x", None, None, None), (None, 1, "y", "delta", "assistant", "<|end|>"),
+    ]
+    got = {r.conv_id: [(m.role, m.text) for m in r.messages] for r in chat.reconstruct(spark.createDataFrame(rows[::-1], EVENTS)).collect()}
+    assert got == {1: [("user", "hello"), ("assistant", "good day")], 2: [("", "")], None: [("assistant", "<|end|>")]}
+    assert chat.reconstruct(spark.createDataFrame([], EVENTS)).count() == 0
+
+
+def test_chat_query(spark, tmp_path):
+    rows = [(1, 1, "assistant", "b<|turn|><\\|x"), (1, 0, "user", None), (1, 1, "assistant", "b<|turn|><\\|x"), (2, None, None, "t\n"), (None, 0, "assistant", "<"), (3, 0, "system", "<|end|>"), (3, 1, "assistant", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in queries.op8_chat(spark, save(spark, df, tmp_path, "conversations")).collect()}
+    want = defaultdict(list)
+    for c, t, role, text in [*rows, *queries._EXTRA]:
+        want[c].append((t is not None, t or 0, role or "", text or ""))
+    assert out.keys() == want.keys()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for c, turns in want.items():
+        turns = [x[2:] for x in sorted(turns)]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        got = out[c]
+        assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss))
+
+
+def want_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: 1 + k % 3 for k, s in enumerate(order)}
+    target, open_ = {}, set(order)
+    while open_:
+        level = (sum(sizes.values()) - sum(target.values())) / sum(weight[s] for s in open_)
+        if not (over := {s for s in open_ if level * weight[s] > 3 * sizes[s] + 1e-6}):
+            return target | {s: level * weight[s] for s in open_}
+        target |= {s: 3.0 * sizes[s] for s in over}
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("kind", ["odd", "even"])
+def test_mixing(spark, tmp_path, kind):
+    rows = odd_documents() if kind == "odd" else [(k, "w " * (1 + k * k % 97), "en", f"s{min(k % 40, 7)}") for k in range(2000)]
+    folder = save(spark, documents(spark, rows, extra=True), tmp_path)
+    out = queries.op5_mixing(spark, folder).collect()
+    assert sorted(map(str, out)) == sorted(map(str, queries.op5_mixing(spark, folder).collect()))
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    sizes = Counter()
+    for _, t, _, s in rows:
+        sizes[s] += len(words(t))
+    target, source = want_targets(sizes), {r[0]: r[3] for r in rows}
+    taken = Counter()
+    for r in out:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and abs(r.target - target[s]) < 1e-6 * max(1, target[s]) and r.taken <= 3 * r.size
+        taken[s] += r.taken
+    if kind == "even":
+        assert all(abs(taken[s] - target[s]) <= 60 for s in sizes)
+
+
+def test_mixing_meets_two_margins(spark):
+    cells = spark.createDataFrame([("a", "x", 100.0, 90.0, 120.0), ("a", "y", 50.0, 90.0, 80.0), ("b", "x", 30.0, 110.0, 120.0), ("b", "y", 60.0, 110.0, 80.0)], "s string, l string, size double, ts double, tl double")
+    got = mixing.balance(cells, {"s": "ts", "l": "tl"}).collect()
+    for key, want in (("s", {"a": 90, "b": 110}), ("l", {"x": 120, "y": 80})):
+        for v, t in want.items():
+            assert abs(sum(r["size"] * r["rate"] for r in got if r[key] == v) - t) < 1e-5
+
+
+def test_packing(spark, tmp_path):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rows = [*odd_documents(), (30, "It's <|endoftext|> A.B,C don't x² ﬁ é́ Σίσυφος ΣΑΣ.", "en", "s1"), (31, "ÀÉ. Ñ, été. " * 50, "fr", "s1")]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = defaultdict(list)
+    for i, t, *_ in rows:
+        want[i].append([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2])
+    pieces = sorted(queries.op7_packing(spark, save(spark, documents(spark, rows, extra=True), tmp_path)).collect(), key=lambda r: (r.sequence_id, r.offset))
+    place = 0
+    for r in pieces:
+        assert r.sequence_id * 4096 + r.offset == place and r.offset + r.length <= 4096
+        place += r.length
+        ids = next(x for x in want[r.doc_id])
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    assert place == sum(len(x) for xs in want.values() for x in xs)
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = save(spark, documents(spark, []), tmp_path)
+    for name in ("op4_pii", "op5_mixing", "op7_packing", "op10_quality_rules"):
+        assert queries.queries()[name](spark, folder).count() == 0
+    assert packing.WINDOW == 4096
