@@ -59,7 +59,8 @@ def blocks(texts: pa.Array, limit: int = 1 << 20, tail: str = "\n") -> Iterator[
     """
     if not len(texts):
         return
-    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", pa.scalar(tail, pa.large_string()))
+    wide = pa.large_string()
+    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(wide), ""), pa.scalar("", wide), pa.scalar(tail, wide))
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     _, where, raw = texts.buffers()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, mixing, packing, pii, quality_rules
+from fundlab.llm import chat, classifier, mixing, packing, pii, ppm, quality_rules
 from fundlab.storage import materialize
 
 
@@ -16,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from the labelled ones that are not held out."""
+    held = lambda df: ppm.held_out(df["doc_id"], 5, 0)
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    model = classifier.fit(docs, labels.filter(~held(labels)).select("doc_id", F.col("quality").alias("label")))
+    scored = classifier.scores(docs, model)
+    return scored.select("doc_id", held(scored).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = _table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("found"))
@@ -54,6 +63,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under the byte model and under word counts."""
+    return ppm.scores(_table(spark, sf_dir, "documents"), 7, 2)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and the verdict of its language's and source's limits."""
     measures = materialize(quality_rules.measured(_table(spark, sf_dir, "documents"), ["doc_id", "lang", "source"]))
@@ -62,7 +76,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_pii, op5_mixing, op7_packing, op8_chat, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_quality_classifier, op4_pii, op5_mixing, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
