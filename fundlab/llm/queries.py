@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, classifier, mixing, packing, pii, ppm, quality_rules
+from fundlab.llm import chat, chunks, classifier, mixing, near_dup, packing, pii, ppm, quality_rules
 from fundlab.storage import materialize
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that other documents repeat."""
+    return chunks.repeats(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learned from the labelled ones that are not held out."""
     held = lambda df: ppm.held_out(df["doc_id"], 5, 0)
@@ -42,6 +47,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(sources, "g").select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return near_dup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents packed into windows of 4096 tokens."""
     tokens = packing.tokenize(_table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
@@ -76,7 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_classifier, op4_pii, op5_mixing, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
