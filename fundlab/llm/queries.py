@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, chunks, classifier, mixing, near_dup, packing, pii, ppm, quality_rules
+from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, packing, pii, ppm, quality_rules
 from fundlab.storage import materialize
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of documents that other documents repeat."""
     return chunks.repeats(_table(spark, sf_dir, "documents")).drop("row")
@@ -86,7 +91,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
