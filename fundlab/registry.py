@@ -3,13 +3,436 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from fundlab import oracles
+from fundlab.functions import matching, text
+from fundlab.operators import holdings as h
+from fundlab.operators import quality, ranking, series, store, windows
+from fundlab.plans.relations import relation
+from fundlab.plans.staged import shortlists
+from fundlab.sources import landing
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+AS_OF = "2000-01-15"
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles to a number of places, without negative zero."""
+    return df.select([(F.round(c, places) + F.lit(0.0)).alias(c) if t == "double" else F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in df.dtypes])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rel = partial(relation, spark, sf_dir)
+    return series.align(rel("nav_daily"), rel("calendar"), rel("benchmark_daily"), series.daily_risk_free(rel("rf_observed")))
+
+
+@query
+def scan_filter_project(spark, sf):
+    rows = table(spark, sf, "lineitem").filter((F.col("l_shipdate") >= "1995-01-01") & (F.col("l_shipdate") < "1996-01-01") & F.col("l_returnflag").isin("A", "R") & (F.col("l_discount") > 0.05))
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query
+def null_tolerant_floors(spark, sf):
+    return ranking.hard_filters(relation(spark, sf, "scheme_metrics"), ["ASIA", "EUROPE", "AFRICA", "AMERICA"]).select("scheme_code", "canonical_category")
+
+
+@query
+def topn_per_category(spark, sf):
+    scored = relation(spark, sf, "scheme_metrics").withColumn("composite_score", F.col("alpha_3y_annualized"))
+    return ranking.top_n(scored, 3).select("canonical_category", "scheme_code", F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def latest_row_per_entity(spark, sf):
+    return h.latest_month(relation(spark, sf, "holdings_monthly")).groupBy("scheme_code").agg(F.max("as_of_month").alias("as_of_month"), F.count("*").alias("n"))
+
+
+@query
+def preferred_source_latest(spark, sf):
+    return h.preferred_latest(relation(spark, sf, "scheme_aum_monthly"), "aum_crore", "aaum").select("scheme_code", "source_amc", "as_of_month", "aum_crore")
+
+
+@query
+def calendar_align_ffill1(spark, sf):
+    return rounded(_aligned(spark, sf))
+
+
+@query
+def log_returns(spark, sf):
+    return rounded(series.log_returns(relation(spark, sf, "nav_daily")))
+
+
+@query
+def rf_daily_series(spark, sf):
+    return rounded(series.daily_risk_free(relation(spark, sf, "rf_observed")), 9)
+
+
+@query
+def rf_merge_priority(spark, sf):
+    scraped = relation(spark, sf, "rf_observed").withColumn("source", F.lit("scraped"))
+    manual = relation(spark, sf, "calendar").filter(F.dayofmonth("date") % 14 == 1).withColumns({"rate": F.lit(0.07), "source": F.lit("manual")})
+    return series.merge_by_source([manual, scraped]).select("date", "rate", "source")
+
+
+@query
+def synthetic_index(spark, sf):
+    rel = partial(relation, spark, sf)
+    rf = series.daily_risk_free(rel("rf_observed"))
+    parts = [series.synthetic_index(rel("benchmark_daily"), rf, w).withColumn("ticker", F.lit(f"H{round(100 * w)}")) for w in (0.65, 0.50, 0.30)]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
+
+
+@query
+def window_grid(spark, sf):
+    return windows.grid(_aligned(spark, sf), ["fund_log_ret", "bench_log_ret", "rate_daily_log"])
+
+
+@query
+def rolling_returns_dist(spark, sf):
+    nav = relation(spark, sf, "nav_daily")
+    return rounded(windows.rolling_returns(nav, 3).join(windows.rolling_returns(nav, 5), "scheme_code", "left"))
+
+
+@query
+def rolling_alpha_beta_r2(spark, sf):
+    return rounded(windows.alpha_beta(_aligned(spark, sf)), 5)
+
+
+@query
+def regression_windows(spark, sf):
+    return rounded(windows.regression_windows(_aligned(spark, sf)), 5)
+
+
+@query
+def single_window_alpha(spark, sf):
+    return rounded(windows.single_window_alpha(_aligned(spark, sf)), 5)
+
+
+@query
+def rolling_sortino(spark, sf):
+    return rounded(windows.sortino(_aligned(spark, sf)))
+
+
+@query
+def rolling_info_ratio(spark, sf):
+    return rounded(windows.information_ratio(_aligned(spark, sf)))
+
+
+@query
+def rolling_capture(spark, sf):
+    return rounded(windows.capture(_aligned(spark, sf)))
+
+
+@query
+def quality_flag(spark, sf):
+    return windows.quality_flag(_aligned(spark, sf), relation(spark, sf, "nav_daily").select("scheme_code").distinct())
+
+
+@query
+def phase1_metrics(spark, sf):
+    return rounded(windows.phase_one(_aligned(spark, sf), relation(spark, sf, "nav_daily")), 5)
+
+
+@query
+def active_share_month(spark, sf):
+    return rounded(h.active_share(relation(spark, sf, "holdings_monthly"), relation(spark, sf, "constituents_monthly")))
+
+
+@query
+def active_share_trailing_median(spark, sf):
+    share = h.active_share(relation(spark, sf, "holdings_monthly"), relation(spark, sf, "constituents_monthly"))
+    return rounded(h.trailing_median(share, "active_share", "1997-06-15"))
+
+
+@query
+def style_drift(spark, sf):
+    return rounded(h.style_drift(relation(spark, sf, "scheme_metrics")).select("scheme_code", "style_drift_3y"))
+
+
+@query
+def latest_ptr(spark, sf):
+    return rounded(h.latest(relation(spark, sf, "turnover_monthly"), "ptr"))
+
+
+@query
+def adv_median(spark, sf):
+    return rounded(h.median_turnover(relation(spark, sf, "stock_adv_daily")), 3)
+
+
+@query
+def aum_impact_days(spark, sf):
+    rel = partial(relation, spark, sf)
+    aum = h.preferred_latest(rel("scheme_aum_monthly"), "aum_crore", "aaum")
+    return rounded(h.impact_days(rel("holdings_monthly"), h.median_turnover(rel("stock_adv_daily")), aum), 3)
+
+
+@query
+def derived_constituents(spark, sf):
+    return h.derived_constituents(relation(spark, sf, "holdings_monthly"), 10).select("scheme_code", "isin", F.round("weight_pct", 3).alias("weight_pct"))
+
+
+@query
+def zscore_winsorized(spark, sf):
+    z = ranking.zscores(relation(spark, sf, "scheme_metrics"))
+    return rounded(z.select("scheme_code", *[f"z_{m}" for m in ranking.Z_METRICS]))
+
+
+@query
+def composite_stage1(spark, sf):
+    scored = ranking.composite(ranking.zscores(ranking.hard_filters(relation(spark, sf, "scheme_metrics")), list(ranking.STAGE_1)), ranking.STAGE_1)
+    return rounded(scored.select("scheme_code", "composite_score"))
+
+
+@query
+def composite_stage2(spark, sf):
+    scored = ranking.composite(ranking.zscores(relation(spark, sf, "scheme_metrics")), ranking.STAGE_2, penalties=ranking.PENALTIES)
+    return rounded(scored.select("scheme_code", "composite_score"))
+
+
+@query
+def soft_penalty(spark, sf):
+    rows = relation(spark, sf, "scheme_metrics")
+    return rounded(rows.select("scheme_code", *[ranking.soft_penalty(F.col(m), *p).alias(f"penalty_{m}") for m, p in ranking.PENALTIES.items()]))
+
+
+@query
+def dedupe_unit_classes(spark, sf):
+    scored = relation(spark, sf, "scheme_metrics").withColumn("composite_score", F.col("alpha_3y_annualized"))
+    return ranking.one_per_unit(scored).select("scheme_code", F.col("unit_rank").cast("long").alias("unit_rank"))
+
+
+def _stage_two(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return ranking.stage_two(ranking.stage_one(relation(spark, sf, "scheme_metrics")), 12, 4)
+
+
+@query
+def stage2_survivors(spark, sf):
+    out = _stage_two(spark, sf)[0]
+    return rounded(out.select("canonical_category", "scheme_code", "stage1_rank", "stage2_rank", "composite_score", "partial_coverage_flag"))
+
+
+@query
+def stage2_dropped(spark, sf):
+    return _stage_two(spark, sf)[1].select("canonical_category", "scheme_code", F.col("stage1_rank").cast("long").alias("stage1_rank"), "missing_metrics")
+
+
+@query
+def stage2_coverage(spark, sf):
+    return rounded(_stage_two(spark, sf)[2], 1)
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return h.overlaps(relation(spark, sf, "holdings_monthly"), relation(spark, sf, "scheme_metrics").filter("length(scheme_code) <= 3").select("scheme_code"))
+
+
+@query
+def pairwise_overlap(spark, sf):
+    return _pairs(spark, sf).select("scheme_a", "scheme_b", F.round("overlap_pct", 1).alias("overlap_pct"), "n_shared", "reason")
+
+
+@query
+def overlap_top_shared(spark, sf):
+    return _pairs(spark, sf).select("scheme_a", "scheme_b", "top_shared")
+
+
+@query
+def stage3_greedy_drop(spark, sf):
+    out = shortlists(relation(spark, sf, "scheme_metrics").filter("length(scheme_code) <= 3"), relation(spark, sf, "holdings_monthly"), 12, 6)
+    return rounded(out.final.select("canonical_category", "scheme_code", "stage2_rank", "composite_score"))
+
+
+@query
+def freshness_report(spark, sf):
+    latest = relation(spark, sf, "nav_daily").agg(F.lit("nav").alias("check_name"), F.max("nav_date").alias("latest"), F.lit("weekdays").alias("unit"), F.lit(5).cast("long").alias("max_lag"))
+    bench = relation(spark, sf, "benchmark_daily").agg(F.lit("bench").alias("check_name"), F.max("date").alias("latest"), F.lit("weekdays").alias("unit"), F.lit(5000).cast("long").alias("max_lag"))
+    rates = relation(spark, sf, "rf_observed").agg(F.lit("rates").alias("check_name"), F.max("date").alias("latest"), F.lit("days").alias("unit"), F.lit(14).cast("long").alias("max_lag"))
+    return quality.freshness(latest.unionByName(bench).unionByName(rates), AS_OF)
+
+
+def _user_days(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("user_id", F.to_date("ts").alias("date"))
+
+
+@query
+def coverage_crossjoin(spark, sf):
+    rows = _user_days(spark, sf)
+    return quality.coverage_by_key(rows, rows.select("date").distinct(), "user_id")
+
+
+@query
+def coverage_antijoin(spark, sf):
+    return quality.missing_days(relation(spark, sf, "calendar"), relation(spark, sf, "rf_observed"))
+
+
+@query
+def coverage_nav(spark, sf):
+    return rounded(quality.nav_coverage(relation(spark, sf, "nav_daily"), relation(spark, sf, "calendar")))
+
+
+@query
+def coverage_bucket_counts(spark, sf):
+    return quality.coverage_buckets(quality.nav_coverage(relation(spark, sf, "nav_daily"), relation(spark, sf, "calendar")))
+
+
+@query
+def gap_inventory(spark, sf):
+    return rounded(quality.gaps(_user_days(spark, sf), "user_id", 2))
+
+
+@query
+def missing_data_inventory(spark, sf):
+    return quality.inventory(_user_days(spark, sf), "user_id")
+
+
+@query
+def scheme_bounds_left_join(spark, sf):
+    bounds = series.scheme_bounds(relation(spark, sf, "nav_daily"))
+    types = table(spark, sf, "part").select(F.explode(F.array(F.concat("p_type", F.lit("-F")), F.concat("p_type", F.lit("-O")), F.concat("p_type", F.lit("-X")))).alias("scheme_code")).distinct()
+    return types.join(bounds, "scheme_code", "left").select("scheme_code", F.coalesce("first_date", F.lit("1900-01-01").cast("date")).alias("inception_date"), "last_date")
+
+
+@query
+def classify_plan_option(spark, sf):
+    return relation(spark, sf, "scheme_names").select("scheme_code", text.plan_type(F.col("scheme_name")).alias("plan_type"), text.option_type(F.col("scheme_name")).alias("option_type"))
+
+
+@query
+def classify_category(spark, sf):
+    return relation(spark, sf, "scheme_names").select("scheme_code", text.category(F.col("amfi_category")).alias("category"))
+
+
+@query
+def classify_sector(spark, sf):
+    return relation(spark, sf, "scheme_names").select("scheme_code", text.sector(F.col("scheme_name")).alias("sector"))
+
+
+@query
+def base_fund_id(spark, sf):
+    return relation(spark, sf, "scheme_names").select("scheme_code", text.base_fund_id(F.col("scheme_name"), text.amc_slug(F.col("amc"))).alias("base_fund_id"))
+
+
+@query
+def plan_sibling_aum_sum(spark, sf):
+    names = relation(spark, sf, "scheme_names")
+    keyed = names.withColumn("base_fund_id", F.concat(text.amc_slug(F.col("amc")), F.lit("::"), (F.substring("scheme_code", 2, 9).cast("long") % 97).cast("string")))
+    dimension = keyed.select("scheme_code", "base_fund_id", text.plan_type(F.col("scheme_name")).alias("plan_type"), text.option_type(F.col("scheme_name")).alias("option_type"), F.lit(True).alias("is_active"))
+    payload = names.groupBy((F.substring("scheme_code", 2, 9).cast("long") % 8).alias("part")).agg(F.array(F.struct(F.collect_list(F.struct(F.col("scheme_code").alias("code"), F.col("aum_lakh").alias("value"))).alias("schemes"))).alias("groups"))
+    return rounded(landing.average_assets(payload, dimension), 4)
+
+
+@query
+def cagr_sanity(spark, sf):
+    return rounded(quality.growth_check(relation(spark, sf, "benchmark_daily")))
+
+
+@query
+def status_counts(spark, sf):
+    return quality.status({"nav": (relation(spark, sf, "nav_daily"), "scheme_code"), "holdings": (relation(spark, sf, "holdings_monthly"), "security_name")})
+
+
+@query
+def union_by_name(spark, sf):
+    one = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    two = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
+    return one.unionByName(two, allowMissingColumns=True)
+
+
+@query
+def distinct_keep_first(spark, sf):
+    order = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return table(spark, sf, "orders").withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@query
+def parse_carry_forward(spark, sf):
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    head = F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderkey"))
+    return landing.carry_forward(rows, "o_custkey", "o_orderkey", head, "section").select("o_custkey", "o_orderkey", "section")
+
+
+@query
+def parse_dates_tolerant(spark, sf):
+    day = F.col("o_orderdate")
+    printed = F.when(F.col("o_orderkey") % 4 == 0, F.date_format(day, "dd-MM-yyyy")).when(F.col("o_orderkey") % 4 == 1, F.date_format(day, "yyyy-MM-dd")).when(F.col("o_orderkey") % 4 == 2, F.date_format(day, "dd/MM/yyyy")).otherwise("n.a.")
+    return table(spark, sf, "orders").select("o_orderkey", text.tolerant_date(printed, text.INDEX_FORMATS).alias("day"))
+
+
+@query
+def parse_numbers_tolerant(spark, sf):
+    printed = F.when(F.col("o_orderkey") % 5 == 0, "N.A.").when(F.col("o_orderkey") % 5 == 1, F.format_number("o_totalprice", 2)).when(F.col("o_orderkey") % 5 == 2, "-").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    return rounded(table(spark, sf, "orders").select("o_orderkey", text.tolerant_number(printed).alias("price")), 2)
+
+
+@query
+def html_regex_extract(spark, sf):
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return table(spark, sf, "pages").select("page_id", title.alias("title"), F.regexp_extract("html", r"([0-9]+\.[0-9]+)", 1).alias("number"), (F.col("html").rlike("(?i)auction")).alias("is_auction"))
+
+
+@query
+def json_flatten(spark, sf):
+    rows = table(spark, sf, "events").withColumn("m", F.from_json("props", "map<string,string>"))
+    return rows.select("event_id", F.explode_outer(F.map_keys("m")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query
+def fuzzy_match_blocked(spark, sf):
+    names = relation(spark, sf, "scheme_names").filter("amfi_category is not null").withColumn("n", F.substring("scheme_code", 2, 9).cast("long"))
+    canon = names.select(F.concat(text.amc_slug(F.col("amc")), F.lit("/"), (F.col("n") % 25).cast("string")).alias("block"), "scheme_code", text.canonical_scheme(F.col("scheme_name")).alias("name"), "n")
+    printed = canon.filter("n % 3 = 0").select("block", F.regexp_replace("name", "CUSTOMER", "CUSTOMR").alias("name")).distinct()
+    return rounded(matching.match_names(printed, canon.select("block", "scheme_code", "name")), 4)
+
+
+@query
+def merge_upsert(spark, sf):
+    old = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    new = old.filter("s_suppkey % 4 = 0").select((F.col("s_suppkey") + 2).alias("s_suppkey"), F.lit("new").alias("s_name"), (F.col("s_acctbal") + 1).alias("s_acctbal"))
+    return rounded(store.merged(old, new, ["s_suppkey"]), 2)
+
+
+@query
+def update_columns(spark, sf):
+    old = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    changes = old.filter("s_suppkey % 3 = 0").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, 0.5).alias("s_acctbal"))
+    return rounded(store.updated(old, changes, ["s_suppkey"]), 2)
+
+
+@query
+def compare_stores(spark, sf):
+    rows = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("date"))
+    return quality.compare(rows, rows.filter("user_id % 5 <> 0"), "user_id").select("user_id", "n_a", "n_b")
+
+
+@query
+def isin_check(spark, sf):
+    code = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("INE"), F.lpad(F.col("p_partkey").cast("string"), 8, "0"), F.lit("7"))).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("ine"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")))
+    return table(spark, sf, "part").select("p_partkey", text.is_isin(code).alias("ok"))
+
+
+@query
+def normalize_names(spark, sf):
+    return relation(spark, sf, "holdings_monthly").select("security_name").distinct().select("security_name", text.normalize_name(F.col("security_name")).alias("normalized"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.sql()
