@@ -1,2 +1,226 @@
-def sql():
-    return {}
+"""DuckDB SQL for the registered fund queries, written independently of the operators."""
+
+from __future__ import annotations
+
+from fundlab.functions.text import CATEGORY_RULES, SECTOR_RULES
+from fundlab.operators.ranking import PENALTIES, REQUIRED, STAGE_1, STAGE_2, Z_METRICS
+from fundlab.plans.relations import with_relations
+
+_RF = """span AS (SELECT min(date) AS a, max(date) AS b FROM rf_observed), rf AS (
+    SELECT d.date, last_value(CASE WHEN o.rate > 1.5 THEN o.rate / 100 ELSE o.rate END IGNORE NULLS) OVER (ORDER BY d.date) AS rate_annual
+    FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM span) d LEFT JOIN rf_observed o ON d.date = o.date)"""
+_ALIGNED = f"""{_RF}, bounds AS (SELECT scheme_code, min(nav_date) AS a, max(nav_date) AS b FROM nav_daily GROUP BY 1), base AS (
+    SELECT s.scheme_code, c.date, n.nav, k.close AS bench_close, pow(1 + r.rate_annual, 1.0 / 252) - 1 AS rate
+    FROM bounds s JOIN calendar c ON c.date BETWEEN s.a AND s.b LEFT JOIN nav_daily n ON n.scheme_code = s.scheme_code AND n.nav_date = c.date
+    LEFT JOIN benchmark_daily k ON k.date = c.date LEFT JOIN rf r ON r.date = c.date), filled AS (
+    SELECT scheme_code, date, last_value(nav IGNORE NULLS) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS nav, bench_close,
+        last_value(rate IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS rate_daily FROM base WINDOW w AS (PARTITION BY scheme_code ORDER BY date)), aligned AS (
+    SELECT *, ln(1 + rate_daily) AS rate_daily_log, ln(nav) - lag(ln(nav)) OVER w AS fund_log_ret, ln(bench_close) - lag(ln(bench_close)) OVER w AS bench_log_ret
+    FROM filled WINDOW w AS (PARTITION BY scheme_code ORDER BY date))"""
+_BASE = ["nav_daily", "calendar", "benchmark_daily", "rf_observed"]
+
+
+def _aligned(body: str) -> str:
+    return with_relations(_BASE, ", " + _ALIGNED + " " + body)
+
+
+def _family(name: str, needed: list[str]) -> str:
+    """Rows of each valid three-year window for one family of metrics."""
+    there = " AND ".join(f"{c} IS NOT NULL" for c in needed)
+    return f"""{name}_rows AS (SELECT * FROM aligned WHERE {there}), {name}_ends AS (
+        SELECT scheme_code, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS window_end
+        FROM (SELECT scheme_code, min(date) + 1095 AS a, max(date) AS b FROM {name}_rows GROUP BY 1) WHERE a <= b), {name} AS (
+        SELECT e.window_end, r.* FROM {name}_ends e JOIN {name}_rows r ON r.scheme_code = e.scheme_code AND r.date BETWEEN e.window_end - 1095 AND e.window_end
+        QUALIFY count(*) OVER (PARTITION BY e.scheme_code, e.window_end) >= 726)"""
+
+
+_REG = _family("reg", ["fund_log_ret", "bench_log_ret", "rate_daily_log"])
+_SOR = _family("sor", ["fund_log_ret", "rate_daily_log"])
+_ACT = _family("act", ["fund_log_ret", "bench_log_ret"])
+_Y, _X = "fund_log_ret - rate_daily_log", "bench_log_ret - rate_daily_log"
+
+
+def _fits(name: str, source: str, by: str) -> str:
+    return f"""{name}_sums AS (SELECT {by}, count(*) AS n, regr_intercept({_Y}, {_X}) AS a, regr_slope({_Y}, {_X}) AS beta, regr_r2({_Y}, {_X}) AS r2,
+        regr_sxx({_Y}, {_X}) AS sxx, regr_syy({_Y}, {_X}) AS syy, regr_sxy({_Y}, {_X}) AS sxy, avg({_X}) AS mx FROM {source} GROUP BY {by}), {name} AS (
+        SELECT *, pow(1 + a, 252) - 1 AS alpha, a / sqrt(greatest(syy - sxy * sxy / sxx, 0) / (n - 2) * (1.0 / n + mx * mx / sxx)) AS t FROM {name}_sums WHERE sxx > 0)"""
+
+
+_FIT = _fits("fit", "reg", "scheme_code, window_end")
+_AB = """ab AS (SELECT scheme_code, median(alpha) FILTER (t >= 1) AS alpha_3y_annualized, median(t) FILTER (t >= 1) AS alpha_3y_tstat, median(beta) AS beta_3y, median(r2) AS r_squared_3y,
+    stddev_samp(beta) AS beta_3y_std, avg(r2) AS r_squared_3y_mean FROM fit GROUP BY 1)"""
+_SORTINO = """sortino AS (SELECT scheme_code, median(m * 252 / (d * sqrt(252))) AS sortino_3y FROM (SELECT scheme_code, window_end, avg(fund_log_ret - rate_daily_log) AS m,
+    sqrt(avg(pow(least(0.0, fund_log_ret - rate_daily_log), 2))) AS d FROM sor GROUP BY 1, 2) WHERE d <> 0 GROUP BY 1)"""
+_INFO = """info AS (SELECT scheme_code, median(m * 252 / (d * sqrt(252))) AS info_ratio_3y FROM (SELECT scheme_code, window_end, avg(fund_log_ret - bench_log_ret) AS m,
+    stddev_samp(fund_log_ret - bench_log_ret) AS d FROM act GROUP BY 1, 2) WHERE d <> 0 GROUP BY 1)"""
+_CAPTURE = """cap AS (SELECT scheme_code, median(fu / bu) AS capture_up, median(fd / bd) AS capture_down FROM (SELECT scheme_code, window_end,
+    avg(fund_log_ret) FILTER (bench_log_ret > 0) AS fu, avg(bench_log_ret) FILTER (bench_log_ret > 0) AS bu, avg(fund_log_ret) FILTER (bench_log_ret < 0) AS fd, avg(bench_log_ret) FILTER (bench_log_ret < 0) AS bd
+    FROM act GROUP BY 1, 2) WHERE bu <> 0 AND bd <> 0 GROUP BY 1)"""
+_FLAG = """flag AS (SELECT s.scheme_code, coalesce(n_days, 0) AS n_days, coalesce(n_present, 0) AS n_present, CASE WHEN span IS NULL OR span < 1095 THEN 'INSUFFICIENT_HISTORY'
+    WHEN n_days = 0 OR n_days - n_present > 0.05 * n_days THEN 'POOR' ELSE 'GOOD' END AS data_quality_flag FROM (SELECT DISTINCT scheme_code FROM nav_daily) s LEFT JOIN (
+    SELECT scheme_code, max(date) - min(date) AS span, count(*) FILTER (date > b - 1095) AS n_days, count(nav) FILTER (date > b - 1095) AS n_present
+    FROM (SELECT *, max(date) OVER (PARTITION BY scheme_code) AS b FROM aligned) GROUP BY 1) USING (scheme_code))"""
+
+
+def _returns(years: int) -> str:
+    length, look = int(365.25 * years), int(365.25 * (years + 0.05)) + int(365.25 * years)
+    return f"""px{years} AS (SELECT * FROM (SELECT *, max(nav_date) OVER (PARTITION BY scheme_code) AS m FROM nav_daily WHERE nav IS NOT NULL) WHERE nav_date >= m - {look}), en{years} AS (
+        SELECT scheme_code, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS e
+        FROM (SELECT scheme_code, min(nav_date) + {length} AS a, max(nav_date) AS b, count(*) AS n FROM px{years} GROUP BY 1) WHERE n >= 30 AND a <= b), an{years} AS (
+        SELECT x.scheme_code, pow(y.nav / s.nav, 365.25 / (y.nav_date - s.nav_date)) - 1 AS r FROM (SELECT *, e - {length} AS f FROM en{years}) x
+        ASOF JOIN px{years} s ON s.scheme_code = x.scheme_code AND x.f >= s.nav_date ASOF JOIN px{years} y ON y.scheme_code = x.scheme_code AND x.e >= y.nav_date
+        WHERE s.nav_date < y.nav_date AND s.nav > 0 AND y.nav > 0), rt{years} AS (SELECT scheme_code, median(r) AS ret_{years}y_median,
+        list_sort(list(r))[CAST(floor((count(*) - 1) * 0.25 + 0.5) AS INTEGER) + 1] AS ret_{years}y_p25 FROM an{years} GROUP BY 1)"""
+
+
+def _round(names: str | list[str], places: int = 6) -> str:
+    names = names.split() if isinstance(names, str) else names
+    return ", ".join(f"round({n}, {places}) + 0.0 AS {n}" for n in names)
+
+
+_ALPHA = "alpha_3y_annualized alpha_3y_tstat beta_3y r_squared_3y beta_3y_std r_squared_3y_mean"
+_NORMAL = r"""lower(trim(regexp_replace(regexp_replace(regexp_replace({0}, '(?i)\b(ltd|limited|ltd\.|inc|corp|co)\.?\b', ' ', 'g'), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')))"""
+
+
+def _weights(name: str, source: str, keys: str, equity: bool = True, key: str | None = None) -> str:
+    where = "WHERE instrument_type = 'Equity'" if equity else ""
+    key = key or _NORMAL.format("security_name")
+    return f"""{name} AS (SELECT {keys}, k, sum(weight_pct * 100 / total) AS w FROM (SELECT *, {key} AS k, sum(weight_pct) OVER (PARTITION BY {keys}) AS total FROM {source} {where})
+        WHERE total > 0 AND k <> '' GROUP BY {keys}, k)"""
+
+
+_SHARE = ", " + _weights("f", "holdings_monthly", "scheme_code, ticker, as_of_month") + ", " + _weights("i", "constituents_monthly", "ticker, as_of_month", False) + """, months AS (SELECT DISTINCT scheme_code, ticker, as_of_month FROM f
+    SEMI JOIN i USING (ticker, as_of_month)), share AS (SELECT scheme_code, as_of_month, sum(abs(coalesce(fw, 0) - coalesce(iw, 0))) / 2 AS active_share FROM (
+    SELECT m.scheme_code, m.as_of_month, i.k, i.w AS iw, f.w AS fw FROM months m JOIN i USING (ticker, as_of_month) LEFT JOIN f ON f.scheme_code = m.scheme_code AND f.as_of_month = m.as_of_month AND f.k = i.k
+    UNION ALL SELECT f.scheme_code, f.as_of_month, f.k, NULL, f.w FROM f SEMI JOIN months USING (scheme_code, as_of_month) ANTI JOIN i ON i.ticker = f.ticker AND i.as_of_month = f.as_of_month AND i.k = f.k) GROUP BY 1, 2)"""
+_AUM = ", aum AS (SELECT * FROM scheme_aum_monthly QUALIFY row_number() OVER (PARTITION BY scheme_code ORDER BY (source_amc = 'aaum') DESC, as_of_month DESC, source_amc) = 1)"
+_ADV = ", adv AS (SELECT isin, median(total_traded_value) AS adv FROM stock_adv_daily WHERE date > (SELECT max(date) FROM stock_adv_daily) - 60 GROUP BY 1)"
+_LAST = ", held AS (SELECT * FROM holdings_monthly QUALIFY as_of_month = max(as_of_month) OVER (PARTITION BY scheme_code))"
+
+
+def _z(name: str, source: str, metrics: list[str]) -> str:
+    def one(m: str) -> str:
+        mean, sd = f"avg({m}) OVER c", f"stddev_samp({m}) OVER c"
+        return f"CASE WHEN {sd} IS NULL OR {sd} = 0 THEN 0.0 WHEN {m} IS NOT NULL THEN greatest(-3.0, least(3.0, ({m} - {mean}) / {sd})) END AS z_{m}"
+
+    return f"{name} AS (SELECT *, {', '.join(map(one, metrics))} FROM {source} WINDOW c AS (PARTITION BY canonical_category))"
+
+
+def _total(weights: dict[str, float]) -> str:
+    return " + ".join(f"CAST({w} AS DOUBLE) * coalesce(z_{m}, z_{m.replace('5y', '3y')}, 0)" for m, w in weights.items())
+
+
+def _penalty(m: str) -> str:
+    threshold, most = PENALTIES[m]
+    return f"coalesce(least(CAST({most} AS DOUBLE), greatest(0.0, ({m} - {threshold}) / CAST({threshold} AS DOUBLE) * CAST({most} AS DOUBLE))), 0)"
+
+
+_PENALTY = " - ".join(["", *map(_penalty, PENALTIES)])
+_HARD = """data_quality_flag NOT IN ('INSUFFICIENT_HISTORY', 'POOR') AND canonical_category IS NOT NULL AND (capture_efficiency IS NULL OR capture_efficiency > 0.5) AND (info_ratio_3y IS NULL OR info_ratio_3y > -1)
+    AND (r_squared_3y IS NULL OR r_squared_3y BETWEEN 0.4 AND 1) AND (beta_3y IS NULL OR beta_3y BETWEEN 0.3 AND 1.7)"""
+_UNIT = "row_number() OVER (PARTITION BY canonical_category, regexp_replace(base_fund_id, '_bonus$', '') ORDER BY ends_with(base_fund_id, '_bonus'), composite_score DESC NULLS LAST, scheme_code)"
+_TWO = f""", hard AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z("hz", "hard", list(STAGE_1))}, one AS (SELECT *, {_total(STAGE_1)} AS composite_score FROM hz),
+    uniq AS (SELECT * EXCLUDE (composite_score), composite_score FROM one QUALIFY {_UNIT} = 1),
+    pool AS (SELECT * EXCLUDE (composite_score, {", ".join("z_" + m for m in STAGE_1)}), row_number() OVER (PARTITION BY canonical_category ORDER BY composite_score DESC NULLS LAST, scheme_code) AS stage1_rank,
+        concat_ws(';', {", ".join(f"CASE WHEN {m} IS NULL THEN '{m}' END" for m in REQUIRED)}) AS missing_metrics FROM uniq QUALIFY stage1_rank <= 12),
+    whole AS (SELECT * FROM pool WHERE missing_metrics = ''), {_z("wz", "whole", Z_METRICS)}, two AS (SELECT *, {_total(STAGE_2)}{_PENALTY} AS composite_score FROM wz),
+    lived AS (SELECT *, count(*) OVER (PARTITION BY canonical_category) < 4 AS partial_coverage_flag FROM (
+        SELECT *, row_number() OVER (PARTITION BY canonical_category ORDER BY composite_score DESC NULLS LAST, scheme_code) AS stage2_rank FROM two QUALIFY stage2_rank <= 4))"""
+_PAIRS = ", funds AS (SELECT scheme_code FROM scheme_metrics WHERE length(scheme_code) <= 3)" + _LAST + ", mine AS (SELECT * FROM held SEMI JOIN funds USING (scheme_code)), keyed AS (SELECT *, CASE WHEN isin IS NOT NULL THEN 'isin:' || isin ELSE 'name:' || " + _NORMAL.format("security_name") + " END AS kk FROM mine), " + _weights("b", "keyed", "scheme_code", key="kk") + """,
+    names AS (SELECT scheme_code, kk AS k, min(trim(security_name)) AS name FROM keyed WHERE instrument_type = 'Equity' GROUP BY 1, 2),
+    met AS (SELECT x.scheme_code AS scheme_a, y.scheme_code AS scheme_b, x.k, least(x.w, y.w) AS w, n.name FROM b x JOIN b y ON x.k = y.k AND x.scheme_code < y.scheme_code JOIN names n ON n.scheme_code = x.scheme_code AND n.k = x.k),
+    pairs AS (SELECT p.scheme_code AS scheme_a, q.scheme_code AS scheme_b FROM funds p JOIN funds q ON p.scheme_code < q.scheme_code)"""
+
+
+def _case(rules: list[tuple[str, str]], otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN {test} THEN '{name}'" for test, name in rules) + f" ELSE {otherwise} END"
+
+
+_PLAN = r"CASE WHEN regexp_matches(lower(scheme_name), '\bdirect\b') THEN 'DIRECT' WHEN regexp_matches(lower(scheme_name), '\bregular\b') THEN 'REGULAR' WHEN contains(lower(scheme_name), 'direct') THEN 'DIRECT' WHEN contains(lower(scheme_name), 'regular') THEN 'REGULAR' ELSE 'UNKNOWN' END"
+_OPTION = "CASE WHEN contains(lower(scheme_name), 'idcw') OR contains(lower(scheme_name), 'dividend') THEN 'IDCW' WHEN contains(lower(scheme_name), 'growth') THEN 'GROWTH' ELSE 'UNKNOWN' END"
+_SLUG = r"regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+_AMC = _SLUG.format(r"regexp_replace(amc, '(?i)\bMutual Fund\b', '', 'g')")
+_COVERED = ", covered AS (SELECT scheme_code, count(*) AS n_expected, count(nav) AS n_present, 100.0 * (count(*) - count(nav)) / count(*) AS pct_missing FROM base GROUP BY 1)"
+_USER_DAYS = "WITH d AS (SELECT user_id, CAST(ts AS DATE) AS date FROM events)"
+
+
+def sql() -> dict[str, str]:
+    metrics = lambda body: with_relations(["scheme_metrics"], body)
+    names = lambda body: with_relations(["scheme_names"], body)
+    return {
+        "scan_filter_project": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= '1995-01-01' AND l_shipdate < '1996-01-01' AND l_returnflag IN ('A', 'R') AND l_discount > CAST(0.05 AS DOUBLE)",
+        "null_tolerant_floors": metrics(f"SELECT scheme_code, canonical_category FROM scheme_metrics WHERE {_HARD} AND canonical_category IN ('ASIA', 'EUROPE', 'AFRICA', 'AMERICA')"),
+        "topn_per_category": metrics("SELECT canonical_category, scheme_code, row_number() OVER (PARTITION BY canonical_category ORDER BY alpha_3y_annualized DESC NULLS LAST, scheme_code) AS rank FROM scheme_metrics QUALIFY rank <= 3"),
+        "latest_row_per_entity": with_relations(["holdings_monthly"], _LAST + " SELECT scheme_code, max(as_of_month) AS as_of_month, count(*) AS n FROM held GROUP BY 1"),
+        "preferred_source_latest": with_relations(["scheme_aum_monthly"], _AUM + " SELECT scheme_code, source_amc, as_of_month, aum_crore FROM aum"),
+        "calendar_align_ffill1": _aligned(f"SELECT scheme_code, date, {_round('nav bench_close rate_daily rate_daily_log fund_log_ret bench_log_ret')} FROM aligned"),
+        "log_returns": with_relations(["nav_daily"], f"SELECT scheme_code, date, {_round('log_return')} FROM (SELECT scheme_code, nav_date AS date, ln(nav) - lag(ln(nav)) OVER (PARTITION BY scheme_code ORDER BY nav_date) AS log_return FROM nav_daily WHERE nav > 0) WHERE log_return IS NOT NULL"),
+        "rf_daily_series": with_relations(["rf_observed"], f", {_RF} SELECT date, round(rate_annual, 9) AS rate_annual, round(pow(1 + rate_annual, 1.0 / 252) - 1, 9) AS rate_daily FROM rf"),
+        "rf_merge_priority": with_relations(["rf_observed", "calendar"], "SELECT date, CAST(0.07 AS DOUBLE) AS rate, 'manual' AS source FROM calendar WHERE day(date) % 14 = 1 UNION ALL SELECT date, rate, 'scraped' FROM rf_observed WHERE date NOT IN (SELECT date FROM calendar WHERE day(date) % 14 = 1)"),
+        "synthetic_index": with_relations(["benchmark_daily", "rf_observed"], f""", {_RF}, r AS (SELECT b.date, coalesce(ln(close) - lag(ln(close)) OVER (ORDER BY b.date), 0) AS e, ln(1 + pow(1 + rate_annual, 1.0 / 252) - 1) AS f FROM benchmark_daily b JOIN rf ON rf.date = b.date)
+            SELECT date, round(1000 * exp(sum(w * e + (1 - w) * f) OVER (PARTITION BY ticker ORDER BY date)), 4) AS close, true AS is_synthetic, ticker FROM r, (VALUES ('H65', CAST(0.65 AS DOUBLE)), ('H50', CAST(0.5 AS DOUBLE)), ('H30', CAST(0.3 AS DOUBLE))) t(ticker, w)"""),
+        "window_grid": _aligned(f", {_REG} SELECT scheme_code, window_end, count(*) AS n FROM reg GROUP BY 1, 2"),
+        "rolling_returns_dist": with_relations(["nav_daily"], f", {_returns(3)}, {_returns(5)} SELECT scheme_code, {_round('ret_3y_median ret_3y_p25 ret_5y_median ret_5y_p25')} FROM rt3 LEFT JOIN rt5 USING (scheme_code)"),
+        "rolling_alpha_beta_r2": _aligned(f", {_REG}, {_FIT}, {_AB} SELECT scheme_code, {_round(_ALPHA, 5)} FROM ab"),
+        "regression_windows": _aligned(f", {_REG}, {_FIT} SELECT scheme_code, window_end, n, {_round('alpha t beta r2', 5)} FROM fit"),
+        "single_window_alpha": _aligned(f""", last AS (SELECT * FROM aligned WHERE fund_log_ret IS NOT NULL AND bench_log_ret IS NOT NULL AND rate_daily_log IS NOT NULL QUALIFY date >= max(date) OVER (PARTITION BY scheme_code) - 1095),
+            {_fits("lf", "last", "scheme_code")} SELECT scheme_code, {_round("alpha beta r2", 5)} FROM lf"""),
+        "rolling_sortino": _aligned(f", {_SOR}, {_SORTINO} SELECT scheme_code, {_round('sortino_3y')} FROM sortino"),
+        "rolling_info_ratio": _aligned(f", {_ACT}, {_INFO} SELECT scheme_code, {_round('info_ratio_3y')} FROM info"),
+        "rolling_capture": _aligned(f", {_ACT}, {_CAPTURE} SELECT scheme_code, {_round('capture_up capture_down')}, round(capture_up / capture_down, 6) AS capture_efficiency FROM cap"),
+        "quality_flag": _aligned(f", {_FLAG} SELECT * FROM flag"),
+        "phase1_metrics": _aligned(f""", {_FLAG}, {_returns(3)}, {_returns(5)}, {_REG}, {_FIT}, {_AB}, {_SOR}, {_SORTINO}, {_ACT}, {_INFO}, {_CAPTURE}
+            SELECT scheme_code, data_quality_flag, {_round("ret_3y_median ret_3y_p25 ret_5y_median ret_5y_p25 " + _ALPHA + " sortino_3y info_ratio_3y capture_up capture_down", 5)}, round(capture_up / capture_down, 5) AS capture_efficiency
+            FROM flag LEFT JOIN rt3 USING (scheme_code) LEFT JOIN rt5 USING (scheme_code) LEFT JOIN ab USING (scheme_code) LEFT JOIN sortino USING (scheme_code) LEFT JOIN info USING (scheme_code) LEFT JOIN cap USING (scheme_code)"""),
+        "active_share_month": with_relations(["holdings_monthly", "constituents_monthly"], _SHARE + f" SELECT scheme_code, as_of_month, {_round('active_share')} FROM share"),
+        "active_share_trailing_median": with_relations(["holdings_monthly", "constituents_monthly"], _SHARE + " SELECT scheme_code, count(*) AS n_months, round(median(active_share), 6) AS median FROM share WHERE as_of_month >= '1996-06-01' AND as_of_month < '1997-06-01' GROUP BY 1 HAVING count(*) >= 3"),
+        "style_drift": metrics("SELECT scheme_code, round(beta_3y_std + 1 - r_squared_3y_mean, 6) AS style_drift_3y FROM scheme_metrics"),
+        "latest_ptr": with_relations(["turnover_monthly"], "SELECT scheme_code, ptr, as_of_month FROM turnover_monthly QUALIFY row_number() OVER (PARTITION BY scheme_code ORDER BY as_of_month DESC) = 1"),
+        "adv_median": with_relations(["stock_adv_daily"], _ADV + " SELECT isin, round(adv, 3) AS adv FROM adv"),
+        "aum_impact_days": with_relations(["scheme_aum_monthly", "stock_adv_daily", "holdings_monthly"], _AUM + _ADV + _LAST + " SELECT scheme_code, round(max(weight_pct / 100 * aum_crore * 10000000 / adv), 3) AS aum_impact_days FROM held JOIN adv USING (isin) JOIN aum USING (scheme_code) WHERE instrument_type = 'Equity' AND adv > 0 AND aum_crore > 0 GROUP BY 1 HAVING count(*) >= 3"),
+        "derived_constituents": with_relations(["holdings_monthly"], _LAST + ", s AS (SELECT scheme_code, isin, sum(weight_pct) AS w FROM held WHERE instrument_type = 'Equity' AND isin IS NOT NULL GROUP BY 1, 2), t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY scheme_code ORDER BY w DESC, isin) <= 10) SELECT scheme_code, isin, round(round_even(w * 100 / sum(w) OVER (PARTITION BY scheme_code), 4), 3) AS weight_pct FROM t"),
+        "zscore_winsorized": metrics(", " + _z("z", "scheme_metrics", Z_METRICS) + f" SELECT scheme_code, {_round(['z_' + m for m in Z_METRICS])} FROM z"),
+        "composite_stage1": metrics(f", hard AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z('z', 'hard', list(STAGE_1))} SELECT scheme_code, round({_total(STAGE_1)}, 6) + 0.0 AS composite_score FROM z"),
+        "composite_stage2": metrics(f", {_z('z', 'scheme_metrics', Z_METRICS)} SELECT scheme_code, round({_total(STAGE_2)}{_PENALTY}, 6) + 0.0 AS composite_score FROM z"),
+        "soft_penalty": metrics("SELECT scheme_code, " + ", ".join(f"round({_penalty(m)}, 6) AS penalty_{m}" for m in PENALTIES) + " FROM scheme_metrics"),
+        "dedupe_unit_classes": metrics(f", s AS (SELECT *, alpha_3y_annualized AS composite_score FROM scheme_metrics) SELECT scheme_code, {_UNIT} AS unit_rank FROM s"),
+        "stage2_survivors": metrics(_TWO + " SELECT canonical_category, scheme_code, stage1_rank, stage2_rank, round(composite_score, 6) + 0.0 AS composite_score, partial_coverage_flag FROM lived"),
+        "stage2_dropped": metrics(_TWO + " SELECT canonical_category, scheme_code, stage1_rank, missing_metrics FROM pool WHERE missing_metrics <> ''"),
+        "stage2_coverage": metrics(_TWO + """ SELECT p.canonical_category, count(*) AS n_considered, count(l.scheme_code) AS n_survived, count(*) FILTER (p.missing_metrics <> '') AS n_dropped, round(sum(p.aum_crore), 1) AS aum_considered,
+            round(sum(CASE WHEN l.scheme_code IS NULL THEN 0 ELSE p.aum_crore END), 1) AS aum_survived, round(100.0 * count(l.scheme_code) / count(*), 1) AS pct_survived,
+            round(sum(CASE WHEN l.scheme_code IS NULL THEN p.aum_crore ELSE 0 END), 1) AS aum_dropped FROM pool p LEFT JOIN lived l USING (scheme_code) GROUP BY 1"""),
+        "pairwise_overlap": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o, count(*) AS n FROM met GROUP BY 1, 2)
+            SELECT p.scheme_a, p.scheme_b, CASE WHEN r.reason IS NULL THEN round(coalesce(o, 0), 1) END AS overlap_pct, coalesce(n, 0) AS n_shared, r.reason FROM pairs p LEFT JOIN s USING (scheme_a, scheme_b),
+            LATERAL (SELECT CASE WHEN p.scheme_a NOT IN (SELECT scheme_code FROM b) OR p.scheme_b NOT IN (SELECT scheme_code FROM b) THEN 'missing_holdings' END AS reason) r"""),
+        "overlap_top_shared": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, t AS (SELECT scheme_a, scheme_b, string_agg(printf('%s (%.1f%%)', name, round_even(w, 1)), ', ' ORDER BY n) AS top_shared FROM (
+            SELECT *, row_number() OVER (PARTITION BY scheme_a, scheme_b ORDER BY w DESC, k) AS n FROM met) WHERE n <= 3 GROUP BY 1, 2) SELECT scheme_a, scheme_b, coalesce(top_shared, '') AS top_shared FROM pairs LEFT JOIN t USING (scheme_a, scheme_b)"""),
+        "freshness_report": with_relations(_BASE, """, l AS (SELECT 'nav' AS check_name, max(nav_date) AS latest, 'w' AS unit, CAST(5 AS BIGINT) AS max_lag FROM nav_daily UNION ALL SELECT 'bench', max(date), 'w', 5000 FROM benchmark_daily UNION ALL SELECT 'rates', max(date), 'd', 14 FROM rf_observed),
+            g AS (SELECT *, CASE WHEN unit = 'd' THEN DATE '2000-01-15' - latest ELSE (SELECT count(*) FROM generate_series(CAST(latest AS TIMESTAMP), TIMESTAMP '2000-01-14', INTERVAL 1 DAY) s(d) WHERE isodow(d) <= 5 AND d > latest) END AS lag FROM l)
+            SELECT check_name, latest, CAST(lag AS BIGINT) AS lag, max_lag, latest IS NULL OR lag > max_lag AS issue FROM g"""),
+        "coverage_crossjoin": _USER_DAYS + ", g AS (SELECT u.user_id, c.date, x.date AS seen FROM (SELECT DISTINCT user_id FROM d) u CROSS JOIN (SELECT DISTINCT date FROM d) c LEFT JOIN (SELECT DISTINCT * FROM d) x ON x.user_id = u.user_id AND x.date = c.date) SELECT user_id, count(*) AS n_expected, count(seen) AS n_present, count(*) - count(seen) AS n_missing FROM g GROUP BY 1",
+        "coverage_antijoin": with_relations(["calendar", "rf_observed"], "SELECT date FROM calendar WHERE date NOT IN (SELECT date FROM rf_observed)"),
+        "coverage_nav": _aligned(_COVERED + f" SELECT scheme_code, n_expected, n_present, {_round('pct_missing')} FROM covered"),
+        "coverage_bucket_counts": _aligned(_COVERED + " SELECT count(*) FILTER (pct_missing = 0) AS complete, count(*) FILTER (pct_missing > 0 AND pct_missing <= 5) AS upto_5, count(*) FILTER (pct_missing > 5 AND pct_missing <= 30) AS upto_30, count(*) FILTER (pct_missing > 30) AS over_30 FROM covered"),
+        "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
+        "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
+        "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "classify_plan_option": names(f"SELECT scheme_code, {_PLAN} AS plan_type, {_OPTION} AS option_type FROM scheme_names"),
+        "classify_category": names("SELECT scheme_code, " + _case([(f"contains(lower(amfi_category), '{w.lower()}')", n) for w, n in CATEGORY_RULES], "NULL") + " AS category FROM scheme_names"),
+        "classify_sector": names("SELECT scheme_code, " + _case([(f"regexp_matches(scheme_name, '(?i){p}')", n) for p, n in SECTOR_RULES], "'Thematic'") + " AS sector FROM scheme_names"),
+        "base_fund_id": names(rf"SELECT scheme_code, {_AMC} || '::' || " + _SLUG.format(r"regexp_replace(scheme_name, '(?i)\b(direct|regular|growth|idcw|dividend|reinvestment|payout|plan|option)\b', ' ', 'g')") + " AS base_fund_id FROM scheme_names"),
+        "plan_sibling_aum_sum": names(f", k AS (SELECT *, {_AMC} || '::' || (CAST(substr(scheme_code, 2) AS BIGINT) % 97) AS fund, {_PLAN} AS p, {_OPTION} AS o FROM scheme_names), t AS (SELECT fund, sum(aum_lakh) / 100 AS aum FROM k WHERE aum_lakh > 0 GROUP BY 1) SELECT scheme_code, round(aum, 4) AS aum_crore FROM k JOIN t USING (fund) WHERE p = 'DIRECT' AND o = 'GROWTH'"),
+        "cagr_sanity": with_relations(["benchmark_daily"], ", c AS (SELECT pow(max_by(close, date) / min_by(close, date), 365.25 / (max(date) - min(date))) - 1 AS cagr FROM benchmark_daily) SELECT round(cagr, 6) + 0.0 AS cagr, cagr > 0.1 AS ok FROM c"),
+        "status_counts": with_relations(["nav_daily", "holdings_monthly"], "SELECT 'nav' AS table_name, count(*) AS n_rows, count(DISTINCT scheme_code) AS n_keys FROM nav_daily UNION ALL SELECT 'holdings', count(*), count(DISTINCT security_name) FROM holdings_monthly"),
+        "union_by_name": "SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL BY NAME SELECT c_custkey AS id, c_mktsegment AS segment FROM customer",
+        "distinct_keep_first": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1",
+        "parse_carry_forward": "SELECT o_custkey, o_orderkey, last_value(CASE WHEN starts_with(o_orderpriority, '1') THEN o_orderkey END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS section FROM orders",
+        "parse_dates_tolerant": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS day FROM orders",
+        "parse_numbers_tolerant": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 NOT IN (0, 2) THEN round(o_totalprice, 2) END AS price FROM orders",
+        "html_regex_extract": "SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, regexp_extract(html, '([0-9]+\\.[0-9]+)', 1) AS number, regexp_matches(html, '(?i)auction') AS is_auction FROM pages",
+        "json_flatten": "SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY 1",
+        "merge_upsert": "WITH n AS (SELECT s_suppkey + 2 AS s_suppkey, 'new' AS s_name, s_acctbal + 1 AS s_acctbal FROM supplier WHERE s_suppkey % 4 = 0) SELECT s_suppkey, s_name, round(s_acctbal, 2) AS s_acctbal FROM n UNION ALL SELECT s_suppkey, s_name, round(s_acctbal, 2) FROM supplier WHERE s_suppkey NOT IN (SELECT s_suppkey FROM n)",
+        "update_columns": "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 6 = 0 THEN CAST(0.5 AS DOUBLE) ELSE round(s_acctbal, 2) END AS s_acctbal FROM supplier",
+        "compare_stores": "SELECT user_id, count(*) AS n_a, CAST(NULL AS BIGINT) AS n_b FROM events WHERE user_id % 5 = 0 GROUP BY 1",
+        "isin_check": "SELECT p_partkey, p_partkey % 3 = 0 AS ok FROM part",
+        "normalize_names": with_relations(["holdings_monthly"], "SELECT DISTINCT security_name, " + _NORMAL.format("security_name") + " AS normalized FROM holdings_monthly"),
+    }

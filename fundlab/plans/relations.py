@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Relation -> its SQL over the driver's tables. Later ones do not read earlier ones.
 RELATIONS = {
-    "nav_daily": """SELECT p_type || '-' || l_linestatus AS scheme_code, CAST(l_shipdate AS DATE) AS nav_date, round(avg(l_extendedprice), 4) AS nav
+    "nav_daily": """SELECT p_type || '-' || l_linestatus AS scheme_code, CAST(l_shipdate AS DATE) AS nav_date, round(avg(l_extendedprice) + 0.0000137, 4) AS nav
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type || '-' || l_linestatus, CAST(l_shipdate AS DATE)""",
     "calendar": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem",
-    "benchmark_daily": "SELECT 'ALL' AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice), 4) AS close FROM lineitem GROUP BY CAST(l_shipdate AS DATE)",
+    "benchmark_daily": "SELECT 'ALL' AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice) + 0.0000137, 4) AS close FROM lineitem GROUP BY CAST(l_shipdate AS DATE)",
     "rf_observed": """SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, CAST(CASE WHEN month(l_shipdate) % 3 = 0 THEN 6.5 ELSE 0.05 + 0.005 * (month(l_shipdate) % 3) END AS DOUBLE) AS rate
         FROM lineitem WHERE day(l_shipdate) % 7 = 1""",
     "scheme_metrics": """SELECT 'S' || CAST(s_suppkey AS VARCHAR(12)) AS scheme_code, max(r_name) AS canonical_category,
@@ -66,4 +66,4 @@ def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_relations(names: list[str], body: str) -> str:
     """DuckDB SQL with the relations as common table expressions."""
-    return "WITH " + ", ".join(f"{n} AS ({RELATIONS[n]})" for n in names) + " " + body
+    return "WITH " + ", ".join(f"{n} AS ({RELATIONS[n]})" for n in names) + (body if body.startswith(",") else " " + body)
