@@ -1,7 +1,7 @@
 """Document quality by supervised subword embeddings.
 
-Words, pairs of words and runs of three to five bytes within a word are hashed to
-buckets, each with a learned vector. A document is the mean of its features'
+Words, pairs of words, the fact that a word repeats the one before, and runs of
+three to five bytes within a word are hashed to buckets, each with a learned vector. A document is the mean of its features'
 vectors; a softmax layer gives its class. Stochastic gradient descent in numpy
 trains both on a bounded sample of the labelled rows. For two classes the trained
 layers reduce to one number for each bucket, which scoring averages.
@@ -26,6 +26,10 @@ from fundlab.llm.blocks import SPACE, SpanHash, blocks, row_of, words
 BITS, DIM, EPOCHS, RATE, SEED = 20, 12, 6, 1.0, 3
 #: Most labelled documents that training reads, drawn by a hash of their ids.
 TRAIN_DOCS = 5000
+#: Features without effect that every text has, so that a few cannot decide a short text.
+IDLE = 30
+#: The bucket of a word that repeats the one before.
+_AGAIN = 1
 _ODD = {3: 0x9E3779B97F4A7C15, 4: 0xC2B2AE3D27D4EB4F, 5: 0xD6E8FEB86659FD93, "word": 0xA0761D6478BD642F, "pair": 0xE7037ED1A0B428DB}
 
 
@@ -54,6 +58,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     yield _bucket(h, "word"), row
     both = row[1:] == row[:-1]
     yield _bucket((h[:-1] + (h[1:] << np.uint64(1)))[both], "pair"), row[1:][both]
+    again = both & (h[1:] == h[:-1])
+    yield np.full(int(again.sum()), _AGAIN, np.int32), row[1:][again]
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +74,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 own, n = np.unique(bucket[a:b], return_counts=True)
                 ids.append(own.astype(np.int32).tobytes())
-                shares.append((n / max(1, b - a)).astype(np.float32).tobytes())
+                shares.append((n / (IDLE + b - a)).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("label"), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())], names=["doc_id", "label", "ids", "shares"])
 
 
@@ -120,7 +126,7 @@ def _scorer(model):
                 for bucket, row in features(data, offsets):
                     total += np.bincount(row, numbers[bucket], minlength=last - first)
                     n += np.bincount(row, minlength=last - first)
-                out.append(1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) + bias, -30, 30))))
+                out.append(1 / (1 + np.exp(-np.clip(total / (n + IDLE) + bias, -30, 30))))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return run
