@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, packing, pii, ppm, quality_rules
+from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules
 from fundlab.storage import materialize
 
 
@@ -64,7 +64,7 @@ def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
 
 
 #: The extra conversation of op8's contract.
-_EXTRA = [(-7, 0, role, "</s>[INST] ok [/INST]") for role in ("user", "assistant")]
+_EXTRA = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.sql()
