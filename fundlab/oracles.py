@@ -222,5 +222,18 @@ def sql() -> dict[str, str]:
         "update_columns": "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 6 = 0 THEN CAST(0.5 AS DOUBLE) ELSE round(s_acctbal, 2) END AS s_acctbal FROM supplier",
         "compare_stores": "SELECT user_id, count(*) AS n_a, CAST(NULL AS BIGINT) AS n_b FROM events WHERE user_id % 5 = 0 GROUP BY 1",
         "isin_check": "SELECT p_partkey, p_partkey % 3 = 0 AS ok FROM part",
+        "holdings_sheet_sections": """WITH c AS (SELECT CAST(o_custkey AS VARCHAR) AS sheet, o_orderkey AS row_no, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Equity' WHEN '2' THEN 'Debt' WHEN '3' THEN CASE WHEN o_orderkey % 4 = 0 THEN 'END' END END AS b,
+            'INE' || lpad(CAST(o_orderkey % 50 AS VARCHAR), 8, '0') || '7' AS isin, round(o_totalprice, 2) AS weight_pct FROM orders), d AS (SELECT *, bool_or(b = 'END') OVER (PARTITION BY sheet ORDER BY row_no) AS ended,
+            last_value(CASE WHEN b <> 'END' THEN b END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row_no) AS instrument_type FROM c)
+            SELECT sheet, row_no, isin, 'Name' AS security_name, weight_pct, instrument_type FROM d WHERE b IS NULL AND NOT coalesce(ended, false) AND instrument_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sheet, isin ORDER BY row_no) = 1""",
+        "nav_text_parse": """WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 2 THEN replace(p_brand, '#', ' ') || ' Mutual Fund' END AS amc, CASE WHEN p_partkey % 50 = 3 AND p_partkey % 10 <> 2 THEN 'Open Ended Schemes(Equity Scheme - Value Fund)' END AS cat, p_retailprice FROM part WHERE p_partkey <= 400),
+            f AS (SELECT *, last_value(amc IGNORE NULLS) OVER (ORDER BY k) AS amc_name, last_value(cat IGNORE NULLS) OVER (ORDER BY k) AS amfi_category FROM l)
+            SELECT CAST(k AS VARCHAR) AS scheme_code, DATE '2024-01-05' AS nav_date, round(p_retailprice, 2) AS nav, 'INF1' AS isin_growth, CAST(NULL AS VARCHAR) AS isin_idcw, 'Fund ' || k AS scheme_name, amc_name, amfi_category FROM f WHERE k > 1 AND amc IS NULL AND cat IS NULL AND k % 7 <> 0""",
+        "audit_scheme": _aligned(f""", {_FLAG}, {_returns(3)}, {_returns(5)}, {_REG}, {_FIT}, {_AB}, {_SOR}, {_SORTINO}, {_ACT}, {_INFO}, {_CAPTURE}
+            SELECT scheme_code, data_quality_flag, {_round("ret_3y_median ret_3y_p25 ret_5y_median ret_5y_p25 " + _ALPHA + " sortino_3y info_ratio_3y capture_up capture_down", 5)}, round(capture_up / capture_down, 5) AS capture_efficiency
+            FROM flag LEFT JOIN rt3 USING (scheme_code) LEFT JOIN rt5 USING (scheme_code) LEFT JOIN ab USING (scheme_code) LEFT JOIN sortino USING (scheme_code) LEFT JOIN info USING (scheme_code) LEFT JOIN cap USING (scheme_code) WHERE scheme_code = 'STANDARD-F'"""),
+        "rolling_r2_beta": _aligned(f", {_REG}, {_FIT}, {_AB} SELECT scheme_code, {_round('r_squared_3y beta_3y', 5)} FROM ab"),
+        "aum_rollup_by_category": metrics("SELECT canonical_category, count(*) AS n, round(sum(aum_crore), 2) AS aum_crore, arg_max(scheme_code, struct_pack(a := aum_crore, b := scheme_code)) AS largest FROM scheme_metrics GROUP BY 1"),
+        "pool_semi_join": with_relations(["scheme_metrics", "holdings_monthly"], ", p AS (SELECT scheme_code FROM scheme_metrics QUALIFY row_number() OVER (PARTITION BY canonical_category ORDER BY alpha_3y_annualized DESC NULLS LAST, scheme_code) <= 3) SELECT scheme_code, count(*) AS n FROM holdings_monthly SEMI JOIN p USING (scheme_code) GROUP BY 1"),
         "normalize_names": with_relations(["holdings_monthly"], "SELECT DISTINCT security_name, " + _NORMAL.format("security_name") + " AS normalized FROM holdings_monthly"),
     }

@@ -430,6 +430,53 @@ def normalize_names(spark, sf):
     return relation(spark, sf, "holdings_monthly").select("security_name").distinct().select("security_name", text.normalize_name(F.col("security_name")).alias("normalized"))
 
 
+@query
+def holdings_sheet_sections(spark, sf):
+    """Sheets landed as rows: banners, ISIN rows and totals, in order of the order key."""
+    code = F.concat(F.lit("INE"), F.lpad((F.col("o_orderkey") % 50).cast("string"), 8, "0"), F.lit("7"))
+    kind = F.substring("o_orderpriority", 1, 1)
+    banner = F.when(kind == "1", "Equity & Equity related").when(kind == "2", "Debt Instruments").when((kind == "3") & (F.col("o_orderkey") % 4 == 0), "GRAND TOTAL")
+    cells = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("sheet"), F.col("o_orderkey").alias("row_no"), banner.alias("banner"), F.when(banner.isNull(), code).alias("code"), F.lit("Name*").alias("name"), F.concat(F.round("o_totalprice", 2).cast("decimal(18,2)").cast("string"), F.lit("%")).alias("w"))
+    return rounded(landing.holdings_sheet(cells, "code", "name", "w", "banner"), 2)
+
+
+@query
+def nav_text_parse(spark, sf):
+    """Price files landed as lines: a heading, then company and data lines."""
+    parts = table(spark, sf, "part").filter("p_partkey <= 400").select(F.col("p_partkey").alias("k"), "p_brand", "p_retailprice")
+    data = F.concat_ws(";", F.col("k").cast("string"), F.lit("INF1"), F.lit("-"), F.concat(F.lit("Fund "), F.col("k").cast("string")), F.when(F.col("k") % 7 == 0, "N.A.").otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string")), F.lit("05-Jan-2024"))
+    line = F.when(F.col("k") == 1, "Scheme Code;ISIN Div Payout/ ISIN Growth;ISIN Div Reinvestment;Scheme Name;Net Asset Value;Date").when(F.col("k") % 10 == 2, F.concat(F.translate("p_brand", "#", " "), F.lit(" Mutual Fund"))).when(F.col("k") % 50 == 3, "Open Ended Schemes(Equity Scheme - Value Fund)").otherwise(data)
+    return rounded(landing.nav_text(parts.select(F.lit("f").alias("file"), F.col("k").alias("line_no"), line.alias("line"))), 2)
+
+
+@query
+def audit_scheme(spark, sf):
+    """Window metrics of one scheme against the index, not written anywhere."""
+    nav = relation(spark, sf, "nav_daily").filter("scheme_code = 'STANDARD-F'")
+    rel = partial(relation, spark, sf)
+    aligned = series.align(nav, rel("calendar"), rel("benchmark_daily"), series.daily_risk_free(rel("rf_observed")))
+    return rounded(windows.phase_one(aligned, nav), 5)
+
+
+@query
+def rolling_r2_beta(spark, sf):
+    return rounded(windows.alpha_beta(_aligned(spark, sf)).select("scheme_code", "r_squared_3y", "beta_3y"), 5)
+
+
+@query
+def aum_rollup_by_category(spark, sf):
+    rows = relation(spark, sf, "scheme_metrics")
+    return rounded(rows.groupBy("canonical_category").agg(F.count("*").alias("n"), F.sum("aum_crore").alias("aum_crore"), F.max_by("scheme_code", F.struct("aum_crore", "scheme_code")).alias("largest")), 2)
+
+
+@query
+def pool_semi_join(spark, sf):
+    scored = relation(spark, sf, "scheme_metrics").withColumn("composite_score", F.col("alpha_3y_annualized"))
+    pool = ranking.top_n(scored, 3).select("scheme_code")
+    held = relation(spark, sf, "holdings_monthly").join(pool, "scheme_code", "left_semi")
+    return held.groupBy("scheme_code").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
