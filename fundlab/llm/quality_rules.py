@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 #: Measure -> least spread that its limit allows for, in its own units.
-FLOORS = {"symbols": 5, "dup_lines": 50, "repeats": 30, "word_length": 15, "capitals": 20}
+FLOORS = {"symbols": 5, "dup_lines": 50, "repeats": 40, "word_length": 15, "capitals": 20}
 SPREADS, LEAST_GROUP = 8, 100
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_chars", "n_capitals")
 
