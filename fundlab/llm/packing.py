@@ -12,8 +12,11 @@ no pieces; columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +25,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.llm.blocks import SpanHash, blocks, row_of, words
 from fundlab.storage import materialize
 
 WINDOW = 4096
-#: Words whose ids a Python worker remembers; beyond it forgets them all. This bounds memory only.
-REMEMBERED = 400_000
+#: Distinct words whose ids a Python worker remembers; beyond it it forgets them all. This bounds memory only.
+REMEMBERED = 2_000_000
+#: What the tokenizer takes as one part, in lower-case words of letters, ASCII digits and ASCII marks.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
+_NOT_LETTERS = {c: None for c in range(33, 127) if not chr(c).isalpha()}
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer that never joins across spaces and newlines.
+    """Ids of texts under a tokenizer that never joins across spaces.
 
-    The tokenizers library encodes each distinct word once; words of letters with
-    a last full stop or comma go to it without case and without that mark.
+    Words are told apart by 64-bit hashes over a whole block at a time. Each
+    distinct word is split into its parts once, and the tokenizers library encodes
+    the parts of all new words in one call.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,59 +54,68 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.marks = {m: self._ids(m) for m in (".", ",", "")}
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if text else b""
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {"": b""}
-        stems: dict[str, list[tuple[str, str]]] = {}
-        for word in words:
-            mark = word[-1] if word[-1] in ".," else ""
-            stem = word[: len(word) - len(mark)]
-            if stem.isascii() and stem.isalpha():
-                stems.setdefault(stem.lower(), []).append((word, mark))
-            elif stem.isalpha():
-                stems.setdefault(stem, []).append((word, mark))
-            else:
-                self.known[word] = self._ids(word)
-        if not stems:
-            return
-        # One call for all: each stem of letters is one word to the tokenizer, and its last id says so.
-        ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, self.dtype)
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(stems):
-            cut = [self._ids(s) for s in stems]
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.dtype)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _parts(self, word: str) -> list[str] | None:
+        """The word's parts in lower case; None where only the tokenizer knows them."""
+        low = word.lower()
+        if "<|" in word or not word.isprintable() or not (word.isascii() or ("Σ" not in word and low.translate(_NOT_LETTERS).isalpha() and unicodedata.is_normalized("NFC", low))):
+            return None
+        return _PARTS.findall(low)
+
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        split = [self._parts(w) for w in words]
+        parts = list(set(chain.from_iterable(p for p in split if p is not None)))
+        ids = self._ids(" ".join(parts))  # the last id of each part says that it ends there
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist() if ids else []
+        if len(ends) == len(parts):
+            known = dict(zip(parts, (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         else:
-            cut = [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        for own, spelled in zip(cut, stems.values(), strict=True):
-            for word, mark in spelled:
-                self.known[word] = own + self.marks[mark]
-
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if missing := {w for w in words if w not in self.known}:
-            self._learn(missing)
-            words_known = self.known
-            if any(w not in words_known for w in words):  # forgotten just now
-                self._learn(set(words) - words_known.keys())
-        return b"".join(map(self.known.__getitem__, words))
+            known = {p: self._ids(p) for p in parts}
+        return [self._ids(w) if p is None else known[p[0]] if len(p) == 1 else [i for x in p for i in known[x]] for w, p in zip(words, split, strict=True)]
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, with end_id last, and all ids."""
+        start, end = words(data)
+        distinct, at, inverse = np.unique(SpanHash(data)(start, end), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > REMEMBERED:
+            self.forget()
+        missing = np.isin(distinct, self.hashes, assume_unique=True, invert=True)
+        if missing.any():
+            raw = data.tobytes()
+            new = self._learn([raw[a:b].decode() for a, b in zip(start[at[missing]].tolist(), end[at[missing]].tolist(), strict=True)])
+            count = np.fromiter(map(len, new), np.int64, len(new))
+            first = len(self.flat) + np.cumsum(count) - count
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), self.dtype, int(count.sum()))])
+            order = np.argsort(hashes := np.concatenate([self.hashes, distinct[missing]]))
+            self.hashes, self.first, self.count = hashes[order], np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        place = np.searchsorted(self.hashes, distinct)
+        n, first = self.count[place][inverse], self.first[place][inverse]
+        done = np.cumsum(n)
+        ids = self.flat[np.repeat(first - (done - n), n) + np.arange(int(n.sum()))]
+        per_text = np.bincount(row_of(offsets, start), n, minlength=len(offsets) - 1).astype(np.int64)
+        return per_text + 1, np.insert(ids, np.cumsum(per_text), np.array(end_id, self.dtype))
 
 
 def _tokenized(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
         part, done = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches:
-            ids = [encode(t or "") + end for t in batch.column("text").to_pylist()]
-            n = np.array([len(x) // encode.dtype.itemsize for x in ids], np.int64)
-            before = done + np.cumsum(n) - n
-            done += int(n.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), part, np.int64)), batch.column("doc_id"), pa.array(before), pa.array(n), pa.array(ids, pa.binary())], names=["part", "doc_id", "before", "n", "ids"])
+            for first, last, data, offsets in blocks(batch.column("text"), 1 << 22):
+                n, ids = encode(data, offsets, end_id)
+                before = done + np.cumsum(n) - n
+                done += int(n.sum())
+                where = np.concatenate([[0], np.cumsum(n) * ids.itemsize]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(where), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(last - first, part, np.int64)), batch.column("doc_id").slice(first, last - first), pa.array(before), pa.array(n), packed], names=["part", "doc_id", "before", "n", "ids"])
 
     return run
 
