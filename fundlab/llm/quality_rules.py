@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.storage import materialize
+
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 #: Measure -> least spread that its limit allows for, in its own units.
 FLOORS = {"symbols": 5, "dup_lines": 50, "repeats": 40, "word_length": 15, "capitals": 20}
@@ -60,18 +62,23 @@ def counts(text: Column) -> Column:
     def of(t: Column) -> Column:
         words = F.array_remove(F.split(t, SEPARATORS), "")
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-        from_words = _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), _repeated_words(w).alias("n_repeat_words")))
-        from_lines = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-        left = lambda kept: F.length(F.regexp_replace(t, f"[^{kept}]+", "")).cast("long")
-        return F.struct(from_words.alias("w"), from_lines.alias("l"), left("#*$%&|<>").alias("n_symbols"), left("A-Z").alias("n_capitals"), F.length(t).cast("long").alias("n_chars"))
+        from_words = _let(words, lambda w: F.struct(F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"), _repeated_words(w).alias("n_repeat_words")))
+        from_lines = _let(lines, lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
+        left = lambda kept: F.length(F.regexp_replace(t, f"[^{kept}]+", ""))
+        found = F.struct(from_words.alias("w"), from_lines.alias("l"), left("#*$%&|<>").alias("n_symbols"), left("A-Z").alias("n_capitals"), F.length(t).alias("n_chars"))
+        place = {"n_words": "w", "word_chars": "w", "n_repeat_words": "w", "n_lines": "l", "n_dup_lines": "l"}
+        return _let(found, lambda c: F.struct(*[(c[place[x]][x] if x in place else c[x]).cast("long").alias(x) for x in COUNTS]))
 
     return _let(text, of)
 
 
 def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep``, COUNTS, base_failed and the measures as bucket numbers."""
-    flat = docs.select(*keep, counts(F.col("text")).alias("_c"))
-    flat = flat.select(*keep, *[F.col(f"_c.{ {'n_words': 'w.', 'word_chars': 'w.', 'n_repeat_words': 'w.', 'n_lines': 'l.', 'n_dup_lines': 'l.'}.get(c, '') }{c}").alias(c) for c in COUNTS])
+    """The columns ``keep``, COUNTS, base_failed and the measures as bucket numbers.
+
+    The counts come out of a generator of one row, so that they are computed once
+    for each text wherever the columns are used or filtered later.
+    """
+    flat = docs.select(*keep, F.inline(F.array(counts(F.col("text")))))
     share = lambda part, whole, unit=1000: F.expr(f"{part} * {unit} div greatest({whole}, 1)")
     length = share("word_chars", "n_words", 100)
     return flat.withColumns({
@@ -90,7 +97,7 @@ def limits(measures: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     """g_lang, g_source and, for each measure, the limit that holds there."""
     kinds = ", ".join(f"'{m}', {m}" for m in FLOORS)
     sketch = measures.select(_group("lang").alias("g_lang"), _group("source").alias("g_source"), F.expr(f"stack({len(FLOORS)}, {kinds}) as (measure, bucket)"))
-    sketch = sketch.groupBy("g_lang", "g_source", "measure", "bucket").agg(F.count("*").alias("n"))
+    sketch = materialize(sketch.groupBy("g_lang", "g_source", "measure", "bucket").agg(F.count("*").alias("n")))
     sketch = sketch.withColumn("g_all", F.lit(""))
     pairs = sketch.select("g_all", "g_lang", "g_source").distinct()
     for depth in (0, 1, 2):
