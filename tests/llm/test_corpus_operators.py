@@ -1,5 +1,6 @@
 """Neighbours, substring dedup, the classifier, near duplicates and LM scores against brute force."""
 
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
@@ -201,6 +202,21 @@ def test_near_duplicates_equal_brute_force(spark, tmp_path):
     assert sizes[300] == 60 and sizes[3] == 31 + any(group[rows[3][1]] == group[r[1]] for r in rows[80:100]) and sizes[500] == 1
 
 
+def test_large_buckets_with_many_components(spark):
+    """Many pairs of near copies that all share most of one passage: buckets are large and hold many groups."""
+    rng = random.Random(17)
+    shared, rows = text(rng, 260), []
+    for k in range(40):
+        own = text(rng, 60).split()
+        rows += [(2 * k, f"{shared} {' '.join(own)}", "en", "s1"), (2 * k + 1, f"{shared} {' '.join(own[:-1])} other{k}", "en", "s1")]
+    docs = documents(spark, rows).select("doc_id", "text")
+    cells = np.ones(near_dup.CELLS, np.float32)
+    found = near_dup.links(docs, near_dup.signatures(docs, cells), cells, 0.95)
+    digest = {hashlib.md5(r[1].encode()).hexdigest(): r[0] for r in rows}
+    pairs = {tuple(sorted((digest[r.a], digest[r.b]))) for r in found.collect()}
+    assert pairs == {(2 * k, 2 * k + 1) for k in range(40)}
+
+
 def test_weighted_samples_agree_as_often_as_similar():
     rng = np.random.default_rng(8)
     key = np.sort(rng.integers(0, 1 << 62, 400, dtype=np.uint64))
