@@ -11,10 +11,9 @@ Jaccard similarity confirms them. Groups are the connected components.
 Equal texts are one node from the start. In a band's bucket of few texts all
 pairs are candidates. In a larger one each text is compared with the text most
 central by bucket sizes; then, round by round, texts of other components with the
-central texts of large components. Buckets that still hold several components pass
-their texts on to a finer level: more and longer bands, whose buckets hold far fewer
-unlike texts, and are compared in the same two ways. Only two texts all of whose
-common finer buckets are large, and that are linked to no centre, can stay apart.
+central texts of large components. These rounds only save work: the texts of all
+buckets that still hold several components go through an exact similarity join,
+which compares every two texts of different components that can reach the threshold.
 
 Edge cases: a text of one to four words is one shingle; null texts and texts
 without words are never grouped; repeated rows (also with one id) are copies of
@@ -37,17 +36,20 @@ from fundlab.storage import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
-#: Bands and rows of the finer level: at the threshold 99.9 % of pairs share a bucket, as they do at the first.
-FINE_BANDS, FINE_ROWS = 40, 8
 #: Buckets of up to so many texts give all their pairs.
 SMALL_BUCKET = 16
 ROUNDS = 4
+#: Texts from which the order of shingles is estimated (any order gives the same links), and texts of one block of the join.
+ORDER_TEXTS, JOIN_BLOCK = 1 << 12, 1 << 11
+#: Texts whose shingles a task keeps while it compares pairs.
+KEPT = 1 << 10
+#: Allowance for the rounding of weights when pairs are ruled out.
+SLACK = 1e-4
 #: Document frequencies are kept in so many hashed cells: texts per cell by chance stay far below the
 #: share of texts from which a shingle is weighted down.
 CELLS = 1 << 18
 SHARE = 3.0
 _ODD = np.random.default_rng(11).integers(1, 1 << 62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FINE_ODD = np.random.default_rng(12).integers(1, 1 << 62, FINE_BANDS * FINE_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _U64 = np.uint64
 
 
@@ -118,14 +120,19 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(range(len(slices) + 1), pa.int32()), pa.array([*slices, np.array([texts])], pa.list_(pa.int64()))], names=["slice", "n"])
 
 
-def frequency_cells(docs: DataFrame) -> np.ndarray:
-    """The inverse document frequency of each hashed cell, from all texts. The driver gets CELLS numbers whatever the corpus."""
+def cell_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts, and of texts by hashed cell. The driver gets CELLS numbers whatever the corpus."""
     by_part = docs.select("text").mapInArrow(_frequencies, "slice int, n array<long>")
     rows = by_part.select("slice", F.posexplode("n").alias("place", "n")).groupBy("slice", "place").agg(F.sum("n").alias("n"))
     rows = rows.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("place", "n"))).alias("all")).select("slice", "all.n").orderBy("slice").collect()
     if not rows:
-        return np.ones(CELLS, np.float32)
-    return idf(rows[-1].n[0], np.concatenate([r.n for r in rows[:-1]]).astype(float))
+        return 0, np.zeros(CELLS)
+    return rows[-1].n[0], np.concatenate([r.n for r in rows[:-1]]).astype(float)
+
+
+def frequency_cells(docs: DataFrame) -> np.ndarray:
+    """The inverse document frequency of each hashed cell, from all texts."""
+    return idf(*cell_counts(docs))
 
 
 def _bands(shared, odds: np.ndarray, rows: int):
@@ -173,11 +180,14 @@ def _similar(shared, threshold: float):
             return key, weights(key, tf, cells)
 
         for batch in batches:
-            keep, score, held = [], [], (None, None)
+            keep, score, held = [], [], {}
             for k, (x, y) in enumerate(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)):
-                if held[0] != x:
-                    held = (x, weighed(x))
-                if (s := jaccard(held[1], weighed(y))) >= threshold:
+                if len(held) > KEPT:
+                    held.clear()
+                for text in (x, y):
+                    if text not in held:
+                        held[text] = weighed(text)
+                if (s := jaccard(held[x], held[y])) >= threshold:
                     keep.append(k)
                     score.append(s)
             at = pa.array(keep, pa.int64())
@@ -236,7 +246,6 @@ def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: floa
     first, large = _first_pairs(members)
     tried = materialize(first)
     found = materialize(verified(tried, texts, cells, threshold))
-    placed = None
     for _ in range(ROUNDS if large.limit(1).count() else 0):
         placed = _mixed(large, found)
         parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), _centre().alias("hub"))
@@ -251,18 +260,52 @@ def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: floa
         tried, found = tried.union(new), found.union(fresh)
         if not fresh.limit(1).count():
             break
-    if placed is not None and placed.limit(1).count():
-        found = _finer_links(texts.join(placed.select("digest").distinct(), "digest", "left_semi"), cells, tried, found, threshold)
+    if large.limit(1).count():
+        mixed = materialize(texts.join(_mixed(large, found).select("digest", "component").distinct(), "digest"))
+        if mixed.limit(1).count():
+            new = materialize(possible_pairs(mixed, cells, threshold).join(tried, ["a", "b"], "left_anti"))
+            found = found.union(materialize(verified(new, texts, cells, threshold)))
     return found
 
 
-def _finer_links(texts: DataFrame, cells: np.ndarray, tried: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """found with the further links of texts (digest, text) in small finer buckets, and to the centres of large ones."""
-    texts = materialize(texts)
-    members = _members(signatures(texts.withColumnRenamed("digest", "doc_id"), cells, _FINE_ODD, FINE_ROWS))
-    first, _ = _first_pairs(members)
-    new = materialize(first.join(tried, ["a", "b"], "left_anti"))
-    return found.union(materialize(verified(new, texts, cells, threshold)))
+def _prefixes(shared, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, counts = shared.value
+        for batch in batches:
+            for first, last, data, offsets in blocks(batch.column("text"), 1 << 18):
+                key, row, tf = shingles(data, offsets)
+                order = np.lexsort((key, counts[(key >> _U64(40)) & _U64(CELLS - 1)], row))
+                key, row = key[order], row[order]
+                weight = weights(key, tf[order], cells).astype(float)
+                whole = np.bincount(row, weight, minlength=last - first)
+                rest = np.cumsum(whole)[row] - np.cumsum(weight) + weight
+                at = np.flatnonzero(rest >= (threshold - SLACK) * whole[row])
+                source = pa.array(first + row[at])
+                yield pa.RecordBatch.from_arrays([pa.array(key[at].view(np.int64)), batch.column("digest").take(source), batch.column("component").take(source), pa.array(whole[row[at]]), pa.array(rest[at])], names=["key", "digest", "component", "whole", "rest"])
+
+    return run
+
+
+def possible_pairs(texts: DataFrame, cells: np.ndarray, threshold: float) -> DataFrame:
+    """All pairs (a, b) of texts (digest, text, component) of different components that can be as similar as the threshold.
+
+    In any fixed order of shingles, the texts' common weight is at most what either has from
+    their first common shingle on. So that shingle stands where a text still has ``threshold``
+    of its weight left, and both texts have enough left there for the pair. Rare shingles go first.
+    """
+    cut = texts.select("digest").orderBy("digest").limit(ORDER_TEXTS).agg(F.max("digest")).first()[0]
+    _, counts = cell_counts(texts.filter(F.col("digest") <= F.lit(cut)).coalesce(4))
+    shared = texts.sparkSession.sparkContext.broadcast((cells, counts.astype(np.int32)))
+    entries = materialize(texts.select("digest", "component", "text").mapInArrow(_prefixes(shared, threshold), "key long, digest string, component string, whole double, rest double"))
+    parts = entries.groupBy("key", "component").agg(F.count("*").alias("n"))
+    shares = parts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    shares = shares.filter("kinds > 1").select("key", "main", F.ceil(F.col("n") / JOIN_BLOCK).cast("int").alias("n_blocks"))
+    placed = materialize(entries.join(shares, "key"))
+    one = placed.filter(F.col("component") != F.col("main")).select("key", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), F.col("digest").alias("x"), F.col("component").alias("of_x"), F.col("whole").alias("whole_x"), F.col("rest").alias("rest_x"))
+    two = placed.select("key", F.pmod(F.hash("digest"), F.col("n_blocks")).alias("block"), F.col("digest").alias("y"), "component", "main", "whole", "rest")
+    once = (F.col("component") == F.col("main")) | (F.col("x") < F.col("y"))
+    enough = F.least("rest", "rest_x") >= (threshold / (1 + threshold) - SLACK) * (F.col("whole") + F.col("whole_x"))
+    return one.join(two, ["key", "block"]).filter((F.col("of_x") != F.col("component")) & once & enough).select(*_ordered("x", "y")).distinct()
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

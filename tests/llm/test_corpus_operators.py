@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fundlab.llm import chunks, classifier, graph, near_dup, neighbours, ppm, queries
 from fundlab.llm.blocks import SpanHash, blocks, words
@@ -217,6 +218,31 @@ def test_large_buckets_with_many_components(spark):
     assert pairs == {(2 * k, 2 * k + 1) for k in range(40)}
 
 
+def test_all_pairs_of_one_large_bucket(spark):
+    """Every text is a candidate of every other one; each is like one other only, and no centre is like both."""
+    rng, rows = random.Random(23), []
+    for k in range(40):
+        own = text(rng, 60).split()
+        rows += [(2 * k, " ".join(own), "en", "s1"), (2 * k + 1, " ".join([*own[:45], *text(rng, 15).split()]), "en", "s1")]
+    docs = documents(spark, rows).select("doc_id", "text")
+    signed = docs.select("doc_id", F.md5("text").alias("digest"), F.array(F.lit(1).cast("long")).alias("bands"))
+    found = near_dup.links(docs, signed, np.ones(near_dup.CELLS, np.float32), 0.5)
+    digest = {hashlib.md5(r[1].encode()).hexdigest(): r[0] for r in rows}
+    assert {tuple(sorted((digest[r.a], digest[r.b]))) for r in found.collect()} == {(2 * k, 2 * k + 1) for k in range(40)}
+
+
+def test_possible_pairs_hold_all_similar_ones(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "JOIN_BLOCK", 8)
+    rows = near_corpus()
+    pairs, keys = want_links(rows)
+    docs = documents(spark, rows).select(F.md5("text").alias("digest"), "text").dropDuplicates(["digest"]).withColumn("component", F.col("digest"))
+    cells = near_dup.frequency_cells(documents(spark, rows))
+    got = {(r.a, r.b) for r in near_dup.possible_pairs(docs, cells, near_dup.THRESHOLD).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert {tuple(sorted((md5(a), md5(b)))) for a, b in pairs} <= got
+    assert len(got) < len(keys) * (len(keys) - 1) / 4
+
+
 def test_weighted_samples_agree_as_often_as_similar():
     rng = np.random.default_rng(8)
     key = np.sort(rng.integers(0, 1 << 62, 400, dtype=np.uint64))
