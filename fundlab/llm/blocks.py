@@ -92,3 +92,21 @@ def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray
     keys, n = keys[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(n, first) if len(keys) else n
+
+
+def grouped(batches: Iterator[pa.RecordBatch], column: str, least: int = 1) -> Iterator[pa.Table]:
+    """Rows that are sorted by a column, as tables of ``least`` rows or more that never split its values."""
+    held, n, wait = [], 0, least
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= wait and batch.num_rows:
+            table = pa.Table.from_batches(held)
+            key = table.column(column).to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield table.slice(0, cut).combine_chunks()
+                held, n = table.slice(cut).to_batches(), table.num_rows - cut
+            wait = max(least, 2 * n if not cut else 0)
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()

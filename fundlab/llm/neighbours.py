@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.llm.blocks import grouped
 from fundlab.storage import materialize, release
 
 #: Neighbours a node keeps; reverse ones it joins with them; blocks and directions of the first graph.
@@ -106,27 +107,10 @@ def _first_graph(nodes: DataFrame, k: int) -> DataFrame:
     return _top(told, k)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
-    """Rows that are sorted by a column, as tables that never split its values."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        key = table.column(column).to_numpy()
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:
-            yield table.slice(0, cut).combine_chunks()
-        rest = table.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield rest.combine_chunks()
-
-
 def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All pairs among the members of each group, where one is fresh and a list improves."""
     most = K + REVERSE
-    for table in _grouped(batches, "at"):
+    for table in grouped(batches, "at", 1 << 14):
         at, member = table.column("at").to_numpy(), table.column("member").to_numpy()
         fresh, kth = table.column("fresh").to_numpy(zero_copy_only=False).astype(bool), table.column("kth").to_numpy()
         v = _vectors(table.column("v").combine_chunks())

@@ -257,10 +257,42 @@ def test_weighted_samples_agree_as_often_as_similar():
     assert np.mean(agree) == pytest.approx(both / (weight[a].sum() + weight[b].sum() - both), abs=0.04)
 
 
-def test_lm_base_and_model_scores(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ppm, "FREQUENT", 64)
+def brute_model(texts):
+    """log10 probability of a byte string by the definition: counts by context, method C, symbol exclusion."""
+    counts = defaultdict(Counter)
+    for t in texts:
+        stream = bytes([ppm.END] * ppm.ORDER) + t + bytes([ppm.END])
+        for k in range(ppm.ORDER, len(stream)):
+            for d in range(ppm.ORDER + 1):
+                counts[stream[k - d : k]][stream[k]] += 1
+
+    def symbol(context, s):
+        p, excluded = 1.0, set()
+        for d in range(ppm.ORDER, -1, -1):
+            seen = {x: c for x, c in counts[context[len(context) - d :]].items() if x not in excluded} if context[len(context) - d :] in counts else {}
+            if not seen:
+                continue
+            whole = sum(seen.values()) + len(seen)
+            if s in seen:
+                return p * seen[s] / whole
+            p *= len(seen) / whole
+            excluded |= set(seen)
+        return p / (256 - len(excluded))
+
+    def score(t):
+        stream = bytes([ppm.END] * ppm.ORDER) + t + bytes([ppm.END])
+        return sum(math.log10(symbol(stream[k - ppm.ORDER : k], stream[k])) for k in range(ppm.ORDER, len(stream)))
+
+    return symbol, score
+
+
+@pytest.mark.parametrize("frequent", [64, 1 << 20])
+def test_lm_base_and_model_scores(spark, tmp_path, monkeypatch, frequent):
+    monkeypatch.setattr(ppm, "FREQUENT_WORDS", frequent)
+    monkeypatch.setattr(ppm, "FREQUENT_GRAMS", frequent)
+    monkeypatch.setattr(ppm, "AT_ONCE", frequent)
     rng = random.Random(9)
-    rows = [(k, text(rng, 40) + (" The END" if k % 2 else ""), "en", "s1") for k in range(120)] + [(i and i + 2000, *rest) for i, *rest in odd_documents()]
+    rows = [(k, text(rng, 40) + (" The END" if k % 2 else ""), "en", "s1") for k in range(60)] + [(i and i + 2000, t and t[:9000], *rest) for i, t, *rest in odd_documents()]
     out = queries.op9_lm_scoring(spark, save(spark, documents(spark, rows, extra=True), tmp_path)).collect()
     held = lambda i: i is not None and crc_mod(i, 7) == 2
     lower = lambda t: [w.encode().lower().decode() if w.isascii() else "".join(c.lower() if c < "\x80" else c for c in w) for w in split(t)]
@@ -271,52 +303,31 @@ def test_lm_base_and_model_scores(spark, tmp_path, monkeypatch):
             texts += 1
     total, kinds = sum(count.values()) + texts, len(count) + 1
     assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    assert any(r.held_out for r in out)
     by_id = {r.doc_id: r for r in out}
+    _, model = brute_model([(t or "").encode() for i, t, *_ in rows if not held(i)])
     for i, t, *_ in rows:
         w, r = lower(t), by_id[i]
         base = sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in w) + math.log10((texts + 1) / (total + kinds + 1))
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(w) + 1, sum(x in count for x in w) + 1, total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
-        assert r.score < 0 and (len(w) < 20 or i == 2005 or -r.score / len((t or "").encode()) < math.log10(256) / 2 or i in (2008, 2009))
+        assert r.score == pytest.approx(model((t or "").encode()), rel=1e-9)
 
 
 def test_ppm_probabilities():
     rng = random.Random(10)
-    data = [*rng.choices(b"abc", k=400), *rng.choices(b"abd", k=100), ppm.END]
-    stream = np.array([ppm.END] * ppm.ORDER + data, np.uint8)
-    keys, n = np.unique(ppm.grams(stream), return_counts=True)
-    counts = {}
+    data = bytes([*rng.choices(b"abc", k=400), *rng.choices(b"abd", k=100)])
+    keys, n = np.unique(ppm.grams(np.frombuffer(bytes([ppm.END] * ppm.ORDER) + data + bytes([ppm.END]), np.uint8)), return_counts=True)
+    levels = []
     for d in range(ppm.ORDER + 1):
-        by = Counter()
-        for k, c in zip(keys.tolist(), n.tolist(), strict=True):
-            by[k & ((1 << (8 * (d + 1))) - 1)] += c
-        counts[d] = (np.array(list(by), np.uint64), np.array(list(by.values())))
-    trie = ppm.Trie(counts)
-
-    def brute(context, symbol):
-        p, excluded = 1.0, set()
-        for d in range(ppm.ORDER, -1, -1):
-            seen = {int(k) & 255: int(c) for k, c in zip(*counts[d], strict=True) if int(k) >> 8 == int.from_bytes(bytes(context[len(context) - d :]), "big")}
-            seen = {x: c for x, c in seen.items() if x not in excluded}
-            if not seen:
-                continue
-            whole = sum(seen.values()) + len(seen)
-            if symbol in seen:
-                return p * seen[symbol] / whole
-            p *= len(seen) / whole
-            excluded |= set(seen)
-        return p / (256 - len(excluded))
-
-    for context in (b"abca", b"zzab", b"zzzz", b"dddd", bytes([255] * 4)):
-        got = [10 ** float(trie.costs(np.array([*context, s], np.uint8))[0]) for s in range(256)]
-        assert sum(got) == pytest.approx(1, abs=1e-4)
-        assert all(got[s] == pytest.approx(brute(context, s), rel=1e-4) for s in [*b"abcdez", 255])
-    assert ppm.Trie({}).costs(np.array([255] * 5, np.uint8))[0] == pytest.approx(-math.log10(256))
-
-
-def test_adaptive_bits():
-    assert ppm.adaptive_bits("abab" * 100) < ppm.adaptive_bits("".join(random.Random(1).choices("abcd", k=400))) / 3
-    assert ppm.adaptive_bits("") == pytest.approx(8.0)
+        levels.append(ppm.level(d, *ppm._summed(keys, n, d), levels[-1] if levels else None))
+    symbol, _ = brute_model([data])
+    for context in (b"abcab", b"zzzab", b"zzzzz", b"ddddd", bytes([255] * 5)):
+        got = 10 ** ppm.costs(ppm.grams(np.array([x for s in range(256) for x in (*context, s)], np.uint8))[:: ppm.ORDER + 1], levels)
+        assert got.sum() == pytest.approx(1)
+        assert got.tolist() == pytest.approx([symbol(context, s) for s in range(256)])
+    none = [ppm.level(d, np.zeros(0, np.uint64), np.zeros(0), None) for d in range(ppm.ORDER + 1)]
+    assert ppm.costs(np.array([7], np.uint64), none)[0] == pytest.approx(-math.log10(256))
 
 
 def test_empty_tables(spark, tmp_path):
