@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from fundlab.llm.quality_rules import FLOORS, LEAST_GROUP, SPREADS
-
 _WS = r"[\x20\x09-\x0D]"
+#: The rule of each measure: quantile (per mille), multiple of its distance to the median, distance where that is 0.
+_RULES = {"symbols": (900, 8, 5), "dup_lines": (995, 1, 50), "repeats": (995, 1, 50), "word_length": (750, 8, 5), "capitals": (900, 6, 3)}
+_PRIOR = 200
 
 
 def _limits() -> str:
-    kinds = " UNION ALL ".join(f"SELECT gl, gs, '{m}' AS measure, {m} AS b, {least} AS least FROM m" for m, least in FLOORS.items())
+    long = " UNION ALL ".join(f"SELECT gl, gs, '{m}' AS measure, {m} AS b, {p} AS p, {c} AS c, {least} AS least FROM m WHERE NOT base_failed" for m, (p, c, least) in _RULES.items())
     levels = []
-    for depth, keys in enumerate(("''", "gl", "gl, gs")):
-        names = "one" if depth == 0 else keys
-        source = "(SELECT *, '' AS one FROM long)" if depth == 0 else "long"
-        levels.append(f"""c{depth} AS (SELECT {names}, measure, b, least, sum(count(*)) OVER (PARTITION BY {names}, measure ORDER BY b) AS upto, sum(count(*)) OVER (PARTITION BY {names}, measure) AS total
-            FROM {source} GROUP BY {names}, measure, b, least), q{depth} AS (SELECT {names}, measure, max(total) AS total,
-            min(b) FILTER (upto * 2 >= total) + {SPREADS} * greatest(min(b) FILTER (upto * 2 >= total) - min(b) FILTER (upto * 4 >= total), max(least)) AS fence FROM c{depth} GROUP BY {names}, measure)""")
-    return f"long AS ({kinds}), " + ", ".join(levels)
+    for depth, keys in enumerate(("measure", "gl, measure", "gl, gs, measure")):
+        levels.append(f"""c{depth} AS (SELECT {keys}, b, p, c, least, sum(count(*)) OVER (PARTITION BY {keys} ORDER BY b) AS upto, sum(count(*)) OVER (PARTITION BY {keys}) AS total FROM long GROUP BY {keys}, b, p, c, least),
+            h{depth} AS (SELECT {keys}, max(total) AS total, max(c) AS c, max(least) AS least, min(b) FILTER (upto * 2 >= total) AS middle, min(b) FILTER (upto * 1000 >= total * p) AS high FROM c{depth} GROUP BY {keys}),
+            q{depth} AS (SELECT {keys}, CAST(total AS BIGINT) AS n, CAST(high + c * CASE WHEN high > middle THEN high - middle ELSE least END AS BIGINT) AS fence FROM h{depth})""")
+    return f"long AS ({long}), " + ", ".join(levels)
 
 
 def op10() -> str:
-    over = " OR ".join(f"m.{x} > (SELECT CASE WHEN a.total >= {LEAST_GROUP} THEN a.fence WHEN b.total >= {LEAST_GROUP} THEN b.fence ELSE c.fence END FROM q2 a JOIN q1 b ON b.gl = a.gl AND b.measure = a.measure JOIN q0 c ON c.measure = a.measure WHERE a.measure = '{x}' AND a.gl = m.gl AND a.gs = m.gs)" for x in FLOORS)
+    lang = f"(coalesce(b.n * b.fence, 0) + {_PRIOR} * c.fence) // (coalesce(b.n, 0) + {_PRIOR})"
+    limit = lambda x: f"SELECT (coalesce(a.n * a.fence, 0) + {_PRIOR} * ({lang})) // (coalesce(a.n, 0) + {_PRIOR}) FROM q0 c LEFT JOIN q1 b ON b.gl = m.gl AND b.measure = c.measure LEFT JOIN q2 a ON a.gl = m.gl AND a.gs = m.gs AND a.measure = c.measure WHERE c.measure = '{x}'"
+    over = " OR ".join(f"coalesce(m.{x} > l.{x}, false)" for x in _RULES)
+    limits = "SELECT gl, gs, " + ", ".join(f"({limit(x)}) AS {x}" for x in _RULES) + " FROM (SELECT DISTINCT gl, gs FROM m) m"
     return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '') AS gl, coalesce('=' || source, '') AS gs FROM documents),
         w AS (SELECT *, list_filter(regexp_split_to_array(t, '{_WS}+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
         g AS (SELECT rid, unnest(list_transform(range(1, len(ws) - 1), lambda i: {{'i': i, 'k': ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]}}), recursive := true) FROM w WHERE len(ws) >= 3),
@@ -29,9 +31,9 @@ def op10() -> str:
             coalesce(cov.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS caps FROM w LEFT JOIN cov USING (rid)),
         m AS (SELECT *, n_symbols * 1000 // greatest(length(t), 1) AS symbols, n_dup_lines * 1000 // greatest(len(ls), 1) AS dup_lines, n_repeat_words * 1000 // greatest(n_words, 1) AS repeats,
             CASE WHEN word_chars * 100 // greatest(n_words, 1) < 2000 THEN word_chars * 100 // greatest(n_words, 1) ELSE 2000 + length(bin(word_chars * 100 // greatest(n_words, 1))) END AS word_length,
-            caps * 1000 // greatest(word_chars, 1) AS capitals, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM c), {_limits()}
+            caps * 1000 // greatest(word_chars, 1) AS capitals, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM c), {_limits()}, l AS ({limits})
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-            base_failed, NOT base_failed AND NOT ({over}) AS kept FROM m"""
+            base_failed, NOT base_failed AND NOT ({over}) AS kept FROM m JOIN l ON l.gl = m.gl AND l.gs = m.gs"""
 
 
 def op8() -> str:

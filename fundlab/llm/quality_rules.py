@@ -3,13 +3,18 @@
 The sketch of a measure is a histogram over fixed integer buckets: counts add
 up, so sketches of partitions, sources and languages merge exactly, and a
 quantile is read off with the bucket's width (1 per mille, 0.01 characters) as
-its error. A document is rejected where a measure lies far above the middle of
-its own language and source. Only DataFrame functions are used.
+its error. A limit is a high quantile of the documents that pass the base rule,
+and as much further as a multiple of its distance to the median. The limit of a
+source is its own, weighted by its documents, and its language's, weighted as
+PRIOR documents; a language's draws on the corpus's in the same way. So a group
+of few documents has much of its parent's limit and no size switches rules. Only
+DataFrame functions are used.
 
 Edge cases: a null text has no words and fails the base rule; null languages and
-sources are groups of their own; groups of under ``least_group`` documents take
-the sketch of their language, then of the corpus; repeated rows each count; an
-empty table gives an empty result; columns not named here are ignored.
+sources are groups of their own; a group without a document that passes the base
+rule has its parent's limits; repeated rows each count; an empty table gives an
+empty result; columns not named here are ignored. A text's words are one array,
+so a text of 2**26 words, over 200 MB, is beyond what a row can hold.
 """
 
 from __future__ import annotations
@@ -21,9 +26,12 @@ from pyspark.sql.window import Window
 from fundlab.storage import materialize
 
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
-#: Measure -> least spread that its limit allows for, in its own units.
-FLOORS = {"symbols": 5, "dup_lines": 50, "repeats": 40, "word_length": 15, "capitals": 20}
-SPREADS, LEAST_GROUP = 8, 100
+#: Measure -> the quantile (per mille) that sets its limit, how many of its distances to the median the limit lies
+#: further, and the distance that counts where the quantile is the median. Measures with a long tail of clean
+#: documents take a quantile of that tail.
+RULES = {"symbols": (900, 8, 5), "dup_lines": (995, 1, 50), "repeats": (995, 1, 50), "word_length": (750, 8, 5), "capitals": (900, 6, 3)}
+#: Documents that the parent's limit counts for in a group's.
+PRIOR = 200
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_chars", "n_capitals")
 
 
@@ -93,31 +101,35 @@ def _group(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
 
-def limits(measures: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
+def limits(measures: DataFrame, prior: int = PRIOR) -> DataFrame:
     """g_lang, g_source and, for each measure, the limit that holds there."""
-    kinds = ", ".join(f"'{m}', {m}" for m in FLOORS)
-    sketch = measures.select(_group("lang").alias("g_lang"), _group("source").alias("g_source"), F.expr(f"stack({len(FLOORS)}, {kinds}) as (measure, bucket)"))
-    sketch = materialize(sketch.groupBy("g_lang", "g_source", "measure", "bucket").agg(F.count("*").alias("n")))
-    sketch = sketch.withColumn("g_all", F.lit(""))
-    pairs = sketch.select("g_all", "g_lang", "g_source").distinct()
-    for depth in (0, 1, 2):
-        keys = [["g_all"], ["g_lang"], ["g_lang", "g_source"]][depth]
-        merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    kinds = ", ".join(f"'{m}', {m}" for m in RULES)
+    sketch = measures.select(_group("lang").alias("g_lang"), _group("source").alias("g_source"), (~F.col("base_failed")).cast("long").alias("n"), F.expr(f"stack({len(RULES)}, {kinds}) as (measure, bucket)"))
+    sketch = materialize(sketch.groupBy("g_lang", "g_source", "measure", "bucket").agg(F.sum("n").alias("n")))
+    pairs = sketch.select("g_lang", "g_source").distinct().withColumn("g_all", F.lit(""))
+    part = lambda k: F.create_map(*[F.lit(x) for m, rule in RULES.items() for x in (m, rule[k])])[F.col("measure")]
+    for depth, keys in enumerate((["g_all"], ["g_lang"], ["g_lang", "g_source"])):
+        merged = sketch.withColumn("g_all", F.lit("")).groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n")).filter("n > 0")
         whole = Window.partitionBy(*keys, "measure")
         merged = merged.withColumn("upto", F.sum("n").over(whole.orderBy("bucket"))).withColumn("total", F.sum("n").over(whole))
-        q = merged.groupBy(*keys, "measure").agg(F.max("total").alias("total"), F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("bucket"))).alias("q25"), F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("bucket"))).alias("q50"))
-        spread = F.greatest(F.col("q50") - F.col("q25"), F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv])[F.col("measure")])
-        fence = F.col("q50") + SPREADS * spread
-        own = q.groupBy(*keys).agg(F.max("total").alias(f"n{depth}"), F.struct(*[F.max(F.when(F.col("measure") == m, fence)).alias(m) for m in FLOORS]).alias(f"l{depth}"))
-        pairs = pairs.join(own, keys)
-    level = F.when(F.col("n2") >= least_group, F.col("l2")).when(F.col("n1") >= least_group, F.col("l1")).otherwise(F.col("l0"))
-    return pairs.select("g_lang", "g_source", level.alias("_limit"))
+        q = merged.groupBy(*keys, "measure").agg(F.max("total").alias("total"), F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("bucket"))).alias("middle"), F.min(F.when(F.col("upto") * 1000 >= F.col("total") * part(0), F.col("bucket"))).alias("high"))
+        apart = F.col("high") - F.col("middle")
+        fence = F.col("high") + part(1) * F.when(apart > 0, apart).otherwise(part(2))
+        own = q.groupBy(*keys).agg(F.max("total").alias(f"n{depth}"), *[F.max(F.when(F.col("measure") == m, fence)).alias(f"{m}{depth}") for m in RULES])
+        pairs = pairs.join(own, keys, "left")
+    fields = []
+    for m in RULES:
+        level = f"{m}0"
+        for depth in (1, 2):
+            level = f"((coalesce(n{depth} * {m}{depth}, 0) + {prior} * {level}) div (coalesce(n{depth}, 0) + {prior}))"
+        fields.append(F.expr(level).alias(m))
+    return pairs.select("g_lang", "g_source", F.struct(*fields).alias("_limit"))
 
 
 def judge(measures: DataFrame, limit: DataFrame) -> DataFrame:
     """measures with ``kept``: the base rule holds and no measure passes its limit."""
-    over = None
-    for m in FLOORS:
-        over = (F.col(m) > F.col(f"_limit.{m}")) if over is None else over | (F.col(m) > F.col(f"_limit.{m}"))
+    over = F.lit(False)
+    for m in RULES:
+        over = over | F.coalesce(F.col(m) > F.col(f"_limit.{m}"), F.lit(False))
     joined = measures.withColumns({"g_lang": _group("lang"), "g_source": _group("source")}).join(limit, ["g_lang", "g_source"])
     return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop("g_lang", "g_source", "_limit")

@@ -82,11 +82,26 @@ def test_quality_counts_and_verdicts(spark, tmp_path):
     assert all(kept[100 + k] for k in range(120)) and not kept[900] and not kept[901]
 
 
-def test_quality_limits_merge_small_groups(spark):
-    base = [(k, " ".join(f"w{k}a{j}" for j in range(60)), "en", f"s{k % 3}") for k in range(150)]
-    limit = quality_rules.limits(quality_rules.measured(documents(spark, base), ["doc_id", "lang", "source"]))
-    got = {(r.g_lang, r.g_source): r._limit for r in limit.collect()}
-    assert len(set(got.values())) == 1  # no source has 100 documents: all take the language's sketch
+def test_quality_limits_follow_their_groups(spark):
+    """Limits are quantiles of a group's own documents, drawn to the parent's where it has few."""
+    wide = lambda k, n: " ".join(f"{'w' * (3 + k % n)}{k}a{j}" for j in range(60))
+    base = [(k, wide(k, 3), "en", "many") for k in range(900)] + [(1000 + k, wide(k, 9), "en", "other") for k in range(900)] + [(2000 + k, wide(k, 9), "en", "few") for k in range(3)] + [(3000, "none pass", None, "failed")]
+    measures = quality_rules.measured(documents(spark, base), ["doc_id", "lang", "source"])
+    limit = {r.g_source: r._limit.asDict() for r in quality_rules.limits(measures).collect()}
+    rows, prior = measures.filter("not base_failed").collect(), quality_rules.PRIOR
+    for m, (p, c, least) in quality_rules.RULES.items():
+        def fence(values):
+            values = sorted(values)
+            at = lambda share: values[-(-len(values) * share // 1000) - 1]
+            return at(p) + c * ((at(p) - at(500)) or least)
+
+        whole = fence([r[m] for r in rows])
+        lang = (len(rows) * whole + prior * whole) // (len(rows) + prior)
+        for source in ("many", "other", "few"):
+            own = [r[m] for r in rows if r.source == source]
+            assert limit["=" + source][m] == (len(own) * fence(own) + prior * lang) // (len(own) + prior)
+        assert limit["=failed"][m] == whole
+    assert limit["=many"]["word_length"] < limit["=few"]["word_length"] < limit["=other"]["word_length"]
 
 
 @settings(max_examples=60, deadline=None)
