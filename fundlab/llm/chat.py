@@ -5,7 +5,8 @@ unknown or null kind) sets a message's text, ``delta`` appends to it, ``edit``
 replaces it, ``regenerate`` discards it so that later deltas build it anew.
 
 Edge cases: null texts and roles count as empty; a null conversation id is a
-conversation of its own; events with equal seq are folded in the order of kind,
+conversation of its own; a conversation is one group and one row, so it must fit a task;
+events with equal seq are folded in the order of kind,
 role and text; a repeated row is an event again; an empty log gives no rows;
 columns that are not named here are ignored.
 """

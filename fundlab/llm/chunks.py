@@ -1,13 +1,17 @@
 """Substring dedup by content-defined chunks.
 
 A gear hash rolls over a text's bytes; where it falls under a limit a chunk
-ends, so chunks resist shifts from insertions. Chunks with equal digests in
-several documents are repeats; neighbouring repeats form one span.
-
-Edge cases: a null or empty text has no chunks; texts of one word can be a chunk;
-repeated rows repeat each other's spans; the first occurrence of a chunk is the
-one in the first row of the table as read; an empty table gives an empty result;
-columns besides the id and the text are ignored.
+ends, so chunks resist shifts from insertions. From each chunk's start the fewest
+chunks that hold SPAN_WORDS words are its window. A window with the digest of one
+in another row is a passage that the other row holds whole; windows that overlap
+or touch form one span, so every SPAN_WORDS words of a span stand together in some
+other row (up to chunk borders).
+
+Edge cases: a null or empty text has no chunks; a text of fewer than SPAN_WORDS
+words has no window; repeated rows repeat each other's spans; a window's first
+occurrence is the one in the first row of the table as read; an empty table gives
+an empty result; columns besides the id and the text are ignored. Windows are told
+apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,13 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundlab.llm.blocks import SpanHash, blocks, row_of, words
+from fundlab.skew import join_unique
 from fundlab.storage import materialize
 
 #: Bytes: mean distance of boundaries, least distance kept, longest chunk.
-MEAN, LEAST, MOST = 32, 12, 256
-#: Words that neighbouring repeated chunks need to count as a repeated passage. A passage of
-#: 50 words loses a part of a chunk at each end, so this is well below it.
-SPAN_WORDS = 14
+MEAN, LEAST, MOST = 24, 12, 256
+#: Words of a window. A passage of 50 words loses what lies before its first and after its last boundary.
+SPAN_WORDS = 16
 _GEAR = np.random.default_rng(77).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -54,55 +58,75 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     text_ends[offsets[1:] - 1] = True
     inside = ~text_ends[points]
     start, end = points[inside], ends[inside]
-    many = (end - start + MOST - 1) // MOST
-    if (many > 1).any():
-        first = np.repeat(np.cumsum(many) - many, many)
-        start = np.repeat(start, many) + (np.arange(len(first)) - first) * MOST
-        end = np.minimum(start + MOST, np.repeat(end, many))
+    long = np.flatnonzero(end - start > MOST)
+    if len(long):
+        more = [p for k in long for p in _further(h, data, int(start[k]), int(end[k]))]
+        start = np.sort(np.concatenate([start, more]))
+        end = np.sort(np.concatenate([end, more]))
     return start, end
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = row_number = TaskContext.get().partitionId() << 36
-    for batch in batches:
-        for first, last, data, offsets in blocks(batch.column("text")):
-            start, end = cut(data, offsets)
-            row = row_of(offsets, start)
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            begun = np.zeros(len(data) + 1, np.int64)
-            begun[words(data)[0] + 1] = 1
-            begun = np.cumsum(begun)
-            digest = SpanHash(data)(start, end).view(np.int64)
-            cid = number + np.arange(len(start)) + row  # a gap between texts: no chunks of two texts are neighbours
-            number += len(start) + last - first
-            ids = batch.column("doc_id").slice(first, last - first).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(row_number + row), ids, pa.array((points[start] - points[offsets[row]]).astype(np.int32)), pa.array((points[end] - points[start]).astype(np.int32)), pa.array((begun[end] - begun[start]).astype(np.int32)), pa.array(digest)], names=["cid", "row", "doc_id", "start", "length", "words", "digest"])
-            row_number += last - first
-
-
-def chunk(docs: DataFrame) -> DataFrame:
-    """cid (rising by one within a text), row, doc_id, start, length (code points), words, digest."""
+def _further(h: np.ndarray, data: np.ndarray, start: int, end: int) -> Iterator[int]:
+    """Boundaries inside a chunk that is too long: where the hash is least, the last of equals.
+
+    In a run of one repeated word they fall on one place in the word, wherever the run starts.
+    """
+    while end - start > MOST:
+        at = np.arange(start + LEAST, start + MOST)
+        at = at[(data[at] & 0xC0) != 0x80]
+        at = at[len(at) - 1 - int(np.argmin(h[at - 1][::-1]))]
+        yield int(at)
+        start = int(at)
+
+
+def _windows(words_: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_number = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            for first, last, data, offsets in blocks(batch.column("text")):
+                start, end = cut(data, offsets)
+                begun = np.zeros(len(data) + 1, np.int64)
+                begun[words(data)[0] + 1] = 1
+                begun = np.cumsum(begun)
+                until = np.searchsorted(begun[end], begun[start] + words_)
+                row = row_of(offsets, start)
+                whole = until < len(end)
+                whole[whole] = row[until[whole]] == row[whole]
+                start, end, row = start[whole], end[until[whole]], row[whole]
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                place = lambda counted, at, row=row, offsets=offsets: pa.array((counted[at] - counted[offsets[row]]).astype(np.int32))
+                ids = batch.column("doc_id").slice(first, last - first).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(row_number + row), ids, place(points, start), place(points, end), place(begun, start), place(begun, end), pa.array(SpanHash(data)(start, end).view(np.int64))], names=["row", "doc_id", "start", "stop", "word", "last_word", "digest"])
+                row_number += last - first
+
+    return run
+
+
+def windows(docs: DataFrame, span_words: int = SPAN_WORDS) -> DataFrame:
+    """row, doc_id, start, stop (code points), word, last_word (their numbers), digest of each window."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_chunks, f"cid long, row long, doc_id {kind}, start int, length int, words int, digest long")
+    return docs.select("doc_id", "text").mapInArrow(_windows(span_words), f"row long, doc_id {kind}, start int, stop int, word int, last_word int, digest long")
 
 
 def repeats(docs: DataFrame, span_words: int = SPAN_WORDS) -> DataFrame:
-    """Spans that also stand in other rows: row, doc_id, start, length (code points), n_words, n_chunks,
-    n_copies (of its commonest chunk), is_first (no chunk of it stands in an earlier row), first_doc_id.
+    """Spans that also stand in other rows: row, doc_id, start, length (code points), n_words, n_windows,
+    n_copies (of its commonest window), is_first (no window of it stands in an earlier row), first_doc_id.
 
-    Digests are counted with partial sums before the shuffle; a digest that very many
-    texts share then joins as one row.
+    Digests are counted with partial sums before the shuffle; the windows of a
+    digest that very many rows share are dealt to several tasks.
     """
-    chunks = materialize(chunk(docs))
-    shared = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min_by("doc_id", "row").alias("first_doc_id"))
-    shared = shared.filter(F.col("first_row") < F.col("last_row")).drop("last_row")
-    hits = chunks.join(shared, "digest")
-    run = F.col("cid") - F.row_number().over(Window.partitionBy("row").orderBy("cid"))
-    spans = hits.withColumn("run", run).groupBy("row", "run").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"), F.sum("words").alias("n_words"),
-        F.count("*").alias("n_chunks"), F.max("n").alias("n_copies"), F.min(F.col("first_row") == F.col("row")).alias("is_first"), F.min_by("first_doc_id", "cid").alias("first_doc_id"),
-    )
-    return spans.filter(F.col("n_words") >= span_words).drop("run")
+    found = materialize(windows(docs, span_words))
+    counts = found.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min_by("doc_id", "row").alias("first_doc_id"))
+    shared = materialize(counts.filter(F.col("first_row") < F.col("last_row")).drop("last_row"))
+    hits = join_unique(found, shared, ["digest"], counts=shared)
+    by_place = Window.partitionBy("row").orderBy("start", "stop")
+    before = F.max("stop").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    placed = hits.withColumn("new", (F.coalesce(before, F.lit(-1)) < F.col("start")).cast("int"))
+    placed = placed.withColumn("span", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+    return placed.groupBy("row", "span").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), (F.max("stop") - F.min("start")).alias("length"), (F.max("last_word") - F.min("word")).cast("long").alias("n_words"),
+        F.count("*").alias("n_windows"), F.max("n").alias("n_copies"), F.min(F.col("first_row") == F.col("row")).alias("is_first"), F.min_by("first_doc_id", "start").alias("first_doc_id"),
+    ).drop("span")
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ layers reduce to one number for each bucket, which scoring averages.
 
 Edge cases: a null or empty text has no features and gets the score of the bias
 alone; with no labels that is 0.5; a document with several labels teaches each;
-repeated rows are each scored; columns not named here are ignored.
+repeated rows are each scored and teach once; at most 2 * TRAIN_DOCS examples are learned; columns not named here are ignored.
 """
 
 from __future__ import annotations
@@ -111,6 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> tuple[np.
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20))
     chosen = labels.filter(draw < int((1 << 20) * min(1.0, most / max(1, labels.count()))))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about ``most`` short rows
+    # Rows that repeat an example teach nothing new, and an id may stand in many rows: the bound is on examples.
+    texts = texts.withColumn("digest", F.md5(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "label", "digest"])
+    texts = texts.orderBy(F.xxhash64(F.lit(SEED), "doc_id", "digest"), "doc_id", "digest", "label").limit(2 * most).drop("digest")
     examples = texts.mapInArrow(_examples, "doc_id string, label int, ids binary, shares binary")
     model = examples.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(train, "numbers binary, bias double").first()
     return (np.frombuffer(model.numbers, np.float32), model.bias) if model else (np.zeros(1 << BITS, np.float32), 0.0)

@@ -5,28 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlab.skew import join_unique
 from fundlab.storage import materialize, release
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, component (its least node) for the nodes of edges (a, b).
+    """node, component (its least node) for the nodes of edges (a, b), which are not null.
 
     Each round a node takes the least label among its own, its neighbours' and its
     label's label, so labels also jump along their own chains: the rounds grow
-    with the logarithm of the longest path. Minima are taken before the shuffle.
+    with the logarithm of the longest path. Minima are taken before the shuffle;
+    a node with very many neighbours, and a label with very many nodes, is dealt
+    to several tasks. Repeated edges and edges from a node to itself change
+    nothing; no edges give no rows.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = materialize(both.union(both.select("other", "node")).filter(F.col("node") != F.col("other")).distinct())
+    degrees = materialize(both.groupBy("other").agg(F.count("*").alias("n")))
     labels = materialize(both.groupBy("node").agg(F.min("other").alias("near")).select("node", F.least("node", "near").alias("label")))
     for _ in range(most_rounds):
-        of_other = labels.select(F.col("node").alias("other"), F.col("label").alias("near"))
-        near = both.join(of_other, "other").groupBy("node").agg(F.min("near").alias("near"))
-        of_label = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        stepped = labels.join(of_label, "label").join(near, "node")
+        near = join_unique(both, labels.select(F.col("node").alias("other"), F.col("label").alias("near")), ["other"], counts=degrees)
+        near = near.groupBy("node").agg(F.min("near").alias("near"))
+        stepped = join_unique(labels.select("node", "label"), labels.select(F.col("node").alias("label"), F.col("label").alias("jump")), ["label"]).join(near, "node")
         new = materialize(stepped.select("node", F.least("label", "jump", "near").alias("label"), (F.least("label", "jump", "near") != F.col("label")).alias("moved")))
         moved = new.filter("moved").limit(1).count()
         release(labels)
         labels = new
         if not moved:
+            release(both)
             return labels.select("node", F.col("label").alias("component"))
     raise RuntimeError("labels still moved after the last round")

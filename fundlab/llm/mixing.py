@@ -1,29 +1,44 @@
 """Mixing sources to target weights by entropy balancing.
 
 Documents get rates: the least change from rate 1, in relative entropy weighted by
-size, whose expected sizes meet every target. The solution tilts a document's rate
-exponentially by one multiplier for each margin it belongs to; Newton steps on
-the convex dual find the multipliers. Rates then become whole copies.
-
-Edge cases: a null text has size 0; null sources come last and are a source; a
-source of size 0 has target 0; a document of size 0 gives 0 words whatever its
-copies; repeated rows with the same id get the same copies; an empty table gives
-an empty result; columns not named here are ignored.
+size, whose expected sizes meet every source's target, with no rate above
+MOST_COPIES. The languages' shares of all words are a second, soft margin: leaving
+them costs in proportion to the square of what is missing. The dual has one
+multiplier for each source and language, and a document's rate is exponentially
+tilted by both. Given the languages' multipliers each source's is known exactly,
+so that a Newton step of the joint dual is one of its Schur complement on the
+languages, whose gradient and Hessian are sums over sources. Rates then become
+whole copies.
+
+Edge cases: a null text has size 0; null sources come last and are a source; null
+languages are a language; a source of size 0 has target 0; a document of size 0
+gives 0 words whatever its copies; rows with one id and one text are told apart by
+a stored number, so that the mix can take some of them; an empty table gives an
+empty result; columns not named here are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.skew import join_unique
 from fundlab.storage import materialize, release
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3
 SEED = 5
-_PLAN = "g string, size long, k long, low long, extra long"
+#: Languages with a multiplier of their own; all others share one.
+LANGUAGES = 63
+#: A language that misses a share x of its words has the multiplier x / SOFTNESS.
+SOFTNESS = 0.25
+_PLAN = "g string, h string, size long, k long, low long, extra long"
 
 
 def size_of(text: Column) -> Column:
@@ -35,120 +50,176 @@ def group_of(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
 
 
+def keyed(docs: DataFrame, *kept: Column | str) -> DataFrame:
+    """The columns ``kept`` of docs (doc_id, text, lang, source) with g, source, h, size and draw, written once.
+
+    A row's draw depends on its id and text only, but for rows that have both in common.
+    """
+    draw = F.xxhash64(F.lit(SEED), "doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1))
+    rows = materialize(docs.select(*kept, group_of("source").alias("g"), group_of("lang").alias("h"), size_of(F.col("text")).alias("size"), draw.alias("draw"), F.monotonically_increasing_id().alias("nth")))
+    tied = materialize(rows.groupBy("draw").agg(F.count("*").alias("n")).filter("n > 1").select("draw", F.lit(True).alias("tied")))
+    own = F.xxhash64("draw", "nth").bitwiseAND(F.lit((1 << 62) - 1))
+    return join_unique(rows, tied, ["draw"], "left").withColumn("draw", F.when(F.col("tied"), own).otherwise(F.col("draw"))).drop("tied", "nth")
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """sources with ``nth``, their place from 0 by code point, null last: sorted ranges and the sums of their lengths."""
+    order = F.col("source").asc_nulls_last()
+    laid = materialize(sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")  # one row for each partition
+    lengths = laid.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", before.alias("before"))
+    return laid.withColumn("part", part).join(F.broadcast(lengths), "part").withColumn("nth", F.col("before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "before", "_id")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST_COPIES) -> DataFrame:
     """sources (source, size) with ``target``: shares of all sizes by weight, none above ``most`` times its size.
 
-    The common level is the one at which the capped shares add up to the whole:
-    in order of cap over weight, the first whose remaining share is within its cap.
+    The common level is found from sums: what the sources at their cap leave goes
+    to the others by weight, until no further source is at its cap.
     """
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    cap = F.col("size") * float(most)
-    weighed = sources.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(ordered) - 1) % len(weights) + 1)).withColumn("cap", cap)
-    rising = Window.orderBy(F.col("cap") / F.col("w"), "source")
-    upto = rising.rowsBetween(Window.unboundedPreceding, -1)
-    all_ = Window.partitionBy()
-    level = (F.sum("size").over(all_) - F.coalesce(F.sum("cap").over(upto), F.lit(0.0))) / (F.sum("w").over(all_) - F.coalesce(F.sum("w").over(upto), F.lit(0.0)))
-    levels = weighed.withColumn("level", level)
-    within = F.col("level") * F.col("w") <= F.col("cap") * (1 + 1e-12)
-    level = F.min(F.when(within, F.struct(F.col("cap") / F.col("w"), F.col("level")))).over(all_)["level"]
-    return levels.withColumn("target", F.least(level * F.col("w"), F.col("cap"))).drop("w", "cap", "level")
-
-
-def balance(cells: DataFrame, margins: dict[str, str], size: str = "size", tolerance: float = 1e-9, rounds: int = 12) -> DataFrame:
-    """cells with ``rate``, such that the rated sizes of each margin's groups add up to their targets.
-
-    cells: one row for each combination of the margins' groups, with its total
-    size. margins: group column -> column with that group's target. Each pass
-    takes a Newton step for one margin, whose part of the dual's Hessian is
-    diagonal (its groups are disjoint), from sums over all cells; a round of
-    five passes is written before the next. Groups with target 0 get rate 0.
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights) + 1).cast("int"))
+    weighed = materialize(_numbered(sources).withColumn("w", weight).withColumn("cap", F.col("size") * float(most)))
+    level, capped = 0.0, -1
+    while True:
+        over = F.lit(level) * F.col("w") > F.col("cap") * (1 + 1e-12)
+        total, held, open_, n = weighed.agg(F.sum("size"), F.sum(F.when(over, F.col("cap")).otherwise(0.0)), F.sum(F.when(over, 0.0).otherwise(F.col("w"))), F.count_if(over)).first()
+        if n == capped or not total or not open_:
+            break
+        level, capped = (total - held) / open_, n
+    return weighed.withColumn("target", F.least(F.lit(float(level)) * F.col("w"), F.col("cap"))).drop("w", "cap", "nth")
+
+
+def _rates(target: float, size: np.ndarray, mu: np.ndarray, most: float) -> np.ndarray:
+    """min(most, exp(lambda + mu)) of one source's cells, with the lambda at which the rated sizes add up to the target."""
+    if target <= 0 or size.sum() <= 0:
+        return np.zeros(len(size))
+    if target >= most * size.sum():
+        return np.full(len(size), float(most))
+    tilt = np.exp(mu - mu.max())
+    order = np.argsort(-tilt)
+    capped = 0.0
+    for k, at in enumerate(order):
+        level = (target - most * capped) / (size[order[k:]] @ tilt[order[k:]] or 1.0)
+        if level * tilt[at] <= most:
+            break
+        capped += size[at]
+    return np.minimum(most, level * tilt)
+
+
+def _sums(mu: np.ndarray, most: float):
+    """Of a partition's sources: the rated sizes by language, and their Schur complement's Hessian, as one array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(mu)
+        gradient, hessian = np.zeros(n), np.zeros((n, n))
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, size = np.array(row["language"], int), np.array(row["sizes"], float)
+                rate = _rates(row["target"], size, mu[at], most)
+                rated = size * rate
+                np.add.at(gradient, at, rated)
+                free = np.where(rate < most, rated, 0.0)
+                if free.sum() > 0:
+                    np.add.at(hessian, (at, at), free)
+                    np.add.at(hessian, (at[:, None], at[None, :]), -np.outer(free, free) / free.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([gradient, hessian.ravel()])], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
+def _rated(mu: np.ndarray, most: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                rate = _rates(row["target"], np.array(row["sizes"], float), mu[np.array(row["language"], int)], most)
+                yield pa.RecordBatch.from_arrays([pa.array([row["g"]] * len(rate)), pa.array(row["names"], pa.string()), pa.array(rate)], names=["g", "h", "rate"])
+
+    return run
+
+
+def balance(cells: DataFrame, most: float = MOST_COPIES, softness: float = SOFTNESS, tolerance: float = 1e-7, rounds: int = 40) -> DataFrame:
+    """g, h, rate such that each source's (g) rated sizes add up to its target and the languages (h) nearly keep their shares.
+
+    cells: g, h, size, target (of g), one row for each source and language. Each
+    Newton step sums over all sources; the driver solves a system of at most LANGUAGES + 1.
     """
-    lam = {m: f"_lam_{m}" for m in margins}
-    state = cells.withColumns({v: F.lit(0.0) for v in lam.values()})
-    rate = sum((F.col(v) for v in lam.values()), F.lit(0.0))
-    dead = sum((F.when(F.col(t) > 0, 0).otherwise(1) for t in margins.values()), F.lit(0)) > 0
-    rated = F.when(dead, 0.0).otherwise(F.col(size) * F.exp(rate))
-    written = None
-    for _ in range(rounds):
-        for _ in range(5):
-            for m, target in margins.items():
-                sum_ = F.sum(rated).over(Window.partitionBy(m))
-                step = F.try_divide(F.col(target) - sum_, sum_)
-                state = state.withColumn(lam[m], F.col(lam[m]) + F.coalesce(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step)), F.lit(0.0)))
-        state, old = materialize(state), written
-        written = state
-        if old is not None:
-            release(old)
-        off = [F.max(F.abs(F.col(f"_s{m}") - F.col(t)) / F.greatest(F.col(t), F.lit(1.0))) for m, t in margins.items()]
-        sums = state.withColumns({f"_s{m}": F.sum(rated).over(Window.partitionBy(m)) for m in margins})
-        if all((x or 0) <= tolerance for x in sums.agg(*off).first()):
+    largest = cells.groupBy("h").agg(F.sum("size").alias("size")).filter("size > 0").orderBy(F.desc("size"), "h").limit(LANGUAGES).collect()
+    names = [r.h for r in largest]
+    total = cells.agg(F.sum("size")).first()[0] or 0
+    wanted = np.array([float(r.size) for r in largest] + [float(total - sum(r.size for r in largest))])
+    language = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col("h")), F.lit(0)) if names else F.lit(0)
+    language = F.when(language > 0, language - 1).otherwise(len(names)).cast("int")
+    cell = F.struct(language.alias("language"), F.col("size").cast("double").alias("size"), F.col("h").alias("name"))
+    sources = cells.groupBy("g").agg(F.first("target").cast("double").alias("target"), F.sort_array(F.collect_list(cell)).alias("c"))
+    sources = materialize(sources.select("g", "target", F.col("c.language").alias("language"), F.col("c.size").alias("sizes"), F.col("c.name").alias("names")))
+    mu, n = np.zeros(len(wanted)), len(wanted)
+    ridge = softness * np.maximum(wanted, 1e-9 * max(total, 1))
+    for _ in range(rounds if total else 0):
+        sums = sources.mapInArrow(_sums(mu, most), "sums array<double>").select(F.posexplode("sums").alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x")).orderBy("place").collect()
+        sums = np.array([r.x for r in sums])
+        gradient = sums[:n] - wanted + ridge * mu
+        if np.abs(gradient).max() <= tolerance * total:
             break
-    return state.withColumn("rate", F.when(dead, 0.0).otherwise(F.exp(rate))).drop(*lam.values())
+        step = np.linalg.solve(sums[n:].reshape(n, n) + np.diag(ridge), gradient)
+        mu = mu - step / max(1.0, np.abs(step).max())
+    return sources.mapInArrow(_rated(mu, most), "g string, h string, rate double")
 
 
 def _round_copies(most: int):
-    """For each source: whole copies for each document size, the running words kept near the running target.
+    """For each source: whole copies for each language and document size, the running words kept near the running target.
 
-    A group holds one row for each distinct size of one source, so its length is
+    A group holds one row for each distinct size and language of one source, so its length is
     bounded by the longest document, whatever the number of documents.
     """
 
     def plan(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("size", ascending=False)
+        rows = rows.sort_values(["size", "h"], ascending=False)
         want = got = 0.0
         out = []
-        for size, k, rate in zip(rows["size"], rows["k"], rows["rate"], strict=True):
+        for h, size, k, rate in zip(rows["h"], rows["size"], rows["k"], rows["rate"], strict=True):
             low = min(most, int(rate + 1e-9))
             high = min(most, low + 1)
             want += size * k * rate
             copies = low * k if not size else int(min(high * k, max(low * k, round((want - got) / size))))
             got += copies * size
-            out.append((key[0], size, k, low, copies - low * k))
-        return pd.DataFrame(out, columns=["g", "size", "k", "low", "extra"])
+            out.append((key[0], h, size, k, low, copies - low * k))
+        return pd.DataFrame(out, columns=["g", "h", "size", "k", "low", "extra"])
 
     return plan
 
 
 def copy_plan(docs: DataFrame, rates: DataFrame, most: int = MOST_COPIES) -> DataFrame:
-    """g, size, low, cut: a document gets ``low`` copies and one more if its draw is at most ``cut``.
+    """g, h, size, low, cut: a document gets ``low`` copies and one more if its draw is at most ``cut``.
 
-    docs: g, size, draw. The cut is the draw of the last document that gets one
+    docs: g, h, size, draw. The cut is the draw of the last document that gets one
     more. It is found by counting draws in about sqrt(k) equal bins, then ranking
     within the one bin that holds it, so a source or size that most documents
     share is never sorted in one task.
     """
-    histogram = docs.groupBy("g", "size").agg(F.count("*").alias("k")).join(rates.select("g", "rate"), "g")
-    plan = materialize(histogram.groupBy("g").applyInPandas(_round_copies(most), _PLAN))
-    bins = F.ceil(F.sqrt("k")).cast("long")
-    open_ = plan.filter((F.col("extra") > 0) & (F.col("extra") < F.col("k"))).withColumn("bins", bins)
-    placed = docs.join(open_, ["g", "size"]).withColumn("bin", F.floor(F.col("draw") * F.col("bins") / F.lit(float(1 << 31))).cast("long"))
-    counted = placed.groupBy("g", "size", "bin", "extra").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("g", "size").orderBy("bin")) - F.col("n")
-    right = counted.withColumn("before", before).filter((F.col("before") < F.col("extra")) & (F.col("before") + F.col("n") >= F.col("extra")))
-    inside = placed.join(right.select("g", "size", "bin", "before"), ["g", "size", "bin"])
-    rank = F.row_number().over(Window.partitionBy("g", "size", "bin").orderBy("draw"))
-    cuts = inside.withColumn("rank", rank).filter(F.col("rank") + F.col("before") == F.col("extra")).select("g", "size", F.col("draw").alias("cut"))
-    cut = F.when(F.col("extra") == F.col("k"), F.lit(1 << 31)).when(F.col("extra") == 0, F.lit(-1)).otherwise(F.col("cut"))
-    return plan.join(cuts, ["g", "size"], "left").select("g", "size", "low", cut.cast("long").alias("cut"))
-
-
-def draw_of(doc_id: str = "doc_id") -> Column:
-    """A number from 0 to 2^31-1 that only depends on the id."""
-    return F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id)), F.lit(1 << 31))
-
-
-def mix(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_COPIES) -> tuple[DataFrame, DataFrame]:
-    """The copy plan, and source_size and target by source, for documents with doc_id, source and size."""
-    docs = sizes.select(group_of("source").alias("g"), "source", "size", draw_of().alias("draw"))
-    sources = docs.groupBy("g", "source").agg(F.sum("size").alias("size"))
+    key = ["g", "h", "size"]
+    histogram = docs.groupBy(*key).agg(F.count("*").alias("k"))
+    plan = materialize(join_unique(histogram, materialize(rates), ["g", "h"]).groupBy("g").applyInPandas(_round_copies(most), _PLAN))
+    open_ = plan.filter((F.col("extra") > 0) & (F.col("extra") < F.col("k"))).select(*key, "extra", F.ceil(F.sqrt("k")).cast("long").alias("bins"))
+    placed = join_unique(docs, open_, key).withColumn("bin", F.floor(F.col("draw").cast("double") * F.col("bins") / F.lit(float(1 << 62))).cast("long"))
+    counted = placed.groupBy(*key, "bin", "extra").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*key).orderBy("bin")) - F.col("n")
+    right = materialize(counted.withColumn("before", before).filter((F.col("before") < F.col("extra")) & (F.col("before") + F.col("n") >= F.col("extra"))).select(*key, "bin", "before"))
+    inside = join_unique(placed, right, [*key, "bin"])
+    rank = F.row_number().over(Window.partitionBy(*key, "bin").orderBy("draw"))
+    cuts = inside.withColumn("rank", rank).filter(F.col("rank") + F.col("before") == F.col("extra")).select(*key, F.col("draw").alias("cut"))
+    cut = F.when(F.col("extra") == F.col("k"), F.lit(1 << 62)).when(F.col("extra") == 0, F.lit(-1)).otherwise(F.col("cut"))
+    return materialize(plan.join(cuts, key, "left").select(*key, "low", cut.cast("long").alias("cut")))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_COPIES) -> tuple[DataFrame, DataFrame]:
+    """docs (as from keyed) with ``copies``; and g, source_size and target of the sources."""
+    cells = materialize(docs.groupBy("g", "h").agg(F.sum("size").alias("size")))
+    sources = cells.groupBy("g").agg(F.sum("size").alias("size")).withColumn("source", F.when(F.col("g") != "", F.substring("g", 2, 1 << 30)))
     wanted = materialize(targets(sources, weights, most))
-    rates = balance(wanted, {"g": "target"})
-    return copy_plan(docs, rates, most), wanted.select("g", F.col("size").alias("source_size"), "target")
-
-
-def with_copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """docs (with g, size and draw) and their number of ``copies``."""
+    rates = balance(join_unique(cells, wanted.select("g", "target"), ["g"]), most)
+    plan = copy_plan(docs.select("g", "h", "size", "draw"), rates, most)
     copies = F.col("low") + F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)
-    return docs.join(plan, ["g", "size"]).withColumn("copies", copies).drop("low", "cut")
-
-
+    taken = join_unique(docs, plan, ["g", "h", "size"]).withColumn("copies", copies).drop("low", "cut")
+    release(cells)
+    return taken, wanted.select("g", F.col("size").alias("source_size"), "target")

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from fundlab.llm.blocks import LOWER, SpanHash, blocks, mix, row_of, words
 from fundlab.llm.graph import components
-from fundlab.storage import materialize
+from fundlab.skew import join_unique
+from fundlab.storage import materialize, release
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -197,11 +198,15 @@ def _similar(shared, threshold: float):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, cells: np.ndarray, threshold: float) -> DataFrame:
-    """The pairs (a, b) of digests at least ``threshold`` similar. texts: digest, text."""
+    """The pairs (a, b) of digests at least ``threshold`` similar. texts: digest, text.
+
+    Texts travel, not their shingles: a text's sorted shingles and weights take about twice its bytes.
+    """
     shared = pairs.sparkSession.sparkContext.broadcast(cells)
     left = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_similar(shared, threshold), "a string, b string, similarity double")
+    counts = materialize(pairs.groupBy("b").agg(F.count("*").alias("n")))
+    return join_unique(join_unique(pairs, left, ["a"], wide=True), right, ["b"], wide=True, counts=counts).mapInArrow(_similar(shared, threshold), "a string, b string, similarity double")
 
 
 def _ordered(x: str, y: str) -> list:
@@ -215,8 +220,11 @@ def _centre() -> Column:
 def _members(signed: DataFrame) -> DataFrame:
     """bucket, digest, n of the buckets of two or more different texts."""
     members = signed.select("digest", "bands").dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    return materialize(members.join(sizes, "bucket"))
+    members = materialize(members)
+    sizes = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")))
+    out = materialize(join_unique(members, sizes.filter("n > 1"), ["bucket"], counts=sizes))
+    release(members)
+    return out
 
 
 def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -227,7 +235,7 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     central = large.groupBy("digest").agg(F.sum("n").alias("weight"))
     large = materialize(large.select("bucket", "digest").join(central, "digest"))
     hubs = large.groupBy("bucket").agg(_centre().alias("hub"))
-    stars = large.join(hubs, "bucket").filter(F.col("digest") != F.col("hub")).select(*_ordered("digest", "hub"))
+    stars = join_unique(large, hubs, ["bucket"]).filter(F.col("digest") != F.col("hub")).select(*_ordered("digest", "hub"))
     return pairs.union(stars).distinct(), large
 
 
@@ -236,13 +244,14 @@ def _mixed(large: DataFrame, found: DataFrame) -> DataFrame:
     group = components(found.select("a", "b"))
     placed = large.join(group, F.col("digest") == F.col("node"), "left").select("bucket", "digest", "weight", F.coalesce("component", "digest").alias("component"))
     several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high"))
-    return materialize(placed.join(several.select("bucket"), "bucket"))
+    return materialize(join_unique(placed, several.select("bucket"), ["bucket"], "left_semi"))
 
 
 def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """Confirmed pairs (a, b, similarity) of digests, enough of them to connect every group."""
     members = _members(signed)
-    texts = materialize(docs.select(F.md5("text").alias("digest"), "text").join(members.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")))
+    texts = docs.select(F.md5("text").alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"))
+    texts = materialize(texts.join(members.select("digest").distinct(), "digest", "left_semi"))
     first, large = _first_pairs(members)
     tried = materialize(first)
     found = materialize(verified(tried, texts, cells, threshold))
@@ -250,9 +259,9 @@ def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: floa
         placed = _mixed(large, found)
         parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), _centre().alias("hub"))
         main = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "hub")).alias("m")).select("bucket", F.col("m.component").alias("main"), F.col("m.hub").alias("main_hub"))
-        other = parts.join(main, "bucket").filter(F.col("component") != F.col("main")).groupBy("bucket").agg(F.max(F.struct("n", "hub", "component")).alias("o"))
-        new = placed.join(other, "bucket").filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
-        new = new.union(placed.join(main, "bucket").filter(F.col("component") != F.col("main")).select(*_ordered("digest", "main_hub"))).distinct()
+        other = join_unique(parts, main, ["bucket"]).filter(F.col("component") != F.col("main")).groupBy("bucket").agg(F.max(F.struct("n", "hub", "component")).alias("o"))
+        new = join_unique(placed, other, ["bucket"]).filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
+        new = new.union(join_unique(placed, main, ["bucket"]).filter(F.col("component") != F.col("main")).select(*_ordered("digest", "main_hub"))).distinct()
         new = materialize(new.join(tried, ["a", "b"], "left_anti"))
         if not new.limit(1).count():
             break
@@ -265,6 +274,9 @@ def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: floa
         if mixed.limit(1).count():
             new = materialize(possible_pairs(mixed, cells, threshold).join(tried, ["a", "b"], "left_anti"))
             found = found.union(materialize(verified(new, texts, cells, threshold)))
+        release(mixed)
+    for used in (members, large, texts):
+        release(used)
     return found
 
 
@@ -300,7 +312,8 @@ def possible_pairs(texts: DataFrame, cells: np.ndarray, threshold: float) -> Dat
     parts = entries.groupBy("key", "component").agg(F.count("*").alias("n"))
     shares = parts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
     shares = shares.filter("kinds > 1").select("key", "main", F.ceil(F.col("n") / JOIN_BLOCK).cast("int").alias("n_blocks"))
-    placed = materialize(entries.join(shares, "key"))
+    placed = materialize(join_unique(entries, materialize(shares), ["key"]))
+    release(entries)
     one = placed.filter(F.col("component") != F.col("main")).select("key", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"), F.col("digest").alias("x"), F.col("component").alias("of_x"), F.col("whole").alias("whole_x"), F.col("rest").alias("rest_x"))
     two = placed.select("key", F.pmod(F.hash("digest"), F.col("n_blocks")).alias("block"), F.col("digest").alias("y"), "component", "main", "whole", "rest")
     once = (F.col("component") == F.col("main")) | (F.col("x") < F.col("y"))
@@ -317,7 +330,8 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     group = components(found.select("a", "b"))
     ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     nodes = group.join(ends, "node")
-    return signed.select("doc_id", "digest").join(nodes, F.col("digest") == F.col("node"), "left").select("doc_id", "digest", F.coalesce("component", "digest").alias("group"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    nodes = materialize(nodes.withColumnRenamed("node", "digest"))
+    return join_unique(signed.select("doc_id", "digest"), nodes, ["digest"], "left").select("doc_id", "digest", F.coalesce("component", "digest").alias("group"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -325,6 +339,6 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     (confirmed links of its text to different texts), is_copy (its id is not the class's)."""
     grouped = materialize(groups(docs, threshold))
     sizes = grouped.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    held = grouped.join(sizes, "group").select("doc_id", "class_id", "class_size", "n_links")
+    held = join_unique(grouped, materialize(sizes), ["group"]).select("doc_id", "class_id", "class_size", "n_links")
     wordless = docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"))
     return held.unionByName(wordless).withColumn("is_copy", ~F.col("doc_id").eqNullSafe(F.col("class_id")))

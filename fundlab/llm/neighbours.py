@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search, by cosine.
 
-Equal vectors are one node. A first graph comes from blocks of vectors that are
-neighbours along random directions. Each round then joins every node's
-neighbours and reverse neighbours with each other and keeps the nearest found;
-a pair is only compared where one of the two is new, and only told where it
-improves a list. A query walks the graph from its own node, or from the best of a
-fixed number of pivots, always widening the nearest nodes not yet widened.
+Vectors of one direction (to six digits) are one node. A first graph comes from
+blocks of vectors that are neighbours along random directions. Each round then
+joins every node's neighbours and reverse neighbours with each other and keeps the
+nearest found; a pair is only compared where one of the two is new, and only told
+where it improves a list. A query walks the graph from its own node, or from the
+best of a fixed number of pivots, always widening the nearest nodes not yet
+widened. All rows of the nodes found that can be among its nearest are then
+scored in double precision on the original vectors.
 
 Edge cases: vectors that are null, zero, hold null or non-finite components, or
-differ in length from most take no part, as queries too; equal vectors and ties
-rank by smaller id; repeated rows are candidates each; with few vectors all are
-returned; an empty table gives an empty result; other columns are ignored.
+differ in length from most take no part, as queries too; scores that tie rank by
+smaller id; rows are told apart even with one id or one vector, so a query's
+neighbours may hold its own id from another row, and one id twice; with few vectors
+all are returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ K, REVERSE, BLOCK, DIRECTIONS = 24, 12, 96, 4
 ROUNDS, LEAST_CHANGE = 7, 0.002
 #: Search: nodes kept and widened each step, steps, pivots.
 POOL, WIDEN, STEPS, PIVOTS = 96, 16, 5, 256
+#: Cosines of single precision, of directions equal to six digits, differ from exact ones by less.
+ROUNDING = 2e-5
 _PAIR = "node long, other long, score float, fresh boolean"
 
 
@@ -39,21 +44,22 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def prepare(vectors: DataFrame, id_: str, vector: str, most_ids: int) -> tuple[DataFrame, DataFrame]:
-    """nodes (node, unit vector) of the distinct valid vectors, and members (node, id, original vector) with the
-    ``most_ids`` least ids of each: a neighbour list of that length needs no others."""
+def prepare(vectors: DataFrame, id_: str, vector: str, most_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """nodes (node, unit vector) of the distinct directions; all valid rows (row, id, node); and members (row, id, node,
+    original vector), for each vector the ``most_rows`` rows of least id: a neighbour list of that length needs no others."""
     clean = vectors.select(F.col(id_).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     clean = clean.filter(F.col("v").isNotNull() & ~F.exists("v", bad)).withColumn("norm", norm).filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
     usual = clean.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    clean = clean.filter(F.size("v") == (usual.d if usual else -1)).withColumn("key", F.md5(F.to_json(F.struct("v"))))
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    least = clean.withColumn("nth", nth).filter(F.col("nth") <= most_ids)
-    firsts = least.filter("nth = 1").select("key", F.xxhash64("key").alias("node"), "v", "norm")
-    members = materialize(least.select("key", F.xxhash64("key").alias("node"), "id", "v"))
-    nodes = materialize(firsts.select("node", F.transform("v", lambda x: (x / F.col("norm")).cast("float")).alias("v")))
-    return nodes, members.drop("key")
+    clean = clean.filter(F.size("v") == (usual.d if usual else -1))
+    direction = F.md5(F.to_json(F.struct(F.transform("v", lambda x: F.round(x / F.col("norm") * 1e6).cast("long")).alias("v"))))
+    rows = materialize(clean.select(F.monotonically_increasing_id().alias("row"), "id", "v", "norm", F.xxhash64("v").alias("same"), F.xxhash64(direction).alias("node")))
+    nth = F.row_number().over(Window.partitionBy("same", "v").orderBy("id", "row"))
+    members = materialize(rows.withColumn("nth", nth).filter(F.col("nth") <= most_rows).select("row", "id", "node", "v", "norm", "nth"))
+    one = members.filter("nth = 1").groupBy("node").agg(F.min_by(F.struct("v", "norm"), F.struct("id", "row")).alias("first"))
+    nodes = materialize(one.select("node", F.transform("first.v", lambda x: (x / F.col("first.norm")).cast("float")).alias("v")))
+    return nodes, rows, members.drop("norm", "nth")
 
 
 def _top(pairs: DataFrame, k: int) -> DataFrame:
@@ -177,7 +183,9 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, pool: int = P
     shared = spark.sparkContext.broadcast((ids, v))
     started = queries.select("query", "v").mapInArrow(_best_pivots(shared, 8), _PAIR)
     own = queries.filter(F.col("node").isNotNull()).select("query", F.col("node").alias("other"), F.lit(1.0).cast("float").alias("score"), F.lit(True).alias("fresh"))
-    both_ways = graph.select("node", F.col("other").alias("next")).union(graph.select(F.col("other").alias("node"), F.col("node").alias("next")))
+    back = F.row_number().over(Window.partitionBy("other").orderBy(F.desc("score"), "node"))
+    reverse = graph.withColumn("nth", back).filter(F.col("nth") <= 2 * K)  # a node that very many have as a neighbour does not widen to all of them
+    both_ways = materialize(graph.select("node", F.col("other").alias("next")).union(reverse.select(F.col("other").alias("node"), F.col("node").alias("next"))).distinct())
     nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "other"))
     found = materialize(started.withColumnRenamed("node", "query").union(own).groupBy("query", "other").agg(F.max("score").alias("score"), F.max("fresh").alias("fresh")))
     for _ in range(steps):
@@ -198,17 +206,20 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, pool: int = P
 
 
 def nearest(vectors: DataFrame, id_: str = "vec_id", vector: str = "embedding", k: int = 5, every: int = 50) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest others found for each row whose id ``every`` divides."""
-    nodes, members = prepare(vectors, id_, vector, k + 1)
+    """query_id, rank, vec_id, score: the k nearest other rows found for each row whose id ``every`` divides."""
+    nodes, rows, members = prepare(vectors, id_, vector, k + 1)
     graph = build(nodes)
-    asked = vectors.select(F.col(id_).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("id") % every == 0)
-    asked = materialize(asked.withColumn("node", F.xxhash64(F.md5(F.to_json(F.struct("v"))))).join(nodes.select("node", F.col("v").alias("unit")), "node"))
-    found = search(graph, nodes, asked.select(F.col("node").alias("query"), "node", F.col("unit").alias("v")).distinct())
-    near = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "other"))
-    found = found.withColumn("n", near).filter(F.col("n") <= 4 * k).drop("n", "score")
-    pairs = asked.select(F.col("id").alias("query_id"), F.col("node").alias("query"), F.col("v").alias("qv")).distinct().join(found, "query").join(members, F.col("other") == F.col("node")).filter(F.col("query_id") != F.col("id"))
+    asked = materialize(rows.filter(F.col("id") % every == 0).select("row", "id", "v", "node").join(nodes.select("node", F.col("v").alias("unit")), "node"))
+    found = search(graph, nodes, asked.select(F.col("node").alias("query"), "node", F.col("unit").alias("v")).dropDuplicates(["query"]))
+    near = Window.partitionBy("query").orderBy(F.desc("score"), "other")
+    # Every node has a row: the nodes as near as the (k + 1)th, up to rounding, hold all rows that can rank.
+    least = F.min(F.when(F.col("n") <= k + 1, F.col("score"))).over(Window.partitionBy("query"))
+    found = found.withColumn("n", F.row_number().over(near)).withColumn("least", least).filter(F.col("score") >= F.col("least") - ROUNDING)
+    held = members.withColumnRenamed("node", "other")
+    pairs = asked.select(F.col("row").alias("query_row"), F.col("id").alias("query_id"), F.col("node").alias("query"), F.col("v").alias("qv"))
+    pairs = pairs.join(found.select("query", "other"), "query").join(held, "other").filter(F.col("query_row") != F.col("row"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     cosine = dot("qv", "v") / (F.sqrt(dot("qv", "qv")) * F.sqrt(dot("v", "v")))
-    scored = pairs.select("query_id", F.col("id").alias("vec_id"), cosine.alias("score")).dropDuplicates(["query_id", "vec_id"])
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    scored = pairs.select("query_row", "query_id", "row", F.col("id").alias("vec_id"), cosine.alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,4 +1,4 @@
-"""Personal data: patterns propose spans, checksums confirm them, nearby words adjust a score.
+"""Personal data and secrets: patterns propose spans, checksums or entropy confirm them, nearby words adjust a score.
 
 Edge cases: a null text counts as empty and has no spans; an empty table gives
 an empty result; repeated rows are each scanned; columns besides the text are
@@ -7,7 +7,9 @@ passed through by ``redact`` and ignored by ``find``.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,10 +18,10 @@ from pyspark.sql import functions as F
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 #: Kinds in the order that breaks ties between spans with the same start.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE_KINDS = KINDS[:4]
 #: Scores before context, and the least score of a kind that is not a base kind.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.7, "ssn": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.7, "ssn": 0.3, "secret": 0.3}
 KEEP_FROM = 0.6
 CONTEXT_CHARS, CONTEXT_GAIN = 48, 0.35
 CONTEXT = {
@@ -29,8 +31,9 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "tél", "teléfono"),
     "iban": ("iban", "bank", "account", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social", "security", "taxpayer"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "key", "access_key", "auth", "authorization", "bearer", "credential", "credentials"),
 }
-AGAINST = {"ip": ("version", "release", "section"), "card": ("order", "invoice", "isbn"), "phone": (), "ssn": ("order", "part")}
+AGAINST = {"ip": ("version", "release", "section"), "card": ("order", "invoice", "isbn"), "ssn": ("order", "part"), "iban": ("order", "serial", "part"), "secret": ("commit", "checksum", "sha1", "sha256", "md5", "revision")}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,6 +44,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+#: Secrets: runs of key characters; those with a known prefix need no context.
+_RUN = re.compile(r"[A-Za-z0-9_/+=-]{20,}+")
+_PREFIXED = re.compile(r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})")
+#: Bits for each character that a random key has at least (a random hex string of 40 has about 3.7).
+KEY_BITS = 3.0
 _WORD = re.compile(r"\w+")
 
 
@@ -57,6 +65,13 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def key_bits(run: str) -> float:
+    """Shannon entropy of a run's characters, in bits for each; 0 for a run without both letters and digits."""
+    if not (_DIGIT.search(run) and any(c.isalpha() for c in run)):
+        return 0.0
+    return -sum(n / len(run) * math.log2(n / len(run)) for n in Counter(run).values())
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches found from each @, in time linear in the text."""
     done, at = 0, text.find("@")
@@ -107,13 +122,16 @@ def candidates(text: str) -> Iterator[tuple[str, int, int]]:
     if "-" in text:
         for m in _SSN.finditer(text):
             yield "ssn", *m.span()
+    for m in _RUN.finditer(text):
+        if key_bits(m[0]) >= KEY_BITS:
+            yield "secret", *m.span()
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
     """The kind's prior, raised or lowered by words just before and after the span."""
     near = text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS // 2]
     seen = set(_WORD.findall(near.lower()))
-    value = PRIOR[kind]
+    value = 0.9 if kind == "secret" and _PREFIXED.fullmatch(text, start, end) else PRIOR[kind]
     value += CONTEXT_GAIN * bool(seen.intersection(CONTEXT.get(kind, ())))
     value -= CONTEXT_GAIN * bool(seen.intersection(AGAINST.get(kind, ())))
     return round(min(1.0, max(0.0, value)), 4)

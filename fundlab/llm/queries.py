@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules
+from fundlab.skew import join_unique
 from fundlab.storage import materialize
 
 
@@ -41,15 +42,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(F.array_join(F.transform(base, named), ","), 256).alias("base_sha256"), F.array_join(F.transform("found", named), ",").alias("spans"))
+    return found.select("doc_id", *map(count, pii.BASE_KINDS), F.sha2(F.array_join(F.transform(base, named), ","), 256).alias("base_sha256"), F.array_join(F.transform("found", named), ",").alias("spans"), F.size("found").cast("long").alias("n_spans"), F.array_join(F.transform("found", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to weights 1, 2, 3 by source."""
-    docs = materialize(_table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")))
-    plan, sources = mixing.mix(docs)
-    rows = mixing.with_copies(docs.withColumns({"g": mixing.group_of("source"), "draw": mixing.draw_of()}), plan)
-    return rows.join(sources, "g").select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    """All documents mixed to weights 1, 2, 3 by source, the languages' shares kept as far as that allows."""
+    rows, sources = mixing.mix(mixing.keyed(_table(spark, sf_dir, "documents"), "doc_id"))
+    rows = join_unique(rows, sources, ["g"])
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +67,34 @@ def op7_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
 _EXTRA = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
 
+def _event_log(rows: DataFrame) -> DataFrame:
+    """A log whose messages are the rows (conv_id, turn, role, text): each is streamed in pieces, in one of three ways.
+
+    It is begun empty and appended to; or a draft is discarded and generated anew; or a
+    wrong start is edited and then continued. Empty texts have no pieces.
+    """
+    nth = F.expr("row_number() over (partition by conv_id, turn order by role, text)")
+    text = F.coalesce("text", F.lit(""))
+    step = F.greatest(F.lit(1), F.ceil(F.length(text) / 6).cast("int"))
+    pieces = F.filter(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.substring(text, k * step + 1, step)), lambda p: p != "")
+    event = lambda kind, text, role=None: F.struct(F.lit(kind).alias("kind"), (F.lit(None) if role is None else role).cast("string").alias("role"), text.alias("text"))
+    delta = lambda p: event("delta", p)
+    begun, wrong = event("message", F.lit(""), F.col("role")), F.concat(F.lit("draft "), F.reverse(F.substring(text, 1, 20)))
+    ways = [
+        F.concat(F.array(begun), F.transform(pieces, delta)),
+        F.concat(F.array(begun, event("delta", wrong), event("regenerate", F.lit("dropped"))), F.transform(pieces, delta)),
+        F.concat(F.array(event("message", wrong, F.col("role")), event("delta", wrong), event("edit", F.coalesce(F.get(pieces, 0), F.lit("")))), F.transform(F.slice(pieces, 2, 7), delta)),
+    ]
+    way = F.pmod(F.xxhash64("conv_id", "turn", "nth"), F.lit(3))
+    logged = rows.withColumn("nth", nth).select("conv_id", "turn", "nth", F.posexplode(F.when(way == 0, ways[0]).when(way == 1, ways[1]).otherwise(ways[2])).alias("step", "e"))
+    return logged.select("conv_id", F.struct("turn", "nth", "step").alias("seq"), F.struct("turn", "nth").alias("message_id"), "e.*")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations rendered, then read back from the output."""
+    """All conversations logged as events, folded, rendered, then read back from the output."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.createDataFrame(_EXTRA, "conv_id long, turn long, role string, text string"))
-    nth = F.expr("row_number() over (partition by conv_id, turn order by role, text)")
-    events = rows.select("conv_id", F.col("turn").alias("seq"), F.struct(F.col("turn"), nth.alias("nth")).alias("message_id"), F.lit("message").alias("kind"), "role", "text")
+    events = _event_log(rows)
     out = chat.render(chat.reconstruct(events)).select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.learned(F.col("pieces")).alias("learned"))
     digest = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))

@@ -61,11 +61,37 @@ def test_neighbours_recall_and_ties(spark, tmp_path):
     assert [v for _, v, _ in got[0]] == [500, 501, 502, 503, 504]
 
 
+def brute_neighbours(rows, k=5):
+    """The contract by all pairs of rows: cosine in double precision, ties to the smaller id."""
+    import itertools
+
+    def cosine(a, b):
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+        return dot(a, b) / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b)))
+
+    rows = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v, *_ in rows]
+    out = []
+    for n, (i, v) in enumerate(rows):
+        if i % 50 == 0:
+            near = sorted((-cosine(v, w), j) for m, (j, w) in enumerate(rows) if m != n)
+            out += [(i, r, j, round(-s, 12)) for r, (s, j) in zip(itertools.count(1), near[:k])]
+    return sorted(out)
+
+
 def test_neighbours_of_few_vectors(spark, tmp_path):
-    rows = [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (7, [1.0, 1.0], 0)]
-    out = queries.op1_neighbours(spark, save(spark, vectors(spark, rows), tmp_path, "embeddings")).collect()
-    assert sorted((r.query_id, r["rank"], r.vec_id) for r in out) == [(0, 1, 7), (0, 2, 50), (50, 1, 7), (50, 2, 0)]
-    assert queries.op1_neighbours(spark, save(spark, vectors(spark, []), tmp_path, "embeddings")).count() == 0
+    rng = np.random.default_rng(5)
+    direction = rng.normal(size=8)
+    cases = {
+        "repeated": [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (7, [1.0, 1.0], 0)],
+        "one id twice": [(0, [1.0, 0.0], 0), (1, [1.0, 0.1], 0), (1, [0.0, 1.0], 0), (50, [0.0, 2.0], 0), (50, [3.0, 3.0], 0)],
+        "collinear": [(k, [float(np.float32(x)) for x in direction * (1 + k)], 0) for k in range(60)] + [(100, [float(x) for x in -direction], 0)],
+        "one row": [(0, [1.0, 2.0], 0)],
+        "none": [],
+    }
+    for name, rows in cases.items():
+        df = vectors(spark, rows).selectExpr("*", "'x' as node", "'x' as row", "'x' as v", "'x' as norm")
+        out = queries.op1_neighbours(spark, save(spark, df, tmp_path / name, "embeddings")).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 12)) for r in out) == brute_neighbours(rows), name
 
 
 def test_chunks_resist_insertions():
@@ -95,14 +121,118 @@ def test_repeated_passages(spark, tmp_path):
     source = dict((r[0], r[1]) for r in rows)
     for r in out:
         if r.doc_id is not None and 100 <= r.doc_id < 115:
-            inner = source[r.doc_id][r.start + 24 : r.start + r.length - 24]  # an end may also agree by chance with one other text
-            assert len(inner) > 150 and inner in f" {passage}\n" and r.n_copies == 15
+            held = source[r.doc_id][r.start : r.start + r.length].split()[1:-1]  # an end may also agree by chance with one other text
+            assert len(" ".join(held)) > 150 and " ".join(held) in passage and r.n_copies == 15 and r.n_words >= chunks.SPAN_WORDS
     assert sum(r.is_first for r in out if r.doc_id is not None and 100 <= r.doc_id < 115) == 1
     docs = documents(spark, planted)
     cut = {r.doc_id: r.text for r in chunks.without_repeats(docs, chunks.repeats(docs)).collect()}
     assert sum(passage[60:200] in t for t in cut.values()) == 1 and all(len(cut[r[0]]) <= len(r[1]) for r in planted)
 
 
+def test_spans_against_all_word_windows(spark):
+    """Brute force over every window of words: passages of 50 words are found, and no part of a span is held by no other row."""
+    rng = random.Random(12)
+    common = [text(rng, 12) for _ in range(40)]  # phrases below a window
+    passages = [text(rng, rng.randint(50, 90)) for _ in range(25)] + ["again " * 120, "tik tok " * 90]
+    rows = []
+    for k in range(120):
+        parts = [text(rng, rng.randint(5, 60)) for _ in range(4)]
+        parts.insert(2, passages[k % len(passages)] if k < 80 else rng.choice(common))
+        rows.append((k, " ".join(parts), "en", "s1"))
+    got = chunks.repeats(documents(spark, rows)).collect()
+    holders = defaultdict(set)
+    for i, t, *_ in rows:
+        w = t.split(" ")
+        for n in range(len(w) - 49):
+            holders[tuple(w[n : n + 50])].add(i)
+    want = {i for ids in holders.values() if len(ids) > 1 for i in ids}
+    found = {r.doc_id for r in got}
+    assert len(want) == 80 and len(want - found) <= 2 and not found - want
+    inner = defaultdict(set)
+    for i, t, *_ in rows:
+        w = t.split()
+        for n in range(len(w) - chunks.SPAN_WORDS + 3):
+            inner[tuple(w[n : n + chunks.SPAN_WORDS - 2])].add(i)
+    for r in got:
+        w = rows[r.doc_id][1][r.start : r.start + r.length].split()[1:-1]  # chunk borders cut words
+        assert len(w) >= chunks.SPAN_WORDS - 3
+        assert all(len(inner[tuple(w[n : n + chunks.SPAN_WORDS - 2])]) > 1 for n in range(len(w) - chunks.SPAN_WORDS + 3))
+
+
+def plain_features(t):
+    """The classifier's features of a text as strings, with their multiplicity."""
+    w, out = split(t), Counter()
+    flat = "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in t).encode()
+    for n in (3, 4, 5):
+        out.update((n, flat[k : k + n]) for k in range(len(flat) - n + 1) if b" " not in flat[k + 1 : k + n - 1])
+    out.update(("word", x) for x in w)
+    out.update(("pair", a, b) for a, b in zip(w, w[1:], strict=False))
+    out.update(["again" for a, b in zip(w, w[1:], strict=False) if a == b])
+    return out
+
+
+def test_classifier_features_equal_plain_python():
+    texts = ["one two two three", "", "x", "été  ñu\tab", "no no no no", "a b " * 40]
+    for _, _, data, offsets in blocks(pa.array(texts)):
+        found = list(classifier.features(data, offsets))
+        row = np.concatenate([r for _, r in found])
+        bucket = np.concatenate([b for b, _ in found])
+        for k, t in enumerate(texts):
+            want = plain_features(t + "\n")
+            got = Counter(bucket[row == k].tolist())
+            assert got.total() == want.total() and len(got) == len(want), t
+            assert sorted(got.values()) == sorted(want.values())
+
+
+def test_classifier_step_equals_the_gradient(monkeypatch):
+    """One step from the same start moves the layers against a numerical gradient of the loss."""
+    import pandas as pd
+
+    monkeypatch.setattr(classifier, "BITS", 4)
+    monkeypatch.setattr(classifier, "EPOCHS", 2)
+    rows = [(np.array([1, 3, 7], np.int32), np.array([0.5, 0.25, 0.125], np.float32), 1), (np.array([2, 3], np.int32), np.array([0.25, 0.5], np.float32), 0)]
+    out = classifier.train(pd.DataFrame({"doc_id": ["a", "b"], "label": [y for *_, y in rows], "ids": [i.tobytes() for i, *_ in rows], "shares": [s.tobytes() for _, s, _ in rows]}))
+    rng = np.random.default_rng(classifier.SEED)
+    vectors = ((rng.random((16, classifier.DIM), np.float32) - 0.5) * (2.0 / classifier.DIM)).astype(float)
+    layer, bias, step = np.zeros((classifier.DIM, 2)), np.zeros(2), 0
+
+    def loss(v, w, b, row):
+        z = (v[row[0]] * row[1][:, None]).sum(0) @ w + b
+        return math.log(np.exp(z).sum()) - z[row[2]]
+
+    def gradient(x, of):
+        g = np.zeros_like(x)
+        for at in np.ndindex(*x.shape):
+            kept, x[at] = x[at], x[at] + 1e-6
+            up = of()
+            x[at] = kept - 1e-6
+            g[at], x[at] = (up - of()) / 2e-6, kept
+        return g
+
+    for _ in range(2):
+        for k in rng.permutation(2):
+            rate, row = classifier.RATE * (1 - step / 4), rows[k]
+            of = lambda row=row: loss(vectors, layer, bias, row)
+            dv, dw, db = gradient(vectors, of), gradient(layer, of), gradient(bias, of)
+            layer -= rate * dw
+            bias -= 0.1 * rate * db
+            vectors -= rate * len(row[0]) ** 0.5 * dv
+            step += 1
+    got = np.frombuffer(out["numbers"][0], np.float32)
+    assert np.allclose(got, vectors @ (layer[:, 1] - layer[:, 0]), atol=1e-4) and abs(out["bias"][0] - (bias[1] - bias[0])) < 1e-4
+
+
+def test_classifier_learns_nothing_from_shuffled_labels(spark):
+    rng = random.Random(14)
+    docs = documents(spark, [(k, text(rng, 60), "en", "s") for k in range(400)])
+    model = classifier.fit(docs, spark.createDataFrame([(k, rng.randint(0, 1)) for k in range(300)], "doc_id long, label int"))
+    score = {r.doc_id: r.score for r in classifier.scores(docs, model).collect()}
+    truth = {k: rng.randint(0, 1) for k in range(300, 400)}
+    ones, zeros = [score[k] for k in truth if truth[k]], [score[k] for k in truth if not truth[k]]
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in zeros])
+    assert 0.35 < auc < 0.65
+
+
 def test_classifier_separates_held_out_documents(spark, tmp_path):
     rng = random.Random(4)
     rows = [(k, text(rng, 60) if k % 3 else " | ".join(text(rng, 2).upper() for _ in range(30)), "en", "s1") for k in range(300)]

@@ -47,6 +47,39 @@ def test_stages(spark, tmp_path):
             assert sum(r[2] for r in after) == docs.groupBy("sequence_id").sum("length").selectExpr("sum(`sum(length)`)").first()[0]
 
 
+CLASHES = ["_doc", "_id", "_digest", "id", "digest", "worded", "g", "h", "draw", "nth", "size", "copies", "k", "g_lang", "g_source", "_limit", "base_failed", "kept", "n_words", "symbols", "bucket", "ids", "part", "tied", "low", "cut", "col", "_salt", "_blocks"]
+
+
+def test_clashing_columns_pass_through_every_stage(spark):
+    """Each stage gives the same rows with and without further columns of its own inner names, and leaves those as they are."""
+    plain = documents(spark, corpus()[:40] + corpus()[120:])
+    docs = plain.selectExpr("*", *[f"concat('KEEP-', doc_id) as `{c}`" for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in stage(spark, plain, "").collect()), name
+        assert all(r[c] == (None if r.doc_id is None else f"KEEP-{r.doc_id}") for r in got for c in CLASHES), name
+    assert corpus_pipeline.sequences(spark, docs, "").count() == corpus_pipeline.sequences(spark, plain, "").count()
+
+
+def test_run_ends_with_the_tokens_of_what_the_stages_leave(spark, tmp_path):
+    """End to end: the packed ids, put together again, are those of the redacted, mixed documents, and gone ones are gone."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    documents(spark, corpus()).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    text = {r[0]: pii.mask(r[1], pii.spans_of(r[1])) for r in corpus() if r[1]}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    copies = Counter(r.doc_id for r in out if r.start == 0)
+    assert set(range(120)) <= set(copies) and not set(copies) & {*range(500, 510), *range(700, 705), 902} and max(copies.values()) <= 3
+    tokens = {i: len(tokenizer.encode(text[i], add_special_tokens=False).ids) + 1 for i in copies}
+    assert sum(r.length for r in out) == sum(n * tokens[i] for i, n in copies.items())
+    assert all(r.doc_tokens == tokens[r.doc_id] for r in out)
+    assert sorted((r.sequence_id * 4096 + r.offset) for r in out) == [sum(r.length for r in sorted(out, key=lambda r: (r.sequence_id, r.offset))[:k]) for k in range(len(out))]
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
