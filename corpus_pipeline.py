@@ -2,57 +2,64 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it
 kept, and returns the columns of documents (the last one: packed pieces). Rows with
-nulls, equal ids or no text go through every stage as its operator defines them.
+nulls, equal ids or no text go through every stage as its operator defines them:
+a row without words fails the quality rules; alone it stays in the others, with no
+words in the mix and one token in the packing. Further columns pass through the first
+four stages whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlab.llm import mixing, near_dup, packing, pii, quality_rules
 from fundlab.session import reachable
-from fundlab.storage import materialize, shared_dir
+from fundlab.skew import join_unique
+from fundlab.storage import materialize, release
+
+
+def _whole(docs: DataFrame) -> Column:
+    """A row as one value, which no column of a stage can clash with."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    names = docs.columns
-    measures = quality_rules.measured(docs, ["lang", "source"])
-    limit = materialize(quality_rules.limits(measures))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), "text", "lang", "source")
-    judged = quality_rules.judge(quality_rules.measured(whole, ["_doc", "lang", "source"]), limit)
-    return judged.filter("kept").select("_doc.*")
+    limit = materialize(quality_rules.limits(quality_rules.measured(docs, ["lang", "source"])))
+    measures = quality_rules.measured(docs.select(_whole(docs), "text", "lang", "source"), ["_doc", "lang", "source"])
+    return quality_rules.judge(measures, limit).filter("kept").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the least id, then the least text digest."""
+    """One document of each group of near copies: the least id (null last), then the least text digest.
+
+    Rows of one id and one text are copies: the one with the least further columns stays. Texts without words all stay.
+    """
     grouped = materialize(near_dup.groups(docs))
+    key = lambda id_: F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")).alias("id")
     chosen = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("c"))
-    chosen = chosen.select(F.coalesce(F.col("c.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("c.digest").alias("_digest"))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_digest": F.md5("text")})
-    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    kept = keyed.filter(~wordless).join(chosen, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"])
-    return kept.unionByName(keyed.filter(wordless)).select(*[f"`{c}`" for c in docs.columns])
+    chosen = materialize(chosen.select(key(F.col("c.doc_id")), F.col("c.digest").alias("digest")))
+    whole = docs.select(_whole(docs), key(F.col("doc_id")), F.md5("text").alias("digest"), F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]").alias("worded"))
+    kept = join_unique(whole.filter("worded").drop("worded"), chosen, ["id", "digest"], "left_semi", wide=True, counts=materialize(grouped.groupBy(key(F.col("doc_id")), "digest").agg(F.count("*").alias("n"))))
+    kept = kept.groupBy("id", "digest").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc"))
+    release(grouped)
+    return kept.select("_doc").union(whole.filter(~F.col("worded")).select("_doc")).select("_doc.*")
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
+    """Documents with personal data and secrets replaced by their kind."""
     out = pii.redact(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: sources at weights 1, 2, 3 by name."""
-    sizes = materialize(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")))
-    plan, _ = mixing.mix(sizes)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), mixing.group_of("source").alias("g"), mixing.size_of(F.col("text")).alias("size"), mixing.draw_of().alias("draw"))
-    counted = mixing.with_copies(whole, plan).filter("copies > 0")
-    return counted.select("_doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_doc.*")
+    rows, _ = mixing.mix(mixing.keyed(docs.select(_whole(docs), "doc_id", "text", "lang", "source"), "_doc"))
+    return rows.filter("copies > 0").select("_doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_doc.*")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,13 +75,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another over documents, each written to the shared folder and read again."""
+    """The stages one after another over documents, each written to the shared folder and read again.
+
+    A stage's files go when the next one's are written; the last one's when the Python process ends.
+    """
     reachable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    top = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}")
-        docs = spark.read.parquet(f"{top}/{k}")
+    for _, stage in STAGES:
+        done = materialize(stage(spark, docs, sf_dir))
+        release(docs)
+        docs = done
     return docs
 
 

@@ -9,26 +9,30 @@ from fundlab.storage import materialize
 
 #: Keys that hold at least one part in MOST_HOT of all rows (so at most MOST_HOT keys) and LEAST_HOT rows are hot.
 MOST_HOT, LEAST_HOT = 4096, 500
+#: A narrow small side of up to so many rows is broadcast whole.
+BROADCAST_ROWS = 1 << 16
 
 
-def hot_keys(big: DataFrame, on: list[str]) -> DataFrame | None:
-    """The hot keys of big, at most MOST_HOT rows, or None where there are none. Counted by partial sums."""
-    counts = materialize(big.groupBy(*on).agg(F.count("*").alias("_n")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    hot = counts.filter(F.col("_n") >= max(LEAST_HOT, total / MOST_HOT)).select(*on)
-    return hot if hot.limit(1).count() else None
+def hot_keys(counts: DataFrame, on: list[str], n: str = "n") -> DataFrame:
+    """The hot keys, at most MOST_HOT rows, of a written table of counts: the keys and ``_blocks`` of about equal rows each holds."""
+    block = max(LEAST_HOT, (counts.agg(F.sum(n)).first()[0] or 0) / MOST_HOT)
+    return counts.filter(F.col(n) >= block).select(*on, F.ceil(F.col(n) / block).cast("int").alias("_blocks"))
 
 
-def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | str | None = "find") -> DataFrame:
-    """big joined (inner or left) with small, which has at most one row for each key; keys are not null.
+def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", wide: bool = False, counts: DataFrame | None = None) -> DataFrame:
+    """big joined (inner, left or left_semi) with small, which has at most one row for each key; keys are not null.
 
-    Rows of hot keys meet a broadcast of small's at most MOST_HOT rows for them;
-    all others meet in a join by key, where no key holds many rows.
+    A small side of at most BROADCAST_ROWS rows, which are counted, is broadcast,
+    unless it is ``wide``. Else the rows of a hot key are dealt to several blocks
+    by their hash, and small's row for it is repeated for each block; what is
+    broadcast then is the list of hot keys. counts: on and n of big, if known.
     """
-    if isinstance(hot, str):
-        hot = hot_keys(big, on)
-    if hot is None:
+    if not wide and small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), on, how)
+    hot = hot_keys(materialize(big.groupBy(*on).agg(F.count("*").alias("n"))) if counts is None else counts, on)
+    if not hot.limit(1).count():
         return big.join(small, on, how)
-    few = F.broadcast(hot)
-    near = big.join(few, on, "left_semi").join(F.broadcast(small.join(few, on, "left_semi")), on, how)
-    return near.unionByName(big.join(few, on, "left_anti").join(small, on, how))
+    salt = F.coalesce(F.pmod(F.xxhash64(*[f"`{c}`" for c in big.columns]), F.col("_blocks")), F.lit(0)).cast("int")
+    dealt = big.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_blocks")
+    repeated = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))).drop("_blocks")
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
