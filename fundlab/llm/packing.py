@@ -21,7 +21,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,7 +41,8 @@ _encoders: dict[str, WordEncoder] = {}
 class WordEncoder:
     """Ids of texts under a tokenizer that never joins across spaces.
 
-    Words are told apart by 64-bit hashes over a whole block at a time. Each
+    Words are told apart by 64-bit hashes over a whole block at a time (two of a
+    million distinct words agree with a probability of about 3e-8). Each
     distinct word is split into its parts once, and the tokenizers library encodes
     the parts of all new words in one call.
     """
@@ -165,8 +166,3 @@ def pack(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     width = int(tokens.agg(width).first()[0] or 4)
     pieces = placed.mapInArrow(_cut(window, width), f"doc_id {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return pieces.withColumns({"starts_doc": F.col("start") == 0, "ends_doc": F.col("start") + F.col("length") == F.col("doc_tokens")})
-
-
-def padding(offset: Column, length: Column, window: int = WINDOW) -> Column:
-    """Tokens of padding that the last window needs after its last piece."""
-    return F.lit(window) - offset - length
