@@ -1,4 +1,9 @@
-"""Fuzzy matching of printed names within blocks."""
+"""Fuzzy matching of printed names within blocks.
+
+A printed name is compared with the candidates of its block that share one of its
+telling words: those that at most RARE candidates of the block hold, or its rarest
+where all are more frequent. So the pairs grow with the names, not with their square.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Candidates of a block that may hold a telling word.
+RARE = 50
 THRESHOLD, NEAR_BEST, SHORTLIST = 85, 2, 5
 
 
+def common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, with a bit for each character of a."""
+    places: dict[str, int] = {}
+    for k, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << k
+    whole = (1 << len(a)) - 1
+    free = whole
+    for y in b:
+        met = free & places.get(y, 0)
+        free = (free + met | free - met) & whole
+    return len(a) - free.bit_count()
+
+
 def ratio(a: str, b: str) -> float:
     """100 times twice the longest common subsequence over both lengths."""
-    if not a or not b:
-        return 100.0 if a == b else 0.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    return 200.0 * common(a, b) / (len(a) + len(b)) if a and b else 100.0 if a == b else 0.0
 
 
 def token_set_ratio(a: str, b: str) -> float:
@@ -34,25 +47,33 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(ratio(left, right), *((ratio(shared, left), ratio(shared, right)) if shared else (0.0,)))
 
 
-def _scores(pairs: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"set_score": [token_set_ratio(a, b) for a, b in zip(pairs["a"], pairs["b"], strict=True)], "plain": [ratio(a, b) for a, b in zip(pairs["a"], pairs["b"], strict=True)]})
+def _both(measure):
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([measure(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    return F.pandas_udf(run, "double")
 
 
-def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _tokens(names: DataFrame, name: str) -> DataFrame:
+    return names.withColumn("token", F.explode(F.array_distinct(F.split(name, " "))))
+
+
+def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD, rare: int = RARE) -> DataFrame:
     """printed (block, name) with the scheme_code and score of its best candidate (block, scheme_code, name).
 
-    Names are canonical. Only pairs of one block are scored; a printed name without a
-    candidate at the threshold has nulls.
+    Names are canonical. A printed name without a candidate at the threshold has nulls, as has
+    one that shares no word with any; of equal candidates the least code counts.
     """
-    pool = candidates.withColumn("_n", F.row_number().over(Window.partitionBy("block", "name").orderBy("scheme_code"))).filter("_n = 1").select("block", F.col("name").alias("candidate"), "scheme_code")
-    score = F.pandas_udf(_scores_of, "set_score double, plain double")
-    scored = printed.join(pool, "block").withColumn("s", score("name", "candidate")).select("block", "name", "candidate", "scheme_code", "s.*")
+    pool = candidates.groupBy("block", F.col("name").alias("candidate")).agg(F.min("scheme_code").alias("scheme_code"))
+    held = _tokens(pool, "candidate")
+    frequent = held.groupBy("block", "token").agg(F.count("*").alias("n"))
+    asked = _tokens(printed.select("block", "name").distinct(), "name").join(frequent, ["block", "token"])
+    rarest = F.min("n").over(Window.partitionBy("block", "name"))
+    asked = asked.withColumn("rarest", rarest).filter((F.col("n") <= rare) | (F.col("n") == F.col("rarest"))).select("block", "name", "token")
+    pairs = asked.join(held, ["block", "token"]).select("block", "name", "candidate", "scheme_code").distinct()
+    scored = pairs.withColumn("set_score", _both(token_set_ratio)("name", "candidate"))
     by_name = Window.partitionBy("block", "name")
     best = scored.withColumns({"_r": F.row_number().over(by_name.orderBy(F.desc("set_score"), "candidate")), "_best": F.max("set_score").over(by_name)})
-    near = best.filter((F.col("_r") <= SHORTLIST) & (F.col("_best") >= threshold) & (F.col("set_score") >= F.col("_best") - NEAR_BEST))
+    near = best.filter((F.col("_r") <= SHORTLIST) & (F.col("_best") >= threshold) & (F.col("set_score") >= F.col("_best") - NEAR_BEST)).withColumn("plain", _both(ratio)("name", "candidate"))
     pick = near.withColumn("_p", F.row_number().over(by_name.orderBy(F.desc("plain"), F.desc("set_score"), "candidate"))).filter("_p = 1")
     return printed.join(pick.select("block", "name", "scheme_code", F.col("set_score").alias("score")), ["block", "name"], "left")
-
-
-def _scores_of(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return _scores(pd.DataFrame({"a": a, "b": b}))

@@ -86,6 +86,10 @@ def derived_constituents(holdings: DataFrame, top: int | None = None) -> DataFra
     return rows.select("scheme_code", "isin", F.bround(F.col("w") * 100 / F.sum("w").over(Window.partitionBy("scheme_code")), 4).alias("weight_pct"))
 
 
+#: Funds of a shortlist whose pairs are all listed: two million rows.
+MOST_FUNDS = 2000
+
+
 def overlap_key() -> Column:
     """ISIN where there is one, else the normalised name; the two never meet."""
     return F.when(F.col("isin").isNotNull(), F.concat(F.lit("isin:"), "isin")).otherwise(F.concat(F.lit("name:"), normalize_name(F.col("security_name"))))
@@ -94,9 +98,11 @@ def overlap_key() -> Column:
 def overlaps(holdings: DataFrame, funds: DataFrame, top: int = 3) -> DataFrame:
     """scheme_a, scheme_b, overlap_pct (2 decimals), n_shared, top_shared, reason for all pairs of funds (scheme_code).
 
-    funds is a staged shortlist of at most a few hundred; pairs come from shared securities
+    funds is a staged shortlist of at most MOST_FUNDS, which is checked; pairs come from shared securities
     and are then completed with the pairs that share none.
     """
+    if funds.select("scheme_code").distinct().limit(MOST_FUNDS + 1).count() > MOST_FUNDS:
+        raise ValueError(f"a table of all pairs is for shortlists of at most {MOST_FUNDS} funds")
     held = latest_month(holdings.join(F.broadcast(funds.select("scheme_code")), "scheme_code"))
     book = weights(held, ["scheme_code"], key=overlap_key())
     names = held.filter("instrument_type = 'Equity' and security_name <> ''").groupBy("scheme_code", overlap_key().alias("security")).agg(F.min(F.trim("security_name")).alias("name"))

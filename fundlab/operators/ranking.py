@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.storage import materialize
+
 # Floors, weights and limits decide results.
 FLOORS = {"capture_efficiency": (0.50, None), "info_ratio_3y": (-1.00, None), "r_squared_3y": (0.40, 1.00), "beta_3y": (0.30, 1.70)}
 BAD_FLAGS = ["INSUFFICIENT_HISTORY", "POOR"]
@@ -108,21 +110,28 @@ def coverage(considered: DataFrame, survivors: DataFrame) -> DataFrame:
     return out.withColumns({"pct_survived": F.bround(100.0 * F.col("n_survived") / F.col("n_considered"), 1), "aum_dropped": F.bround(F.col("aum_considered") - F.col("aum_survived"), 2)})
 
 
-def greedy_drop(survivors: list[tuple[str, int | None]], pairs: list[tuple[str, str, float | None]], most: float = MOST_OVERLAP) -> list[str]:
-    """Codes that remain when, from the largest overlap down, the worse-ranked fund of each pair above ``most`` goes.
+def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame:
+    """survivors without the funds that overlap too much with a better-ranked one.
 
-    The lists are a shortlist's: at most a few hundred funds.
+    From the largest overlap down (ties: the better ranks first), the worse-ranked fund of each pair above ``most``
+    whose funds are both left goes. A pair that comes before all others of both its funds can be settled at
+    once, whatever the rest: each round settles all such pairs by joins, until no pair is left.
     """
-    rank = {code: (r if r is not None else 10**9, code) for code, r in survivors}
-    left = {code for code, _ in survivors}
-    for a, b, value in sorted((p for p in pairs if p[2] is not None and p[2] > most), key=lambda p: (-p[2], rank[p[0]], rank[p[1]])):
-        if a in left and b in left:
-            left.discard(max(a, b, key=rank.__getitem__))
-    return [code for code, _ in survivors if code in left]
-
-
-def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame:
-    """survivors without the funds that overlap too much with a better-ranked one."""
-    ranked = [(r.scheme_code, r.stage2_rank) for r in survivors.select("canonical_category", "scheme_code", "stage2_rank").orderBy("canonical_category", "stage2_rank", "scheme_code").collect()]
-    pairs = [(r.scheme_a, r.scheme_b, r.overlap_pct) for r in pair_table.filter(F.col("overlap_pct") > most).collect()]
-    return survivors.filter(F.col("scheme_code").isin(greedy_drop(ranked, pairs, most)))
+    rank = F.struct(F.coalesce("stage2_rank", F.lit(10**9)).alias("r"), "scheme_code")
+    ranks = materialize(survivors.select("scheme_code", rank.alias("rank")))
+    of = lambda x: ranks.select(F.col("scheme_code").alias(f"scheme_{x}"), F.col("rank").alias(f"rank_{x}"))
+    pairs = pair_table.filter(F.col("overlap_pct") > most).join(of("a"), "scheme_a").join(of("b"), "scheme_b")
+    place = F.struct((-F.col("overlap_pct")).alias("o"), F.col("rank_a").alias("a"), F.col("rank_b").alias("b"))
+    worse = F.when(F.col("rank_a") > F.col("rank_b"), F.col("scheme_a")).otherwise(F.col("scheme_b"))
+    left = materialize(pairs.select("scheme_a", "scheme_b", place.alias("place"), worse.alias("worse")))
+    gone = None
+    while left.limit(1).count():
+        ends = left.select(F.explode(F.array("scheme_a", "scheme_b")).alias("fund"), "place").groupBy("fund").agg(F.min("place").alias("first"))
+        least = lambda x: ends.select(F.col("fund").alias(f"scheme_{x}"), F.col("first").alias(f"first_{x}"))  # noqa: B023, E731
+        known = left.join(least("a"), "scheme_a").join(least("b"), "scheme_b")
+        dropped = materialize(known.filter((F.col("place") == F.col("first_a")) & (F.col("place") == F.col("first_b"))).select(F.col("worse").alias("fund")).distinct())
+        gone = dropped if gone is None else gone.union(dropped)
+        for x in "ab":
+            left = left.join(dropped.select(F.col("fund").alias(f"scheme_{x}")), f"scheme_{x}", "left_anti")
+        left = materialize(left)
+    return survivors if gone is None else survivors.join(gone.select(F.col("fund").alias("scheme_code")), "scheme_code", "left_anti")

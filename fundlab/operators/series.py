@@ -12,17 +12,23 @@ def scheme_bounds(nav: DataFrame) -> DataFrame:
     return nav.groupBy("scheme_code").agg(F.min("nav_date").alias("first_date"), F.max("nav_date").alias("last_date"))
 
 
-def align(nav: DataFrame, calendar: DataFrame, bench: DataFrame, rf: DataFrame) -> DataFrame:
+def align(nav: DataFrame, calendar: DataFrame, bench: DataFrame, rf: DataFrame, tickers: DataFrame | None = None) -> DataFrame:
     """scheme_code, date, nav, bench_close, rate_daily, rate_daily_log, fund_log_ret, bench_log_ret.
 
     nav: scheme_code, nav_date, nav. calendar: date. bench: date, close. rf: date,
     rate_daily. A scheme has the calendar's days from its first to its last price;
     a missing price takes the one of the calendar day before, once; rates are filled
     without limit. The calendar holds one row a day, so it is small at any scale.
+
+    With tickers (scheme_code, ticker) each scheme meets the index of its own ticker
+    (bench: ticker, date, close); a scheme without one has null levels.
     """
-    days = scheme_bounds(nav).join(F.broadcast(calendar), F.col("date").between(F.col("first_date"), F.col("last_date"))).select("scheme_code", "date")
+    on = ["date"]
+    if tickers is not None:
+        on = ["ticker", "date"]
+    days = (scheme_bounds(nav) if tickers is None else scheme_bounds(nav).join(tickers.dropDuplicates(["scheme_code"]), "scheme_code", "left")).join(F.broadcast(calendar), F.col("date").between(F.col("first_date"), F.col("last_date"))).select("scheme_code", *on)
     prices = nav.select("scheme_code", F.col("nav_date").alias("date"), "nav")
-    joined = days.join(prices, ["scheme_code", "date"], "left").join(F.broadcast(bench.select("date", F.col("close").alias("bench_close"))), "date", "left").join(F.broadcast(rf.select("date", "rate_daily")), "date", "left")
+    joined = days.join(prices, ["scheme_code", "date"], "left").join(bench.select(*on, F.col("close").alias("bench_close")), on, "left").join(rf.select("date", "rate_daily"), "date", "left")
     by_day = Window.partitionBy("scheme_code").orderBy("date")
     filled = joined.withColumns({
         "nav": F.coalesce("nav", F.lag("nav").over(by_day)),

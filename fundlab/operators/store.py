@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundlab.functions.text import slug
+from fundlab.storage import materialize, release
 
 
 def merged(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
@@ -36,9 +37,29 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     (writer.partitionBy(partition) if partition else writer).parquet(staged)
     to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(to_path(path), True)
+    recover(spark, path)
+    kept = to_path(_aside(path))
+    if files.exists(to_path(path)) and not files.rename(to_path(path), kept):
+        raise OSError(f"cannot move {path} aside")
     if not files.rename(to_path(staged), to_path(path)):
         raise OSError(f"cannot move {staged} to {path}")
+    files.delete(kept, True)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.before"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a crash while a table took its place: the old table returns, or goes if the new one is there."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = to_path(_aside(path))
+    if files.exists(kept):
+        if files.exists(to_path(path)):
+            files.delete(kept, True)
+        else:
+            files.rename(kept, to_path(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
@@ -47,10 +68,21 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 
 def upsert(new: DataFrame, path: str, key: list[str], partition: str | None = None) -> None:
+    """new merged into a table by key. With a partition column that is part of the key, only the partitions
+    that new has rows for are read and written again; they are merged and written aside first."""
     spark = new.sparkSession
-    if _exists(spark, path):
-        new = merged(spark.read.parquet(path), new, key)
-    write_table(new, path, partition)
+    recover(spark, path)
+    if not _exists(spark, path):
+        return write_table(new, path, partition)
+    old = spark.read.parquet(path)
+    if partition and partition in key:
+        touched = materialize(new.select(partition).distinct())
+        old = old.join(touched, partition, "left_semi").select(*old.columns)
+        rows = materialize(merged(old, new, key))
+        replace_partitions(rows, path, partition)
+        release(rows)
+    else:
+        write_table(merged(old, new, key), path, partition)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

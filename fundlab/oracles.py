@@ -126,7 +126,7 @@ _TWO = f""", hard AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z("hz", "ha
     whole AS (SELECT * FROM pool WHERE missing_metrics = ''), {_z("wz", "whole", Z_METRICS)}, two AS (SELECT *, {_total(STAGE_2)}{_PENALTY} AS composite_score FROM wz),
     lived AS (SELECT *, count(*) OVER (PARTITION BY canonical_category) < 4 AS partial_coverage_flag FROM (
         SELECT *, row_number() OVER (PARTITION BY canonical_category ORDER BY composite_score DESC NULLS LAST, scheme_code) AS stage2_rank FROM two QUALIFY stage2_rank <= 4))"""
-_PAIRS = ", funds AS (SELECT scheme_code FROM scheme_metrics WHERE length(scheme_code) <= 3)" + _LAST + ", mine AS (SELECT * FROM held SEMI JOIN funds USING (scheme_code)), keyed AS (SELECT *, CASE WHEN isin IS NOT NULL THEN 'isin:' || isin ELSE 'name:' || " + _NORMAL.format("security_name") + " END AS kk FROM mine), " + _weights("b", "keyed", "scheme_code", key="kk") + """,
+_PAIRS = _TWO + ", funds AS (SELECT scheme_code FROM lived)" + _LAST + ", mine AS (SELECT * FROM held SEMI JOIN funds USING (scheme_code)), keyed AS (SELECT *, CASE WHEN isin IS NOT NULL THEN 'isin:' || isin ELSE 'name:' || " + _NORMAL.format("security_name") + " END AS kk FROM mine), " + _weights("b", "keyed", "scheme_code", key="kk") + """,
     names AS (SELECT scheme_code, kk AS k, min(trim(security_name)) AS name FROM keyed WHERE instrument_type = 'Equity' GROUP BY 1, 2),
     met AS (SELECT x.scheme_code AS scheme_a, y.scheme_code AS scheme_b, x.k, least(x.w, y.w) AS w, n.name FROM b x JOIN b y ON x.k = y.k AND x.scheme_code < y.scheme_code JOIN names n ON n.scheme_code = x.scheme_code AND n.k = x.k),
     pairs AS (SELECT p.scheme_code AS scheme_a, q.scheme_code AS scheme_b FROM funds p JOIN funds q ON p.scheme_code < q.scheme_code)"""
@@ -194,6 +194,14 @@ def sql() -> dict[str, str]:
             LATERAL (SELECT CASE WHEN p.scheme_a NOT IN (SELECT scheme_code FROM b) OR p.scheme_b NOT IN (SELECT scheme_code FROM b) THEN 'missing_holdings' END AS reason) r"""),
         "overlap_top_shared": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, t AS (SELECT scheme_a, scheme_b, string_agg(printf('%s (%.1f%%)', name, round_even(w, 1)), ', ' ORDER BY n) AS top_shared FROM (
             SELECT *, row_number() OVER (PARTITION BY scheme_a, scheme_b ORDER BY w DESC, k) AS n FROM met) WHERE n <= 3 GROUP BY 1, 2) SELECT scheme_a, scheme_b, coalesce(top_shared, '') AS top_shared FROM pairs LEFT JOIN t USING (scheme_a, scheme_b)"""),
+        "stage3_greedy_drop": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o FROM met GROUP BY 1, 2),
+            e AS (SELECT row_number() OVER (ORDER BY o DESC, p.stage2_rank, p.scheme_code, q.stage2_rank, q.scheme_code) AS i, scheme_a, scheme_b, CASE WHEN (p.stage2_rank, p.scheme_code) > (q.stage2_rank, q.scheme_code) THEN scheme_a ELSE scheme_b END AS worse
+                FROM s JOIN lived p ON p.scheme_code = scheme_a JOIN lived q ON q.scheme_code = scheme_b WHERE o > 30),
+            g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS gone UNION ALL SELECT e.i, CASE WHEN list_contains(gone, scheme_a) OR list_contains(gone, scheme_b) THEN gone ELSE list_append(gone, worse) END FROM g JOIN e ON e.i = g.i + 1),
+            last AS (SELECT gone FROM g ORDER BY i DESC LIMIT 1)
+            SELECT canonical_category, scheme_code, stage2_rank, round(composite_score, 6) + 0.0 AS composite_score FROM lived, last WHERE NOT list_contains(gone, scheme_code)""").replace("WITH ", "WITH RECURSIVE ", 1),
+        "align_by_ticker": with_relations([*_BASE, "benchmark_by_ticker", "scheme_ticker"], """ SELECT s.scheme_code, c.date, k.close AS bench_close FROM (SELECT scheme_code, min(nav_date) AS a, max(nav_date) AS b FROM nav_daily GROUP BY 1) s
+            JOIN calendar c ON c.date BETWEEN s.a AND s.b LEFT JOIN scheme_ticker t ON t.scheme_code = s.scheme_code LEFT JOIN benchmark_by_ticker k ON k.ticker = t.ticker AND k.date = c.date"""),
         "freshness_report": with_relations(_BASE, """, l AS (SELECT 'nav' AS check_name, max(nav_date) AS latest, 'w' AS unit, CAST(5 AS BIGINT) AS max_lag FROM nav_daily UNION ALL SELECT 'bench', max(date), 'w', 5000 FROM benchmark_daily UNION ALL SELECT 'rates', max(date), 'd', 14 FROM rf_observed),
             g AS (SELECT *, CASE WHEN unit = 'd' THEN DATE '2000-01-15' - latest ELSE (SELECT count(*) FROM generate_series(CAST(latest AS TIMESTAMP), TIMESTAMP '2000-01-14', INTERVAL 1 DAY) s(d) WHERE isodow(d) <= 5 AND d > latest) END AS lag FROM l)
             SELECT check_name, latest, CAST(lag AS BIGINT) AS lag, max_lag, latest IS NULL OR lag > max_lag AS issue FROM g"""),
@@ -226,9 +234,9 @@ def sql() -> dict[str, str]:
             'INE' || lpad(CAST(o_orderkey % 50 AS VARCHAR), 8, '0') || '7' AS isin, round(o_totalprice, 2) AS weight_pct FROM orders), d AS (SELECT *, bool_or(b = 'END') OVER (PARTITION BY sheet ORDER BY row_no) AS ended,
             last_value(CASE WHEN b <> 'END' THEN b END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row_no) AS instrument_type FROM c)
             SELECT sheet, row_no, isin, 'Name' AS security_name, weight_pct, instrument_type FROM d WHERE b IS NULL AND NOT coalesce(ended, false) AND instrument_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sheet, isin ORDER BY row_no) = 1""",
-        "nav_text_parse": """WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 2 THEN replace(p_brand, '#', ' ') || ' Mutual Fund' END AS amc, CASE WHEN p_partkey % 50 = 3 AND p_partkey % 10 <> 2 THEN 'Open Ended Schemes(Equity Scheme - Value Fund)' END AS cat, p_retailprice FROM part WHERE p_partkey <= 400),
-            f AS (SELECT *, last_value(amc IGNORE NULLS) OVER (ORDER BY k) AS amc_name, last_value(cat IGNORE NULLS) OVER (ORDER BY k) AS amfi_category FROM l)
-            SELECT CAST(k AS VARCHAR) AS scheme_code, DATE '2024-01-05' AS nav_date, round(p_retailprice, 2) AS nav, 'INF1' AS isin_growth, CAST(NULL AS VARCHAR) AS isin_idcw, 'Fund ' || k AS scheme_name, amc_name, amfi_category FROM f WHERE k > 1 AND amc IS NULL AND cat IS NULL AND k % 7 <> 0""",
+        "nav_text_parse": """WITH l AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 2 THEN replace(p_brand, '#', ' ') || ' Mutual Fund' END AS amc, CASE WHEN p_partkey % 50 = 3 AND p_partkey % 10 <> 2 THEN 'Open Ended Schemes(Equity Scheme - Value Fund)' END AS cat, p_retailprice FROM part),
+            f AS (SELECT *, last_value(amc IGNORE NULLS) OVER (PARTITION BY (k - 1) // 400 ORDER BY k) AS amc_name, last_value(cat IGNORE NULLS) OVER (PARTITION BY (k - 1) // 400 ORDER BY k) AS amfi_category FROM l)
+            SELECT CAST(k AS VARCHAR) AS scheme_code, DATE '2024-01-05' AS nav_date, round(p_retailprice, 2) AS nav, 'INF1' AS isin_growth, CAST(NULL AS VARCHAR) AS isin_idcw, 'Fund ' || k AS scheme_name, amc_name, amfi_category FROM f WHERE k % 400 <> 1 AND amc IS NULL AND cat IS NULL AND k % 7 <> 0""",
         "audit_scheme": _aligned(f""", {_FLAG}, {_returns(3)}, {_returns(5)}, {_REG}, {_FIT}, {_AB}, {_SOR}, {_SORTINO}, {_ACT}, {_INFO}, {_CAPTURE}
             SELECT scheme_code, data_quality_flag, {_round("ret_3y_median ret_3y_p25 ret_5y_median ret_5y_p25 " + _ALPHA + " sortino_3y info_ratio_3y capture_up capture_down", 5)}, round(capture_up / capture_down, 5) AS capture_efficiency
             FROM flag LEFT JOIN rt3 USING (scheme_code) LEFT JOIN rt5 USING (scheme_code) LEFT JOIN ab USING (scheme_code) LEFT JOIN sortino USING (scheme_code) LEFT JOIN info USING (scheme_code) LEFT JOIN cap USING (scheme_code) WHERE scheme_code = 'STANDARD-F'"""),

@@ -12,6 +12,8 @@ RELATIONS = {
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type || '-' || l_linestatus, CAST(l_shipdate AS DATE)""",
     "calendar": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem",
     "benchmark_daily": "SELECT 'ALL' AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice) + 0.0000137, 4) AS close FROM lineitem GROUP BY CAST(l_shipdate AS DATE)",
+    "benchmark_by_ticker": "SELECT l_linestatus AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice) + 0.0000137, 4) AS close FROM lineitem GROUP BY l_linestatus, CAST(l_shipdate AS DATE)",
+    "scheme_ticker": "SELECT DISTINCT p_type || '-' || l_linestatus AS scheme_code, CASE WHEN p_type LIKE 'S%' THEN NULL ELSE l_linestatus END AS ticker FROM lineitem JOIN part ON l_partkey = p_partkey",
     "rf_observed": """SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, CAST(CASE WHEN month(l_shipdate) % 3 = 0 THEN 6.5 ELSE 0.05 + 0.005 * (month(l_shipdate) % 3) END AS DOUBLE) AS rate
         FROM lineitem WHERE day(l_shipdate) % 7 = 1""",
     "scheme_metrics": """SELECT 'S' || CAST(s_suppkey AS VARCHAR(12)) AS scheme_code, max(r_name) AS canonical_category,
@@ -34,7 +36,7 @@ RELATIONS = {
     "holdings_monthly": """SELECT 'S' || CAST(l_suppkey AS VARCHAR(12)) AS scheme_code, 'ALL' AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS as_of_month,
         p_name || CASE WHEN p_partkey % 2 = 0 THEN ' Ltd.' ELSE ' Limited' END AS security_name, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 'INE' || CAST(1000000 + p_partkey % 400 AS VARCHAR(12)) || '01' END AS isin,
         CASE WHEN p_size % 6 = 0 THEN 'Debt' ELSE 'Equity' END AS instrument_type, sum(l_quantity) AS weight_pct
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey <= 40
+        FROM lineitem JOIN part ON l_partkey = p_partkey
         GROUP BY l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE), p_name, p_partkey, p_size""",
     "constituents_monthly": """SELECT 'ALL' AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS as_of_month, p_name || ' Inc' AS security_name, sum(l_quantity) AS weight_pct
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY CAST(date_trunc('month', l_shipdate) AS DATE), p_name""",
@@ -59,9 +61,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A relation over the tables of one folder."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if t in RELATIONS[name]}
-    for t, df in tables.items():
-        df.createOrReplaceTempView(f"fundlab_{t}")
-    return spark.sql(re.sub(rf"\b(FROM|JOIN) ({'|'.join(tables)})\b", r"\1 fundlab_\2 AS \2", RELATIONS[name]))
+    return spark.sql(re.sub(rf"\b(FROM|JOIN) ({'|'.join(tables)})\b", r"\1 {\2} AS \2", RELATIONS[name]), **tables)
 
 
 def with_relations(names: list[str], body: str) -> str:

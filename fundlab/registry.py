@@ -238,7 +238,7 @@ def stage2_coverage(spark, sf):
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return h.overlaps(relation(spark, sf, "holdings_monthly"), relation(spark, sf, "scheme_metrics").filter("length(scheme_code) <= 3").select("scheme_code"))
+    return h.overlaps(relation(spark, sf, "holdings_monthly"), _stage_two(spark, sf)[0].select("scheme_code"))
 
 
 @query
@@ -253,7 +253,7 @@ def overlap_top_shared(spark, sf):
 
 @query
 def stage3_greedy_drop(spark, sf):
-    out = shortlists(relation(spark, sf, "scheme_metrics").filter("length(scheme_code) <= 3"), relation(spark, sf, "holdings_monthly"), 12, 6)
+    out = shortlists(relation(spark, sf, "scheme_metrics"), relation(spark, sf, "holdings_monthly"), 12, 4)
     return rounded(out.final.select("canonical_category", "scheme_code", "stage2_rank", "composite_score"))
 
 
@@ -393,10 +393,19 @@ def json_flatten(spark, sf):
 
 @query
 def fuzzy_match_blocked(spark, sf):
-    names = relation(spark, sf, "scheme_names").filter("amfi_category is not null").withColumn("n", F.substring("scheme_code", 2, 9).cast("long"))
-    canon = names.select(F.concat(text.amc_slug(F.col("amc")), F.lit("/"), (F.col("n") % 25).cast("string")).alias("block"), "scheme_code", text.canonical_scheme(F.col("scheme_name")).alias("name"), "n")
-    printed = canon.filter("n % 3 = 0").select("block", F.regexp_replace("name", "CUSTOMER", "CUSTOMR").alias("name")).distinct()
-    return rounded(matching.match_names(printed, canon.select("block", "scheme_code", "name")), 4)
+    """Every scheme's name, printed with a slip, against the names of its company."""
+    names = relation(spark, sf, "scheme_names").filter("amfi_category is not null")
+    canon = names.select(text.amc_slug(F.col("amc")).alias("block"), "scheme_code", text.canonical_scheme(F.col("scheme_name")).alias("name"))
+    printed = canon.select("block", F.regexp_replace("name", "CUSTOMER", "CUSTOMR").alias("name")).distinct()
+    return rounded(matching.match_names(printed, canon), 4)
+
+
+@query
+def align_by_ticker(spark, sf):
+    """Each scheme on the calendar with the levels of its own index."""
+    rel = partial(relation, spark, sf)
+    out = series.align(rel("nav_daily"), rel("calendar"), rel("benchmark_by_ticker"), series.daily_risk_free(rel("rf_observed")), rel("scheme_ticker"))
+    return rounded(out.select("scheme_code", "date", "bench_close"), 4)
 
 
 @query
@@ -443,10 +452,10 @@ def holdings_sheet_sections(spark, sf):
 @query
 def nav_text_parse(spark, sf):
     """Price files landed as lines: a heading, then company and data lines."""
-    parts = table(spark, sf, "part").filter("p_partkey <= 400").select(F.col("p_partkey").alias("k"), "p_brand", "p_retailprice")
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_brand", "p_retailprice")  # a file for each 400 lines
     data = F.concat_ws(";", F.col("k").cast("string"), F.lit("INF1"), F.lit("-"), F.concat(F.lit("Fund "), F.col("k").cast("string")), F.when(F.col("k") % 7 == 0, "N.A.").otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string")), F.lit("05-Jan-2024"))
-    line = F.when(F.col("k") == 1, "Scheme Code;ISIN Div Payout/ ISIN Growth;ISIN Div Reinvestment;Scheme Name;Net Asset Value;Date").when(F.col("k") % 10 == 2, F.concat(F.translate("p_brand", "#", " "), F.lit(" Mutual Fund"))).when(F.col("k") % 50 == 3, "Open Ended Schemes(Equity Scheme - Value Fund)").otherwise(data)
-    return rounded(landing.nav_text(parts.select(F.lit("f").alias("file"), F.col("k").alias("line_no"), line.alias("line"))), 2)
+    line = F.when(F.col("k") % 400 == 1, "Scheme Code;ISIN Div Payout/ ISIN Growth;ISIN Div Reinvestment;Scheme Name;Net Asset Value;Date").when(F.col("k") % 10 == 2, F.concat(F.translate("p_brand", "#", " "), F.lit(" Mutual Fund"))).when(F.col("k") % 50 == 3, "Open Ended Schemes(Equity Scheme - Value Fund)").otherwise(data)
+    return rounded(landing.nav_text(parts.select(F.floor((F.col("k") - 1) / 400).cast("string").alias("file"), F.col("k").alias("line_no"), line.alias("line"))), 2)
 
 
 @query

@@ -1,6 +1,7 @@
 """Filters, scores, stages, holdings measures and matching on hand-made rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,12 +55,65 @@ def test_one_row_stands_for_a_fund(spark):
     assert {x.scheme_code: x.unit_rank for x in r.one_per_unit(rows).collect()} == {"S0": 2, "S1": 1, "S2": 1}
 
 
-def test_greedy_drop():
-    assert r.greedy_drop([("A", 1), ("B", 2), ("C", 3)], [("A", "B", 100.0), ("A", "C", 100.0), ("B", "C", 100.0)]) == ["A"]
-    assert r.greedy_drop([("A", 1), ("B", 2)], [("A", "B", 30.0)]) == ["A", "B"]
-    # The largest overlap goes first: C drops out against B, then B against A.
-    assert r.greedy_drop([("A", 1), ("B", 2), ("C", 3)], [("A", "B", 40.0), ("B", "C", 50.0)]) == ["A"]
-    assert r.greedy_drop([("A", None), ("B", 2)], [("A", "B", 40.0)]) == ["B"]
+def greedy(ranked, pairs, most=30.0):
+    """One pair after another, from the largest overlap down."""
+    rank = {c: (10**9 if k is None else k, c) for c, k in ranked}
+    left = set(rank)
+    for a, b, o in sorted(pairs, key=lambda p: (-p[2], rank[p[0]], rank[p[1]])):
+        if o > most and a in left and b in left:
+            left.discard(max(a, b, key=rank.get))
+    return left
+
+
+def test_greedy_drop(spark):
+    rng = random.Random(3)
+    many = [(f"F{k}", rng.choice([None, 1, 2, 3, 4, 5])) for k in range(16)]
+    cases = [
+        ([("A", 1), ("B", 2), ("C", 3)], [("A", "B", 100.0), ("A", "C", 100.0), ("B", "C", 100.0)], {"A"}),
+        ([("A", 1), ("B", 2)], [("A", "B", 30.0)], {"A", "B"}),
+        ([("A", 1), ("B", 2), ("C", 3)], [("A", "B", 40.0), ("B", "C", 50.0)], {"A"}),  # C goes against B, then B against A
+        ([("A", None), ("B", 2)], [("A", "B", 40.0)], {"B"}),
+        (many, [(a, b, float(rng.choice([20, 35, 50, 50, 70]))) for n, (a, _) in enumerate(many) for b, _ in many[n + 1 :] if rng.random() < 0.4], None),
+    ]
+    for ranked, pairs, want in cases:
+        survivors = spark.createDataFrame(ranked, "scheme_code string, stage2_rank int")
+        table = spark.createDataFrame(pairs, "scheme_a string, scheme_b string, overlap_pct double")
+        got = {x.scheme_code for x in r.stage_three(survivors, table).collect()}
+        assert got == greedy(ranked, pairs) and want in (None, got)
+
+
+def test_matching_against_all_pairs(spark):
+    """Every pair of names that share a word, scored by the textbook recursion."""
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row
+            row = [0]
+            for j, y in enumerate(b, 1):
+                row.append(old[j - 1] + 1 if x == y else max(old[j], row[-1]))
+        return row[-1]
+
+    rng = random.Random(8)
+    vocabulary = ["ALPHA", "BETA", "GAMMA", "FUND", "MID", "CAP", "INDIA", "VALUE", "GROWTH", "TAX"]
+    names = sorted({" ".join(rng.sample(vocabulary, rng.randint(2, 5))) for _ in range(60)})
+    printed = sorted({n.replace("GROWTH", "GROWHT").replace("ALPHA", "ALPA") for n in names[::2]} | {"NOTHING"})
+    assert all(matching.common(a, b) == common(a, b) for a in printed[:12] for b in names)
+    got = matching.match_names(spark.createDataFrame([("x", n) for n in printed], "block string, name string"), spark.createDataFrame([("x", f"{k:03}", n) for k, n in enumerate(names)], "block string, scheme_code string, name string"))
+    for row in got.collect():
+        scored = sorted((-matching.token_set_ratio(row.name, c), c) for c in names if set(row.name.split()) & set(c.split()))[: matching.SHORTLIST]
+        near = [(s, c) for s, c in scored if -s >= matching.THRESHOLD and -s >= -scored[0][0] - matching.NEAR_BEST]
+        want = min(((-200 * common(row.name, c) / len(row.name + c), s, c) for s, c in near), default=None)
+        assert (row.scheme_code, row.score) == ((f"{names.index(want[2]):03}", pytest.approx(-want[1])) if want else (None, None))
+
+
+def test_canonical_schemes(spark):
+    cases = {
+        "HDFC Dividend Yield Fund - Regular Plan - IDCW Payout": "HDFC DIVIDEND YIELD FUND", "Axis Growth Opportunities Fund—Growth": "AXIS GROWTH OPPORTUNITIES FUND",
+        "Nippon India Small Cap Fund Direct Plan Growth Plan Growth Option": "NIPPON INDIA SMALL CAP FUND", "quant Mid Cap Fund Growth Plan Growth Option": "QUANT MID CAP FUND", "quant Mid Cap Fund Growth Plan - Growth Option": "QUANT MID CAP FUND GROWTH PLAN",
+        "SBI Multi-Asset Fund - Direct Plan": "SBI MULTI ASSET FUND", "Kotak FMP Series 12 Plan A": "KOTAK FMP SERIES 12 PLAN A", "": "", "Fund - Bonus": "FUND BONUS",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "v string").select("v", text.canonical_scheme(F.col("v")).alias("c")).collect()
+    assert {x.v: x.c for x in rows} == cases
 
 
 H = "scheme_code string, ticker string, as_of_month date, security_name string, weight_pct double, instrument_type string, isin string"

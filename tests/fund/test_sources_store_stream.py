@@ -86,6 +86,13 @@ def test_tables(spark, tmp_path):
     store.write_table(spark.read.parquet(path), f"{tmp_path}/p", "part")
     store.replace_partitions(spark.createDataFrame([(9, "z", 2)], "k int, v string, part int"), f"{tmp_path}/p", "part")
     assert sorted(x.k for x in spark.read.parquet(f"{tmp_path}/p").collect()) == [1, 2, 9]
+    part, untouched = f"{tmp_path}/p", {f.name for f in (tmp_path / "p" / "part=1").iterdir()}
+    store.upsert(spark.createDataFrame([(9, "y", 2), (10, "n", 3)], "k int, v string, part int"), part, ["k", "part"], "part")
+    assert sorted((x.k, x.v) for x in spark.read.parquet(part).collect()) == [(1, "a"), (2, "c"), (9, "y"), (10, "n")]
+    assert {f.name for f in (tmp_path / "p" / "part=1").iterdir()} == untouched  # other partitions are not written
+    (tmp_path / "t").rename(tmp_path / "t.before")  # a crash while a table took its place
+    store.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3 and not (tmp_path / "t.before").exists()
     assert sorted((x.k, x.v) for x in store.updated(old, spark.createDataFrame([(1, "q")], "k int, v string"), ["k"]).collect()) == [(1, "q"), (2, "b")]
     store.write_by_category(old.withColumn("canonical_category", F.lit("Large & Mid Cap")), f"{tmp_path}/c")
     assert spark.read.parquet(f"{tmp_path}/c/parquet").count() == 2 and (tmp_path / "c/csv/category_file=large_mid_cap").exists()
