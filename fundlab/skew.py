@@ -19,15 +19,16 @@ def hot_keys(counts: DataFrame, on: list[str], n: str = "n") -> DataFrame:
     return counts.filter(F.col(n) >= block).select(*on, F.ceil(F.col(n) / block).cast("int").alias("_blocks"))
 
 
-def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", wide: bool = False, counts: DataFrame | None = None) -> DataFrame:
+def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", wide: bool = False, counts: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """big joined (inner, left or left_semi) with small, which has at most one row for each key; keys are not null.
 
     A small side of at most BROADCAST_ROWS rows, which are counted, is broadcast,
     unless it is ``wide``. Else the rows of a hot key are dealt to several blocks
     by their hash, and small's row for it is repeated for each block; what is
-    broadcast then is the list of hot keys. counts: on and n of big, if known.
+    broadcast then is the list of hot keys. counts: on and n of big, if known;
+    rows: the rows of small, if known.
     """
-    if not wide and small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if not wide and (small.limit(BROADCAST_ROWS + 1).count() if rows is None else rows) <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
     hot = hot_keys(materialize(big.groupBy(*on).agg(F.count("*").alias("n"))) if counts is None else counts, on)
     if not hot.limit(1).count():
