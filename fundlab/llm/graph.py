@@ -23,10 +23,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     both = materialize(both.union(both.select("other", "node")).filter(F.col("node") != F.col("other")).distinct())
     degrees = materialize(both.groupBy("other").agg(F.count("*").alias("n")))
     labels = materialize(both.groupBy("node").agg(F.min("other").alias("near")).select("node", F.least("node", "near").alias("label")))
+    rows = labels.count()  # the same in every round
     for _ in range(most_rounds):
-        near = join_unique(both, labels.select(F.col("node").alias("other"), F.col("label").alias("near")), ["other"], counts=degrees)
+        near = join_unique(both, labels.select(F.col("node").alias("other"), F.col("label").alias("near")), ["other"], counts=degrees, rows=rows)
         near = near.groupBy("node").agg(F.min("near").alias("near"))
-        stepped = join_unique(labels.select("node", "label"), labels.select(F.col("node").alias("label"), F.col("label").alias("jump")), ["label"]).join(near, "node")
+        stepped = join_unique(labels.select("node", "label"), labels.select(F.col("node").alias("label"), F.col("label").alias("jump")), ["label"], rows=rows).join(near, "node")
         new = materialize(stepped.select("node", F.least("label", "jump", "near").alias("label"), (F.least("label", "jump", "near") != F.col("label")).alias("moved")))
         moved = new.filter("moved").limit(1).count()
         release(labels)

@@ -242,9 +242,11 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _mixed(large: DataFrame, found: DataFrame) -> DataFrame:
     """The texts of the buckets that hold several components, each with its component."""
     group = components(found.select("a", "b"))
-    placed = large.join(group, F.col("digest") == F.col("node"), "left").select("bucket", "digest", "weight", F.coalesce("component", "digest").alias("component"))
+    placed = materialize(large.join(group, F.col("digest") == F.col("node"), "left").select("bucket", "digest", "weight", F.coalesce("component", "digest").alias("component")))
     several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high"))
-    return materialize(join_unique(placed, several.select("bucket"), ["bucket"], "left_semi"))
+    out = materialize(join_unique(placed, materialize(several.select("bucket")), ["bucket"], "left_semi"))
+    release(placed)
+    return out
 
 
 def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
@@ -259,8 +261,9 @@ def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: floa
         placed = _mixed(large, found)
         parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), _centre().alias("hub"))
         main = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "hub")).alias("m")).select("bucket", F.col("m.component").alias("main"), F.col("m.hub").alias("main_hub"))
+        main = materialize(main)
         other = join_unique(parts, main, ["bucket"]).filter(F.col("component") != F.col("main")).groupBy("bucket").agg(F.max(F.struct("n", "hub", "component")).alias("o"))
-        new = join_unique(placed, other, ["bucket"]).filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
+        new = join_unique(placed, materialize(other), ["bucket"]).filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
         new = new.union(join_unique(placed, main, ["bucket"]).filter(F.col("component") != F.col("main")).select(*_ordered("digest", "main_hub"))).distinct()
         new = materialize(new.join(tried, ["a", "b"], "left_anti"))
         if not new.limit(1).count():
