@@ -33,7 +33,7 @@ from fundlab.storage import materialize, release
 K, REVERSE, BLOCK, DIRECTIONS = 24, 12, 96, 4
 ROUNDS, LEAST_CHANGE = 7, 0.002
 #: Search: nodes kept and widened each step, steps, pivots.
-POOL, WIDEN, STEPS, PIVOTS = 96, 16, 5, 256
+POOL, WIDEN, STEPS, PIVOTS = 256, 64, 9, 256
 #: Cosines of single precision, of directions equal to six digits, differ from exact ones by less.
 ROUNDING = 2e-5
 _PAIR = "node long, other long, score float, fresh boolean"
