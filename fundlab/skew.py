@@ -13,10 +13,20 @@ MOST_HOT, LEAST_HOT = 4096, 500
 BROADCAST_ROWS = 1 << 16
 
 
-def hot_keys(counts: DataFrame, on: list[str], n: str = "n") -> DataFrame:
-    """The hot keys, at most MOST_HOT rows, of a written table of counts: the keys and ``_blocks`` of about equal rows each holds."""
-    block = max(LEAST_HOT, (counts.agg(F.sum(n)).first()[0] or 0) / MOST_HOT)
-    return counts.filter(F.col(n) >= block).select(*on, F.ceil(F.col(n) / block).cast("int").alias("_blocks"))
+def key_counts(big: DataFrame, on: list[str]) -> DataFrame:
+    """A written table of the keys and the rows ``n`` of each; it knows the sum and the most of n."""
+    return materialize(big.groupBy(*on).agg(F.count("*").alias("n")), total=F.sum("n"), most=F.max("n"))
+
+
+def hot_keys(counts: DataFrame, on: list[str]) -> DataFrame | None:
+    """The hot keys, at most MOST_HOT rows, of a written table of counts n: the keys and ``_blocks`` of about equal rows each holds. None: no key is hot."""
+    seen = counts.__dict__.get("seen") or {}
+    if "most" not in seen:
+        seen = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first().asDict()
+    block = max(LEAST_HOT, (seen["total"] or 0) / MOST_HOT)
+    if (seen["most"] or 0) < block:
+        return None
+    return counts.filter(F.col("n") >= block).select(*on, F.ceil(F.col("n") / block).cast("int").alias("_blocks"))
 
 
 def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", wide: bool = False, counts: DataFrame | None = None, rows: int | None = None) -> DataFrame:
@@ -30,8 +40,8 @@ def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     """
     if not wide and (small.limit(BROADCAST_ROWS + 1).count() if rows is None else rows) <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
-    hot = hot_keys(materialize(big.groupBy(*on).agg(F.count("*").alias("n"))) if counts is None else counts, on)
-    if not hot.limit(1).count():
+    hot = hot_keys(key_counts(big, on) if counts is None else counts, on)
+    if hot is None:
         return big.join(small, on, how)
     salt = F.coalesce(F.pmod(F.xxhash64(*[f"`{c}`" for c in big.columns]), F.col("_blocks")), F.lit(0)).cast("int")
     dealt = big.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_blocks")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -24,19 +24,22 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, **seen: Column) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 
     This cuts the lineage like a reliable checkpoint: the rows outlive the loss
     of any executor, and later plans read only the columns they need. The files
-    go when the Python process ends, or with release().
+    go when the Python process ends, or with release(). ``seen`` are aggregates that
+    are taken while the rows are written, without a further job: ``out.seen`` holds them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    watch = Observation() if seen else None
+    (df.observe(watch, *[c.alias(k) for k, c in seen.items()]) if seen else df).write.parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._fundlab_path = path
+    out.seen = watch.get if seen else {}
     return out
 
 
