@@ -10,7 +10,7 @@ Jaccard similarity confirms them. Groups are the connected components.
 
 Equal texts are one node from the start. In a band's bucket of few texts all
 pairs are candidates. In a larger one each text is compared with the text most
-central by bucket sizes; then, round by round, texts of other components with the
+central by bucket sizes; then, in ROUNDS rounds, texts of other components with the
 central texts of large components. These rounds only save work: the texts of all
 buckets that still hold several components go through an exact similarity join,
 which compares every two texts of different components that can reach the threshold.
@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 
 from fundlab.llm.blocks import LOWER, SpanHash, blocks, mix, row_of, words
 from fundlab.llm.graph import components
-from fundlab.skew import join_unique
+from fundlab.skew import join_unique, key_counts
 from fundlab.storage import materialize, release
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
 #: Buckets of up to so many texts give all their pairs.
 SMALL_BUCKET = 16
-ROUNDS = 4
+ROUNDS = 1
 #: Texts from which the order of shingles is estimated (any order gives the same links), and texts of one block of the join.
 ORDER_TEXTS, JOIN_BLOCK = 1 << 12, 1 << 11
 #: Texts whose shingles a task keeps while it compares pairs.
@@ -205,7 +205,7 @@ def verified(pairs: DataFrame, texts: DataFrame, cells: np.ndarray, threshold: f
     shared = pairs.sparkSession.sparkContext.broadcast(cells)
     left = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    counts = materialize(pairs.groupBy("b").agg(F.count("*").alias("n")))
+    counts = key_counts(pairs, ["b"])
     return join_unique(join_unique(pairs, left, ["a"], wide=True), right, ["b"], wide=True, counts=counts).mapInArrow(_similar(shared, threshold), "a string, b string, similarity double")
 
 
@@ -221,7 +221,7 @@ def _members(signed: DataFrame) -> DataFrame:
     """bucket, digest, n of the buckets of two or more different texts."""
     members = signed.select("digest", "bands").dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("bucket"))
     members = materialize(members)
-    sizes = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")))
+    sizes = key_counts(members, ["bucket"])
     out = materialize(join_unique(members, sizes.filter("n > 1"), ["bucket"], counts=sizes))
     release(members)
     return out
@@ -233,54 +233,67 @@ def _first_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     one, two = small.select("bucket", F.col("digest").alias("x")), small.select("bucket", F.col("digest").alias("y"))
     pairs = one.join(two, "bucket").filter(F.col("x") < F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b"))
     central = large.groupBy("digest").agg(F.sum("n").alias("weight"))
-    large = materialize(large.select("bucket", "digest").join(central, "digest"))
+    large = materialize(large.select("bucket", "digest").join(central, "digest"), n=F.count(F.lit(1)))
     hubs = large.groupBy("bucket").agg(_centre().alias("hub"))
     stars = join_unique(large, hubs, ["bucket"]).filter(F.col("digest") != F.col("hub")).select(*_ordered("digest", "hub"))
     return pairs.union(stars).distinct(), large
 
 
-def _mixed(large: DataFrame, found: DataFrame) -> DataFrame:
+def _mixed(large: DataFrame, group: DataFrame) -> DataFrame:
     """The texts of the buckets that hold several components, each with its component."""
-    group = components(found.select("a", "b"))
     placed = materialize(large.join(group, F.col("digest") == F.col("node"), "left").select("bucket", "digest", "weight", F.coalesce("component", "digest").alias("component")))
     several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") != F.col("high"))
-    out = materialize(join_unique(placed, materialize(several.select("bucket")), ["bucket"], "left_semi"))
+    several = materialize(several.select("bucket"), n=F.count(F.lit(1)))
+    out = materialize(join_unique(placed, several, ["bucket"], "left_semi", rows=several.seen["n"]), n=F.count(F.lit(1)))
     release(placed)
     return out
 
 
-def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """Confirmed pairs (a, b, similarity) of digests, enough of them to connect every group."""
+def _linked(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Confirmed pairs (a, b, similarity) of digests, enough of them to connect every group, and the groups (node, component)."""
+    written = lambda df: materialize(df, n=F.count(F.lit(1)))
     members = _members(signed)
     texts = docs.select(F.md5("text").alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"))
     texts = materialize(texts.join(members.select("digest").distinct(), "digest", "left_semi"))
     first, large = _first_pairs(members)
     tried = materialize(first)
     found = materialize(verified(tried, texts, cells, threshold))
-    for _ in range(ROUNDS if large.limit(1).count() else 0):
-        placed = _mixed(large, found)
+    group = components(found.select("a", "b"))
+    for _ in range(ROUNDS if large.seen["n"] else 0):
+        placed = _mixed(large, group)
+        if not placed.seen["n"]:
+            break
         parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), _centre().alias("hub"))
         main = parts.groupBy("bucket").agg(F.max(F.struct("n", "component", "hub")).alias("m")).select("bucket", F.col("m.component").alias("main"), F.col("m.hub").alias("main_hub"))
-        main = materialize(main)
-        other = join_unique(parts, main, ["bucket"]).filter(F.col("component") != F.col("main")).groupBy("bucket").agg(F.max(F.struct("n", "hub", "component")).alias("o"))
-        new = join_unique(placed, materialize(other), ["bucket"]).filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
-        new = new.union(join_unique(placed, main, ["bucket"]).filter(F.col("component") != F.col("main")).select(*_ordered("digest", "main_hub"))).distinct()
-        new = materialize(new.join(tried, ["a", "b"], "left_anti"))
-        if not new.limit(1).count():
+        main = written(main)
+        other = join_unique(parts, main, ["bucket"], rows=main.seen["n"]).filter(F.col("component") != F.col("main")).groupBy("bucket").agg(F.max(F.struct("n", "hub", "component")).alias("o"))
+        other = written(other)
+        new = join_unique(placed, other, ["bucket"], rows=other.seen["n"]).filter(F.col("component") != F.col("o.component")).select(*_ordered("digest", "o.hub"))
+        new = new.union(join_unique(placed, main, ["bucket"], rows=main.seen["n"]).filter(F.col("component") != F.col("main")).select(*_ordered("digest", "main_hub"))).distinct()
+        new = written(new.join(tried, ["a", "b"], "left_anti"))
+        if not new.seen["n"]:
             break
-        fresh = materialize(verified(new, texts, cells, threshold))
+        fresh = written(verified(new, texts, cells, threshold))
         tried, found = tried.union(new), found.union(fresh)
-        if not fresh.limit(1).count():
+        if not fresh.seen["n"]:
             break
-    if large.limit(1).count():
-        mixed = materialize(texts.join(_mixed(large, found).select("digest", "component").distinct(), "digest"))
-        if mixed.limit(1).count():
-            new = materialize(possible_pairs(mixed, cells, threshold).join(tried, ["a", "b"], "left_anti"))
-            found = found.union(materialize(verified(new, texts, cells, threshold)))
+        group = components(found.select("a", "b"))
+    if large.seen["n"] and (placed := _mixed(large, group)).seen["n"]:
+        mixed = written(texts.join(placed.select("digest", "component").distinct(), "digest"))
+        new = materialize(possible_pairs(mixed, cells, threshold).join(tried, ["a", "b"], "left_anti"))
+        fresh = written(verified(new, texts, cells, threshold))
+        if fresh.seen["n"]:
+            found = found.union(fresh)
+            group = components(found.select("a", "b"))
         release(mixed)
     for used in (members, large, texts):
         release(used)
-    return found
+    return found, group
+
+
+def links(docs: DataFrame, signed: DataFrame, cells: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """Confirmed pairs (a, b, similarity) of digests, enough of them to connect every group."""
+    return _linked(docs, signed, cells, threshold)[0]
 
 
 def _prefixes(shared, threshold: float):
@@ -329,8 +342,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     docs = docs.select("doc_id", "text")
     cells = frequency_cells(docs)
     signed = materialize(signatures(docs, cells))
-    found = links(docs, signed, cells, threshold)
-    group = components(found.select("a", "b"))
+    found, group = _linked(docs, signed, cells, threshold)
     ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     nodes = group.join(ends, "node")
     nodes = materialize(nodes.withColumnRenamed("node", "digest"))
