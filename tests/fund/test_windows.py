@@ -89,6 +89,14 @@ def test_risk_free_and_synthetic_index(spark):
         series.synthetic_index(eq, rf, 1.5)
 
 
-def test_steps_must_be_days_or_weeks(spark):
-    with pytest.raises(ValueError):
-        windows.spread(aligned(spark, n=40)[0], ["nav"], step=3)
+def test_a_day_on_a_window_border_counts_once_and_flat_series_have_no_ratio(spark):
+    df, frame = aligned(spark, n=1200)
+    gaps = frame.drop(index=[*range(700, 716), 1095])  # more than two weeks without rows, and the last day of the first window
+    got = {r.window_end: r.n for r in windows.grid(spark.createDataFrame(gaps), ["fund_log_ret"]).collect()}
+    dates, first = pd.to_datetime(gaps["date"]), pd.Timestamp(frame["date"].iloc[0])
+    ends = [first + pd.Timedelta(days=1095 + 7 * k) for k in range(15)]
+    assert got == {e.date(): int(((dates >= e - pd.Timedelta(days=1095)) & (dates <= e)).sum()) for e in ends if e.date() <= frame["date"].iloc[-1]}
+    assert windows.information_ratio(aligned(spark, n=1200, fund=lambda b: b)[0]).count() == 0
+    assert windows.sortino(df.withColumn("fund_log_ret", df["rate_daily_log"] + 1e-4)).count() == 0
+    assert windows.regression_windows(df.withColumn("bench_log_ret", df["rate_daily_log"])).count() == 0
+    assert windows.grid(df.filter("false"), ["nav"]).count() == 0
