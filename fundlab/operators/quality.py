@@ -77,6 +77,13 @@ def inventory(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date")).withColumn("n_expected", F.floor((F.datediff("last_date", "first_date") + 1) * 5 / 7))
 
 
+def worst_coverage(rows: DataFrame, key: str, least_missing: int = 30, top: int = 20) -> DataFrame:
+    """The ``top`` keys that miss most days (more than ``least_missing``; ties: least key first) of five in seven days of their own span."""
+    seen = rows.groupBy(key).agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.countDistinct("date").alias("n_seen"))
+    missing = F.round(F.datediff("last_date", "first_date") / 7 * 5).cast("long") - F.col("n_seen")
+    return seen.withColumn("n_missing", missing).filter(F.col("n_missing") > least_missing).orderBy(F.desc("n_missing"), key).limit(top)
+
+
 def status(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """table_name, n_rows, n_keys for name -> (frame, key column)."""
     return reduce(DataFrame.unionByName, [t.agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows"), F.countDistinct(k).alias("n_keys")) for n, (t, k) in tables.items()])

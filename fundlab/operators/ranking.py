@@ -21,11 +21,14 @@ REQUIRED = ["active_share_median_1y", "style_drift_3y", "ptr_latest", "aum_impac
 WINSOR, POOL, FINAL, MOST_OVERLAP = 3.0, 20, 5, 30.0
 
 
-def hard_filters(metrics: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Rows of good quality within the floors; a missing metric passes its floor."""
-    keep = ~F.col("data_quality_flag").isin(BAD_FLAGS) & F.col("canonical_category").isNotNull()
+def hard_filters(metrics: DataFrame, categories: list[str] | None = None, skip: bool = False) -> DataFrame:
+    """Rows of good quality within the floors; a missing metric passes its floor. skip: rows need a category only."""
+    keep = F.col("canonical_category").isNotNull()
     if categories is not None:
         keep &= F.col("canonical_category").isin(categories)
+    if skip:
+        return metrics.filter(keep)
+    keep &= ~F.col("data_quality_flag").isin(BAD_FLAGS)
     for name, (low, high) in FLOORS.items():
         inside = F.col(name) > low if high is None else F.col(name).between(low, high)
         keep &= F.col(name).isNull() | inside
@@ -77,9 +80,9 @@ def top_n(scored: DataFrame, n: int | None, rank: str = "rank") -> DataFrame:
     return ranked if n is None else ranked.filter(F.col(rank) <= n)
 
 
-def stage_one(metrics: DataFrame, dimension: DataFrame | None = None) -> DataFrame:
+def stage_one(metrics: DataFrame, dimension: DataFrame | None = None, categories: list[str] | None = None, skip_filters: bool = False) -> DataFrame:
     """Filtered, scored and (where base_fund_id is known) deduplicated funds."""
-    scored = composite(zscores(hard_filters(metrics), list(STAGE_1)), STAGE_1)
+    scored = composite(zscores(hard_filters(metrics, categories, skip_filters), list(STAGE_1)), STAGE_1)
     if dimension is not None:
         scored = scored.join(dimension, "scheme_code", "left")
     return one_per_unit(scored).filter("unit_rank = 1").drop("unit_rank") if "base_fund_id" in scored.columns else scored
@@ -99,7 +102,10 @@ def stage_two(scored: DataFrame, pool: int = POOL, final: int = FINAL) -> tuple[
 
 
 def coverage(considered: DataFrame, survivors: DataFrame) -> DataFrame:
-    """Counts and assets of each category's pool: considered, surviving, dropped for missing metrics."""
+    """Counts and assets of each category's pool: considered, surviving, dropped for missing metrics.
+
+    With source_amc, top_dropped_amc is the company of most dropped rows (ties: the least name).
+    """
     lived = survivors.select("scheme_code", F.lit(True).alias("lived"))
     rows = considered.join(lived, "scheme_code", "left")
     aum = F.coalesce("aum_crore", F.lit(0.0))
@@ -107,7 +113,12 @@ def coverage(considered: DataFrame, survivors: DataFrame) -> DataFrame:
         F.count("*").alias("n_considered"), F.count("lived").alias("n_survived"), F.count_if(F.col("missing_metrics") != "").alias("n_dropped"),
         F.bround(F.sum(aum), 2).alias("aum_considered"), F.bround(F.sum(F.when(F.col("lived"), aum).otherwise(0.0)), 2).alias("aum_survived"),
     )
-    return out.withColumns({"pct_survived": F.bround(100.0 * F.col("n_survived") / F.col("n_considered"), 1), "aum_dropped": F.bround(F.col("aum_considered") - F.col("aum_survived"), 2)})
+    share = F.when(F.col("aum_considered") != 0, F.bround(100.0 * F.col("aum_survived") / F.col("aum_considered"), 1)).otherwise(0.0)
+    out = out.withColumns({"pct_survived": F.bround(100.0 * F.col("n_survived") / F.col("n_considered"), 1), "aum_dropped": F.bround(F.col("aum_considered") - F.col("aum_survived"), 2), "pct_aum_survived": share})
+    if "source_amc" not in considered.columns:
+        return out
+    lost = considered.filter("missing_metrics <> '' and source_amc is not null").groupBy("canonical_category", "source_amc").agg((-F.count("*")).alias("n"))
+    return out.join(lost.groupBy("canonical_category").agg(F.min_by("source_amc", F.struct("n", "source_amc")).alias("top_dropped_amc")), "canonical_category", "left")
 
 
 def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame:

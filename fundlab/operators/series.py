@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundlab.operators.quality import StaleData
+
+# The rate (in percent) where none is known, and the days a rate may be old.
+FALLBACK_RATE, MAX_RATE_LAG = 6.5, 14
+
 
 def scheme_bounds(nav: DataFrame) -> DataFrame:
     """First and last date of each scheme."""
@@ -59,6 +64,34 @@ def daily_risk_free(observed: DataFrame, last_date=None) -> DataFrame:
     return days.join(rates, "date", "left").select("date", held.alias("rate_annual")).withColumn("rate_daily", F.pow(1 + F.col("rate_annual"), F.lit(1 / 252)) - 1)
 
 
+def observed_rates(scraped: DataFrame, manual: DataFrame, end: str, start: str | None = None, max_lag: int = MAX_RATE_LAG, allow_fallback: bool = False) -> DataFrame:
+    """date, rate of both sources (date, rate), the manual one where dates meet.
+
+    Without any rate, and only with allow_fallback, FALLBACK_RATE holds from ``start`` (or ``end``) on; without
+    it no rates, or a last one more than max_lag days before end, raise StaleData.
+    """
+    rates = merge_by_source([manual.select("date", "rate").dropna(), scraped.select("date", "rate").dropna()])
+    last = rates.agg(F.max("date").alias("last"), F.datediff(F.lit(end).cast("date"), F.max("date")).alias("lag")).first()
+    if last["last"] is None:
+        if not allow_fallback:
+            raise StaleData("no observed rate")
+        return rates.sparkSession.range(1).select(F.lit(start or end).cast("date").alias("date"), F.lit(FALLBACK_RATE).alias("rate"))
+    if last["lag"] > max_lag and not allow_fallback:
+        raise StaleData(f"the last rate is of {last['last']}, {last['lag']} days before {end}; allowed are {max_lag}")
+    return rates
+
+
+def date_chunks(span: DataFrame, days: int) -> DataFrame:
+    """chunk_start, chunk_end: the spans (start, end) cut into runs of ``days`` days, the last one shorter."""
+    starts = span.filter("start <= end").select("end", F.explode(F.sequence("start", "end", F.make_interval(days=F.lit(days)))).alias("chunk_start"))
+    return starts.select("chunk_start", F.least("end", F.date_add("chunk_start", days - 1)).alias("chunk_end"))
+
+
+def previous_month(day: Column) -> Column:
+    """The first day of the month before."""
+    return F.add_months(F.trunc(day, "month"), -1)
+
+
 def merge_by_source(sources: list[DataFrame], key: str = "date") -> DataFrame:
     """Rows of several sources, those of earlier sources first where keys meet."""
     ranked = None

@@ -188,7 +188,21 @@ def sql() -> dict[str, str]:
         "stage2_dropped": metrics(_TWO + " SELECT canonical_category, scheme_code, stage1_rank, missing_metrics FROM pool WHERE missing_metrics <> ''"),
         "stage2_coverage": metrics(_TWO + """ SELECT p.canonical_category, count(*) AS n_considered, count(l.scheme_code) AS n_survived, count(*) FILTER (p.missing_metrics <> '') AS n_dropped, round(sum(p.aum_crore), 1) AS aum_considered,
             round(sum(CASE WHEN l.scheme_code IS NULL THEN 0 ELSE p.aum_crore END), 1) AS aum_survived, round(100.0 * count(l.scheme_code) / count(*), 1) AS pct_survived,
-            round(sum(CASE WHEN l.scheme_code IS NULL THEN p.aum_crore ELSE 0 END), 1) AS aum_dropped FROM pool p LEFT JOIN lived l USING (scheme_code) GROUP BY 1"""),
+            round(sum(CASE WHEN l.scheme_code IS NULL THEN p.aum_crore ELSE 0 END), 1) AS aum_dropped,
+            round(100.0 * sum(CASE WHEN l.scheme_code IS NULL THEN 0 ELSE p.aum_crore END) / sum(p.aum_crore), 1) AS pct_aum_survived,
+            (SELECT x.source_amc FROM pool x WHERE x.canonical_category = p.canonical_category AND x.missing_metrics <> '' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_dropped_amc FROM pool p LEFT JOIN lived l USING (scheme_code) GROUP BY 1"""),
+        "composite_unfiltered": metrics(f", hard AS (SELECT * FROM scheme_metrics WHERE canonical_category IN ('ASIA', 'EUROPE')), {_z('z', 'hard', list(STAGE_1))}, s AS (SELECT *, {_total(STAGE_1)} AS composite_score FROM z) SELECT scheme_code, canonical_category, round(composite_score, 6) + 0.0 AS composite_score FROM s QUALIFY {_UNIT} = 1"),
+        "worst_coverage": """SELECT o_custkey, min(o_orderdate)::DATE AS first_date, max(o_orderdate)::DATE AS last_date, count(DISTINCT o_orderdate::DATE) AS n_seen, CAST(round((max(o_orderdate)::DATE - min(o_orderdate)::DATE) / 7.0 * 5) AS BIGINT) - count(DISTINCT o_orderdate::DATE) AS n_missing
+            FROM orders GROUP BY 1 HAVING n_missing > 30 ORDER BY n_missing DESC, o_custkey LIMIT 20""",
+        "index_records_parse": with_relations(["benchmark_by_ticker"], "SELECT ticker, date, floor(close) AS close FROM benchmark_by_ticker WHERE day(date) <> 3"),
+        "index_name_match": """SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN lower(p_brand) || 'totalreturn' ELSE ' IX  ' || p_brand END AS name, upper('Ix ' || p_brand) AS trading_name, p_brand || ' Total Return' AS long_name FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""",
+        "quarter_labels": """WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders), q AS (SELECT d.day, max(e.quarter_end) AS quarter_end FROM d JOIN (
+            SELECT DISTINCT last_day(make_date(y, m, 1)) AS quarter_end FROM range(1985, 2030) a(y), (VALUES (3), (6), (9), (12)) b(m)) e ON e.quarter_end <= d.day - 45 GROUP BY 1)
+            SELECT day, 'Q' || CASE month(quarter_end) WHEN 3 THEN 4 WHEN 6 THEN 1 WHEN 9 THEN 2 ELSE 3 END || '-' || year(quarter_end) AS label, quarter_end, CAST(date_trunc('month', day) - INTERVAL 1 MONTH AS DATE) AS previous_month FROM q""",
+        "expense_ratio_last": """SELECT CAST(l_suppkey AS VARCHAR) AS scheme_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS effective_date, round(CAST(arg_max(l_tax, l_orderkey * 100 + l_linenumber) AS DOUBLE), 6) + 0.0 AS ter_pct, year(date_trunc('month', l_shipdate)) AS year FROM lineitem GROUP BY l_suppkey, date_trunc('month', l_shipdate)""",
+        "rates_with_manual": with_relations(["rf_observed", "calendar"], "SELECT coalesce(m.date, r.date) AS date, coalesce(m.rate, r.rate) AS rate FROM rf_observed r FULL JOIN (SELECT date, CAST(7.25 AS DOUBLE) AS rate FROM calendar WHERE day(date) = 8) m ON m.date = r.date"),
+        "date_chunks": """WITH s AS (SELECT o_custkey, min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS b FROM orders GROUP BY 1), c AS (SELECT b, CAST(unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 365 DAY)) AS DATE) AS chunk_start FROM s)
+            SELECT chunk_start, CAST(least(b, chunk_start + 364) AS DATE) AS chunk_end, count(*) AS n FROM c GROUP BY 1, 2""",
         "pairwise_overlap": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o, count(*) AS n FROM met GROUP BY 1, 2)
             SELECT p.scheme_a, p.scheme_b, CASE WHEN r.reason IS NULL THEN round(coalesce(o, 0), 1) END AS overlap_pct, coalesce(n, 0) AS n_shared, r.reason FROM pairs p LEFT JOIN s USING (scheme_a, scheme_b),
             LATERAL (SELECT CASE WHEN p.scheme_a NOT IN (SELECT scheme_code FROM b) OR p.scheme_b NOT IN (SELECT scheme_code FROM b) THEN 'missing_holdings' END AS reason) r"""),

@@ -29,7 +29,7 @@ RELATIONS = {
         CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE round(avg(l_tax) * 2 + 0.5 - avg(l_discount), 6) END AS style_drift_3y,
         CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE round(avg(l_extendedprice) / 1000, 6) END AS active_share_median_1y,
         CASE WHEN s_suppkey % 10 = 1 THEN NULL ELSE round(avg(l_quantity) / 17, 6) END AS ptr_latest,
-        CAST(s_suppkey % 12 AS DOUBLE) AS aum_impact_cost_days, round(max(s_acctbal) / 10 + 1000, 2) AS aum_crore,
+        CAST(s_suppkey % 12 AS DOUBLE) AS aum_impact_cost_days, round(max(s_acctbal) / 10 + 1000, 2) AS aum_crore, 'House ' || CAST(s_suppkey % 4 AS VARCHAR(12)) AS source_amc,
         CASE WHEN s_suppkey % 17 = 0 THEN 'POOR' WHEN s_suppkey % 19 = 0 THEN 'INSUFFICIENT_HISTORY' ELSE 'GOOD' END AS data_quality_flag,
         'f' || CAST(s_suppkey - s_suppkey % 3 AS VARCHAR(12)) || CASE WHEN s_suppkey % 3 = 2 THEN '_bonus' ELSE '' END AS base_fund_id
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY s_suppkey""",

@@ -35,6 +35,13 @@ def with_phase_two(metrics: DataFrame, pool: DataFrame, holdings: DataFrame, con
     return rows
 
 
+def rank_deep(metrics: DataFrame, holdings: DataFrame, constituents: DataFrame, turnover: DataFrame, adv: DataFrame, aum: DataFrame, as_of: str, categories: list[str] | None = None, pool: int = r.POOL, final: int = r.FINAL) -> Shortlists:
+    """All stages: the best of stage one get their holdings measures, are scored again among themselves and go through stages two and three."""
+    best = materialize(r.top_n(r.stage_one(metrics, categories=categories), pool).select("scheme_code"))
+    deep = materialize(with_phase_two(metrics, best, holdings, constituents, turnover, adv, aum, as_of))
+    return shortlists(deep, holdings, pool, final)
+
+
 def shortlists(metrics: DataFrame, holdings: DataFrame, pool: int = r.POOL, final: int = r.FINAL) -> Shortlists:
     """Stages one to three over metrics that already have the holdings measures."""
     one = materialize(r.stage_one(metrics))

@@ -16,6 +16,7 @@ from fundlab.operators import quality, ranking, series, store, windows
 from fundlab.plans.relations import relation
 from fundlab.plans.staged import shortlists
 from fundlab.sources import landing
+from fundlab.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -486,6 +487,61 @@ def pool_semi_join(spark, sf):
     return held.groupBy("scheme_code").agg(F.count("*").alias("n"))
 
 
+@query
+def composite_unfiltered(spark, sf):
+    """Stage one of two categories without the floors."""
+    out = ranking.stage_one(relation(spark, sf, "scheme_metrics"), categories=["ASIA", "EUROPE"], skip_filters=True)
+    return rounded(out.select("scheme_code", "canonical_category", "composite_score"))
+
+
+@query
+def worst_coverage(spark, sf):
+    orders = table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("date"))
+    return rounded(quality.worst_coverage(orders, "o_custkey"))
+
+
+@query
+def index_records_parse(spark, sf):
+    """Index levels as JSON records under changing keys and date formats."""
+    level, day = F.format_number(F.floor("close"), 0), F.dayofmonth("date") % 4
+    record = F.when(day == 0, F.to_json(F.struct(F.date_format("date", "dd MMM yyyy").alias("Date"), level.alias("TotalReturnsIndex")))).when(day == 1, F.to_json(F.struct(F.date_format("date", "dd-MMM-yyyy").alias("HistoricalDate"), level.alias("TR"))))
+    record = record.when(day == 2, F.to_json(F.struct(F.date_format("date", "yyyy-MM-dd").alias("TradeDate"), level.alias("Close")))).otherwise(F.to_json(F.struct(F.date_format("date", "dd-MM-yyyy").alias("Date"), F.when(F.dayofmonth("date") == 3, "n.a.").otherwise(level).alias("IndexValue"))))
+    return landing.index_records(materialize(relation(spark, sf, "benchmark_by_ticker").select("ticker", record.alias("record"))))
+
+
+@query
+def index_name_match(spark, sf):
+    parts = table(spark, sf, "part")
+    mapping = parts.select(F.concat(F.lit("Ix "), "p_brand").alias("trading_name"), F.concat("p_brand", F.lit(" Total Return")).alias("long_name")).distinct()
+    wanted = parts.select(F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lower("p_brand"), F.lit("totalreturn"))).when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" IX  "), "p_brand")).otherwise(F.lit("none")).alias("name")).distinct()
+    return landing.index_names(wanted, mapping)
+
+
+@query
+def quarter_labels(spark, sf):
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct().withColumn("label", landing.latest_quarter(F.col("day")))
+    return days.select("day", "label", landing.quarter_end(F.col("label")).alias("quarter_end"), series.previous_month(F.col("day")).alias("previous_month"))
+
+
+@query
+def expense_ratio_last(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("scheme_code"), F.trunc("l_shipdate", "month").cast("string").alias("effective_date"), F.col("l_tax").cast("string").alias("ter_pct"), F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("row_no"))
+    return rounded(landing.expense_ratios(rows))
+
+
+@query
+def rates_with_manual(spark, sf):
+    scraped = relation(spark, sf, "rf_observed")
+    manual = landing.manual_rates(relation(spark, sf, "calendar").filter("day(date) = 8 or day(date) = 9").select(F.col("date").cast("string").alias(" Date"), F.when(F.dayofmonth("date") == 8, "7.25").otherwise("x").alias("Cut-off Yield")))
+    return series.observed_rates(scraped, manual, AS_OF, max_lag=500)
+
+
+@query
+def date_chunks(spark, sf):
+    span = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("start"), F.max("o_orderdate").cast("date").alias("end"))
+    return series.date_chunks(span, 365).groupBy("chunk_start", "chunk_end").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -163,3 +163,12 @@ def test_names_and_matching(spark):
     printed = spark.createDataFrame([("a", "BANK OF INDIA MID CAP FUND"), ("b", "NOTHING LIKE IT")], "block string, name string")
     got = {x.name: x.scheme_code for x in matching.match_names(printed, pool).collect()}
     assert got == {"BANK OF INDIA MID CAP FUND": "1", "NOTHING LIKE IT": None}
+
+
+def test_unfiltered_stage_one_and_the_company_of_most_dropped(spark):
+    rows = metrics(spark, {"data_quality_flag": "POOR", "ptr_latest": None}, {"ptr_latest": None}, {"style_drift_3y": None}, {"aum_crore": 30.0}, {"canonical_category": "Mid Cap"}, {"canonical_category": None})
+    assert r.stage_one(rows, skip_filters=True).count() == 5 and r.stage_one(rows, categories=["Mid Cap"]).count() == 1
+    rows = rows.withColumn("source_amc", F.when(F.col("scheme_code") == "S2", "A").otherwise("B"))
+    got = {x.canonical_category: x for x in r.stage_two(r.stage_one(rows, skip_filters=True))[2].collect()}
+    assert (got["Large Cap"].top_dropped_amc, got["Large Cap"].pct_aum_survived) == ("B", 50.0)
+    assert (got["Mid Cap"].top_dropped_amc, got["Mid Cap"].pct_aum_survived) == (None, 100.0)

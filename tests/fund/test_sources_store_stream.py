@@ -113,3 +113,39 @@ def test_price_stream_merges(spark, tmp_path):
         spark.createDataFrame(rows, ingest.NAV_SCHEMA).write.mode("append").parquet(landing_dir)
         ingest.merge_stream(ingest.nav_stream(spark, landing_dir), f"{tmp_path}/table", f"{tmp_path}/marks").awaitTermination()
     assert sorted((x.scheme_code, x.nav) for x in spark.read.parquet(f"{tmp_path}/table").collect()) == [("A", 3.0), ("B", 2.0)]
+
+
+def test_index_records_take_the_first_key_that_is_there(spark):
+    rows = [("A", '{"Date": "15 Jan 2024", "TotalReturnsIndex": "32,471.80"}'), ("A", '{"HistoricalDate": "16-Jan-2024", "TR": "5", "Close": "6"}'), ("A", '{"Date": "", "TradeDate": "2024-01-17", "IndexValue": 7}'), ("A", '{"Date": "15-01-2024", "Close": "99999"}'), ("A", '{"Date": "soon", "Close": "1"}'), ("A", '{"Date": "2024-01-18", "Close": "x"}'), ("A", "no json"), ("A", None)]
+    got = landing.index_records(spark.createDataFrame(rows, "ticker string, record string")).orderBy("date").collect()
+    assert [(r.date.day, r.close) for r in got] == [(15, 32471.8), (16, 5.0), (17, 7.0)]
+
+
+def test_index_names_match_but_for_case_and_blanks(spark):
+    mapping = spark.createDataFrame([("IX 50", "Index Fifty"), ("ix 100 ", "Index  Hundred"), ("", None)], "trading_name string, long_name string")
+    wanted = spark.createDataFrame([("index fifty",), ("Ix100",), ("Index Ten",), (None,), ("",)], "name string")
+    got = {r.name: (r.trading_name, r.long_name) for r in map(lambda r: type("R", (), r.asDict()), landing.index_names(wanted, mapping).collect())}
+    assert got == {"index fifty": ("IX 50", "Index Fifty"), "Ix100": ("IX 100", "Index  Hundred")}
+
+
+def test_manual_rates(spark):
+    table = spark.createDataFrame([("2024-01-05", "6.9", "a"), ("x", "7", "a"), ("2024-01-06", "-", "a")], "` Date ` string, `Yield pct` string, note string")
+    assert [tuple(r) for r in landing.manual_rates(table).collect()] == [(dt.date(2024, 1, 5), 6.9)]
+    assert landing.manual_rates(table.drop("Yield pct")).count() == 0
+
+
+@pytest.mark.parametrize("day, label, end", [("2026-05-15", "Q4-2026", "2026-03-31"), ("2026-05-14", "Q3-2025", "2025-12-31"), ("2025-08-14", "Q1-2025", "2025-06-30"), ("2025-12-31", "Q2-2025", "2025-09-30")])
+def test_quarters(spark, day, label, end):
+    got = spark.range(1).select(landing.latest_quarter(F.lit(day).cast("date")).alias("label"), landing.quarter_end(F.lit(f" {label.lower()} ")).cast("string").alias("end"), landing.quarter_end(F.lit("Q5-2025")).alias("bad")).first()
+    assert tuple(got) == (label, end, None)
+
+
+def test_the_last_expense_ratio_counts(spark):
+    rows = spark.createDataFrame([(1, "2024-01-05", "0.5", "a", 1), (1, "2024-01-05", "0.6", "b", 0), (1, "2024-01-05", "0.4", "a", 2), (2, None, "1", "a", 3)], "scheme_code int, effective_date string, ter_pct string, file string, row_no int")
+    assert sorted((r.scheme_code, r.ter_pct, r.year) for r in landing.expense_ratios(rows).collect()) == [("1", 0.6, 2024), ("2", 1.0, None)]
+
+
+def test_keys_of_worst_coverage(spark):
+    rows = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(d)) for k, days in ((1, (0, 140)), (2, (0, 70)), (3, (0, 140, 140)), (4, (0, 14))) for d in days], "k int, date date")
+    assert [(r.k, r.n_missing) for r in quality.worst_coverage(rows, "k").collect()] == [(1, 98), (3, 98), (2, 48)]
+    assert [r.k for r in quality.worst_coverage(rows, "k", top=1).collect()] == [1]

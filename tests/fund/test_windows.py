@@ -1,10 +1,13 @@
 """Rolling-window metrics on seeded series with known answers."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from fundlab.operators import series, windows
+from fundlab.operators import quality, series, windows
 
 
 def aligned(spark, n=1008, beta=1.0, drift=1e-4, noise=0.002, seed=42, fund=None):
@@ -100,3 +103,23 @@ def test_a_day_on_a_window_border_counts_once_and_flat_series_have_no_ratio(spar
     assert windows.sortino(df.withColumn("fund_log_ret", df["rate_daily_log"] + 1e-4)).count() == 0
     assert windows.regression_windows(df.withColumn("bench_log_ret", df["rate_daily_log"])).count() == 0
     assert windows.grid(df.filter("false"), ["nav"]).count() == 0
+
+
+def test_observed_rates_and_their_gates(spark):
+    rates = lambda *rows: spark.createDataFrame([(dt.date.fromisoformat(d), r) for d, r in rows], "date date, rate double")
+    scraped, manual, none = rates(("2024-01-03", 6.8), ("2024-01-10", 6.9)), rates(("2024-01-10", 7.0), ("2024-01-11", None)), rates()
+    got = series.observed_rates(scraped, manual, "2024-01-24").orderBy("date").collect()
+    assert [(r.date.day, r.rate) for r in got] == [(3, 6.8), (10, 7.0)]
+    with pytest.raises(quality.StaleData):
+        series.observed_rates(scraped, manual, "2024-01-25")
+    assert series.observed_rates(scraped, manual, "2024-01-25", allow_fallback=True).count() == 2
+    with pytest.raises(quality.StaleData):
+        series.observed_rates(none, none, "2024-01-25")
+    got = series.observed_rates(none, none, "2024-01-25", start="2023-01-01", allow_fallback=True).collect()
+    assert [tuple(r) for r in got] == [(dt.date(2023, 1, 1), 6.5)]
+
+
+def test_chunks_of_days_and_the_month_before(spark):
+    span = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 10)), (dt.date(2024, 2, 1), dt.date(2024, 1, 1)), (None, None)], "start date, end date")
+    assert [(r.chunk_start.day, r.chunk_end.day) for r in series.date_chunks(span, 4).orderBy("chunk_start").collect()] == [(1, 4), (5, 8), (9, 10)]
+    assert spark.range(1).select(series.previous_month(F.lit("2024-03-31").cast("date"))).first()[0] == dt.date(2024, 2, 1)
