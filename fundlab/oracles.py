@@ -126,10 +126,29 @@ _TWO = f""", hard AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z("hz", "ha
     whole AS (SELECT * FROM pool WHERE missing_metrics = ''), {_z("wz", "whole", Z_METRICS)}, two AS (SELECT *, {_total(STAGE_2)}{_PENALTY} AS composite_score FROM wz),
     lived AS (SELECT *, count(*) OVER (PARTITION BY canonical_category) < 4 AS partial_coverage_flag FROM (
         SELECT *, row_number() OVER (PARTITION BY canonical_category ORDER BY composite_score DESC NULLS LAST, scheme_code) AS stage2_rank FROM two QUALIFY stage2_rank <= 4))"""
-_PAIRS = _TWO + ", funds AS (SELECT scheme_code FROM lived)" + _LAST + ", mine AS (SELECT * FROM held SEMI JOIN funds USING (scheme_code)), keyed AS (SELECT *, CASE WHEN isin IS NOT NULL THEN 'isin:' || isin ELSE 'name:' || " + _NORMAL.format("security_name") + " END AS kk FROM mine), " + _weights("b", "keyed", "scheme_code", key="kk") + """,
+_MET = ", funds AS (SELECT scheme_code FROM lived), mine AS (SELECT * FROM held SEMI JOIN funds USING (scheme_code)), keyed AS (SELECT *, CASE WHEN isin IS NOT NULL THEN 'isin:' || isin ELSE 'name:' || " + _NORMAL.format("security_name") + " END AS kk FROM mine), " + _weights("b", "keyed", "scheme_code", key="kk") + """,
     names AS (SELECT scheme_code, kk AS k, min(trim(security_name)) AS name FROM keyed WHERE instrument_type = 'Equity' GROUP BY 1, 2),
     met AS (SELECT x.scheme_code AS scheme_a, y.scheme_code AS scheme_b, x.k, least(x.w, y.w) AS w, n.name FROM b x JOIN b y ON x.k = y.k AND x.scheme_code < y.scheme_code JOIN names n ON n.scheme_code = x.scheme_code AND n.k = x.k),
     pairs AS (SELECT p.scheme_code AS scheme_a, q.scheme_code AS scheme_b FROM funds p JOIN funds q ON p.scheme_code < q.scheme_code)"""
+_PAIRS = _TWO + _LAST + _MET
+
+_DEEP_TABLES = ["scheme_metrics", "holdings_monthly", "constituents_monthly", "turnover_monthly", "stock_adv_daily", "scheme_aum_monthly"]
+_DEEP = f""", hard1 AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z("hz1", "hard1", list(STAGE_1))}, one1 AS (SELECT *, {_total(STAGE_1)} AS composite_score FROM hz1), uniq1 AS (SELECT * FROM one1 QUALIFY {_UNIT} = 1),
+    best AS (SELECT scheme_code FROM uniq1 QUALIFY row_number() OVER (PARTITION BY canonical_category ORDER BY composite_score DESC NULLS LAST, scheme_code) <= 12)""" + _SHARE + _AUM + _ADV + _LAST + """,
+    sh AS (SELECT scheme_code, median(active_share) AS v FROM share WHERE as_of_month >= '1996-06-01' AND as_of_month < '1997-06-01' GROUP BY 1 HAVING count(*) >= 3),
+    im AS (SELECT scheme_code, max(weight_pct / 100 * aum_crore * 10000000 / adv) AS v FROM held JOIN adv USING (isin) JOIN aum USING (scheme_code) WHERE instrument_type = 'Equity' AND adv > 0 AND aum_crore > 0 GROUP BY 1 HAVING count(*) >= 3),
+    pt AS (SELECT scheme_code, ptr AS v FROM turnover_monthly QUALIFY row_number() OVER (PARTITION BY scheme_code ORDER BY as_of_month DESC) = 1),
+    deep AS (SELECT m.* REPLACE (sh.v AS active_share_median_1y, im.v AS aum_impact_cost_days, pt.v AS ptr_latest, beta_3y_std + 1 - r_squared_3y_mean AS style_drift_3y, a.aum_crore AS aum_crore)
+        FROM scheme_metrics m SEMI JOIN best USING (scheme_code) LEFT JOIN sh USING (scheme_code) LEFT JOIN im USING (scheme_code) LEFT JOIN pt USING (scheme_code) LEFT JOIN aum a USING (scheme_code))""" + _TWO.replace("FROM scheme_metrics", "FROM deep")
+
+
+def _greedy(tables: list[str], found: str, body: str) -> str:
+    """SQL over ``last.gone``, the funds that go when pairs are taken from the largest overlap down."""
+    return with_relations(tables, found + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o FROM met GROUP BY 1, 2),
+            e AS (SELECT row_number() OVER (ORDER BY o DESC, p.stage2_rank, p.scheme_code, q.stage2_rank, q.scheme_code) AS i, scheme_a, scheme_b, CASE WHEN (p.stage2_rank, p.scheme_code) > (q.stage2_rank, q.scheme_code) THEN scheme_a ELSE scheme_b END AS worse
+                FROM s JOIN lived p ON p.scheme_code = scheme_a JOIN lived q ON q.scheme_code = scheme_b WHERE o > 30),
+            g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS gone UNION ALL SELECT e.i, CASE WHEN list_contains(gone, scheme_a) OR list_contains(gone, scheme_b) THEN gone ELSE list_append(gone, worse) END FROM g JOIN e ON e.i = g.i + 1),
+            last AS (SELECT gone FROM g ORDER BY i DESC LIMIT 1) """ + body).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def _case(rules: list[tuple[str, str]], otherwise: str) -> str:
@@ -203,17 +222,14 @@ def sql() -> dict[str, str]:
         "rates_with_manual": with_relations(["rf_observed", "calendar"], "SELECT coalesce(m.date, r.date) AS date, coalesce(m.rate, r.rate) AS rate FROM rf_observed r FULL JOIN (SELECT date, CAST(7.25 AS DOUBLE) AS rate FROM calendar WHERE day(date) = 8) m ON m.date = r.date"),
         "date_chunks": """WITH s AS (SELECT o_custkey, min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS b FROM orders GROUP BY 1), c AS (SELECT b, CAST(unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 365 DAY)) AS DATE) AS chunk_start FROM s)
             SELECT chunk_start, CAST(least(b, chunk_start + 364) AS DATE) AS chunk_end, count(*) AS n FROM c GROUP BY 1, 2""",
+        "rank_deep_survivors": with_relations(_DEEP_TABLES, _DEEP + " SELECT canonical_category, scheme_code, stage1_rank, stage2_rank, round(composite_score, 5) + 0.0 AS composite_score FROM lived"),
+        "rank_deep_final": _greedy(_DEEP_TABLES, _DEEP + _MET, "SELECT scheme_code, outcome, outcome = 'survived' AND NOT list_contains(gone, scheme_code) AS is_final FROM (SELECT scheme_code, 'survived' AS outcome FROM lived UNION ALL SELECT scheme_code, 'missing ' || missing_metrics FROM pool WHERE missing_metrics <> '') x, last"),
         "pairwise_overlap": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o, count(*) AS n FROM met GROUP BY 1, 2)
             SELECT p.scheme_a, p.scheme_b, CASE WHEN r.reason IS NULL THEN round(coalesce(o, 0), 1) END AS overlap_pct, coalesce(n, 0) AS n_shared, r.reason FROM pairs p LEFT JOIN s USING (scheme_a, scheme_b),
             LATERAL (SELECT CASE WHEN p.scheme_a NOT IN (SELECT scheme_code FROM b) OR p.scheme_b NOT IN (SELECT scheme_code FROM b) THEN 'missing_holdings' END AS reason) r"""),
         "overlap_top_shared": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, t AS (SELECT scheme_a, scheme_b, string_agg(printf('%s (%.1f%%)', name, round_even(w, 1)), ', ' ORDER BY n) AS top_shared FROM (
             SELECT *, row_number() OVER (PARTITION BY scheme_a, scheme_b ORDER BY w DESC, k) AS n FROM met) WHERE n <= 3 GROUP BY 1, 2) SELECT scheme_a, scheme_b, coalesce(top_shared, '') AS top_shared FROM pairs LEFT JOIN t USING (scheme_a, scheme_b)"""),
-        "stage3_greedy_drop": with_relations(["scheme_metrics", "holdings_monthly"], _PAIRS + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o FROM met GROUP BY 1, 2),
-            e AS (SELECT row_number() OVER (ORDER BY o DESC, p.stage2_rank, p.scheme_code, q.stage2_rank, q.scheme_code) AS i, scheme_a, scheme_b, CASE WHEN (p.stage2_rank, p.scheme_code) > (q.stage2_rank, q.scheme_code) THEN scheme_a ELSE scheme_b END AS worse
-                FROM s JOIN lived p ON p.scheme_code = scheme_a JOIN lived q ON q.scheme_code = scheme_b WHERE o > 30),
-            g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS gone UNION ALL SELECT e.i, CASE WHEN list_contains(gone, scheme_a) OR list_contains(gone, scheme_b) THEN gone ELSE list_append(gone, worse) END FROM g JOIN e ON e.i = g.i + 1),
-            last AS (SELECT gone FROM g ORDER BY i DESC LIMIT 1)
-            SELECT canonical_category, scheme_code, stage2_rank, round(composite_score, 6) + 0.0 AS composite_score FROM lived, last WHERE NOT list_contains(gone, scheme_code)""").replace("WITH ", "WITH RECURSIVE ", 1),
+        "stage3_greedy_drop": _greedy(["scheme_metrics", "holdings_monthly"], _PAIRS, "SELECT canonical_category, scheme_code, stage2_rank, round(composite_score, 6) + 0.0 AS composite_score FROM lived, last WHERE NOT list_contains(gone, scheme_code)"),
         "align_by_ticker": with_relations([*_BASE, "benchmark_by_ticker", "scheme_ticker"], """ SELECT s.scheme_code, c.date, k.close AS bench_close FROM (SELECT scheme_code, min(nav_date) AS a, max(nav_date) AS b FROM nav_daily GROUP BY 1) s
             JOIN calendar c ON c.date BETWEEN s.a AND s.b LEFT JOIN scheme_ticker t ON t.scheme_code = s.scheme_code LEFT JOIN benchmark_by_ticker k ON k.ticker = t.ticker AND k.date = c.date"""),
         "freshness_report": with_relations(_BASE, """, l AS (SELECT 'nav' AS check_name, max(nav_date) AS latest, 'w' AS unit, CAST(5 AS BIGINT) AS max_lag FROM nav_daily UNION ALL SELECT 'bench', max(date), 'w', 5000 FROM benchmark_daily UNION ALL SELECT 'rates', max(date), 'd', 14 FROM rf_observed),

@@ -14,7 +14,7 @@ from fundlab.functions import matching, text
 from fundlab.operators import holdings as h
 from fundlab.operators import quality, ranking, series, store, windows
 from fundlab.plans.relations import relation
-from fundlab.plans.staged import shortlists
+from fundlab.plans.staged import Shortlists, rank_deep, shortlists
 from fundlab.sources import landing
 from fundlab.storage import materialize
 
@@ -258,6 +258,27 @@ def stage3_greedy_drop(spark, sf):
     return rounded(out.final.select("canonical_category", "scheme_code", "stage2_rank", "composite_score"))
 
 
+def _deep(spark: SparkSession, sf: str) -> Shortlists:
+    rel = partial(relation, spark, sf)
+    aum = h.preferred_latest(rel("scheme_aum_monthly"), "aum_crore", "aaum").select("scheme_code", "aum_crore")
+    return rank_deep(rel("scheme_metrics"), rel("holdings_monthly"), rel("constituents_monthly"), rel("turnover_monthly"), rel("stock_adv_daily"), aum, "1997-06-15", pool=12, final=4)
+
+
+@query
+def rank_deep_survivors(spark, sf):
+    """Stage one, holdings measures of its best, and stage two among them."""
+    return rounded(_deep(spark, sf).survivors.select("canonical_category", "scheme_code", "stage1_rank", "stage2_rank", "composite_score"), 5)
+
+
+@query
+def rank_deep_final(spark, sf):
+    """All three stages, with each stage's reports joined: what is left of each category and why the rest went."""
+    out = _deep(spark, sf)
+    parts = [out.survivors.select("scheme_code", F.lit("survived").alias("outcome")), out.dropped.select("scheme_code", F.concat(F.lit("missing "), "missing_metrics").alias("outcome"))]
+    last = out.final.select("scheme_code", F.lit(True).alias("is_final"))
+    return parts[0].unionByName(parts[1]).join(last, "scheme_code", "left").select("scheme_code", "outcome", F.coalesce("is_final", F.lit(False)).alias("is_final"))
+
+
 @query
 def freshness_report(spark, sf):
     latest = relation(spark, sf, "nav_daily").agg(F.lit("nav").alias("check_name"), F.max("nav_date").alias("latest"), F.lit("weekdays").alias("unit"), F.lit(5).cast("long").alias("max_lag"))

@@ -34,3 +34,16 @@ def test_phase_two_reads_the_pool_only(spark):
 def test_every_query_with_sql_is_registered():
     assert set(registry.oracle_sql()) <= set(registry.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_all_stages_score_the_pool_again(spark):
+    rows = metrics(spark, *[{"ret_3y_median": 0.30 - k / 100} for k in range(4)]).selectExpr("*", "0.1D as beta_3y_std", "0.8D as r_squared_3y_mean")
+    months = [dt.date(2024, m, 1) for m in (1, 2, 3, 4)]
+    holdings = spark.createDataFrame([(f"S{k}", "X", m, f"n{10 * k + j}", 10.0, "Equity", f"I{j}") for k in range(4) for m in months for j in range(4)], "scheme_code string, ticker string, as_of_month date, security_name string, weight_pct double, instrument_type string, isin string")
+    index = spark.createDataFrame([("X", m, f"n{j}", 10.0) for m in months for j in range(8)], "ticker string, as_of_month date, security_name string, weight_pct double")
+    turnover = spark.createDataFrame([(f"S{k}", months[0], 0.5) for k in (0, 1, 3)], "scheme_code string, as_of_month date, ptr double")
+    adv = spark.createDataFrame([(f"I{j}", dt.date(2024, 4, 2), 1e7) for j in range(4)], "isin string, date date, total_traded_value double")
+    aum = spark.createDataFrame([(f"S{k}", 100.0) for k in range(4)], "scheme_code string, aum_crore double")
+    out = staged.rank_deep(rows, holdings, index, turnover, adv, aum, "2024-05-10", pool=3)
+    assert {r.scheme_code for r in out.survivors.collect()} == {"S0", "S1"} and [r.scheme_code for r in out.dropped.collect()] == ["S2"]
+    assert [r.scheme_code for r in out.final.collect()] == ["S0" if out.survivors.filter("stage2_rank = 1").first().scheme_code == "S0" else "S1"]  # equal holdings by ISIN
