@@ -45,5 +45,39 @@ def op8() -> str:
             sha256(coalesce(string_agg(text, '' ORDER BY place, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(length({escaped("role")}) + length({escaped("text")}) + 23) AS BIGINT) AS formatted_chars FROM o GROUP BY conv_id"""
 
 
+def _crc_table() -> str:
+    """The 256 steps of CRC-32 by byte as a list."""
+    rows = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ 0xEDB88320 * (byte & 1)
+        rows.append(str(byte))
+    return f"[{', '.join(rows)}]::BIGINT[]"
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text's UTF-8 bytes."""
+    digit = lambda at: f"(instr('0123456789ABCDEF', substr(hex({text}), {at}, 1)) - 1)"
+    octets = f"list_transform(range(1, length(hex({text})), 2), lambda i: {digit('i')} * 16 + {digit('i + 1')})"
+    step = f"xor(c >> 8, ({_crc_table()})[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: {step}), 4294967295)"
+
+
+def op11() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    split = rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    pairs = "list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])"
+    noise = "((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)) + 0.5) / 4294967296"
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {split} AS ws FROM documents), b AS (SELECT {split} AS ws FROM benchmark),
+        df AS (SELECT rid, unnest(list_concat(ws, {pairs})) AS f FROM d), bf AS (SELECT unnest(list_concat(ws, {pairs})) AS f FROM b),
+        k AS (SELECT f, {_crc32("f")} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+        s AS (SELECT bucket, count(*) AS n FROM df JOIN k USING (f) GROUP BY 1), t AS (SELECT bucket, count(*) AS n FROM bf JOIN k USING (f) GROUP BY 1),
+        g AS (SELECT s.bucket, CAST(floor(1000.0::DOUBLE * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE) / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+        w AS (SELECT rid, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight, count(*) AS n_features FROM df JOIN k USING (f) JOIN g USING (bucket) GROUP BY 1),
+        c AS (SELECT rid, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln(({noise})::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN w USING (rid)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place FROM c)
+        SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN n_words >= 20 AND place <= (SELECT 25 * count(*) // 100 FROM c WHERE n_words >= 20) THEN place END AS rank FROM r"""
+
+
 def sql() -> dict[str, str]:
-    return {"op8_chat": op8(), "op10_quality_rules": op10()}
+    return {"op8_chat": op8(), "op10_quality_rules": op10(), "op11_resample": op11()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules
+from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules, resample
 from fundlab.skew import join_unique
 from fundlab.storage import materialize
 
@@ -112,8 +112,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn towards the benchmark's distribution of hashed n-grams."""
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules, op11_resample)}
 
 
 def oracle_sql() -> dict[str, str]:
