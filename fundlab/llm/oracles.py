@@ -79,5 +79,20 @@ def op11() -> str:
         SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN n_words >= 20 AND place <= (SELECT 25 * count(*) // 100 FROM c WHERE n_words >= 20) THEN place END AS rank FROM r"""
 
 
+def op13() -> str:
+    return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+        e AS (SELECT rid, doc_id, h, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, ws FROM d), f AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM e),
+        o AS (SELECT rid, unnest(range(n)) AS i, unnest(ws) AS w FROM f),
+        w AS (SELECT o.rid, o.i, s.w, f.n FROM o JOIN f USING (rid) JOIN o s ON s.rid = o.rid AND s.i = CASE WHEN f.a IS NULL OR o.i < f.a THEN o.i ELSE f.a + (o.i - f.a) % f.p END),
+        t AS (SELECT *, lead(w, 1) OVER x AS w1, lead(w, 2) OVER x AS w2 FROM w WINDOW x AS (PARTITION BY rid ORDER BY i)),
+        m AS (SELECT x.rid, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.rid = y.rid AND x.w = y.w AND x.w1 = y.w1 AND x.w2 = y.w2 AND y.i > x.i WHERE (y.i - x.i) * 4 <= x.n),
+        g AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM m),
+        r AS (SELECT rid, "start", length, min(q) AS period FROM (SELECT rid, q, min(i) AS "start", count(*) + 2 + q AS length FROM g GROUP BY rid, q, island) WHERE length >= greatest(6, 4 * q) GROUP BY ALL),
+        best AS (SELECT rid, count(*) AS n_runs, min(struct_pack(l := -length, s := "start", p := period)) AS b, string_agg("start" || ',' || length || ',' || period || chr(10), '' ORDER BY "start", period) AS told FROM r GROUP BY rid),
+        gone AS (SELECT DISTINCT rid, unnest(range("start" + period, "start" + length)) AS i FROM r), kept AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (rid, i) GROUP BY rid)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS "start", -b.l AS length, b.p AS period, 1000 * -b.l // b.p AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM f LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)"""
+
+
 def sql() -> dict[str, str]:
-    return {"op8_chat": op8(), "op10_quality_rules": op10(), "op11_resample": op11()}
+    return {"op8_chat": op8(), "op10_quality_rules": op10(), "op11_resample": op11(), "op13_runs": op13()}

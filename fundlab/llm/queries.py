@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules, resample
+from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules, resample, runs
 from fundlab.skew import join_unique
 from fundlab.storage import materialize
 
@@ -117,8 +117,28 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document by its id's CRC-32 repeats some of its words to its end; a null id's text stays."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).alias("words"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    placed = split.withColumns({"a": (g % n).cast("int"), "p": (1 + F.floor((n - g % n) / (3 + g % 8))).cast("int")})
+    repeated = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document and what is left without their repetitions."""
+    found = runs.runs(_with_planted_runs(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"].alias("start"), r["period"].alias("period"))))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    digests = [F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")]
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"), *digests)
+    return out.select("doc_id", "n_runs", "longest.start", "longest.length", "longest.period", F.expr("1000 * longest.length div longest.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules, op11_resample)}
+    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules, op11_resample, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
