@@ -79,6 +79,17 @@ def op11() -> str:
         SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN n_words >= 20 AND place <= (SELECT 25 * count(*) // 100 FROM c WHERE n_words >= 20) THEN place END AS rank FROM r"""
 
 
+def op12() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({low}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        x AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] || ' ' || ws[i + 4]) END)) AS s FROM d),
+        node AS (SELECT min(rid) AS node, s, min(doc_id) AS least, len(s) AS n FROM x WHERE len(s) > 0 GROUP BY s),
+        e AS (SELECT node, n, unnest(s) AS f FROM node), p AS (SELECT a.node AS a, b.node AS b FROM e a JOIN e b ON a.f = b.f AND a.node < b.node GROUP BY a.node, b.node, a.n, b.n HAVING count(*) * 100 >= 80 * (a.n + b.n - count(*))),
+        links AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), reach AS (SELECT node AS a, node AS b FROM node UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+        c AS (SELECT a AS node, min(least) AS component_id FROM reach JOIN node ON node.node = reach.b GROUP BY 1)
+        SELECT x.doc_id, CAST(len(x.s) AS BIGINT) AS n_shingles, CASE WHEN len(x.s) = 0 THEN x.doc_id ELSE c.component_id END AS component_id FROM x LEFT JOIN node ON node.s = x.s AND len(x.s) > 0 LEFT JOIN c USING (node)"""
+
+
 def op13() -> str:
     return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
         e AS (SELECT rid, doc_id, h, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, ws FROM d), f AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM e),
@@ -95,4 +106,4 @@ def op13() -> str:
 
 
 def sql() -> dict[str, str]:
-    return {"op8_chat": op8(), "op10_quality_rules": op10(), "op11_resample": op11(), "op13_runs": op13()}
+    return {"op8_chat": op8(), "op10_quality_rules": op10(), "op11_resample": op11(), "op12_jaccard_join": op12(), "op13_runs": op13()}

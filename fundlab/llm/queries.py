@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlab.llm import chat, chunks, classifier, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules, resample, runs
+from fundlab.llm import chat, chunks, classifier, jaccard_join, mixing, near_dup, neighbours, oracles, packing, pii, ppm, quality_rules, resample, runs
 from fundlab.skew import join_unique
 from fundlab.storage import materialize
 
@@ -117,6 +117,11 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of five-word shingles at 0.8."""
+    return jaccard_join.joined(_table(spark, sf_dir, "documents"))
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text, where every tenth document by its id's CRC-32 repeats some of its words to its end; a null id's text stays."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -138,7 +143,7 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules, op11_resample, op13_runs)}
+    return {f.__name__: f for f in (op1_neighbours, op2_substring_dedup, op3_quality_classifier, op4_pii, op5_mixing, op6_minhash, op7_packing, op8_chat, op9_lm_scoring, op10_quality_rules, op11_resample, op12_jaccard_join, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
