@@ -1,20 +1,38 @@
-"""Fuzzy matching of printed names within blocks.
-
-A printed name is compared with the candidates of its block that share one of its
-telling words: those that at most RARE candidates of the block hold, or its rarest
-where all are more frequent. So the pairs grow with the names, not with their square.
+"""Fuzzy matching of printed names within blocks, exact at any size of a block.
+
+The printed names of a block are a query set that is searched against all its candidates in
+tiles. In a tile two products of incidence matrices, one over words and one over the letter
+pairs inside words, give for every printed name and candidate the length of the shared words,
+from which most of the score follows, and a sound upper bound of the rest: an alignment
+that leaves d letters of one side and e of the other out breaks at most 2d + e letter pairs of the
+first. Candidates are scored in the order of that bound until it falls below what can still count.
+A tile returns at most SHORTLIST candidates for a name, and the best of all tiles are merged.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Candidates of a block that may hold a telling word.
-RARE = 50
+from fundlab.functions import text
+
 THRESHOLD, NEAR_BEST, SHORTLIST = 85, 2, 5
+#: Names of one side of a tile.
+TILE = 1024
+#: Bounds are in single precision.
+ROUNDING = 1e-3
+
+# Short names of companies whose code differs from it.
+COMPANY_CODES = {
+    "absl": "aditya_birla_sun_life", "icici_pru": "icici_prudential", "kotak": "kotak_mahindra", "mirae": "mirae_asset",
+    "nippon": "nippon_india", "franklin": "franklin_templeton", "baroda_bnp": "baroda_bnp_paribas",
+}
 
 
 def common(a: str, b: str) -> int:
@@ -47,33 +65,119 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(ratio(left, right), *((ratio(shared, left), ratio(shared, right)) if shared else (0.0,)))
 
 
-def _both(measure):
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([measure(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+def _incidence(rows: list[list], index: dict, weight=None) -> np.ndarray:
+    """names x known features; a feature that is not in the index is left out."""
+    out = np.zeros((len(rows), len(index)), np.float32)
+    for k, features in enumerate(rows):
+        for f in features:
+            if (at := index.get(f)) is not None:
+                out[k, at] = weight(f) if weight else 1
+    return out
+
+
+def _letter_pairs(words: list[str]) -> list[tuple[str, int]]:
+    """The letter pairs inside words; the n-th of equal ones bears the number n."""
+    seen: dict[str, int] = {}
+    out = []
+    for word in words:
+        for k in range(len(word) - 1):
+            n = seen[word[k : k + 2]] = seen.get(word[k : k + 2], 0) + 1
+            out.append((word[k : k + 2], n))
+    return out
+
+
+def upper_bounds(names: list[str], candidates: list[str]) -> np.ndarray:
+    """names x candidates: a number that token_set_ratio does not exceed, for names of at least one word."""
+    sides = [[sorted(set(n.split())) for n in side] for side in (names, candidates)]
+    pairs = [[_letter_pairs(w) for w in side] for side in sides]
+    length = [np.array([len(" ".join(w)) for w in side], np.float32) for side in sides]
+    n_pairs = [np.array([len(p) for p in side], np.float32) for side in pairs]
+    words = {w: k for k, w in enumerate(sorted({w for ws in sides[1] for w in ws}))}
+    letters = {p: k for k, p in enumerate(sorted({p for ps in pairs[1] for p in ps}))}
+    shared = _incidence(sides[0], words, lambda w: len(w) + 1) @ _incidence(sides[1], words).T - 1  # joined by blanks; -1: none
+    equal = _incidence(pairs[0], letters) @ _incidence(pairs[1], letters).T
+    x, y = length[0][:, None], length[1][None, :]
+    most = np.minimum((equal - n_pairs[0][:, None] + 2 * x + y) / 3, (equal - n_pairs[1][None, :] + 2 * y + x) / 3)
+    most = np.minimum(np.minimum(x, y), np.maximum(most, 0))
+    bound = 200 * most / (x + y)
+    some = np.maximum(shared, 0)
+    by_words = np.maximum(200 * some / (some + x), 200 * some / (some + y))
+    return np.where((shared > 0) & ((shared == x) | (shared == y)), 100, np.maximum(bound, by_words))
+
+
+def shortlists(names: list[str], candidates: list[str], least: float) -> Iterator[tuple[int, int, float]]:
+    """(name, candidate, score) of the SHORTLIST best candidates of each name that are near its best and reach ``least``.
+
+    candidates are sorted; of equal scores the earlier ones count.
+    """
+    bounds = upper_bounds(names, candidates)
+    for k, name in enumerate(names):
+        top: list[tuple[float, int]] = []  # (lost score, candidate)
+        floor = least
+        for c in np.argsort(-bounds[k], kind="stable").tolist():
+            full = len(top) == SHORTLIST
+            if bounds[k, c] < floor - ROUNDING or full and (top[-1][0] == -100 or bounds[k, c] < -top[-1][0] - ROUNDING):
+                break
+            top = sorted([*top, (-token_set_ratio(name, candidates[c]), c)])[:SHORTLIST]
+            floor = max(least, -top[0][0] - NEAR_BEST)
+        yield from ((k, c, -lost) for lost, c in top if -lost >= floor)
+
+
+def _tile(least: float):
+    def run(key: tuple, tile: pa.Table) -> pa.Table:
+        asked = pc.is_null(tile.column("scheme_code"))
+        candidates = tile.filter(pc.invert(asked)).sort_by("name")
+        names, pool = tile.filter(asked).column("name").to_pylist(), candidates.column("name").to_pylist()
+        found = list(shortlists(names, pool, least)) if names and pool else []
+        at = pa.array([c for _, c, _ in found], pa.int64())
+        columns = {
+            "block": pa.array([key[0].as_py()] * len(found), pa.string()), "name": pa.array([names[k] for k, *_ in found], pa.string()), "candidate": candidates.column("name").take(at).cast(pa.string()),
+            "scheme_code": candidates.column("scheme_code").take(at).cast(pa.string()), "set_score": pa.array([s for *_, s in found], pa.float64()), "plain": pa.array([ratio(names[k], pool[c]) for k, c, _ in found], pa.float64()),
+        }
+        return pa.table(columns)
+
+    return run
+
+
+def _tiles(names: DataFrame) -> DataFrame:
+    """Of names (block, name, scheme_code; null for printed ones) the rows of every tile (block, i, j): a printed name is in each j of its i, a candidate in each i of its j."""
+    counts = names.groupBy("block").agg(*[F.ceil(F.count_if(F.col("scheme_code").isNull() == asked) / TILE).cast("int").alias(c) for asked, c in ((True, "rows"), (False, "columns"))])
+    asked, place = F.col("scheme_code").isNull(), F.xxhash64("name")
+    own = F.pmod(place, F.when(asked, F.col("rows")).otherwise(F.col("columns"))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.when(asked, F.col("columns")).otherwise(F.col("rows")) - 1))
+    dealt = names.join(counts, "block").filter("rows > 0 and columns > 0").withColumns({"own": own}).withColumn("every", every)
+    return dealt.select("block", F.when(asked, F.col("own")).otherwise(F.col("every")).alias("i"), F.when(asked, F.col("every")).otherwise(F.col("own")).alias("j"), "name", "scheme_code")
+
+
+def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """printed (block, name) with the scheme_code and score of its best candidate (block, scheme_code, name).
 
-    return F.pandas_udf(run, "double")
+    Names are canonical. The best is, among the SHORTLIST highest set ratios that are near the highest
+    one, the candidate with the highest plain ratio. A printed name without a candidate at the threshold has nulls, as have
+    null and empty names and blocks; of equal candidates the least code counts. No candidate is left out.
+    """
+    filled = lambda df, c: df.filter(F.col("block").isNotNull() & (F.trim(F.coalesce(F.col(c), F.lit(""))) != ""))
+    pool = filled(candidates, "name").groupBy("block", "name").agg(F.min(F.coalesce(F.col("scheme_code").cast("string"), F.lit(""))).alias("scheme_code"))
+    asked = filled(printed.select("block", "name"), "name").distinct()
+    tiles = _tiles(asked.withColumn("scheme_code", F.lit(None).cast("string")).unionByName(pool))
+    near = tiles.groupBy("block", "i", "j").applyInArrow(_tile(threshold - NEAR_BEST), "block string, name string, candidate string, scheme_code string, set_score double, plain double")
+    by_name = Window.partitionBy("block", "name")
+    best = near.withColumns({"_r": F.row_number().over(by_name.orderBy(F.desc("set_score"), "candidate")), "_best": F.max("set_score").over(by_name)})
+    best = best.filter((F.col("_r") <= SHORTLIST) & (F.col("_best") >= threshold) & (F.col("set_score") >= F.col("_best") - NEAR_BEST))
+    pick = best.withColumn("_p", F.row_number().over(by_name.orderBy(F.desc("plain"), F.desc("set_score"), "candidate"))).filter("_p = 1")
+    return printed.join(pick.select("block", "name", "scheme_code", F.col("set_score").alias("score")), ["block", "name"], "left")
 
 
-def _tokens(names: DataFrame, name: str) -> DataFrame:
-    return names.withColumn("token", F.explode(F.array_distinct(F.split(name, " "))))
+def company_code(slug: Column) -> Column:
+    """The company's code in the scheme dimension; a name that is not in the list of short names is one."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in COMPANY_CODES.items() for x in pair]), slug), slug)
 
 
-def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD, rare: int = RARE) -> DataFrame:
-    """printed (block, name) with the scheme_code and score of its best candidate (block, scheme_code, name).
+def candidate_index(schemes: DataFrame, plan: str = "DIRECT", option: str = "GROWTH") -> DataFrame:
+    """block, name, scheme_code: one row for each canonical name of a company's active schemes of a plan and option.
 
-    Names are canonical. A printed name without a candidate at the threshold has nulls, as has
-    one that shares no word with any; of equal candidates the least code counts.
+    schemes: amc_code, scheme_code, scheme_name, plan_type, option_type, is_active. Bonus schemes are left out; of equal names the least code counts.
     """
-    pool = candidates.groupBy("block", F.col("name").alias("candidate")).agg(F.min("scheme_code").alias("scheme_code"))
-    held = _tokens(pool, "candidate")
-    frequent = held.groupBy("block", "token").agg(F.count("*").alias("n"))
-    asked = _tokens(printed.select("block", "name").distinct(), "name").join(frequent, ["block", "token"])
-    rarest = F.min("n").over(Window.partitionBy("block", "name"))
-    asked = asked.withColumn("rarest", rarest).filter((F.col("n") <= rare) | (F.col("n") == F.col("rarest"))).select("block", "name", "token")
-    pairs = asked.join(held, ["block", "token"]).select("block", "name", "candidate", "scheme_code").distinct()
-    scored = pairs.withColumn("set_score", _both(token_set_ratio)("name", "candidate"))
-    by_name = Window.partitionBy("block", "name")
-    best = scored.withColumns({"_r": F.row_number().over(by_name.orderBy(F.desc("set_score"), "candidate")), "_best": F.max("set_score").over(by_name)})
-    near = best.filter((F.col("_r") <= SHORTLIST) & (F.col("_best") >= threshold) & (F.col("set_score") >= F.col("_best") - NEAR_BEST)).withColumn("plain", _both(ratio)("name", "candidate"))
-    pick = near.withColumn("_p", F.row_number().over(by_name.orderBy(F.desc("plain"), F.desc("set_score"), "candidate"))).filter("_p = 1")
-    return printed.join(pick.select("block", "name", "scheme_code", F.col("set_score").alias("score")), ["block", "name"], "left")
+    fits = (F.col("plan_type") == plan) & (F.col("option_type") == option) & F.col("is_active") & ~F.col("scheme_name").rlike(r"(?i)\bBonus\b")
+    named = schemes.filter(fits).select(F.col("amc_code").alias("block"), text.canonical_scheme(F.col("scheme_name")).alias("name"), "scheme_code")
+    return named.filter("name <> ''").groupBy("block", "name").agg(F.min("scheme_code").alias("scheme_code"))

@@ -163,6 +163,33 @@ _COVERED = ", covered AS (SELECT scheme_code, count(*) AS n_expected, count(nav)
 _USER_DAYS = "WITH d AS (SELECT user_id, CAST(ts AS DATE) AS date FROM events)"
 
 
+_CANON = r"upper(trim(regexp_replace(regexp_replace(regexp_replace({0}, '\s*[-—–]\s*((direct|regular)\s+plan|growth|idcw|dividend)\b.*$', '', 'i'), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g')))"
+
+
+def _lcs(a: str, b: str) -> str:
+    """DuckDB SQL for the longest common subsequence of two texts of up to 120 characters, with a bit for each character of a."""
+    whole = f"((1::HUGEINT << length({a})) - 1)"
+    places = f"list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, i + 1, 1) = c THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END)))"
+    return f"(length({a}) - bit_count(list_reduce(list_prepend({whole}, {places}), lambda f, m: ((f + (f & m)) | (f - (f & m))) & {whole})))"
+
+
+def _fuzzy() -> str:
+    """All pairs of a block. The edit distance, which is at most letters inserted and deleted, spares pairs below 83 the exact score."""
+    ratio = lambda a, b: f"(200.0::DOUBLE * {_lcs(a, b)} / (length({a}) + length({b})))"
+    joined = lambda c: f"array_to_string(list_sort({c}), ' ')"
+    by_words = "CASE WHEN s = '' THEN 0 WHEN u = '' OR v = '' THEN 100 ELSE greatest(200.0::DOUBLE * length(s) / (length(s) + length(l)), 200.0::DOUBLE * length(s) / (length(s) + length(r))) END"
+    return f""", canon AS (SELECT {_AMC} AS block, scheme_code, {_CANON.format("scheme_name")} AS name FROM scheme_names), printed AS (SELECT DISTINCT block, replace(name, 'CUSTOMER', 'CUSTOMR') AS name FROM canon),
+        pool AS (SELECT block, name AS candidate, min(scheme_code) AS scheme_code, list_distinct(string_split(name, ' ')) AS y FROM canon WHERE name <> '' GROUP BY block, name), asked AS (SELECT *, list_distinct(string_split(name, ' ')) AS x FROM printed WHERE name <> ''),
+        t AS (SELECT block, name, candidate, scheme_code, {joined("list_intersect(x, y)")} AS s, {joined("list_filter(x, lambda w: NOT list_contains(y, w))")} AS u, {joined("list_filter(y, lambda w: NOT list_contains(x, w))")} AS v FROM asked JOIN pool USING (block)),
+        w AS (SELECT *, trim(s || ' ' || u) AS l, trim(s || ' ' || v) AS r FROM t), b AS (SELECT *, {by_words} AS by_words, 100 * (1 - levenshtein(l, r)::DOUBLE / (length(l) + length(r))) AS most FROM w),
+        m AS (SELECT *, max(by_words) OVER (PARTITION BY block, name) AS reached FROM b), k AS (SELECT * FROM m WHERE greatest(by_words, most) >= greatest(83, reached - 2)),
+        c AS (SELECT *, CASE WHEN by_words >= most THEN by_words ELSE greatest(by_words, {ratio("l", "r")}) END AS score FROM k),
+        o AS (SELECT *, row_number() OVER (PARTITION BY block, name ORDER BY score DESC, candidate) AS place, max(score) OVER (PARTITION BY block, name) AS best FROM c),
+        n AS (SELECT *, {ratio("name", "candidate")} AS plain FROM o WHERE place <= 5 AND best >= 85 AND score >= best - 2),
+        p AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY block, name ORDER BY plain DESC, score DESC, candidate) = 1)
+        SELECT block, name, p.scheme_code, round(p.score, 4) AS score FROM printed LEFT JOIN p USING (block, name)"""
+
+
 def sql() -> dict[str, str]:
     metrics = lambda body: with_relations(["scheme_metrics"], body)
     names = lambda body: with_relations(["scheme_names"], body)
@@ -242,6 +269,9 @@ def sql() -> dict[str, str]:
         "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
         "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
         "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "fuzzy_match_blocked": names(_fuzzy()),
+        "candidate_index": names(f""", s AS (SELECT scheme_code, {_AMC} AS block, CAST(substr(scheme_code, 2) AS BIGINT) AS k, scheme_name || CASE WHEN CAST(substr(scheme_code, 2) AS BIGINT) % 11 = 0 THEN ' Bonus Option' ELSE '' END AS scheme_name FROM scheme_names)
+            SELECT block, {_CANON.format("scheme_name")} AS name, min(scheme_code) AS scheme_code FROM s WHERE {_PLAN} = 'DIRECT' AND {_OPTION} = 'GROWTH' AND k % 8 <> 0 AND k % 11 <> 0 GROUP BY 1, 2"""),
         "classify_plan_option": names(f"SELECT scheme_code, {_PLAN} AS plan_type, {_OPTION} AS option_type FROM scheme_names"),
         "classify_category": names("SELECT scheme_code, " + _case([(f"contains(lower(amfi_category), '{w.lower()}')", n) for w, n in CATEGORY_RULES], "NULL") + " AS category FROM scheme_names"),
         "classify_sector": names("SELECT scheme_code, " + _case([(f"regexp_matches(scheme_name, '(?i){p}')", n) for p, n in SECTOR_RULES], "'Thematic'") + " AS sector FROM scheme_names"),

@@ -415,13 +415,25 @@ def json_flatten(spark, sf):
 
 @query
 def fuzzy_match_blocked(spark, sf):
-    """Every scheme's name, printed with a slip, against the names of its company."""
-    names = relation(spark, sf, "scheme_names").filter("amfi_category is not null")
-    canon = names.select(text.amc_slug(F.col("amc")).alias("block"), "scheme_code", text.canonical_scheme(F.col("scheme_name")).alias("name"))
+    """Every scheme's name, printed with a slip, against all names of its company."""
+    names = relation(spark, sf, "scheme_names")
+    canon = materialize(names.select(text.amc_slug(F.col("amc")).alias("block"), "scheme_code", text.canonical_scheme(F.col("scheme_name")).alias("name")))
     printed = canon.select("block", F.regexp_replace("name", "CUSTOMER", "CUSTOMR").alias("name")).distinct()
     return rounded(matching.match_names(printed, canon), 4)
 
 
+def _schemes(spark: SparkSession, sf: str) -> DataFrame:
+    """The scheme dimension of the names; every eighth scheme is closed, every eleventh a bonus one."""
+    names, number = relation(spark, sf, "scheme_names"), F.substring("scheme_code", 2, 9).cast("long")
+    name = F.when(number % 11 == 0, F.concat("scheme_name", F.lit(" Bonus Option"))).otherwise(F.col("scheme_name"))
+    return names.select("scheme_code", text.amc_slug(F.col("amc")).alias("amc_code"), name.alias("scheme_name"), text.plan_type(name).alias("plan_type"), text.option_type(name).alias("option_type"), (number % 8 != 0).alias("is_active"))
+
+
+@query
+def candidate_index(spark, sf):
+    return matching.candidate_index(_schemes(spark, sf))
+
+
 @query
 def align_by_ticker(spark, sf):
     """Each scheme on the calendar with the levels of its own index."""

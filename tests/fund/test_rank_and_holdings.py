@@ -82,28 +82,79 @@ def test_greedy_drop(spark):
         assert got == greedy(ranked, pairs) and want in (None, got)
 
 
-def test_matching_against_all_pairs(spark):
-    """Every pair of names that share a word, scored by the textbook recursion."""
-    def common(a, b):
-        row = [0] * (len(b) + 1)
-        for x in a:
-            old = row
-            row = [0]
-            for j, y in enumerate(b, 1):
-                row.append(old[j - 1] + 1 if x == y else max(old[j], row[-1]))
-        return row[-1]
+def textbook_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old = row
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(old[j - 1] + 1 if x == y else max(old[j], row[-1]))
+    return row[-1]
+
+
+def matched(spark, printed, names):
+    """match_names in one block against all pairs; codes are the places in names."""
+    got = matching.match_names(spark.createDataFrame([("x", n) for n in printed], "block string, name string"), spark.createDataFrame([("x", f"{k:05}", n) for k, n in enumerate(names)], "block string, scheme_code string, name string"))
+    rows = got.collect()
+    assert sorted(r.name for r in rows) == sorted(printed)
+    for row in rows:
+        scored = sorted((-matching.token_set_ratio(row.name, c), c) for c in names)[: matching.SHORTLIST]
+        near = [(s, c) for s, c in scored if -s >= matching.THRESHOLD and -s >= -scored[0][0] - matching.NEAR_BEST]
+        want = min(((-matching.ratio(row.name, c), s, c) for s, c in near), default=None)
+        assert (row.scheme_code, row.score) == ((f"{names.index(want[2]):05}", pytest.approx(-want[1])) if want else (None, None)), row
+    return rows
+
 
+def test_matching_against_all_pairs(spark, monkeypatch):
     rng = random.Random(8)
-    vocabulary = ["ALPHA", "BETA", "GAMMA", "FUND", "MID", "CAP", "INDIA", "VALUE", "GROWTH", "TAX"]
-    names = sorted({" ".join(rng.sample(vocabulary, rng.randint(2, 5))) for _ in range(60)})
-    printed = sorted({n.replace("GROWTH", "GROWHT").replace("ALPHA", "ALPA") for n in names[::2]} | {"NOTHING"})
-    assert all(matching.common(a, b) == common(a, b) for a in printed[:12] for b in names)
-    got = matching.match_names(spark.createDataFrame([("x", n) for n in printed], "block string, name string"), spark.createDataFrame([("x", f"{k:03}", n) for k, n in enumerate(names)], "block string, scheme_code string, name string"))
-    for row in got.collect():
-        scored = sorted((-matching.token_set_ratio(row.name, c), c) for c in names if set(row.name.split()) & set(c.split()))[: matching.SHORTLIST]
-        near = [(s, c) for s, c in scored if -s >= matching.THRESHOLD and -s >= -scored[0][0] - matching.NEAR_BEST]
-        want = min(((-200 * common(row.name, c) / len(row.name + c), s, c) for s, c in near), default=None)
-        assert (row.scheme_code, row.score) == ((f"{names.index(want[2]):03}", pytest.approx(-want[1])) if want else (None, None))
+    vocabulary = ["ALPHA", "BETA", "GAMMA", "FUND", "MID", "CAP", "INDIA", "VALUE", "GROWTH", "TAX", "A"]
+    names = sorted({" ".join(rng.sample(vocabulary, rng.randint(2, 5))) for _ in range(60)} | {"BLUECHIPS", "Ωmega ñandú"})
+    printed = sorted({n.replace("GROWTH", "GROWHT").replace("ALPHA", "ALPA") for n in names[::2]} | {"NOTHING", "BLUECHIP", "Ωmega nandú", "A"})
+    assert all(matching.common(a, b) == textbook_common(a, b) for a in printed[:12] for b in names)
+    assert {r.name: r.score for r in matched(spark, printed, names)}["BLUECHIP"] > 94  # no word in common
+    monkeypatch.setattr(matching, "TILE", 7)
+    matched(spark, printed, names)
+
+
+def test_matching_of_a_large_block_of_common_words(spark):
+    """Every word stands in more than 50 of over 2,000 candidates."""
+    rng = random.Random(9)
+    vocabulary = [a + b for a in ("BLUE", "MID", "SMALL", "TAX", "DIVI", "GLO") for b in ("CHIP", "CAP", "SAVER", "DEND", "BAL")]
+    names = sorted({" ".join(rng.sample(vocabulary, rng.randint(3, 6))) for _ in range(2100)})
+    assert len(names) > 2000 and all(sum(w in n.split() for n in names) > 50 for w in vocabulary)
+    printed = sorted({"".join(rng.sample(n, len(n))) if k % 9 == 0 else n[: k % 20] + n[k % 20 + 1 :] for k, n in enumerate(rng.sample(names, 60))})
+    matched(spark, printed, names)
+
+
+@pytest.mark.parametrize("many", [40, 60, 600])
+def test_a_match_does_not_depend_on_the_number_of_candidates(spark, many):
+    names = [f"BLUECHIP EQUITY SERIES {k:03}" for k in range(many)]
+    (row,) = matched(spark, ["BLUECHIP EQUITY SERIES OTHER"], names)
+    assert row.score == pytest.approx(91.666667)
+
+
+def test_bounds_hold_for_any_names():
+    rng = random.Random(10)
+    names = [" ".join("".join(rng.choice("ABC") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 5))) for _ in range(120)]
+    bounds = matching.upper_bounds(names, names)
+    assert all(matching.token_set_ratio(a, b) <= bounds[i, j] + 1e-3 for i, a in enumerate(names) for j, b in enumerate(names))
+
+
+def test_names_without_a_partner(spark):
+    printed = spark.createDataFrame([("a", None), (None, "X"), ("a", ""), ("a", " "), ("b", "ONE FUND"), ("c", "ONE FUND")], "block string, name string")
+    pool = spark.createDataFrame([("b", "1", None), ("b", "2", ""), ("c", None, "ONE FUND"), (None, "4", "X")], "block string, scheme_code string, name string")
+    got = matching.match_names(printed, pool).collect()
+    assert sorted((r.block or "", r.name or "") for r in got) == sorted((b or "", n or "") for b, n in ((r.block, r.name) for r in printed.collect()))
+    assert {r.block: r.score for r in got if r.score is not None} == {"c": 100.0}
+
+
+def test_candidates_of_a_company(spark):
+    rows = [("1", "hdfc", "HDFC Flexi Cap Fund - Direct Plan - Growth Option", "DIRECT", "GROWTH", True), ("0", "hdfc", "HDFC Flexi Cap Fund - Direct Plan - Growth", "DIRECT", "GROWTH", True), ("2", "hdfc", "HDFC Flexi Cap Fund - Regular Plan - Growth", "REGULAR", "GROWTH", True),
+            ("3", "hdfc", "HDFC Old Fund - Direct Plan - Growth", "DIRECT", "GROWTH", False), ("4", "hdfc", "HDFC Tax Fund - Direct Plan - Bonus Growth", "DIRECT", "GROWTH", True), ("5", "aditya_birla_sun_life", " - Growth", "DIRECT", "GROWTH", True), ("6", "x", None, "DIRECT", "GROWTH", True)]
+    schemes = spark.createDataFrame(rows, "scheme_code string, amc_code string, scheme_name string, plan_type string, option_type string, is_active boolean")
+    assert [tuple(r) for r in matching.candidate_index(schemes).collect()] == [("hdfc", "HDFC FLEXI CAP FUND", "0")]
+    codes = spark.createDataFrame([("absl",), ("hdfc",), (None,)], "c string").select(matching.company_code(F.col("c")).alias("c")).collect()
+    assert [r.c for r in codes] == ["aditya_birla_sun_life", "hdfc", None]
 
 
 def test_canonical_schemes(spark):
