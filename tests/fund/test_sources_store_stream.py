@@ -149,3 +149,91 @@ def test_keys_of_worst_coverage(spark):
     rows = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(d)) for k, days in ((1, (0, 140)), (2, (0, 70)), (3, (0, 140, 140)), (4, (0, 14))) for d in days], "k int, date date")
     assert [(r.k, r.n_missing) for r in quality.worst_coverage(rows, "k").collect()] == [(1, 98), (3, 98), (2, 48)]
     assert [r.k for r in quality.worst_coverage(rows, "k", top=1).collect()] == [1]
+
+
+def kv(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, day date, v string, version int")
+
+
+def names(folder):
+    return {str(f.relative_to(folder)) for f in folder.rglob("*.parquet") if not any(p[0] == "_" for p in f.relative_to(folder).parts)}
+
+
+D = [dt.date(2024, 1, k) for k in range(1, 29)]
+
+
+def test_upsert_rewrites_only_the_files_that_hold_a_key(spark, tmp_path):
+    folder = tmp_path / "a table"
+    path = str(folder)
+    for k in range(4):  # four loads of other days: four files and more
+        store.upsert(kv(spark, *[(i, D[k], f"old{k}", 1) for i in range(50)]).coalesce(1), path, ["k", "day"])
+    before = names(folder)
+    store.upsert(kv(spark, (7, D[2], "new", 2), (99, D[2], "more", 2), (7, D[2], "later", 2)), path, ["k", "day"])
+    after = names(folder)
+    assert len(before - after) == 1 and len(before & after) == len(before) - 1
+    rows = {(r.k, r.day): r.v for r in store.read_table(spark, path).collect()}
+    assert len(rows) == 201 and rows[7, D[2]] == "later" and rows[99, D[2]] == "more" and rows[8, D[2]] == "old2"
+    store.upsert(kv(spark, (1000, D[9], "far", 1)), path, ["k", "day"])
+    assert after < names(folder) and store.read_table(spark, path).count() == spark.read.parquet(path).count() == 202
+    store.upsert(kv(spark).limit(0), path, ["k", "day"])
+    assert store.read_table(spark, path).count() == 202
+
+
+def test_upsert_of_null_keys_and_versions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    store.upsert(kv(spark, (None, D[0], "a", 5), (None, None, "b", 5), (1, D[0], "c", 5), (1, D[0], "d", 6)), path, ["k", "day"], version="version")
+    store.upsert(kv(spark, (None, D[0], "older", 4), (None, None, "newer", 6), (1, D[0], "none", None)), path, ["k", "day"], version="version")
+    assert sorted((r.k or 0, r.v) for r in store.read_table(spark, path).collect()) == [(0, "a"), (0, "newer"), (1, "d")]
+
+
+def test_readers_and_crashes_during_a_change(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    store.upsert(kv(spark, (1, D[0], "a", 1), (2, D[0], "b", 1)).coalesce(1), path, ["k"])
+    seen = lambda: sorted((r.k, r.v) for r in store.read_table(spark, path).collect())
+    held = store._listed(spark, path)
+    staged, add = store._stage(kv(spark, (1, D[0], "a", 1), (2, D[0], "B", 2)).coalesce(1), path)
+    assert seen() == [(1, "a"), (2, "b")]  # written, not committed
+    commit = store._commit(spark, path, staged, add, held)
+    assert seen() == [(1, "a"), (2, "B")]  # committed, nothing moved yet
+    (tmp_path / "t" / staged / add[0]).rename(tmp_path / "t" / add[0])
+    assert seen() == [(1, "a"), (2, "B")]  # moved, the old file still there
+    store.recover(spark, path)  # the writer died here: the next one goes on
+    assert seen() == [(1, "a"), (2, "B")] and names(tmp_path / "t") == set(add) and not (tmp_path / "t" / commit).exists()
+    store._stage(kv(spark, (5, D[0], "lost", 1)), path)
+    store.write_table(store.read_table(spark, path).filter("k = 1"), path)
+    assert seen() == [(1, "a")] and not list((tmp_path / "t").glob("_staged*"))
+
+
+def test_a_replaced_partitioned_table_is_read_whole_at_any_moment(spark, tmp_path):
+    path = f"{tmp_path}/p"
+    store.write_table(kv(spark, (1, D[0], "a", 1), (2, D[1], "b", 2)), path, "version")
+    staged, add = store._stage(kv(spark, (3, D[0], "c", 1), (4, D[1], "d", 3)), path, "version")
+    store._commit(spark, path, staged, add, store._listed(spark, path))
+    assert sorted((r.k, r.version) for r in store.read_table(spark, path).collect()) == [(3, 1), (4, 3)]
+    store.upsert(kv(spark, (5, D[0], "e", 3)), path, ["k", "version"], "version")
+    assert sorted((r.k, r.version) for r in store.read_table(spark, path).collect()) == [(3, 1), (4, 3), (5, 3)]
+
+
+def published(spark, folder, hour, *rows):
+    data = [(s, d, n, dt.datetime(2024, 2, 1, hour)) for s, d, n in rows]
+    spark.createDataFrame(data, ingest.PUBLISHED_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_stream_with_marks_in_any_order(spark, tmp_path):
+    landing_dir, table = f"{tmp_path}/in", f"{tmp_path}/table"
+    files = [(3, ("A", D[5], 3.0), ("B", D[5], 2.0)), (1, ("A", D[5], 1.0), ("A", D[4], 9.0)), (2, ("A", D[5], 2.0), ("C", D[1], 7.0)), (3, ("A", D[5], 3.0), ("B", D[5], 2.0))]  # late files, a replay
+    for hour, *rows in files:
+        published(spark, landing_dir, hour, *rows)
+        stream = spark.readStream.schema(ingest.PUBLISHED_SCHEMA).parquet(landing_dir)
+        ingest.merge_published(stream, table, f"{tmp_path}/checkpoint").awaitTermination()
+    want = {("A", D[5]): 3.0, ("B", D[5]): 2.0, ("A", D[4]): 9.0, ("C", D[1]): 7.0}
+    assert {(r.scheme_code, r.nav_date): r.nav for r in store.read_table(spark, table).collect()} == want
+    marks = store.read_table(spark, f"{table}_marks")
+    assert {r.scheme_code: (r.low, r.high, r.latest.hour) for r in marks.collect()} == {"A": (D[4], D[5], 3), "B": (D[5], D[5], 3), "C": (D[1], D[1], 2)}
+    stream = spark.readStream.schema(ingest.PUBLISHED_SCHEMA).parquet(landing_dir)  # all batches once more, as after the loss of the checkpoint
+    ingest.merge_published(stream, table, f"{tmp_path}/lost").awaitTermination()
+    assert {(r.scheme_code, r.nav_date): r.nav for r in store.read_table(spark, table).collect()} == want
+    marks = store.read_table(spark, f"{table}_marks")  # tables are read anew after a change
+    new = spark.createDataFrame([("A", D[6], 1.0), ("A", D[5], 1.0), ("A", D[3], 1.0), ("Z", D[0], 1.0)], ingest.NAV_SCHEMA)
+    assert sorted((r.scheme_code, r.nav_date.day) for r in ingest.to_load(new, marks).collect()) == [("A", 7), ("Z", 1)]
+    assert sorted((r.scheme_code, r.nav_date.day) for r in ingest.to_load(new, marks, tail=2).collect()) == [("A", 6), ("A", 7), ("Z", 1)]
