@@ -2,11 +2,13 @@
 
 Two texts link when 100 times their common shingles are at least ``percent`` times the
 shingles of either. In one order of all shingles a text of n shingles that must share o
-with any partner keeps a prefix: its first n - o + l. Texts that link share at
-least l shingles of prefixes for l, whatever l is. Each text chooses its own l: a longer
+with any partner keeps a prefix: its first n - o + l. Of a pair the shorter text must share more
+than that with a longer one, so its prefix is shorter. Texts that link then share at
+least l shingles of their prefixes, whatever l is. Each text chooses its own l: a longer
 prefix meets more lists, but candidates must share l of them, so the choice weighs the rows
 of the lists that it would meet against the candidates that can be left over, whose texts are compared.
-A pair is judged by the lesser l of its two texts, on the prefixes for that l.
+A pair is judged by the lesser l of its two texts, on the prefixes for that l: by the number of shared
+shingles that its sizes ask for there, and by what the texts have left after the last of them.
 
 Any order is right; the shingles that many texts hold go last, by counts in CELLS hashed
 cells over all texts. Equal texts are one node from the start. Pairs within a component
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlab.llm.blocks import blocks
@@ -40,10 +42,10 @@ from fundlab.storage import materialize, release
 PERCENT = 80
 #: The largest l a text can choose.
 MOST_SHARED = 8
-#: Comparing two texts costs so many rows of a list for each shingle.
-COMPARE = 1.0
+#: Comparing two texts costs so many rows of a list for each shingle, times the share of candidates that their sizes and places do not rule out.
+COMPARE = 0.02
 CELLS = 1 << 20
-SMALL_LIST, ROUNDS, LIST_BLOCK = 16, 2, 1 << 11
+SMALL_LIST, ROUNDS, LIST_BLOCK = 16, 1, 1 << 11
 #: Texts whose shingles a task keeps while it compares pairs.
 KEPT = 1 << 10
 
@@ -57,6 +59,11 @@ def least_shared(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def _shared_by_both(sizes: Column, percent: int) -> Column:
+    """The fewest shingles that two sets of so many in all share."""
+    return F.floor((sizes * percent + 99 + percent) / (100 + percent))
+
+
 def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(CELLS, np.int64)
     for batch in batches:
@@ -153,9 +160,13 @@ def _pair(x: str, y: str) -> list:
 
 
 def lists(rows: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, layer, held for the prefix shingles that ``held`` > 1 nodes (row, n, tokens) have; layer: the least l whose prefix has it."""
-    layer = F.greatest(F.lit(1), F.col("pos") + 1 - (F.col("n") - F.floor((F.col("n") * percent + 99) / 100))).cast("int")
-    entries = rows.select(F.col("row").alias("node"), "n", F.posexplode("tokens").alias("pos", "token")).select("token", "node", "n", layer.alias("layer"))
+    """token, node, n, pos, as_long, as_short, held for the prefix shingles that ``held`` > 1 nodes (row, n, tokens) have.
+
+    pos counts from 1; as_long and as_short are the least l whose prefix has it, in pairs with a shorter and with a longer text.
+    """
+    layer = lambda share: F.greatest(F.lit(1), F.col("pos") - F.col("n") + share).cast("int")
+    entries = rows.select(F.col("row").alias("node"), "n", F.posexplode("tokens").alias("at", "token")).withColumn("pos", F.col("at") + 1)
+    entries = entries.select("token", "node", "n", "pos", layer(F.floor((F.col("n") * percent + 99) / 100)).alias("as_long"), layer(_shared_by_both(2 * F.col("n"), percent)).alias("as_short"))
     held = key_counts(entries, ["token"])
     return join_unique(entries, held.filter("n > 1").withColumnRenamed("n", "held"), ["token"], wide=True, counts=held)
 
@@ -194,7 +205,7 @@ def _between_centres(placed: DataFrame, percent: int) -> DataFrame:
 def chosen(placed: DataFrame, percent: int) -> DataFrame:
     """node, l: the prefix each text takes, by the rows of other components in the lists that it meets."""
     others = F.col("held") - F.when(F.col("component") == F.col("main"), F.col("n_main")).otherwise(F.lit(1))
-    met = [F.sum(F.when(F.col("layer") <= k, others).otherwise(0)).alias(f"met_{k}") for k in range(1, MOST_SHARED + 1)]
+    met = [F.sum(F.when(F.col("as_long") <= k, others).otherwise(0)).alias(f"met_{k}") for k in range(1, MOST_SHARED + 1)]
     sums = placed.groupBy("node", "n").agg(*met)
     shared = F.floor((F.col("n") * percent + 99) / 100)
     costs = [F.when(shared >= k, F.struct((F.col(f"met_{k}") * (1 + COMPARE * F.col("n") / k)).alias("cost"), F.lit(k).alias("l"))) for k in range(1, MOST_SHARED + 1)]
@@ -202,18 +213,29 @@ def chosen(placed: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(placed: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of nodes of different components that share as many prefix shingles as the lesser l of both asks for."""
+    """All pairs (a, b) of nodes of different components whose prefixes, for the lesser l of both, do not rule a link out.
+
+    Of the pair the longer text (of equal ones the one of the greater node) must share o shingles
+    with any other, the shorter one s with any longer one, and both together w with each other. So all but the last w - max(o, s) + l
+    shared shingles stand in both prefixes, and after the last one there both texts must have enough left for w.
+    """
     own = materialize(chosen(placed, percent), n=F.count(F.lit(1)))
-    rows = join_unique(placed, own, ["node"], rows=own.seen["n"]).filter(F.col("layer") <= F.col("l"))
+    rows = join_unique(placed, own, ["node"], rows=own.seen["n"]).filter(F.col("as_long") <= F.col("l"))
     rows = materialize(rows.withColumn("blocks", F.ceil(F.col("held") / LIST_BLOCK).cast("int")).drop("held", "n_main"))
     one = rows.filter(F.col("component") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    one = one.select("token", "block", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "layer", "l", "component")])
+    one = one.select("token", "block", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "pos", "as_long", "as_short", "l", "component")])
     two = rows.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     once = (F.col("component") == F.col("main")) | (F.col("node_x") < F.col("node"))
     l = F.least("l", "l_x")  # noqa: E741
-    met = one.join(two, ["token", "block"]).filter((F.col("component") != F.col("component_x")) & once & _alike("n", "n_x", percent) & (F.greatest("layer", "layer_x") <= l))
-    shared = met.select(*_pair("node", "node_x"), l.alias("l")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("l").alias("l"))
-    return shared.filter(F.col("shared") >= F.col("l")).select("a", "b")
+    longer = (F.col("n") > F.col("n_x")) | ((F.col("n") == F.col("n_x")) & (F.col("node") > F.col("node_x")))
+    inside = F.when(longer, F.greatest("as_long", "as_short_x")).otherwise(F.greatest("as_short", "as_long_x")) <= l
+    both = _shared_by_both(F.col("n") + F.col("n_x"), percent)
+    after = F.least(F.col("n") - F.col("pos"), F.col("n_x") - F.col("pos_x"))
+    met = one.join(two, ["token", "block"]).filter((F.col("component") != F.col("component_x")) & once & _alike("n", "n_x", percent) & inside & (F.least("pos", "pos_x") + after >= both))
+    least = both - F.greatest(F.floor((F.greatest("n", "n_x") * percent + 99) / 100), _shared_by_both(2 * F.least("n", "n_x"), percent)) + l
+    shared = met.select(*_pair("node", "node_x"), least.alias("least"), both.alias("both"), after.alias("after")).groupBy("a", "b")
+    shared = shared.agg(F.count("*").alias("shared"), F.first("least").alias("least"), F.first("both").alias("both"), F.min("after").alias("after"))
+    return shared.filter((F.col("shared") >= F.col("least")) & (F.col("shared") + F.col("after") >= F.col("both"))).select("a", "b")
 
 
 def links(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -237,7 +259,7 @@ def links(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> tuple[Dat
         return True
 
     none = docs.sparkSession.createDataFrame([], "node long, component long")
-    large = entries.filter((F.col("held") > SMALL_LIST) & (F.col("layer") == 1))
+    large = entries.filter((F.col("held") > SMALL_LIST) & (F.col("as_long") == 1))
     if entries.seen["large"] and try_pairs(_stars(large, percent)):
         for _ in range(ROUNDS):
             mixed = _placed(large, group)
