@@ -8,7 +8,7 @@ least l shingles of their prefixes, whatever l is. Each text chooses its own l:
 prefix meets more lists, but candidates must share l of them, so the choice weighs the rows
 of the lists that it would meet against the candidates that can be left over, whose texts are compared.
 A pair is judged by the lesser l of its two texts, on the prefixes for that l: by the number of shared
-shingles that its sizes ask for there, and by what the texts have left after the last of them.
+shingles that its sizes ask for there, and by what the texts can share up to a common one and have left after it.
 
 Any order is right; the shingles that many texts hold go last, by counts in CELLS hashed
 cells over all texts. Equal texts are one node from the start. Pairs within a component
@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fundlab.llm.blocks import blocks
 from fundlab.llm.graph import components
@@ -43,7 +44,7 @@ PERCENT = 80
 #: The largest l a text can choose.
 MOST_SHARED = 8
 #: Comparing two texts costs so many rows of a list for each shingle, times the share of candidates that their sizes and places do not rule out.
-COMPARE = 0.02
+COMPARE = 0.005
 CELLS = 1 << 20
 SMALL_LIST, ROUNDS, LIST_BLOCK = 16, 1, 1 << 11
 #: Texts whose shingles a task keeps while it compares pairs.
@@ -203,13 +204,15 @@ def _between_centres(placed: DataFrame, percent: int) -> DataFrame:
 
 
 def chosen(placed: DataFrame, percent: int) -> DataFrame:
-    """node, l: the prefix each text takes, by the rows of other components in the lists that it meets."""
+    """placed, with the l that each text takes, by the rows of other components in the lists that it meets, and with
+    the rank of each entry among the text's entries: what stands in no list of another component is shared with none."""
     others = F.col("held") - F.when(F.col("component") == F.col("main"), F.col("n_main")).otherwise(F.lit(1))
-    met = [F.sum(F.when(F.col("as_long") <= k, others).otherwise(0)).alias(f"met_{k}") for k in range(1, MOST_SHARED + 1)]
-    sums = placed.groupBy("node", "n").agg(*met)
+    of_node = Window.partitionBy("node")
+    met = lambda k: F.sum(F.when(F.col("as_long") <= k, others).otherwise(0)).over(of_node)
     shared = F.floor((F.col("n") * percent + 99) / 100)
+    met_by = placed.withColumns({"rank": F.row_number().over(of_node.orderBy("pos"))} | {f"met_{k}": met(k) for k in range(1, MOST_SHARED + 1)})
     costs = [F.when(shared >= k, F.struct((F.col(f"met_{k}") * (1 + COMPARE * F.col("n") / k)).alias("cost"), F.lit(k).alias("l"))) for k in range(1, MOST_SHARED + 1)]
-    return sums.select("node", F.least(*costs)["l"].alias("l"))
+    return met_by.select(*placed.columns, "rank", F.least(*costs)["l"].alias("l"))
 
 
 def candidates(placed: DataFrame, percent: int) -> DataFrame:
@@ -219,11 +222,10 @@ def candidates(placed: DataFrame, percent: int) -> DataFrame:
     with any other, the shorter one s with any longer one, and both together w with each other. So all but the last w - max(o, s) + l
     shared shingles stand in both prefixes, and after the last one there both texts must have enough left for w.
     """
-    own = materialize(chosen(placed, percent), n=F.count(F.lit(1)))
-    rows = join_unique(placed, own, ["node"], rows=own.seen["n"]).filter(F.col("as_long") <= F.col("l"))
+    rows = chosen(placed, percent).filter(F.col("as_long") <= F.col("l"))
     rows = materialize(rows.withColumn("blocks", F.ceil(F.col("held") / LIST_BLOCK).cast("int")).drop("held", "n_main"))
     one = rows.filter(F.col("component") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    one = one.select("token", "block", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "pos", "as_long", "as_short", "l", "component")])
+    one = one.select("token", "block", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "pos", "rank", "as_long", "as_short", "l", "component")])
     two = rows.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     once = (F.col("component") == F.col("main")) | (F.col("node_x") < F.col("node"))
     l = F.least("l", "l_x")  # noqa: E741
@@ -231,7 +233,7 @@ def candidates(placed: DataFrame, percent: int) -> DataFrame:
     inside = F.when(longer, F.greatest("as_long", "as_short_x")).otherwise(F.greatest("as_short", "as_long_x")) <= l
     both = _shared_by_both(F.col("n") + F.col("n_x"), percent)
     after = F.least(F.col("n") - F.col("pos"), F.col("n_x") - F.col("pos_x"))
-    met = one.join(two, ["token", "block"]).filter((F.col("component") != F.col("component_x")) & once & _alike("n", "n_x", percent) & inside & (F.least("pos", "pos_x") + after >= both))
+    met = one.join(two, ["token", "block"]).filter((F.col("component") != F.col("component_x")) & once & _alike("n", "n_x", percent) & inside & (F.least("rank", "rank_x") + after >= both))
     least = both - F.greatest(F.floor((F.greatest("n", "n_x") * percent + 99) / 100), _shared_by_both(2 * F.least("n", "n_x"), percent)) + l
     shared = met.select(*_pair("node", "node_x"), least.alias("least"), both.alias("both"), after.alias("after")).groupBy("a", "b")
     shared = shared.agg(F.count("*").alias("shared"), F.first("least").alias("least"), F.first("both").alias("both"), F.min("after").alias("after"))
