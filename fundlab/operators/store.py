@@ -62,6 +62,11 @@ def _listed(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
     return sorted(out)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has files, or a commit that names some."""
+    return bool(_listed(spark, path) or _commits(spark, path))
+
+
 def _commits(spark: SparkSession, path: str) -> list[str]:
     files, to_path = _files(spark, path)
     found = files.globStatus(to_path(f"{path.rstrip('/')}/_commit-*"))
@@ -189,11 +194,13 @@ def upsert(new: DataFrame, path: str, key: list[str], partition: str | None = No
         one = merged(new.limit(0), new, key, version)
         return write_table(one, path, partition)
     if partition and partition in key:
-        old = spark.read.parquet(path)
+        old = read_table(spark, path)
         touched = materialize(new.select(partition).distinct())
         old = old.join(touched, partition, "left_semi").select(*old.columns)
         rows = materialize(merged(old, new, key, version))
-        replace_partitions(rows, path, partition)
+        staged, add = _stage(rows, path, partition)
+        folders = {f.rpartition("/")[0] for f in add}
+        _apply(spark, path, _commit(spark, path, staged, add, [f for f in _listed(spark, path) if f.rpartition("/")[0] in folders]))
         release(rows)
         return
     plain, watched = _bounds(key, new)

@@ -20,6 +20,8 @@ from fundlab.storage import materialize
 TRADING_DAYS, SLACK, LEAST_T = 252, 30, 1.0
 #: A sum of squares about the mean below this part of the plain one is rounding.
 FLAT = 1e-13
+#: Windows end a week or a day apart. Running sums are exact in multiples of 1 / GRAIN up to 2**53 / GRAIN.
+STEPS, GRAIN = ("1w", "1d"), float(1 << 30)
 
 
 def window_days(years: int) -> int:
@@ -53,9 +55,39 @@ def weekly_sums(frame: DataFrame, needed: list[str], sums: dict[str, Column] | N
     return summed.select("scheme_code", F.date_add("_first", F.col("_k") * 7 + length).alias("window_end"), "n", *first, *sums)
 
 
-def grid(frame: DataFrame, needed: list[str], years: int = 3) -> DataFrame:
+def daily_sums(frame: DataFrame, needed: list[str], sums: dict[str, Column] | None = None, years: int = 3, first: dict[str, Column] | None = None) -> DataFrame:
+    """As weekly_sums, for windows that end a day apart, on any day from one length after the first one.
+
+    A window is the difference of two running sums: up to its end, and up to the day before its
+    start. Each running sum is kept in two parts, multiples of 1 / GRAIN, whose sums and differences are exact, and the
+    small rest, so that no digits are lost over long series. Days without a row repeat the sums of the day before, so the
+    other end of a window is found a fixed number of rows back; no row is repeated for the windows that hold it.
+    """
+    sums, first, length = sums or {}, first or {}, window_days(years)
+    whole, by_day = Window.partitionBy("scheme_code"), Window.partitionBy("scheme_code").orderBy("date")
+    rows = frame.select("scheme_code", "date", *needed).dropna(subset=needed)
+    rows = rows.withColumns({"_first": F.min("date").over(whole), "_n": F.count("*").over(whole), **{k: F.min_by(c, "date").over(whole) for k, c in first.items()}}).filter(F.col("_n") >= least_rows(years))
+    rows = rows.withColumns({f"_{k}": F.coalesce(c, F.lit(0.0)) for k, c in sums.items()}).withColumns({f"_coarse_{k}": F.rint(F.col(f"_{k}") * GRAIN) / GRAIN for k in sums})
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    running = [F.count("*").over(upto).alias("n"), *[F.sum(f"_coarse_{k}").over(upto).alias(f"coarse_{k}") for k in sums], *[F.sum(F.col(f"_{k}") - F.col(f"_coarse_{k}")).over(upto).alias(f"fine_{k}") for k in sums]]
+    summed = rows.select("scheme_code", "_first", *first, F.datediff("date", "_first").alias("_day"), F.coalesce(F.datediff(F.lead("date").over(by_day), "date"), F.lit(1)).alias("_days"), F.struct(*running).alias("upto"))
+    daily = summed.withColumn("_day", F.explode(F.sequence(F.col("_day"), F.col("_day") + F.col("_days") - 1)))
+    daily = daily.withColumn("before", F.lag("upto", length + 1).over(Window.partitionBy("scheme_code").orderBy("_day"))).filter(F.col("_day") >= length)
+    since = lambda k: F.col(f"upto.{k}") - F.coalesce(F.col(f"before.{k}"), F.lit(0))
+    out = daily.select("scheme_code", F.date_add("_first", F.col("_day")).alias("window_end"), since("n").alias("n"), *first, *[(since(f"coarse_{k}") + since(f"fine_{k}")).alias(k) for k in sums])
+    return out.filter(F.col("n") >= least_rows(years))
+
+
+def window_sums(frame: DataFrame, needed: list[str], sums: dict[str, Column] | None = None, years: int = 3, first: dict[str, Column] | None = None, step: str = "1w") -> DataFrame:
+    """The sums of every window, a week (1w) or a day (1d) apart."""
+    if step not in STEPS:
+        raise ValueError(f"unsupported step: {step}")
+    return (weekly_sums if step == "1w" else daily_sums)(frame, needed, sums, years, first)
+
+
+def grid(frame: DataFrame, needed: list[str], years: int = 3, step: str = "1w") -> DataFrame:
     """scheme_code, window_end, n: the valid windows."""
-    return weekly_sums(frame, needed, years=years)
+    return window_sums(frame, needed, years=years, step=step)
 
 
 def _centred(xy: str, x: str, y: str) -> Column:
@@ -76,25 +108,39 @@ def _t_of_intercept(df: DataFrame) -> DataFrame:
     return df.filter("sxx > 0").withColumn("t", t).withColumn("alpha", F.pow(1 + F.col("a"), F.lit(float(TRADING_DAYS))) - 1)
 
 
-def regression_windows(aligned: DataFrame, years: int = 3) -> DataFrame:
-    """scheme_code, window_end, n, alpha (annual), t, beta, r2 of excess returns.
+def regression_sums() -> tuple[list[str], dict[str, Column], dict[str, Column]]:
+    """The columns, sums and first values that fitted() takes.
 
     Returns are taken less the scheme's first ones, so that sums of squares keep their digits.
     """
-    need = ["fund_log_ret", "bench_log_ret", "rate_daily_log"]
     y, x = F.col("fund_log_ret") - F.col("rate_daily_log"), F.col("bench_log_ret") - F.col("rate_daily_log")
     dy, dx = y - F.col("y0"), x - F.col("x0")
-    one = weekly_sums(aligned, need, {"y": dy, "x": dx, "yy": dy * dy, "xx": dx * dx, "xy": dx * dy}, years, {"y0": y, "x0": x})
+    return ["fund_log_ret", "bench_log_ret", "rate_daily_log"], {"y": dy, "x": dx, "yy": dy * dy, "xx": dx * dx, "xy": dx * dy}, {"y0": y, "x0": x}
+
+
+def fitted(one: DataFrame) -> DataFrame:
+    """scheme_code, window_end, n, alpha (annual), t, beta, r2 of excess returns from the windows' sums."""
     one = one.withColumns({"sxx": _centred("xx", "x", "x"), "syy": _centred("yy", "y", "y"), "sxy": _centred("xy", "x", "y"), "mx": F.col("x") / F.col("n") + F.col("x0")})
     one = one.withColumn("beta", F.try_divide("sxy", "sxx")).withColumn("a", F.col("y") / F.col("n") + F.col("y0") - F.col("beta") * F.col("mx"))
     r2 = F.when(F.col("syy") == 0, 1.0).otherwise(F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx") * F.col("syy")))
     return _t_of_intercept(one.withColumn("r2", r2)).select("scheme_code", "window_end", "n", "alpha", "t", "beta", "r2")
 
 
-def alpha_beta(aligned: DataFrame, years: int = 3, least_t: float = LEAST_T) -> DataFrame:
+def regression_windows(aligned: DataFrame, years: int = 3, step: str = "1w") -> DataFrame:
+    """scheme_code, window_end, n, alpha (annual), t, beta, r2 of excess returns."""
+    need, sums, first = regression_sums()
+    return fitted(window_sums(aligned, need, sums, years, first, step))
+
+
+def alpha_beta(aligned: DataFrame, years: int = 3, least_t: float = LEAST_T, step: str = "1w") -> DataFrame:
     """Medians of significant alphas and their t, of beta and R2; spread of beta; mean of R2."""
+    return summary(regression_windows(aligned, years, step), least_t)
+
+
+def summary(fits: DataFrame, least_t: float = LEAST_T) -> DataFrame:
+    """alpha_beta() of the windows' regressions."""
     sure = F.col("t") >= least_t
-    return regression_windows(aligned, years).groupBy("scheme_code").agg(
+    return fits.groupBy("scheme_code").agg(
         F.median(F.when(sure, F.col("alpha"))).alias("alpha_3y_annualized"), F.median(F.when(sure, F.col("t"))).alias("alpha_3y_tstat"), F.median("beta").alias("beta_3y"),
         F.median("r2").alias("r_squared_3y"), F.stddev_samp("beta").alias("beta_3y_std"), F.avg("r2").alias("r_squared_3y_mean"),
     )
@@ -108,25 +154,25 @@ def single_window_alpha(aligned: DataFrame, years: int = 3) -> DataFrame:
     return _t_of_intercept(rows.groupBy("scheme_code").agg(*_regression(y, x))).select("scheme_code", "alpha", "beta", "r2")
 
 
-def sortino(aligned: DataFrame, years: int = 3) -> DataFrame:
+def sortino(aligned: DataFrame, years: int = 3, step: str = "1w") -> DataFrame:
     excess = F.col("fund_log_ret") - F.col("rate_daily_log")
     low = F.least(F.lit(0.0), excess)
-    one = weekly_sums(aligned, ["fund_log_ret", "rate_daily_log"], {"e": excess, "low": low * low}, years).filter("low <> 0")
+    one = window_sums(aligned, ["fund_log_ret", "rate_daily_log"], {"e": excess, "low": low * low}, years, step=step).filter("low <> 0")
     return one.groupBy("scheme_code").agg(F.median(F.col("e") / F.col("n") * TRADING_DAYS / F.sqrt(F.col("low") / F.col("n") * TRADING_DAYS)).alias("sortino_3y"))
 
 
-def information_ratio(aligned: DataFrame, years: int = 3) -> DataFrame:
+def information_ratio(aligned: DataFrame, years: int = 3, step: str = "1w") -> DataFrame:
     active = F.col("fund_log_ret") - F.col("bench_log_ret")
     d = active - F.col("a0")
-    one = weekly_sums(aligned, ["fund_log_ret", "bench_log_ret"], {"a": d, "aa": d * d}, years, {"a0": active}).withColumn("saa", _centred("aa", "a", "a")).filter("saa <> 0")
+    one = window_sums(aligned, ["fund_log_ret", "bench_log_ret"], {"a": d, "aa": d * d}, years, {"a0": active}, step).withColumn("saa", _centred("aa", "a", "a")).filter("saa <> 0")
     mean, sd = F.col("a") / F.col("n") + F.col("a0"), F.sqrt(F.col("saa") / (F.col("n") - 1))
     return one.groupBy("scheme_code").agg(F.median(mean * TRADING_DAYS / (sd * F.sqrt(F.lit(float(TRADING_DAYS))))).alias("info_ratio_3y"))
 
 
-def capture(aligned: DataFrame, years: int = 3) -> DataFrame:
+def capture(aligned: DataFrame, years: int = 3, step: str = "1w") -> DataFrame:
     """Median up and down capture, and the ratio of the medians. Both means of a side have its days, so their ratio is that of the sums."""
     f, b = F.col("fund_log_ret"), F.col("bench_log_ret")
-    one = weekly_sums(aligned, ["fund_log_ret", "bench_log_ret"], {"fu": F.when(b > 0, f), "bu": F.when(b > 0, b), "fd": F.when(b < 0, f), "bd": F.when(b < 0, b)}, years)
+    one = window_sums(aligned, ["fund_log_ret", "bench_log_ret"], {"fu": F.when(b > 0, f), "bu": F.when(b > 0, b), "fd": F.when(b < 0, f), "bd": F.when(b < 0, b)}, years, step=step)
     medians = one.filter("bu <> 0 and bd <> 0").groupBy("scheme_code").agg(F.median(F.col("fu") / F.col("bu")).alias("capture_up"), F.median(F.col("fd") / F.col("bd")).alias("capture_down"))
     return medians.withColumn("capture_efficiency", F.try_divide("capture_up", "capture_down"))
 

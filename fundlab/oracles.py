@@ -24,11 +24,11 @@ def _aligned(body: str) -> str:
     return with_relations(_BASE, ", " + _ALIGNED + " " + body)
 
 
-def _family(name: str, needed: list[str]) -> str:
+def _family(name: str, needed: list[str], step: int = 7) -> str:
     """Rows of each valid three-year window for one family of metrics."""
     there = " AND ".join(f"{c} IS NOT NULL" for c in needed)
     return f"""{name}_rows AS (SELECT * FROM aligned WHERE {there}), {name}_ends AS (
-        SELECT scheme_code, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS window_end
+        SELECT scheme_code, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL {step} DAY)) AS DATE) AS window_end
         FROM (SELECT scheme_code, min(date) + 1095 AS a, max(date) AS b FROM {name}_rows GROUP BY 1) WHERE a <= b), {name} AS (
         SELECT e.window_end, r.* FROM {name}_ends e JOIN {name}_rows r ON r.scheme_code = e.scheme_code AND r.date BETWEEN e.window_end - 1095 AND e.window_end
         QUALIFY count(*) OVER (PARTITION BY e.scheme_code, e.window_end) >= 726)"""
@@ -208,6 +208,9 @@ def sql() -> dict[str, str]:
         "window_grid": _aligned(f", {_REG} SELECT scheme_code, window_end, count(*) AS n FROM reg GROUP BY 1, 2"),
         "rolling_returns_dist": with_relations(["nav_daily"], f", {_returns(3)}, {_returns(5)} SELECT scheme_code, {_round('ret_3y_median ret_3y_p25 ret_5y_median ret_5y_p25')} FROM rt3 LEFT JOIN rt5 USING (scheme_code)"),
         "rolling_alpha_beta_r2": _aligned(f", {_REG}, {_FIT}, {_AB} SELECT scheme_code, {_round(_ALPHA, 5)} FROM ab"),
+        "incremental_alpha_beta": _aligned(f", {_REG}, {_FIT}, {_AB} SELECT scheme_code, {_round(_ALPHA, 5)} FROM ab"),
+        "daily_step_metrics": _aligned(f""", {_family("reg", ["fund_log_ret", "bench_log_ret", "rate_daily_log"], 1)}, {_FIT}, {_AB}, {_family("sor", ["fund_log_ret", "rate_daily_log"], 1)}, {_SORTINO}, {_family("act", ["fund_log_ret", "bench_log_ret"], 1)}, {_INFO}, {_CAPTURE}
+            SELECT scheme_code, {_round(_ALPHA + " sortino_3y info_ratio_3y capture_up capture_down", 5)} FROM ab LEFT JOIN sortino USING (scheme_code) LEFT JOIN info USING (scheme_code) LEFT JOIN cap USING (scheme_code)"""),
         "regression_windows": _aligned(f", {_REG}, {_FIT} SELECT scheme_code, window_end, n, {_round('alpha t beta r2', 5)} FROM fit"),
         "single_window_alpha": _aligned(f""", last AS (SELECT * FROM aligned WHERE fund_log_ret IS NOT NULL AND bench_log_ret IS NOT NULL AND rate_daily_log IS NOT NULL QUALIFY date >= max(date) OVER (PARTITION BY scheme_code) - 1095),
             {_fits("lf", "last", "scheme_code")} SELECT scheme_code, {_round("alpha beta r2", 5)} FROM lf"""),

@@ -6,14 +6,16 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A series for each type, status and hundred suppliers: their number grows with the tables.
+_SERIES = "p_type || '-' || l_linestatus || CASE WHEN l_suppkey > 100 THEN '-' || CAST(CAST(floor((l_suppkey - 1) / 100) AS INT) AS VARCHAR(12)) ELSE '' END"
 #: Relation -> its SQL over the driver's tables. Later ones do not read earlier ones.
 RELATIONS = {
-    "nav_daily": """SELECT p_type || '-' || l_linestatus AS scheme_code, CAST(l_shipdate AS DATE) AS nav_date, round(avg(l_extendedprice) + 0.0000137, 4) AS nav
-        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type || '-' || l_linestatus, CAST(l_shipdate AS DATE)""",
+    "nav_daily": f"""SELECT {_SERIES} AS scheme_code, CAST(l_shipdate AS DATE) AS nav_date, round(avg(l_extendedprice) + 0.0000137, 4) AS nav
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY {_SERIES}, CAST(l_shipdate AS DATE)""",
     "calendar": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem",
     "benchmark_daily": "SELECT 'ALL' AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice) + 0.0000137, 4) AS close FROM lineitem GROUP BY CAST(l_shipdate AS DATE)",
     "benchmark_by_ticker": "SELECT l_linestatus AS ticker, CAST(l_shipdate AS DATE) AS date, round(avg(l_extendedprice) + 0.0000137, 4) AS close FROM lineitem GROUP BY l_linestatus, CAST(l_shipdate AS DATE)",
-    "scheme_ticker": "SELECT DISTINCT p_type || '-' || l_linestatus AS scheme_code, CASE WHEN p_type LIKE 'S%' THEN NULL ELSE l_linestatus END AS ticker FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "scheme_ticker": f"SELECT DISTINCT {_SERIES} AS scheme_code, CASE WHEN p_type LIKE 'S%' THEN NULL ELSE l_linestatus END AS ticker FROM lineitem JOIN part ON l_partkey = p_partkey",
     "rf_observed": """SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, CAST(CASE WHEN month(l_shipdate) % 3 = 0 THEN 6.5 ELSE 0.05 + 0.005 * (month(l_shipdate) % 3) END AS DOUBLE) AS rate
         FROM lineitem WHERE day(l_shipdate) % 7 = 1""",
     "scheme_metrics": """SELECT 'S' || CAST(s_suppkey AS VARCHAR(12)) AS scheme_code, max(r_name) AS canonical_category,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +12,11 @@ from pyspark.sql.window import Window
 from fundlab import oracles
 from fundlab.functions import matching, text
 from fundlab.operators import holdings as h
-from fundlab.operators import quality, ranking, series, store, windows
+from fundlab.operators import incremental, quality, ranking, series, store, windows
 from fundlab.plans.relations import relation
 from fundlab.plans.staged import Shortlists, rank_deep, shortlists
 from fundlab.sources import landing
-from fundlab.storage import materialize
+from fundlab.storage import materialize, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -115,6 +115,24 @@ def rolling_alpha_beta_r2(spark, sf):
     return rounded(windows.alpha_beta(_aligned(spark, sf)), 5)
 
 
+@query
+def daily_step_metrics(spark, sf):
+    """The window metrics of windows that end a day apart."""
+    rows = materialize(_aligned(spark, sf))  # read by four parts
+    parts = [windows.sortino(rows, step="1d"), windows.information_ratio(rows, step="1d"), windows.capture(rows, step="1d").drop("capture_efficiency")]
+    return rounded(reduce(lambda a, b: a.join(b, "scheme_code", "left"), parts, windows.alpha_beta(rows, step="1d")), 5)
+
+
+@query
+def incremental_alpha_beta(spark, sf):
+    """Alpha and beta from kept window sums after three loads: the series up to 1999, 2000, and the rest."""
+    rows, path, sums = materialize(_aligned(spark, sf)), scratch(spark), windows.regression_sums()
+    year = F.year("date")
+    for part in (year < 2000, year == 2000, year > 2000):
+        incremental.load(rows.filter(part), path, *sums)
+    return rounded(windows.summary(windows.fitted(incremental.windows(spark, path))), 5)
+
+
 @query
 def regression_windows(spark, sf):
     return rounded(windows.regression_windows(_aligned(spark, sf)), 5)

@@ -43,6 +43,13 @@ def materialize(df: DataFrame, **seen: Column) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes when the Python process ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def release(df: DataFrame) -> None:
     """Delete the files behind a frame that materialize() returned."""
     path = getattr(df, "_fundlab_path", None)

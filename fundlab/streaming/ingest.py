@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fundlab.operators.store import read_table, upsert
+from fundlab.operators.store import exists, read_table, upsert
 
 NAV_SCHEMA = "scheme_code string, nav_date date, nav double"
 #: Prices with the moment their file was published: of several prices of a day the latest published counts.
@@ -55,10 +54,8 @@ def merge_published(stream: DataFrame, table: str, checkpoint: str, key: tuple[s
 
 def known_marks(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
     """The marks of a table; none before its first batch."""
-    try:
-        return read_table(spark, f"{table}_marks").select(*like.columns)
-    except AnalysisException:
-        return like.limit(0)
+    marks = f"{table}_marks"
+    return read_table(spark, marks).select(*like.columns) if exists(spark, marks) else like.limit(0)
 
 
 def to_load(landed: DataFrame, marks: DataFrame, tail: int = 0, key: str = "scheme_code", mark: str = "nav_date") -> DataFrame:

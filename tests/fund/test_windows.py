@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fundlab.operators import quality, series, windows
+from fundlab.operators import incremental, quality, series, windows
 
 
 def aligned(spark, n=1008, beta=1.0, drift=1e-4, noise=0.002, seed=42, fund=None):
@@ -123,3 +123,81 @@ def test_chunks_of_days_and_the_month_before(spark):
     span = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 10)), (dt.date(2024, 2, 1), dt.date(2024, 1, 1)), (None, None)], "start date, end date")
     assert [(r.chunk_start.day, r.chunk_end.day) for r in series.date_chunks(span, 4).orderBy("chunk_start").collect()] == [(1, 4), (5, 8), (9, 10)]
     assert spark.range(1).select(series.previous_month(F.lit("2024-03-31").cast("date"))).first()[0] == dt.date(2024, 2, 1)
+
+
+def test_daily_windows_equal_numpy(spark):
+    """Gaps of several days, and values large enough that plain running sums would lose digits."""
+    df, frame = aligned(spark, n=1300, drift=3e-4)
+    keep = np.random.default_rng(3).random(1300) > 0.15
+    keep[[0, -1]] = True
+    frame = frame[keep].assign(fund_log_ret=lambda f: f.fund_log_ret + 1e3)
+    df = spark.createDataFrame(frame)
+    dates = pd.to_datetime(frame["date"])
+    got = {r.window_end: r for r in windows.daily_sums(df, ["fund_log_ret"], {"s": F.col("fund_log_ret")}).collect()}
+    want, stop = {}, dates.iloc[0] + pd.Timedelta(days=1095)
+    while stop <= dates.iloc[-1]:
+        part = frame[(dates >= stop - pd.Timedelta(days=1095)) & (dates <= stop)]
+        if len(part) >= 726:
+            want[stop.date()] = part
+        stop += pd.Timedelta(days=1)
+    assert set(got) == set(want) and len(got) > 150
+    from fractions import Fraction
+
+    for day, part in want.items():
+        assert got[day].n == len(part)
+        assert got[day].s == pytest.approx(float(sum(map(Fraction, part.fund_log_ret))), rel=1e-14)
+
+
+def test_daily_and_weekly_steps_agree_where_both_end(spark):
+    df, _ = aligned(spark, n=1300)
+    daily = {r.window_end: r for r in windows.regression_windows(df, step="1d").collect()}
+    weekly = windows.regression_windows(df).collect()
+    assert len(daily) == 1300 - 1095 and all(daily[r.window_end].beta == pytest.approx(r.beta, rel=1e-11) and daily[r.window_end].t == pytest.approx(r.t, rel=1e-8) for r in weekly)
+    assert windows.grid(df, ["fund_log_ret"], step="1d").count() == 205
+    with pytest.raises(ValueError, match="2w"):
+        windows.sortino(df, step="2w")
+
+
+def by_end(df):
+    return {(r.scheme_code, r.window_end): (r.n, *(pytest.approx(r[k], rel=1e-9, abs=1e-9) for k in ("x", "y", "xx", "xy", "yy"))) for r in df.collect()}
+
+
+def test_kept_sums_equal_a_full_computation(spark, tmp_path):
+    one, _ = aligned(spark, n=1400)
+    two, _ = aligned(spark, n=1250, seed=5)
+    rows = one.unionByName(two.withColumns({"scheme_code": F.lit("B"), "date": F.date_add("date", 140)})).withColumn("fund_log_ret", F.when(F.dayofmonth("date") != 13, F.col("fund_log_ret")))
+    path, sums = f"{tmp_path}/state", windows.regression_sums()
+    start = dt.date(2020, 1, 1)
+    cuts = [0, 200, 1200, 1201, 1330, 1400]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        part = rows.filter(F.col("date").between(F.lit(start + dt.timedelta(a)), F.lit(start + dt.timedelta(b - 1))))
+        incremental.load(part, path, *sums)
+        upto = rows.filter(F.col("date") < F.lit(start + dt.timedelta(b)))
+        assert by_end(incremental.windows(spark, path)) == by_end(windows.weekly_sums(upto, sums[0], sums[1], 3, sums[2])), b
+    incremental.load(rows.filter(F.year("date") == 2022), path, *sums)  # loaded before: nothing changes
+    assert by_end(incremental.windows(spark, path)) == by_end(windows.weekly_sums(rows, sums[0], sums[1], 3, sums[2]))
+    with pytest.raises(ValueError, match="first"):
+        incremental.load(rows.limit(1).withColumn("date", F.lit(start - dt.timedelta(1))), path, *sums)
+    incremental.load(rows.limit(0), path, *sums)
+
+
+def test_a_load_at_the_end_leaves_earlier_periods_alone(spark, tmp_path):
+    rows, _ = aligned(spark, n=1400)
+    path, sums = f"{tmp_path}/state", windows.regression_sums()
+    last = F.col("date") >= F.lit(dt.date(2020, 1, 1) + dt.timedelta(1390))
+    incremental.load(rows.filter(~last), path, *sums)
+    files = lambda: {str(f.relative_to(tmp_path)) for f in (tmp_path / "state" / "weeks").rglob("*.parquet")}
+    before = files()
+    incremental.load(rows.filter(last), path, *sums)
+    assert len(before & files()) >= len(before) - 2 and len({f.split("period=")[1].split("/")[0] for f in before}) > 5
+
+
+def test_late_days_reach_their_windows(spark, tmp_path):
+    """Days that arrive after later ones, but not before the scheme's first."""
+    rows, _ = aligned(spark, n=1300)
+    path, sums = f"{tmp_path}/state", windows.regression_sums()
+    late = F.dayofmonth("date").isin(5, 6, 20)
+    first = F.col("date") == F.lit(dt.date(2020, 1, 1))
+    incremental.load(rows.filter(~late | first), path, *sums)
+    incremental.load(rows.filter(late), path, *sums)
+    assert by_end(incremental.windows(spark, path)) == by_end(windows.weekly_sums(rows, sums[0], sums[1], 3, sums[2]))
