@@ -190,6 +190,27 @@ def _fuzzy() -> str:
         SELECT block, name, p.scheme_code, round(p.score, 4) AS score FROM printed LEFT JOIN p USING (block, name)"""
 
 
+#: The companies in order of their page numbers; those that print percent; those of which a zero counts, and those that print words instead of it.
+_SHEETS = "['absl', 'bandhan', 'bank_of_india', 'canara_robeco', 'edelweiss', 'franklin', 'hdfc', 'icici_pru', 'iti', 'kotak', 'lic', 'mahindra_manulife', 'mirae', 'motilal_oswal', 'nippon', 'pgim_india', 'sbi', 'sundaram', 'union', 'uti', 'whiteoak_capital']"
+_FACTSHEETS = f"""WITH p AS (SELECT page_id AS page_no, {_SHEETS}[page_id % 21 + 1] AS company, (page_id // 21) % 5 AS kind, (page_id * 37 % 900 + 5) / 100.0::DOUBLE AS v FROM pages),
+    q AS (SELECT *, CASE WHEN kind = 3 OR company = 'motilal_oswal' THEN NULL WHEN kind = 4 THEN CASE WHEN company IN ('absl', 'icici_pru') THEN 0.0 END WHEN company IN ('franklin', 'hdfc', 'kotak', 'sundaram') THEN v / 100 ELSE v END AS ptr FROM p)
+    SELECT company, page_no, round(ptr, 6) AS ptr, CASE WHEN ptr IS NOT NULL THEN 'value' WHEN kind = 4 AND company IN ('iti', 'lic', 'nippon') THEN 'none' ELSE 'missing' END AS outcome FROM q"""
+#: All words of a page against all its labels: the label's first word, its limit, side of boxes, band, gap, words ahead, the value's place below it and to its right, its form and scale.
+_BOXES = r"""WITH w AS (SELECT page_id AS page_no, ['hdfc', 'nippon', 'mahindra_manulife', 'sbi', 'uti', 'invesco', 'tata', 'axis', 'dsp'][page_id % 9 + 1] AS company, list_filter(regexp_split_to_array(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+'), lambda x: x <> '') AS ws FROM pages),
+    e AS (SELECT page_no, company, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM w),
+    b AS (SELECT page_no, company, i, CASE WHEN (i + page_no) % 40 = 21 THEN CASE WHEN company = 'axis' THEN 'PORTFOLIOTURNOVER' WHEN company IN ('hdfc', 'sbi') THEN 'Equity' ELSE 'Portfolio' END WHEN (i + page_no) % 40 = 22 THEN 'Turnover'
+        WHEN (i + page_no) % 11 = 3 THEN (i * 7 % 90) || '.' || ((i + page_no) % 90 + 10) || CASE WHEN company = 'tata' THEN '%' ELSE '' END ELSE word END AS word, (i % 10) * CASE WHEN company = 'tata' THEN 18 ELSE 26 END AS x0, i // 10 * 12 + (i * 5 + page_no) % 4 AS bottom FROM e),
+    s AS (SELECT *, x0 + 15 AS x1, CASE WHEN company IN ('mahindra_manulife', 'invesco', 'tata', 'axis') THEN bottom - 9 ELSE bottom END AS y FROM b),
+    r(company, first, label_x, band, gap, ahead, low, high, form, scale) AS (VALUES ('hdfc', 'Equity', 200, 3, 1000, 5, -5, 5, '^(\d+\.\d{1,3})[%,;.]*$', 0.01), ('nippon', 'Portfolio', 250, 3, 1000, 7, -5, 5, '^(\d+\.\d{1,3})[,;.]*$', 1), ('mahindra_manulife', 'Portfolio', 200, 4, 1000, 7, -4, 4, '^(\d+\.\d{1,3})[,;.%]*$', 1),
+        ('sbi', 'Equity', 200, 2, 1000, 1000000, -2, 2, '^(\d+\.\d{1,3})[,;.]*$', 1), ('uti', 'Portfolio', 1000000, 3, 30, 1000000, -3, 3, '^(\d+\.\d{1,3})$', 1), ('invesco', 'Portfolio', 200, 3, 30, 5, -3, 3, '^(\d+\.\d+)$', 1),
+        ('tata', 'Portfolio', 100, 3, 30, 5, -2, 15, '^(\d+(?:\.\d+)?)%$', 0.01), ('axis', 'PORTFOLIOTURNOVER', 260, 0, 0, 0, 5, 35, '^(\d+\.\d+)$', 1), ('dsp', 'Portfolio', 1000000, 3, 30, 1000000, 5, 50, '^(\d+\.\d+)$', 1)),
+    h AS (SELECT s.*, r.* EXCLUDE (company) FROM s JOIN r USING (company) WHERE s.word = r.first AND s.x0 < r.label_x),
+    l AS (SELECT h.page_no, h.company, h.i, h.x0, h.y, low, high, form, scale, arg_min(t.x1, t.i) AS stop FROM h JOIN s t ON t.page_no = h.page_no AND ((h.company = 'axis' AND t.i = h.i) OR (h.company <> 'axis' AND lower(t.word) LIKE 'turnover%' AND abs(t.y - h.y) <= band AND t.x0 > h.x1 AND t.x0 < h.x1 + gap AND (ahead = 1000000 OR t.i BETWEEN h.i + 1 AND h.i + ahead))) GROUP BY ALL),
+    m AS (SELECT l.*, n.i AS vi, n.x0 AS vx, n.y AS vy, TRY_CAST(regexp_extract(n.word, form, 1) AS DOUBLE) AS v FROM l JOIN s n ON n.page_no = l.page_no AND n.y - l.y BETWEEN low AND high AND regexp_matches(n.word, form)
+        AND CASE l.company WHEN 'axis' THEN abs(n.x0 - l.x0) <= 60 WHEN 'dsp' THEN abs(n.x0 - l.x0) <= 25 WHEN 'tata' THEN n.x0 > 100 AND n.x0 < 175 ELSE n.x0 > l.stop AND (l.company NOT IN ('sbi', 'invesco') OR n.x0 < 200) END)
+    SELECT company, page_no, round(v * scale, 6) AS ptr FROM m WHERE v > 0 QUALIFY row_number() OVER (PARTITION BY page_no ORDER BY i, CASE company WHEN 'invesco' THEN -vx WHEN 'dsp' THEN vy WHEN 'tata' THEN 0 WHEN 'axis' THEN 0 ELSE vx END, vi) = 1"""
+
+
 def sql() -> dict[str, str]:
     metrics = lambda body: with_relations(["scheme_metrics"], body)
     names = lambda body: with_relations(["scheme_names"], body)
@@ -272,6 +293,7 @@ def sql() -> dict[str, str]:
         "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
         "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
         "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "factsheet_turnover": _FACTSHEETS, "factsheet_turnover_by_position": _BOXES,
         "fuzzy_match_blocked": names(_fuzzy()),
         "candidate_index": names(f""", s AS (SELECT scheme_code, {_AMC} AS block, CAST(substr(scheme_code, 2) AS BIGINT) AS k, scheme_name || CASE WHEN CAST(substr(scheme_code, 2) AS BIGINT) % 11 = 0 THEN ' Bonus Option' ELSE '' END AS scheme_name FROM scheme_names)
             SELECT block, {_CANON.format("scheme_name")} AS name, min(scheme_code) AS scheme_code FROM s WHERE {_PLAN} = 'DIRECT' AND {_OPTION} = 'GROWTH' AND k % 8 <> 0 AND k % 11 <> 0 GROUP BY 1, 2"""),

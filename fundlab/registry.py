@@ -15,7 +15,7 @@ from fundlab.operators import holdings as h
 from fundlab.operators import incremental, quality, ranking, series, store, windows
 from fundlab.plans.relations import relation
 from fundlab.plans.staged import Shortlists, rank_deep, shortlists
-from fundlab.sources import landing
+from fundlab.sources import factsheets, landing
 from fundlab.storage import materialize, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -593,6 +593,52 @@ def date_chunks(spark, sf):
     return series.date_chunks(span, 365).groupBy("chunk_start", "chunk_end").agg(F.count("*").alias("n"))
 
 
+#: How companies print a turnover {0}, and for the query below one that is not given.
+_PRINTED = {
+    "absl": "Portfolio Turnover {0}", "bandhan": "Portfolio Turnover Ratio\nEquity Total 66.87%\nEquity {0}\nAggregate^ 9.99", "bank_of_india": "PORTFOLIO TURNOVER RATIO (As on date)\n{0} Times#", "canara_robeco": "Portfolio Turnover Ratio 9.99 times\nPortfolio Turnover Ratio (Equity) {0} times",
+    "edelweiss": "Portfolio Turnover Ratio3 : {0}", "franklin": "Total Portfolio Turnover $ 959.18%\nPortfolio Turnover (Equity) ** {0}%", "hdfc": "Equity Turnover {0} %", "icici_pru": "Equity - {0} times", "iti": "Portfolio Turnover Ratio {0}", "kotak": "Portfolio turnover {0}%",
+    "lic": "Annual Equity Portfolio Turnover Ratio: {0} times", "mahindra_manulife": "Portfolio Turnover Ratio (Last 1 year): {0}", "mirae": "Portfolio Turnover Ratio {0} Times", "motilal_oswal": "Portfolio Turnover Ratio -{0}", "nippon": "Portfolio Turnover (Times) {0}", "pgim_india": "Portfolio Turnover: {0}",
+    "sbi": "Equity Turnover : {0}", "sundaram": "Turnover Ratio {0}", "union": "Turnover Ratio 12.50% 3.10 {0} times", "uti": "Portfolio Turnover (Annual) {0}", "whiteoak_capital": "Portfolio Turn Over Ratio {0} Times",
+}
+_NOT_GIVEN = {"iti": "Portfolio Turnover Ratio NA", "lic": "Annual Portfolio Turnover Ratio : NA", "nippon": "Portfolio Turnover (Times) --"}
+
+
+def _factsheets(spark: SparkSession, sf: str) -> DataFrame:
+    """company, page_no, page_text: page texts with a turnover printed in the way of one company; every fifth page has none or a zero."""
+    number = F.format_number((F.col("page_id") * 37 % 900 + 5) / 100, 2)
+    kind, company = F.floor(F.col("page_id") / 21) % 5, F.get(F.array(*map(F.lit, _PRINTED)), (F.col("page_id") % 21).cast("int"))
+    told = lambda value: reduce(lambda c, x: c.when(company == x[0], F.replace(F.lit(x[1]), F.lit("{0}"), value)), _PRINTED.items(), F.when(company == "", ""))
+    missing = reduce(lambda c, x: c.when(company == x[0], x[1]), _NOT_GIVEN.items(), F.when(company == "", "")).otherwise(told(F.lit("0.00")))
+    printed = F.when(kind == 3, "").when(kind == 4, missing).otherwise(told(number))
+    noise = F.regexp_replace("html", "<[^>]*>", " ")
+    return table(spark, sf, "pages").select(company.alias("company"), F.col("page_id").alias("page_no"), F.concat(F.substring(noise, 1, 600), F.lit("\n"), printed, F.lit("\n"), F.substring(noise, 601, 1 << 30)).alias("page_text"))
+
+
+@query
+def factsheet_turnover(spark, sf):
+    """Turnover by each company's text rules."""
+    return rounded(factsheets.turnover_by_text(_factsheets(spark, sf)))
+
+
+def _word_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of the pages' words, ten to a line; some words are labels and numbers, and lines are a little uneven."""
+    words = F.filter(F.split(F.regexp_replace("html", "<[^>]*>", " "), r"\s+"), lambda w: w != "")
+    placed = table(spark, sf, "pages").select(F.col("page_id").alias("page_no"), F.posexplode(words).alias("i", "word"))
+    company = F.get(F.array(*map(F.lit, ("hdfc", "nippon", "mahindra_manulife", "sbi", "uti", "invesco", "tata", "axis", "dsp"))), (F.col("page_no") % 9).cast("int"))
+    i, page = F.col("i"), F.col("page_no")
+    head = F.when(company == "axis", "PORTFOLIOTURNOVER").when(company.isin("hdfc", "sbi"), "Equity").otherwise("Portfolio")
+    number = F.concat((i * 7 % 90).cast("string"), F.lit("."), ((i + page) % 90 + 10).cast("string"), F.when(company == "tata", "%").otherwise(""))
+    text = F.when((i + page) % 40 == 21, head).when((i + page) % 40 == 22, "Turnover").when((i + page) % 11 == 3, number).otherwise(F.col("word"))
+    x0, bottom = (i % 10) * F.when(company == "tata", 18).otherwise(26), F.floor(i / 10) * 12 + (i * 5 + page) % 4
+    return placed.select(company.alias("company"), "page_no", i.alias("word_no"), text.alias("text"), x0.cast("double").alias("x0"), (x0 + 15).cast("double").alias("x1"), (bottom - 9).cast("double").alias("top"), bottom.cast("double").alias("bottom"))
+
+
+@query
+def factsheet_turnover_by_position(spark, sf):
+    """Turnover from the places of words: a label and the number beside or below it."""
+    return rounded(factsheets.turnover_by_position(_word_boxes(spark, sf)))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
