@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlab.storage import materialize
@@ -13,6 +13,11 @@ MOST_HOT, LEAST_HOT = 4096, 500
 BROADCAST_ROWS = 1 << 16
 
 
+def hashed(df: DataFrame) -> Column:
+    """A hash of a whole row; columns that hold maps, which have no hash, count as text."""
+    return F.xxhash64(*[F.to_json(F.struct(f"`{c}`")) if "map<" in kind else F.col(f"`{c}`") for c, kind in df.dtypes])
+
+
 def key_counts(big: DataFrame, on: list[str]) -> DataFrame:
     """A written table of the keys and the rows ``n`` of each; it knows the sum and the most of n."""
     return materialize(big.groupBy(*on).agg(F.count("*").alias("n")), total=F.sum("n"), most=F.max("n"))
@@ -43,7 +48,7 @@ def join_unique(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     hot = hot_keys(key_counts(big, on) if counts is None else counts, on)
     if hot is None:
         return big.join(small, on, how)
-    salt = F.coalesce(F.pmod(F.xxhash64(*[f"`{c}`" for c in big.columns]), F.col("_blocks")), F.lit(0)).cast("int")
+    salt = F.coalesce(F.pmod(hashed(big), F.col("_blocks")), F.lit(0)).cast("int")
     dealt = big.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_blocks")
     repeated = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))).drop("_blocks")
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
