@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fundlab.llm import mixing, near_dup, packing, pii, quality_rules
 from fundlab.session import reachable
-from fundlab.skew import join_unique
+from fundlab.skew import hashed, join_unique
 from fundlab.storage import materialize, release
 
 
@@ -43,9 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     key = lambda id_: F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")).alias("id")
     chosen = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("c"))
     chosen = materialize(chosen.select(key(F.col("c.doc_id")), F.col("c.digest").alias("digest")))
-    whole = docs.select(_whole(docs), key(F.col("doc_id")), F.md5("text").alias("digest"), F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]").alias("worded"))
+    whole = docs.select(_whole(docs), hashed(docs).alias("row"), key(F.col("doc_id")), F.md5("text").alias("digest"), F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]").alias("worded"))
     kept = join_unique(whole.filter("worded").drop("worded"), chosen, ["id", "digest"], "left_semi", wide=True, counts=materialize(grouped.groupBy(key(F.col("doc_id")), "digest").agg(F.count("*").alias("n"))))
-    kept = kept.groupBy("id", "digest").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc"))
+    kept = kept.groupBy("id", "digest").agg(F.min_by("_doc", "row").alias("_doc"))
     release(grouped)
     return kept.select("_doc").union(whole.filter(~F.col("worded")).select("_doc")).select("_doc.*")
 
