@@ -88,3 +88,12 @@ def test_run_on_an_empty_table(spark, tmp_path):
 def test_stages_handle_odd_rows_alone(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, documents(spark, odd_documents()), "").collect()
+
+
+def test_map_columns_pass_through_every_stage(spark):
+    docs = documents(spark, corpus()[:30] + corpus()[120:]).selectExpr("*", "map('a', doc_id) as m", "named_struct('x', map('l', source)) as n", "array(map('k', 1)) as o")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r.m == {"a": r.doc_id} and r.o == [{"k": 1}] for r in rows), name
