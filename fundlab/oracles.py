@@ -293,6 +293,12 @@ def sql() -> dict[str, str]:
         "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
         "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
         "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "index_files": with_relations(["benchmark_by_ticker"], "SELECT ticker, date, floor(close) AS close FROM benchmark_by_ticker"),
+        "constituent_files": with_relations(["constituents_monthly"], "SELECT ticker, as_of_month, 'I' || length(security_name) AS isin, round(weight_pct, 2) AS weight_pct, security_name FROM constituents_monthly"),
+        "expense_files": "SELECT CAST(l_suppkey AS VARCHAR) AS scheme_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS effective_date, round(arg_max(l_tax, l_orderkey * 10 + l_linenumber), 6) AS ter_pct, CAST(year(l_shipdate) AS BIGINT) AS year FROM lineitem GROUP BY 1, 2, 4",
+        "auction_pages_cached": "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN DATE '2024-01-01' + CAST(page_id % 300 AS INT) END AS auction_date, CASE WHEN page_id % 3 = 0 THEN round(5 + page_id % 97 / 100.0, 4) END AS rate_pct FROM pages",
+        "upsert_by_file": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, round(o_totalprice + CASE WHEN o_orderkey % 7 = 0 AND year(o_orderdate) = 1996 THEN 1 ELSE 0 END, 2) AS o_totalprice FROM orders",
+        "contract_checked": "SELECT CAST(l_orderkey AS VARCHAR) AS scheme_code, nullif(count(*) FILTER (l_linenumber < 5), 0) AS n, round(sum(l_extendedprice) FILTER (l_linenumber < 5), 2) AS nav, count(*) FILTER (l_linenumber >= 5) AS n_broken FROM (SELECT l_orderkey, l_linenumber, min(l_extendedprice) AS l_extendedprice FROM lineitem GROUP BY ALL) GROUP BY 1",
         "factsheet_turnover": _FACTSHEETS, "factsheet_turnover_by_position": _BOXES,
         "fuzzy_match_blocked": names(_fuzzy()),
         "candidate_index": names(f""", s AS (SELECT scheme_code, {_AMC} AS block, CAST(substr(scheme_code, 2) AS BIGINT) AS k, scheme_name || CASE WHEN CAST(substr(scheme_code, 2) AS BIGINT) % 11 = 0 THEN ' Bonus Option' ELSE '' END AS scheme_name FROM scheme_names)

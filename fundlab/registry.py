@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundlab import oracles
 from fundlab.functions import matching, text
 from fundlab.operators import holdings as h
-from fundlab.operators import incremental, quality, ranking, series, store, windows
+from fundlab.operators import contracts, incremental, quality, ranking, series, store, windows
 from fundlab.plans.relations import relation
 from fundlab.plans.staged import Shortlists, rank_deep, shortlists
-from fundlab.sources import factsheets, landing
+from fundlab.sources import cache, factsheets, headed, landing
 from fundlab.storage import materialize, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -639,6 +639,83 @@ def factsheet_turnover_by_position(spark, sf):
     return rounded(factsheets.turnover_by_position(_word_boxes(spark, sf)))
 
 
+def _as_files(rows: DataFrame, heading: Column, by: list[str]) -> str:
+    """Text files of rows (the columns of by, place, line), one in each folder of by, under a heading each: their path."""
+    heads = rows.select(*by, heading.alias("line")).distinct().withColumn("place", F.lit(-1).cast("long"))
+    path = scratch(rows.sparkSession)
+    rows.select(*by, "line", F.col("place").cast("long").alias("place")).unionByName(heads).repartition(*by).sortWithinPartitions(*by, "place").drop("place").write.partitionBy(*by).text(path)
+    return path
+
+
+@query
+def index_files(spark, sf):
+    """Index levels from files of three headings, read in one scan; tickers from their folders."""
+    rows = materialize(relation(spark, sf, "benchmark_by_ticker").withColumns({"kind": F.month("date") % 3, "level": F.floor("close")}))
+    level = F.concat(F.lit('"'), F.format_number("level", 0), F.lit('"'))
+    line = F.when(F.col("kind") == 0, F.concat_ws(",", F.date_format("date", "dd-MMM-yyyy"), F.col("level"))).when(F.col("kind") == 1, F.concat_ws(",", F.date_format("date", "yyyy-MM-dd"), F.lit("x"), level)).otherwise(F.concat_ws(",", level, F.date_format("date", "dd/MM/yyyy")))
+    heading = F.when(F.col("kind") == 0, "Date,Close").when(F.col("kind") == 1, " Index Date ,Open,Total Returns Index").otherwise('"TRI",TRADE DATE')
+    files = rows.select("ticker", "kind", F.datediff("date", F.lit("1990-01-01")).alias("place"), line.alias("line"))
+    return headed.index_files(spark, f"{_as_files(files, heading, ['ticker', 'kind'])}/*/*", part=3)
+
+
+@query
+def constituent_files(spark, sf):
+    """Index constituents from a file for each ticker and month; every fifth month's file has its columns in another order."""
+    rows = materialize(relation(spark, sf, "constituents_monthly").filter("security_name is not null"))
+    weight, other, name = F.concat(F.col("weight_pct").cast("decimal(18,2)").cast("string"), F.lit("%")), F.month("as_of_month") % 5 == 0, F.concat(F.lit('"'), "security_name", F.lit('"'))
+    isin = F.concat(F.lit("I"), F.length("security_name").cast("string"))
+    line = F.when(other, F.concat_ws(",", name, weight, isin)).otherwise(F.concat_ws(",", isin, weight, F.lit("?"), name))
+    heading = F.when(F.substring("month", 6, 2).cast("int") % 5 == 0, "security_name,Weight_Pct,ISIN").otherwise("isin,weight_pct,sector,security_name")
+    files = rows.select("ticker", F.date_format("as_of_month", "yyyy-MM").alias("month"), F.hash("security_name").alias("place"), line.alias("line")).withColumn("place", F.col("place").cast("long") + (1 << 31))
+    return rounded(headed.constituent_files(spark, f"{_as_files(files, heading, ['ticker', 'month'])}/*/*", 3, 2))
+
+
+@query
+def expense_files(spark, sf):
+    """Expense ratios from yearly files whose further columns differ: the last line of a scheme and a day counts."""
+    rows = table(spark, sf, "lineitem").select("l_suppkey", F.trunc("l_shipdate", "month").alias("day"), F.col("l_tax").cast("string").alias("ter"), "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("year"))
+    line = F.when(F.col("year") % 2 == 0, F.concat_ws(",", "l_suppkey", F.col("day").cast("string"), "ter")).otherwise(F.concat_ws(",", "ter", F.lit("note"), F.col("day").cast("string"), "l_suppkey"))
+    heading = F.when(F.col("year") % 2 == 0, "scheme_code,effective_date,ter_pct").otherwise("TER_PCT,Remark,Effective_Date,Scheme_Code")
+    files = rows.select("year", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"), line.alias("line"))
+    return rounded(headed.expense_files(spark, f"{_as_files(files, heading, ['year'])}/*").drop("other"))
+
+
+@query
+def auction_pages_cached(spark, sf):
+    """Bill auctions among the pages, parsed in two runs of which the second one parses only what the first has not seen."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 300).cast("int"))
+    auction = F.concat(F.lit('<td class="tableheader"><b>91-Day, 182-Day and 364-Day T-Bill Auction Result: Cut-off</b> Date : '), F.date_format(day, "MMM dd, yyyy"), F.lit(" Cut-off Price and Implicit Yield <b>(YTM: "), F.format_number(5 + (F.col("page_id") % 97) / 100, 4), F.lit("%)</b></td>"))
+    pages = materialize(table(spark, sf, "pages").select("page_id", F.when(F.col("page_id") % 3 == 0, auction).otherwise(F.col("html")).alias("html")))
+    kept, hoped = scratch(spark), lambda html: html.contains("T-Bill Auction")
+    cache.parsed(pages.filter("page_id % 2 = 0"), kept, 1, landing.auction_rate, hoped, 0.1)
+    out, _ = cache.parsed(pages, kept, 1, landing.auction_rate, hoped, 0.1)
+    return rounded(out.select("page_id", "result.auction_date", "result.rate_pct"), 4)
+
+
+@query
+def upsert_by_file(spark, sf):
+    """Orders loaded by year, then late changes of some: a table whose changed files alone were written again."""
+    orders, path = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice"), scratch(spark)
+    for years in (F.year("day") <= 1994, F.year("day") > 1994):
+        store.upsert(orders.filter(years), path, ["o_orderkey", "day"])
+    store.upsert(orders.filter("o_orderkey % 7 = 0 and year(day) = 1996").withColumn("o_totalprice", F.col("o_totalprice") + 1), path, ["o_orderkey", "day"])
+    return rounded(store.read_table(spark, path), 2)
+
+
+@query
+def contract_checked(spark, sf):
+    """Prices as texts, checked while they are written: the sound ones."""
+    price = F.when(F.col("l_linenumber") == 5, "n.a.").when(F.col("l_linenumber") == 6, F.concat(F.lit("-"), F.col("l_extendedprice").cast("string"))).otherwise(F.col("l_extendedprice").cast("string"))
+    day = F.when(F.col("l_linenumber") == 7, "soon").otherwise(F.date_add(F.lit("2000-01-01").cast("date"), F.col("l_linenumber").cast("int")).cast("string"))
+    items = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_extendedprice").alias("l_extendedprice"))
+    rows = items.select(F.col("l_orderkey").cast("string").alias("scheme_code"), day.alias("nav_date"), price.alias("nav"))
+    path = scratch(spark)
+    contracts.upsert_checked(rows, path, contracts.CONTRACTS["nav_daily"], most_broken=0.6, batch="one")
+    broken = store.read_table(spark, f"{path}_broken").groupBy(F.get_json_object("given", "$.scheme_code").alias("scheme_code")).agg(F.count("*").alias("n_broken"))
+    sound = store.read_table(spark, path).groupBy("scheme_code").agg(F.count("*").alias("n"), F.sum("nav").alias("nav"))
+    return rounded(sound.join(broken, "scheme_code", "full").select("scheme_code", "n", "nav", F.coalesce("n_broken", F.lit(0)).alias("n_broken")), 2)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
