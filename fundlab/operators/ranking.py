@@ -121,8 +121,8 @@ def coverage(considered: DataFrame, survivors: DataFrame) -> DataFrame:
     return out.join(lost.groupBy("canonical_category").agg(F.min_by("source_amc", F.struct("n", "source_amc")).alias("top_dropped_amc")), "canonical_category", "left")
 
 
-def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame:
-    """survivors without the funds that overlap too much with a better-ranked one.
+def overlap_drops(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame | None:
+    """scheme_code_dropped, scheme_code_kept, overlap_pct of the funds that overlap too much with a better-ranked one; None: no pair does.
 
     From the largest overlap down (ties: the better ranks first), the worse-ranked fund of each pair above ``most``
     whose funds are both left goes. A pair that comes before all others of both its funds can be settled at
@@ -133,16 +133,24 @@ def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_
     of = lambda x: ranks.select(F.col("scheme_code").alias(f"scheme_{x}"), F.col("rank").alias(f"rank_{x}"))
     pairs = pair_table.filter(F.col("overlap_pct") > most).join(of("a"), "scheme_a").join(of("b"), "scheme_b")
     place = F.struct((-F.col("overlap_pct")).alias("o"), F.col("rank_a").alias("a"), F.col("rank_b").alias("b"))
-    worse = F.when(F.col("rank_a") > F.col("rank_b"), F.col("scheme_a")).otherwise(F.col("scheme_b"))
-    left = materialize(pairs.select("scheme_a", "scheme_b", place.alias("place"), worse.alias("worse")))
+    a_goes = F.col("rank_a") > F.col("rank_b")
+    worse, better = F.when(a_goes, F.col("scheme_a")).otherwise(F.col("scheme_b")), F.when(a_goes, F.col("scheme_b")).otherwise(F.col("scheme_a"))
+    left = materialize(pairs.select("scheme_a", "scheme_b", place.alias("place"), worse.alias("worse"), better.alias("better"), "overlap_pct"))
     gone = None
     while left.limit(1).count():
         ends = left.select(F.explode(F.array("scheme_a", "scheme_b")).alias("fund"), "place").groupBy("fund").agg(F.min("place").alias("first"))
         least = lambda x: ends.select(F.col("fund").alias(f"scheme_{x}"), F.col("first").alias(f"first_{x}"))  # noqa: B023, E731
         known = left.join(least("a"), "scheme_a").join(least("b"), "scheme_b")
-        dropped = materialize(known.filter((F.col("place") == F.col("first_a")) & (F.col("place") == F.col("first_b"))).select(F.col("worse").alias("fund")).distinct())
+        settled = known.filter((F.col("place") == F.col("first_a")) & (F.col("place") == F.col("first_b")))
+        dropped = materialize(settled.select(F.col("worse").alias("scheme_code_dropped"), F.col("better").alias("scheme_code_kept"), "overlap_pct"))
         gone = dropped if gone is None else gone.union(dropped)
         for x in "ab":
-            left = left.join(dropped.select(F.col("fund").alias(f"scheme_{x}")), f"scheme_{x}", "left_anti")
+            left = left.join(dropped.select(F.col("scheme_code_dropped").alias(f"scheme_{x}")), f"scheme_{x}", "left_anti")
         left = materialize(left)
-    return survivors if gone is None else survivors.join(gone.select(F.col("fund").alias("scheme_code")), "scheme_code", "left_anti")
+    return gone
+
+
+def stage_three(survivors: DataFrame, pair_table: DataFrame, most: float = MOST_OVERLAP) -> DataFrame:
+    """survivors without the funds that overlap too much with a better-ranked one (see overlap_drops)."""
+    gone = overlap_drops(survivors, pair_table, most)
+    return survivors if gone is None else survivors.join(gone.select(F.col("scheme_code_dropped").alias("scheme_code")), "scheme_code", "left_anti")

@@ -219,8 +219,26 @@ def upsert(new: DataFrame, path: str, key: list[str], partition: str | None = No
     release(rows)
 
 
+def with_file_names(df: DataFrame, category: str = "canonical_category") -> DataFrame:
+    """df with category_file, the file name of each category: its letters and digits; categories that would share one get a suffix."""
+    names = df.select(F.col(category).alias("_category")).distinct().withColumn("category_file", slug(F.coalesce("_category", F.lit("none"))))
+    shared = F.count("*").over(Window.partitionBy("category_file")) > 1
+    names = names.withColumn("category_file", F.when(shared, F.concat_ws("_", "category_file", F.substring(F.md5("_category"), 1, 6))).otherwise(F.col("category_file")))
+    return df.join(F.broadcast(names), F.col(category).eqNullSafe(F.col("_category"))).drop("_category")  # one row for each category
+
+
 def write_by_category(df: DataFrame, path: str, category: str = "canonical_category") -> None:
     """CSV and Parquet folders with one part for each category's file name."""
-    named = df.withColumn("category_file", slug(F.col(category))).repartition("category_file")
+    named = with_file_names(df, category).repartition("category_file")
     named.write.mode("overwrite").partitionBy("category_file").option("compression", "zstd").parquet(f"{path}/parquet")
     named.write.mode("overwrite").partitionBy("category_file").option("header", True).csv(f"{path}/csv")
+
+
+def write_sheet(df: DataFrame, path: str, order: list) -> None:
+    """A small sheet as one CSV file in that order; without rows it has its heading all the same."""
+    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def add_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """df with exactly these columns, in order and of these types; those that are not there are null."""
+    return df.select(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])

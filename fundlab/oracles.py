@@ -1,11 +1,28 @@
-"""DuckDB SQL for the registered fund queries, written independently of the operators."""
+"""DuckDB SQL for the registered fund queries, written independently of the operators; only the relations' SQL is shared."""
 
 from __future__ import annotations
 
-from fundlab.functions.text import CATEGORY_RULES, SECTOR_RULES
-from fundlab.operators.ranking import PENALTIES, REQUIRED, STAGE_1, STAGE_2, Z_METRICS
 from fundlab.plans.relations import with_relations
 
+# Fixed values, stated here a second time so that a wrong one on either side is seen.
+CATEGORY_RULES = [
+    ("Large Cap", "Large Cap"), ("Large & Mid", "Large & Mid Cap"), ("Large and Mid", "Large & Mid Cap"), ("Mid Cap", "Mid Cap"), ("Small Cap", "Small Cap"),
+    ("Multi Cap", "Multi Cap"), ("Flexi Cap", "Flexi Cap"), ("Focused", "Focused"), ("ELSS", "ELSS"), ("Equity Linked Savings", "ELSS"), ("Tax Saver", "ELSS"),
+    ("Value", "Value"), ("Contra", "Contra"), ("Dividend Yield", "Dividend Yield"), ("Aggressive Hybrid", "Aggressive Hybrid"), ("Balanced Advantage", "Balanced Advantage"),
+    ("Dynamic Asset Allocation", "Balanced Advantage"), ("Equity Savings", "Equity Savings"), ("Sector", "Sectoral/Thematic"), ("Thematic", "Sectoral/Thematic"),
+]
+SECTOR_RULES = [
+    (r"\bESG\b|responsible", "ESG"), (r"\bMNC\b|multinational", "MNC"), (r"\bFMCG\b", "FMCG"), (r"\bbank(ing)?\b|financial services|finserv|fin\.?\s*serv", "Banking & Financial Services"),
+    (r"\b(IT|Tech(nology)?|Digital|Software)\b", "IT"), (r"pharma|health\s*care|health|biotech", "Pharma & Healthcare"), (r"\bauto(mobile)?\b|transport(ation)?|mobility", "Auto"),
+    (r"energy|power|oil\s*&?\s*gas|natural\s*resources", "Energy"), (r"infra(structure)?", "Infrastructure"), (r"\bPSU\b|public\s+sector|PSE\b|PSU Equity", "PSU"),
+    (r"manufactur", "Manufacturing"), (r"consum(ption|er)", "Consumption"),
+]
+Z_METRICS = ["ret_3y_median", "ret_3y_p25", "ret_5y_median", "ret_5y_p25", "alpha_3y_annualized", "sortino_3y", "info_ratio_3y", "capture_efficiency", "active_share_median_1y", "style_drift_3y"]
+STAGE_1 = {"ret_3y_median": 0.15, "ret_3y_p25": 0.10, "ret_5y_median": 0.15, "ret_5y_p25": 0.10, "alpha_3y_annualized": 0.25, "sortino_3y": 0.10, "info_ratio_3y": 0.10, "capture_efficiency": 0.05}
+STAGE_2 = {"ret_3y_median": 0.10, "ret_3y_p25": 0.07, "ret_5y_median": 0.10, "ret_5y_p25": 0.07, "alpha_3y_annualized": 0.20, "sortino_3y": 0.08, "info_ratio_3y": 0.08, "capture_efficiency": 0.05, "active_share_median_1y": 0.10, "style_drift_3y": -0.05}
+PENALTIES = {"ptr_latest": (1.50, 0.05), "aum_impact_cost_days": (5.0, 0.05)}
+REQUIRED = ["active_share_median_1y", "style_drift_3y", "ptr_latest", "aum_impact_cost_days"]
+
 _RF = """span AS (SELECT min(date) AS a, max(date) AS b FROM rf_observed), rf AS (
     SELECT d.date, last_value(CASE WHEN o.rate > 1.5 THEN o.rate / 100 ELSE o.rate END IGNORE NULLS) OVER (ORDER BY d.date) AS rate_annual
     FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM span) d LEFT JOIN rf_observed o ON d.date = o.date)"""
@@ -142,11 +159,11 @@ _DEEP = f""", hard1 AS (SELECT * FROM scheme_metrics WHERE {_HARD}), {_z("hz1",
         FROM scheme_metrics m SEMI JOIN best USING (scheme_code) LEFT JOIN sh USING (scheme_code) LEFT JOIN im USING (scheme_code) LEFT JOIN pt USING (scheme_code) LEFT JOIN aum a USING (scheme_code))""" + _TWO.replace("FROM scheme_metrics", "FROM deep")
 
 
-def _greedy(tables: list[str], found: str, body: str) -> str:
+def _greedy(tables: list[str], found: str, body: str, most: float = 30) -> str:
     """SQL over ``last.gone``, the funds that go when pairs are taken from the largest overlap down."""
     return with_relations(tables, found + """, s AS (SELECT scheme_a, scheme_b, round_even(sum(w), 2) AS o FROM met GROUP BY 1, 2),
             e AS (SELECT row_number() OVER (ORDER BY o DESC, p.stage2_rank, p.scheme_code, q.stage2_rank, q.scheme_code) AS i, scheme_a, scheme_b, CASE WHEN (p.stage2_rank, p.scheme_code) > (q.stage2_rank, q.scheme_code) THEN scheme_a ELSE scheme_b END AS worse
-                FROM s JOIN lived p ON p.scheme_code = scheme_a JOIN lived q ON q.scheme_code = scheme_b WHERE o > 30),
+                FROM s JOIN lived p ON p.scheme_code = scheme_a JOIN lived q ON q.scheme_code = scheme_b WHERE o > """ + str(most) + """),
             g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS gone UNION ALL SELECT e.i, CASE WHEN list_contains(gone, scheme_a) OR list_contains(gone, scheme_b) THEN gone ELSE list_append(gone, worse) END FROM g JOIN e ON e.i = g.i + 1),
             last AS (SELECT gone FROM g ORDER BY i DESC LIMIT 1) """ + body).replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -211,6 +228,18 @@ _BOXES = r"""WITH w AS (SELECT page_id AS page_no, ['hdfc', 'nippon', 'mahindra_
     SELECT company, page_no, round(v * scale, 6) AS ptr FROM m WHERE v > 0 QUALIFY row_number() OVER (PARTITION BY page_no ORDER BY i, CASE company WHEN 'invesco' THEN -vx WHEN 'dsp' THEN vy WHEN 'tata' THEN 0 WHEN 'axis' THEN 0 ELSE vx END, vi) = 1"""
 
 
+_BANNERS = """SELECT p_partkey, CASE p_partkey % 16 WHEN 0 THEN ' EQUITY & Equity related' WHEN 1 THEN 'Equity Derivatives' WHEN 2 THEN 'TREPS' WHEN 3 THEN 'Tri-Party Repo' WHEN 4 THEN 'Triparty Repo' WHEN 5 THEN 'Certificate of Deposit' WHEN 6 THEN 'REITs & InvITs' WHEN 7 THEN 'Net Receivables/(Payables)'
+    WHEN 8 THEN 'Others' WHEN 9 THEN 'Total' WHEN 10 THEN 'Commercial Paper' WHEN 11 THEN 'T-Bill' WHEN 12 THEN 'Zero Coupon Bonds' WHEN 13 THEN 'Grand Total of Cash' WHEN 14 THEN p_name ELSE NULL END AS banner FROM part"""
+_DEBT = {"hdfc": "debt|money market|tri-party repo|treasury|government securities|bonds|debentures", "sbi": "debt|money market|treps|tri-party|treasury|government securities|bonds|debentures|commercial paper", "nippon": "debt|money market|triparty repo|tri-party repo|treasury|government securities|bonds|debentures|certificate of deposit|commercial paper|zero coupon|preference shares|non convertible|securitised debt"}
+_CASH = {"hdfc": "net current asset|cash|tbill|t-bill", "sbi": "net receivable|net current asset|cash|tbill|t-bill|net payable", "nippon": "net current asset|cash|tbill|t-bill|others|cash margin"}
+
+
+def _section(company: str) -> str:
+    sums = "WHEN lower(trim(banner)) IN ('subtotal', 'total', 'grand total') THEN NULL " if company == "nippon" else ""
+    low = "lower(trim(banner))"
+    return f"CASE {sums}WHEN contains({low}, 'equity') AND NOT contains({low}, 'derivative') THEN 'Equity' WHEN regexp_matches({low}, '{_DEBT[company]}') THEN 'Debt' WHEN regexp_matches({low}, 'reit|invit') THEN 'REIT/InvIT' WHEN regexp_matches({low}, '{_CASH[company]}') THEN 'Cash' END"
+
+
 def sql() -> dict[str, str]:
     metrics = lambda body: with_relations(["scheme_metrics"], body)
     names = lambda body: with_relations(["scheme_names"], body)
@@ -293,6 +322,12 @@ def sql() -> dict[str, str]:
         "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
         "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
         "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "stage3_dropped": _greedy(["scheme_metrics", "holdings_monthly"], _PAIRS, "SELECT worse AS scheme_code_dropped, CASE WHEN worse = e.scheme_a THEN e.scheme_b ELSE e.scheme_a END AS scheme_code_kept, round(s.o, 2) AS overlap_pct FROM e JOIN s USING (scheme_a, scheme_b) JOIN g ON g.i = e.i JOIN g before ON before.i = e.i - 1 WHERE len(g.gone) > len(before.gone)", 2),
+        "stage1_of_day": metrics(f", days AS (SELECT scheme_metrics.* EXCLUDE (base_fund_id), base_fund_id AS fund, DATE '2024-01-31' + CAST(CASE WHEN length(scheme_code) % 2 = 0 THEN 0 ELSE 29 END AS INT) AS as_of_date FROM scheme_metrics), hard AS (SELECT * EXCLUDE (fund), fund AS base_fund_id FROM days WHERE as_of_date = DATE '2024-02-29' AND {_HARD} AND canonical_category = 'ASIA'), {_z('z', 'hard', list(STAGE_1))}, s AS (SELECT *, {_total(STAGE_1)} AS composite_score FROM z) SELECT scheme_code, as_of_date, round(composite_score, 6) + 0.0 AS composite_score FROM s QUALIFY {_UNIT} = 1"),
+        "section_variants": f"SELECT p_partkey, {_section('hdfc')} AS hdfc, {_section('sbi')} AS sbi, {_section('nippon')} AS nippon FROM ({_BANNERS})",
+        "traded_values": "WITH e AS (SELECT p_brand AS symbol, 'INE' || max(p_partkey) AS isin FROM part GROUP BY 1) SELECT isin, DATE '2024-01-02' AS date, symbol, round(p_retailprice, 2) AS close, round(p_size * 100000.0::DOUBLE, 2) AS total_traded_value FROM part JOIN e ON symbol = p_brand WHERE p_partkey % 3 <> 0 AND p_size % 10 <> 4",
+        "category_files": "SELECT 'S' || c_custkey AS scheme_code, c_mktsegment AS canonical_category, CASE c_custkey % 3 WHEN 0 THEN 'large_mid' WHEN 1 THEN 'x_' || substr(md5('x+'), 1, 6) ELSE 'x_' || substr(md5('X'), 1, 6) END AS category_file FROM customer",
+        "replaced_months": "SELECT o_orderkey, o_orderdate < DATE '1997-01-01' AS old, strftime(o_orderdate, '%Y') AS year FROM orders WHERE o_orderdate < DATE '1997-01-01' OR o_orderkey % 2 = 0",
         "index_files": with_relations(["benchmark_by_ticker"], "SELECT ticker, date, floor(close) AS close FROM benchmark_by_ticker"),
         "constituent_files": with_relations(["constituents_monthly"], "SELECT ticker, as_of_month, 'I' || length(security_name) AS isin, round(weight_pct, 2) AS weight_pct, security_name FROM constituents_monthly"),
         "expense_files": "SELECT CAST(l_suppkey AS VARCHAR) AS scheme_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS effective_date, round(arg_max(l_tax, l_orderkey * 10 + l_linenumber), 6) AS ter_pct, CAST(year(l_shipdate) AS BIGINT) AS year FROM lineitem GROUP BY 1, 2, 4",

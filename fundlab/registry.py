@@ -13,6 +13,7 @@ from fundlab import oracles
 from fundlab.functions import matching, text
 from fundlab.operators import holdings as h
 from fundlab.operators import contracts, incremental, quality, ranking, series, store, windows
+from fundlab.plans import reports
 from fundlab.plans.relations import relation
 from fundlab.plans.staged import Shortlists, rank_deep, shortlists
 from fundlab.sources import cache, factsheets, headed, landing
@@ -716,6 +717,63 @@ def contract_checked(spark, sf):
     return rounded(sound.join(broken, "scheme_code", "full").select("scheme_code", "n", "nav", F.coalesce("n_broken", F.lit(0)).alias("n_broken")), 2)
 
 
+@query
+def stage3_dropped(spark, sf):
+    """The funds that a stage three with a stricter limit (2 %) drops, for which fund, and their overlap."""
+    survivors = materialize(_stage_two(spark, sf)[0])
+    pairs = materialize(h.overlaps(relation(spark, sf, "holdings_monthly"), survivors.select("scheme_code")))
+    gone = ranking.overlap_drops(survivors, pairs, 2.0)
+    return rounded((pairs.limit(0).selectExpr("scheme_a AS scheme_code_dropped", "scheme_b AS scheme_code_kept", "overlap_pct") if gone is None else gone), 2)
+
+
+@query
+def stage1_of_day(spark, sf):
+    """Stage one of one category over the metrics of the latest day, funds' ids from the dimension."""
+    rows = relation(spark, sf, "scheme_metrics")
+    days = rows.drop("base_fund_id").withColumn("as_of_date", F.when(F.length("scheme_code") % 2 == 0, F.lit("2024-01-31")).otherwise(F.lit("2024-02-29")).cast("date"))
+    out = reports.stage_one_of_day(days, dimension=rows.select("scheme_code", "base_fund_id"), category="ASIA")
+    return rounded(out.select("scheme_code", "as_of_date", "composite_score"))
+
+
+@query
+def section_variants(spark, sf):
+    """Section headings by the rules of three companies' sheets."""
+    banners = [" EQUITY & Equity related", "Equity Derivatives", "TREPS", "Tri-Party Repo", "Triparty Repo", "Certificate of Deposit", "REITs & InvITs", "Net Receivables/(Payables)", "Others", "Total", "Commercial Paper", "T-Bill", "Zero Coupon Bonds", "Grand Total of Cash"]
+    kind = (F.col("p_partkey") % 16).cast("int")
+    banner = F.when(kind < 14, F.get(F.array(*map(F.lit, banners)), kind)).when(kind == 14, F.col("p_name"))
+    return table(spark, sf, "part").select("p_partkey", *[text.section(banner, c).alias(c) for c in ("hdfc", "sbi", "nippon")])
+
+
+@query
+def traded_values(spark, sf):
+    """An exchange's daily file against its list of equities, of which a symbol's last row counts."""
+    parts = table(spark, sf, "part")
+    equities = landing.equity_list(parts.select(F.concat(F.lit(" "), "p_brand").alias("symbol"), F.concat(F.lit("INE"), F.col("p_partkey").cast("string")).alias("isin"), F.col("p_partkey").alias("row_no")))
+    lacs = F.when(F.col("p_size") % 10 == 4, "-").otherwise(F.col("p_size").cast("string"))
+    sheet = parts.select(F.col("p_brand").alias("SYMBOL"), F.when(F.col("p_partkey") % 3 == 0, " BE").otherwise(" EQ").alias(" SERIES"), F.round("p_retailprice", 2).cast("string").alias(" CLOSE_PRICE"), lacs.alias(" TURNOVER_LACS"))
+    return rounded(landing.traded_values(sheet, equities, "2024-01-02"), 2)
+
+
+@query
+def category_files(spark, sf):
+    """Rows written by category and read again: categories whose names would share a file have their own."""
+    kind = F.col("c_custkey") % 3
+    rows = table(spark, sf, "customer").select(F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("scheme_code"), F.col("c_mktsegment").alias("canonical_category"), F.when(kind == 0, "Large & Mid").when(kind == 1, "x+").otherwise("X").alias("kind"))
+    path = scratch(spark)
+    store.write_by_category(rows, path, "kind")
+    return spark.read.parquet(f"{path}/parquet").select("scheme_code", "canonical_category", F.col("category_file").cast("string").alias("category_file"))
+
+
+@query
+def replaced_months(spark, sf):
+    """A table by year, of which the later years are replaced."""
+    orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderdate") < "1997-01-01").alias("old"), F.date_format("o_orderdate", "yyyy").alias("year"))
+    path = scratch(spark)
+    store.write_table(orders.withColumn("note", F.lit("first")), path, "year")
+    store.replace_partitions(orders.filter("not old and o_orderkey % 2 = 0").withColumn("note", F.lit("second")), path, "year")
+    return store.read_table(spark, path).select("o_orderkey", "old", F.col("year").cast("string").alias("year"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
