@@ -9,8 +9,8 @@ other row (up to chunk borders).
 
 Edge cases: a null or empty text has no chunks; a text of fewer than SPAN_WORDS
 words has no window; repeated rows repeat each other's spans; a window's first
-occurrence is the one in the first row of the table as read; an empty table gives
-an empty result; columns besides the id and the text are ignored. Windows are told
+occurrence is the one in the row of the least id (null last; of equal ids the least hash of the text), so
+nothing depends on how rows lie in files; an empty table gives an empty result; columns besides the id and the text are ignored. Windows are told
 apart by 64-bit hashes.
 """
 
@@ -47,6 +47,11 @@ def gear(data: np.ndarray) -> np.ndarray:
 def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the chunks of a block of texts (each followed by one tail byte)."""
     h = gear(data)
+    starts, ends = offsets[1:-1], offsets[2:]
+    before = h[starts - 1]
+    for k in range(min(31, int((ends - starts).max(initial=0)))):  # a text's hashes hold none of the bytes of the text before it
+        inside = starts + k < ends
+        h[starts[inside] + k] -= before[inside] << np.uint32(k + 1)
     at = np.flatnonzero(h < np.uint32((1 << 32) // MEAN)) + 1
     at = at[(data[np.minimum(at, len(data) - 1)] & 0xC0) != 0x80]  # never inside a character
     row = row_of(offsets, at - 1)
@@ -85,6 +90,7 @@ def _windows(words_: int):
         for batch in batches:
             for first, last, data, offsets in blocks(batch.column("text")):
                 start, end = cut(data, offsets)
+                whole_text = SpanHash(data)(offsets[:-1], offsets[1:]).view(np.int64)
                 begun = np.zeros(len(data) + 1, np.int64)
                 begun[words(data)[0] + 1] = 1
                 begun = np.cumsum(begun)
@@ -96,28 +102,31 @@ def _windows(words_: int):
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 place = lambda counted, at, row=row, offsets=offsets: pa.array((counted[at] - counted[offsets[row]]).astype(np.int32))
                 ids = batch.column("doc_id").slice(first, last - first).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(row_number + row), ids, place(points, start), place(points, end), place(begun, start), place(begun, end), pa.array(SpanHash(data)(start, end).view(np.int64))], names=["row", "doc_id", "start", "stop", "word", "last_word", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array(row_number + row), ids, pa.array(whole_text[row]), place(points, start), place(points, end), place(begun, start), place(begun, end), pa.array(SpanHash(data)(start, end).view(np.int64))], names=["row", "doc_id", "text_hash", "start", "stop", "word", "last_word", "digest"])
                 row_number += last - first
 
     return run
 
 
 def windows(docs: DataFrame, span_words: int = SPAN_WORDS) -> DataFrame:
-    """row, doc_id, start, stop (code points), word, last_word (their numbers), digest of each window."""
+    """row, doc_id, text_hash, start, stop (code points), word, last_word (their numbers), digest of each window."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_windows(span_words), f"row long, doc_id {kind}, start int, stop int, word int, last_word int, digest long")
+    return docs.select("doc_id", "text").mapInArrow(_windows(span_words), f"row long, doc_id {kind}, text_hash long, start int, stop int, word int, last_word int, digest long")
 
 
 def repeats(docs: DataFrame, span_words: int = SPAN_WORDS) -> DataFrame:
     """Spans that also stand in other rows: row, doc_id, start, length (code points), n_words, n_windows,
     n_copies (of its commonest window), is_first (no window of it stands in an earlier row), first_doc_id.
+    Rows are in the order of their ids (null last), then of their texts' hashes, so the result does not depend on how they lie
+    in files; of rows equal in both any one is the first.
 
     Digests are counted with partial sums before the shuffle; the windows of a
     digest that very many rows share are dealt to several tasks.
     """
     found = materialize(windows(docs, span_words))
-    counts = found.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min_by("doc_id", "row").alias("first_doc_id"))
-    shared = materialize(counts.filter(F.col("first_row") < F.col("last_row")).drop("last_row"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")
+    counts = found.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("least"), F.max("row").alias("most"), F.min(place).alias("first"))
+    shared = materialize(counts.filter(F.col("least") < F.col("most")).select("digest", "n", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_doc_id")))
     hits = join_unique(found, shared, ["digest"], counts=shared)
     by_place = Window.partitionBy("row").orderBy("start", "stop")
     before = F.max("stop").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
