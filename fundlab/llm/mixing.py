@@ -12,8 +12,8 @@ whole copies.
 
 Edge cases: a null text has size 0; null sources come last and are a source; null
 languages are a language; a source of size 0 has target 0; a document of size 0
-gives 0 words whatever its copies; rows with one id and one text are told apart by
-a stored number, so that the mix can take some of them; an empty table gives an
+gives 0 words whatever its copies; rows with one id, text, source and language are
+numbered, so that the mix can take some of them, always as many; an empty table gives an
 empty result; columns not named here are ignored.
 """
 
@@ -53,13 +53,28 @@ def group_of(name: str) -> Column:
 def keyed(docs: DataFrame, *kept: Column | str) -> DataFrame:
     """The columns ``kept`` of docs (doc_id, text, lang, source) with g, source, h, size and draw, written once.
 
-    A row's draw depends on its id and text only, but for rows that have both in common.
+    A row's draw depends on its id and text only. Rows that have these, the source and the language in common draw
+    by their numbers 1, 2, ... among themselves, so that their draws together are the same however the rows lie in files.
     """
     draw = F.xxhash64(F.lit(SEED), "doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1))
     rows = materialize(docs.select(*kept, group_of("source").alias("g"), group_of("lang").alias("h"), size_of(F.col("text")).alias("size"), draw.alias("draw"), F.monotonically_increasing_id().alias("nth")))
-    tied = materialize(rows.groupBy("draw").agg(F.count("*").alias("n")).filter("n > 1").select("draw", F.lit(True).alias("tied")))
-    own = F.xxhash64("draw", "nth").bitwiseAND(F.lit((1 << 62) - 1))
-    return join_unique(rows, tied, ["draw"], "left").withColumn("draw", F.when(F.col("tied"), own).otherwise(F.col("draw"))).drop("tied", "nth")
+    same = ["draw", "g", "h"]
+    tied = materialize(rows.groupBy(*same).agg(F.count("*").alias("n")).filter("n > 1").select(*same, F.lit(True).alias("tied")), n=F.count(F.lit(1)))
+    marked = join_unique(rows, tied, same, "left", rows=tied.seen["n"])
+    if not tied.seen["n"]:
+        return marked.drop("tied", "nth")
+    number = _places(marked.filter("tied"), same)
+    own = F.xxhash64("draw", "place").bitwiseAND(F.lit((1 << 62) - 1))
+    return marked.filter("tied is null").drop("tied", "nth").unionByName(number.withColumn("draw", own).drop("tied", "nth", "place"))
+
+
+def _places(rows: DataFrame, key: list[str]) -> DataFrame:
+    """rows (with nth) with ``place``, their number from 1 among the rows of a key: a distributed sort, in which a key's rows may lie in several parts, and the sums of its rows in earlier parts."""
+    at = materialize(rows.orderBy(*key, "nth").withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
+    parts = at.groupBy(*key, "_part").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    before = F.sum("n").over(Window.partitionBy(*key).orderBy("_part")) - F.col("n")  # a row for each part that a key lies in
+    starts = materialize(parts.select(*key, "_part", (F.col("_first") - before).alias("_start")))
+    return join_unique(at, starts, [*key, "_part"]).withColumn("place", F.col("_at") - F.col("_start") + 1).drop("_at", "_part", "_start")
 
 
 def _numbered(sources: DataFrame) -> DataFrame:
