@@ -95,6 +95,15 @@ def growth_check(bench: DataFrame, least: float = 0.10) -> DataFrame:
     return ends.select((F.pow(F.col("b") / F.col("a"), 365.25 / F.col("days")) - 1).alias("cagr")).withColumn("ok", F.col("cagr") > least)
 
 
+def validate(bench: DataFrame, nav: DataFrame, ticker: str, since: str, least: float = 0.10) -> DataFrame:
+    """check_name, value, status: an index's annual growth since a day (OK, SUSPECT, or WARN where it has no levels), price rows and schemes."""
+    growth = growth_check(bench.filter((F.col("ticker") == ticker) & (F.col("date") >= F.lit(since).cast("date"))).select("date", "close"), least)
+    told = growth.select(F.lit("index growth").alias("check_name"), F.col("cagr").alias("value"), F.when(F.col("cagr").isNull(), "WARN").when(F.col("ok"), "OK").otherwise("SUSPECT").alias("status"))
+    counts = nav.agg(F.count("*").alias("n"), F.countDistinct("scheme_code").alias("k"))
+    both = counts.select(F.explode(F.array(F.struct(F.lit("price rows").alias("check_name"), F.col("n").cast("double").alias("value")), F.struct(F.lit("schemes").alias("check_name"), F.col("k").cast("double").alias("value")))).alias("c"))
+    return told.unionByName(both.select("c.check_name", "c.value", F.lit("OK").alias("status")))
+
+
 def compare(one: DataFrame, two: DataFrame, key: str) -> DataFrame:
     """Keys whose row counts or date bounds differ between two stores."""
     side = lambda df, s: df.groupBy(key).agg(F.count("*").alias(f"n_{s}"), F.min("date").alias(f"first_{s}"), F.max("date").alias(f"last_{s}"))

@@ -322,6 +322,8 @@ def sql() -> dict[str, str]:
         "gap_inventory": _USER_DAYS + ", g AS (SELECT user_id, lag(date) OVER (PARTITION BY user_id ORDER BY date) AS gap_start, date AS gap_end FROM (SELECT DISTINCT * FROM d)) SELECT user_id, gap_start, gap_end, CAST(gap_end - gap_start AS BIGINT) AS gap_days FROM g WHERE gap_end - gap_start > 2",
         "missing_data_inventory": _USER_DAYS + " SELECT user_id, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date, CAST(floor((max(date) - min(date) + 1) * 5 / 7) AS BIGINT) AS n_expected FROM d GROUP BY 1",
         "scheme_bounds_left_join": with_relations(["nav_daily"], "SELECT t.scheme_code, coalesce(min(nav_date), DATE '1900-01-01') AS inception_date, max(nav_date) AS last_date FROM (SELECT DISTINCT p_type || s.x AS scheme_code FROM part, (VALUES ('-F'), ('-O'), ('-X')) s(x)) t LEFT JOIN nav_daily USING (scheme_code) GROUP BY 1"),
+        "validation": with_relations(["nav_daily", "benchmark_by_ticker"], """, x AS (SELECT pow(arg_max(close, date) / arg_min(close, date), 365.25 / date_diff('day', min(date), max(date))) - 1 AS g FROM benchmark_by_ticker WHERE ticker = 'F' AND date >= DATE '1996-01-01')
+            SELECT 'index growth' AS check_name, round(g, 6) AS value, CASE WHEN g IS NULL THEN 'WARN' WHEN g > 0.1 THEN 'OK' ELSE 'SUSPECT' END AS status FROM x UNION ALL SELECT 'price rows', count(*), 'OK' FROM nav_daily UNION ALL SELECT 'schemes', count(DISTINCT scheme_code), 'OK' FROM nav_daily"""),
         "stage3_dropped": _greedy(["scheme_metrics", "holdings_monthly"], _PAIRS, "SELECT worse AS scheme_code_dropped, CASE WHEN worse = e.scheme_a THEN e.scheme_b ELSE e.scheme_a END AS scheme_code_kept, round(s.o, 2) AS overlap_pct FROM e JOIN s USING (scheme_a, scheme_b) JOIN g ON g.i = e.i JOIN g before ON before.i = e.i - 1 WHERE len(g.gone) > len(before.gone)", 2),
         "stage1_of_day": metrics(f", days AS (SELECT scheme_metrics.* EXCLUDE (base_fund_id), base_fund_id AS fund, DATE '2024-01-31' + CAST(CASE WHEN length(scheme_code) % 2 = 0 THEN 0 ELSE 29 END AS INT) AS as_of_date FROM scheme_metrics), hard AS (SELECT * EXCLUDE (fund), fund AS base_fund_id FROM days WHERE as_of_date = DATE '2024-02-29' AND {_HARD} AND canonical_category = 'ASIA'), {_z('z', 'hard', list(STAGE_1))}, s AS (SELECT *, {_total(STAGE_1)} AS composite_score FROM z) SELECT scheme_code, as_of_date, round(composite_score, 6) + 0.0 AS composite_score FROM s QUALIFY {_UNIT} = 1"),
         "section_variants": f"SELECT p_partkey, {_section('hdfc')} AS hdfc, {_section('sbi')} AS sbi, {_section('nippon')} AS nippon FROM ({_BANNERS})",

@@ -717,6 +717,12 @@ def contract_checked(spark, sf):
     return rounded(sound.join(broken, "scheme_code", "full").select("scheme_code", "n", "nav", F.coalesce("n_broken", F.lit(0)).alias("n_broken")), 2)
 
 
+@query
+def validation(spark, sf):
+    """Growth of one index since 1996, and counts of prices."""
+    return rounded(quality.validate(relation(spark, sf, "benchmark_by_ticker"), relation(spark, sf, "nav_daily"), "F", "1996-01-01"))
+
+
 @query
 def stage3_dropped(spark, sf):
     """The funds that a stage three with a stricter limit (2 %) drops, for which fund, and their overlap."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fundlab.functions import text
 from fundlab.operators import ranking as r
-from fundlab.operators import store
+from fundlab.operators import quality, store
 from fundlab.plans import reports
 from fundlab.sources import landing
 from tests.fund.test_rank_and_holdings import metrics
@@ -99,3 +99,11 @@ def test_missing_columns_are_null(spark):
     df = spark.createDataFrame([(1, "x")], "a int, z string")
     out = store.add_missing(df, {"b": "double", "a": "long"})
     assert out.dtypes == [("b", "double"), ("a", "bigint")] and tuple(out.first()) == (None, 1)
+
+
+def test_validation(spark):
+    bench = spark.createDataFrame([("X", dt.date(2010, 1, 1), 100.0), ("X", dt.date(2012, 1, 1), 130.0), ("X", dt.date(2000, 1, 1), 1.0), ("Y", dt.date(2012, 1, 1), 1.0)], "ticker string, date date, close double")
+    nav = spark.createDataFrame([("A",), ("A",), ("B",)], "scheme_code string")
+    got = lambda *a: {x.check_name: (x.value and round(x.value, 3), x.status) for x in quality.validate(bench, nav, *a).collect()}
+    assert got("X", "2010-01-01") == {"index growth": (0.14, "OK"), "price rows": (3.0, "OK"), "schemes": (2.0, "OK")}
+    assert got("X", "2010-01-01", 0.2)["index growth"][1] == "SUSPECT" and got("Z", "2010-01-01")["index growth"] == (None, "WARN")
