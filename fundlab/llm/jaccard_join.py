@@ -47,8 +47,8 @@ MOST_SHARED = 8
 COMPARE = 0.005
 CELLS = 1 << 20
 SMALL_LIST, ROUNDS, LIST_BLOCK = 16, 1, 1 << 11
-#: Texts whose shingles a task keeps while it compares pairs.
-KEPT = 1 << 10
+#: Shingles that a task keeps while it compares pairs, and pairs whose texts it holds at once.
+KEPT, AT_ONCE = 1 << 21, 1 << 7
 
 
 def _cell(key: np.ndarray) -> np.ndarray:
@@ -113,25 +113,29 @@ def prefixes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}
+        size = 0
 
-        def keys(text: str) -> np.ndarray:
-            if text not in held:
-                if len(held) > KEPT:
+        def keys(node: int, text: str) -> np.ndarray:
+            nonlocal size
+            if node not in held:
+                if size > KEPT:
                     held.clear()
+                    size = 0
                 data = np.frombuffer(text.encode() + b"\n", np.uint8)
-                held[text] = shingles(data, np.array([0, len(data)]))[0]
-            return held[text]
+                held[node] = shingles(data, np.array([0, len(data)]))[0]
+                size += len(held[node])
+            return held[node]
+
+        def links(part: pa.RecordBatch) -> Iterator[bool]:
+            for a, b, x, y in zip(*(part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                one, two = keys(a, x), keys(b, y)
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                yield 100 * common >= percent * (len(one) + len(two) - common)
 
         for batch in batches:
-            on = []
-            for k, (x, y) in enumerate(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)):
-                a, b = keys(x), keys(y)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * common >= percent * (len(a) + len(b) - common):
-                    on.append(k)
-            at = pa.array(on, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
+            on = [linked_ for at in range(0, batch.num_rows, AT_ONCE) for linked_ in links(batch.slice(at, AT_ONCE))]
+            yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     return run
 
