@@ -23,8 +23,8 @@ from pyspark.sql.window import Window
 from fundlab.functions import text
 
 THRESHOLD, NEAR_BEST, SHORTLIST = 85, 2, 5
-#: Names of one side of a tile.
-TILE = 1024
+#: Printed names and candidates of a tile. The more candidates meet at once, the sooner a name's best one rules others out.
+NAMES, CANDIDATES = 512, 4096
 #: Bounds are in single precision.
 ROUNDING = 1e-3
 
@@ -92,8 +92,8 @@ def upper_bounds(names: list[str], candidates: list[str]) -> np.ndarray:
     pairs = [[_letter_pairs(w) for w in side] for side in sides]
     length = [np.array([len(" ".join(w)) for w in side], np.float32) for side in sides]
     n_pairs = [np.array([len(p) for p in side], np.float32) for side in pairs]
-    words = {w: k for k, w in enumerate(sorted({w for ws in sides[1] for w in ws}))}
-    letters = {p: k for k, p in enumerate(sorted({p for ps in pairs[1] for p in ps}))}
+    both = lambda of: {f: k for k, f in enumerate(sorted({f for fs in of[0] for f in fs} & {f for fs in of[1] for f in fs}))}
+    words, letters = both(sides), both(pairs)
     shared = _incidence(sides[0], words, lambda w: len(w) + 1) @ _incidence(sides[1], words).T - 1  # joined by blanks; -1: none
     equal = _incidence(pairs[0], letters) @ _incidence(pairs[1], letters).T
     x, y = length[0][:, None], length[1][None, :]
@@ -141,7 +141,7 @@ def _tile(least: float):
 
 def _tiles(names: DataFrame) -> DataFrame:
     """Of names (block, name, scheme_code; null for printed ones) the rows of every tile (block, i, j): a printed name is in each j of its i, a candidate in each i of its j."""
-    counts = names.groupBy("block").agg(*[F.ceil(F.count_if(F.col("scheme_code").isNull() == asked) / TILE).cast("int").alias(c) for asked, c in ((True, "rows"), (False, "columns"))])
+    counts = names.groupBy("block").agg(*[F.ceil(F.count_if(F.col("scheme_code").isNull() == asked) / most).cast("int").alias(c) for asked, most, c in ((True, NAMES, "rows"), (False, CANDIDATES, "columns"))])
     asked, place = F.col("scheme_code").isNull(), F.xxhash64("name")
     own = F.pmod(place, F.when(asked, F.col("rows")).otherwise(F.col("columns"))).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.when(asked, F.col("columns")).otherwise(F.col("rows")) - 1))

@@ -112,7 +112,8 @@ def test_matching_against_all_pairs(spark, monkeypatch):
     printed = sorted({n.replace("GROWTH", "GROWHT").replace("ALPHA", "ALPA") for n in names[::2]} | {"NOTHING", "BLUECHIP", "Ωmega nandú", "A"})
     assert all(matching.common(a, b) == textbook_common(a, b) for a in printed[:12] for b in names)
     assert {r.name: r.score for r in matched(spark, printed, names)}["BLUECHIP"] > 94  # no word in common
-    monkeypatch.setattr(matching, "TILE", 7)
+    monkeypatch.setattr(matching, "NAMES", 7)
+    monkeypatch.setattr(matching, "CANDIDATES", 9)
     matched(spark, printed, names)
 
 
