@@ -69,7 +69,7 @@ def without(found: DataFrame, needed: list[list[str]]) -> DataFrame:
 
 def part_of_path(number: int) -> Column:
     """A part of the file's path, counted from its end (1: the name without its last suffix), as in folders named key=value."""
-    parts = F.split(F.url_decode("file"), "/")
+    parts = F.split(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))), "/")
     return F.regexp_replace(F.regexp_replace(F.element_at(parts, -number), r"\.[^.]*$", "") if number == 1 else F.element_at(parts, -number), "^[^=]*=", "")
 
 

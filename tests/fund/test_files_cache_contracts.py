@@ -40,11 +40,11 @@ def test_lines_of_a_file_in_many_blocks_keep_their_heading_and_order(spark, tmp_
 
 def test_constituents_and_tickers_by_path(spark, tmp_path):
     put(tmp_path / "in" / "NIFTY 50", **{"2024-01__csv": 'ISIN,weight_pct,security_name\nINE1, 5.5% ,"A, Ltd"\n,3,B\nINE2,x,C\nINE3,2,\n', "notes__csv": "isin,weight_pct\nINE9,1\n"})
-    put(tmp_path / "in" / "MID", **{"2024-02__csv": "weight_pct,isin\n1,INE7\n"})
+    put(tmp_path / "in" / "M+ID", **{"2024-02__csv": "weight_pct,isin\n1,INE7\n"})
     got = {(r.ticker, r.as_of_month, r.isin): (r.weight_pct, r.security_name) for r in headed.constituent_files(spark, f"{tmp_path}/in/*").collect()}
     jan, feb = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
-    assert got == {("NIFTY 50", jan, "INE1"): (5.5, "A, Ltd"), ("NIFTY 50", jan, "INE3"): (2.0, None), ("MID", feb, "INE7"): (1.0, None)}
-    assert {r.ticker: r.n_files for r in headed.tickers(spark, f"{tmp_path}/in/*").collect()} == {"NIFTY 50": 2, "MID": 1}
+    assert got == {("NIFTY 50", jan, "INE1"): (5.5, "A, Ltd"), ("NIFTY 50", jan, "INE3"): (2.0, None), ("M+ID", feb, "INE7"): (1.0, None)}
+    assert {r.ticker: r.n_files for r in headed.tickers(spark, f"{tmp_path}/in/*").collect()} == {"NIFTY 50": 2, "M+ID": 1}
     put(tmp_path / "in" / "BAD", **{"2024-02__csv": "isin,weight\nINE7,1\n"})
     with pytest.raises(ValueError, match="BAD"):
         headed.constituent_files(spark, f"{tmp_path}/in/*")
