@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundlab.functions.text import normalize_name
+from fundlab.storage import materialize
 
 CRORE = 1e7
 
@@ -103,10 +104,10 @@ def overlaps(holdings: DataFrame, funds: DataFrame, top: int = 3) -> DataFrame:
     """
     if funds.select("scheme_code").distinct().limit(MOST_FUNDS + 1).count() > MOST_FUNDS:
         raise ValueError(f"a table of all pairs is for shortlists of at most {MOST_FUNDS} funds")
-    held = latest_month(holdings.join(F.broadcast(funds.select("scheme_code")), "scheme_code"))
+    held = materialize(latest_month(holdings.join(F.broadcast(funds.select("scheme_code")), "scheme_code")))  # read by two branches
     book = weights(held, ["scheme_code"], key=overlap_key())
     names = held.filter("instrument_type = 'Equity' and security_name <> ''").groupBy("scheme_code", overlap_key().alias("security")).agg(F.min(F.trim("security_name")).alias("name"))
-    book = book.join(names, ["scheme_code", "security"])
+    book = materialize(book.join(names, ["scheme_code", "security"]))  # a security has a row for each of at most MOST_FUNDS funds
     a = book.select(F.col("scheme_code").alias("scheme_a"), "security", F.col("weight").alias("wa"), "name")
     b = book.select(F.col("scheme_code").alias("scheme_b"), "security", F.col("weight").alias("wb"))
     both = a.join(b, "security").filter("scheme_a < scheme_b").withColumn("w", F.least("wa", "wb"))
