@@ -7,6 +7,9 @@ from which most of the score follows, and a sound upper bound of the rest: an al
 that leaves d letters of one side and e of the other out breaks at most 2d + e letter pairs of the
 first. Candidates are scored in the order of that bound until it falls below what can still count.
 A tile returns at most SHORTLIST candidates for a name, and the best of all tiles are merged.
+
+What a name reaches with the few candidates that share its rarest word is known before, by a join on words. It
+holds in every tile, so a tile without a name's best candidate scores hardly any for it.
 """
 
 from __future__ import annotations
@@ -21,10 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fundlab.functions import text
+from fundlab.storage import materialize
 
 THRESHOLD, NEAR_BEST, SHORTLIST = 85, 2, 5
 #: Printed names and candidates of a tile. The more candidates meet at once, the sooner a name's best one rules others out.
-NAMES, CANDIDATES = 512, 4096
+NAMES, CANDIDATES = 1024, 4096
+#: Names whose bounds are held at once, and the most candidates that are tried before the tiles for a shared word.
+AT_ONCE, TRIED = 256, 16
+#: Most tasks that the tiles are dealt to.
+MOST_TASKS = 4096
 #: Bounds are in single precision.
 ROUNDING = 1e-3
 
@@ -86,40 +94,49 @@ def _letter_pairs(words: list[str]) -> list[tuple[str, int]]:
     return out
 
 
-def upper_bounds(names: list[str], candidates: list[str]) -> np.ndarray:
-    """names x candidates: a number that token_set_ratio does not exceed, for names of at least one word."""
+def _bounds(names: list[str], candidates: list[str], at_once: int) -> Iterator[np.ndarray]:
+    """The rows of upper_bounds(), at_once names at a time."""
     sides = [[sorted(set(n.split())) for n in side] for side in (names, candidates)]
     pairs = [[_letter_pairs(w) for w in side] for side in sides]
     length = [np.array([len(" ".join(w)) for w in side], np.float32) for side in sides]
     n_pairs = [np.array([len(p) for p in side], np.float32) for side in pairs]
     both = lambda of: {f: k for k, f in enumerate(sorted({f for fs in of[0] for f in fs} & {f for fs in of[1] for f in fs}))}
     words, letters = both(sides), both(pairs)
-    shared = _incidence(sides[0], words, lambda w: len(w) + 1) @ _incidence(sides[1], words).T - 1  # joined by blanks; -1: none
-    equal = _incidence(pairs[0], letters) @ _incidence(pairs[1], letters).T
-    x, y = length[0][:, None], length[1][None, :]
-    most = np.minimum((equal - n_pairs[0][:, None] + 2 * x + y) / 3, (equal - n_pairs[1][None, :] + 2 * y + x) / 3)
-    most = np.minimum(np.minimum(x, y), np.maximum(most, 0))
-    bound = 200 * most / (x + y)
-    some = np.maximum(shared, 0)
-    by_words = np.maximum(200 * some / (some + x), 200 * some / (some + y))
-    return np.where((shared > 0) & ((shared == x) | (shared == y)), 100, np.maximum(bound, by_words))
+    of_words, of_letters = _incidence(sides[1], words).T, _incidence(pairs[1], letters).T
+    for k in range(0, len(names), at_once):
+        part = slice(k, k + at_once)
+        shared = _incidence(sides[0][part], words, lambda w: len(w) + 1) @ of_words - 1  # joined by blanks; -1: none
+        equal = _incidence(pairs[0][part], letters) @ of_letters
+        x, y = length[0][part, None], length[1][None, :]
+        most = np.minimum((equal - n_pairs[0][part, None] + 2 * x + y) / 3, (equal - n_pairs[1][None, :] + 2 * y + x) / 3)
+        most = np.minimum(np.minimum(x, y), np.maximum(most, 0))
+        bound = 200 * most / (x + y)
+        some = np.maximum(shared, 0)
+        by_words = 200 * some / (some + np.minimum(x, y))
+        yield np.where((shared > 0) & ((shared == x) | (shared == y)), 100, np.maximum(bound, by_words))
 
 
-def shortlists(names: list[str], candidates: list[str], least: float) -> Iterator[tuple[int, int, float]]:
-    """(name, candidate, score) of the SHORTLIST best candidates of each name that are near its best and reach ``least``.
+def upper_bounds(names: list[str], candidates: list[str]) -> np.ndarray:
+    """names x candidates: a number that token_set_ratio does not exceed, for names of at least one word."""
+    return np.concatenate(list(_bounds(names, candidates, AT_ONCE)))
+
+
+def shortlists(names: list[str], candidates: list[str], least: list[float]) -> Iterator[tuple[int, int, float]]:
+    """(name, candidate, score) of the SHORTLIST best candidates of each name that are near its best and reach its ``least``.
 
     candidates are sorted; of equal scores the earlier ones count.
     """
-    bounds = upper_bounds(names, candidates)
-    for k, name in enumerate(names):
+    rows = (row for part in _bounds(names, candidates, AT_ONCE) for row in part)
+    for k, (name, bounds) in enumerate(zip(names, rows, strict=True)):
         top: list[tuple[float, int]] = []  # (lost score, candidate)
-        floor = least
-        for c in np.argsort(-bounds[k], kind="stable").tolist():
+        floor = least[k]
+        some = np.flatnonzero(bounds >= floor - ROUNDING)
+        for c in some[np.argsort(-bounds[some], kind="stable")].tolist():
             full = len(top) == SHORTLIST
-            if bounds[k, c] < floor - ROUNDING or full and (top[-1][0] == -100 or bounds[k, c] < -top[-1][0] - ROUNDING):
+            if bounds[c] < floor - ROUNDING or full and (top[-1][0] == -100 or bounds[c] < -top[-1][0] - ROUNDING):
                 break
             top = sorted([*top, (-token_set_ratio(name, candidates[c]), c)])[:SHORTLIST]
-            floor = max(least, -top[0][0] - NEAR_BEST)
+            floor = max(least[k], -top[0][0] - NEAR_BEST)
         yield from ((k, c, -lost) for lost, c in top if -lost >= floor)
 
 
@@ -127,8 +144,10 @@ def _tile(least: float):
     def run(key: tuple, tile: pa.Table) -> pa.Table:
         asked = pc.is_null(tile.column("scheme_code"))
         candidates = tile.filter(pc.invert(asked)).sort_by("name")
-        names, pool = tile.filter(asked).column("name").to_pylist(), candidates.column("name").to_pylist()
-        found = list(shortlists(names, pool, least)) if names and pool else []
+        printed = tile.filter(asked)
+        names, pool = printed.column("name").to_pylist(), candidates.column("name").to_pylist()
+        floors = [max(least, (reached or 0.0) - NEAR_BEST) for reached in printed.column("reached").to_pylist()]
+        found = list(shortlists(names, pool, floors)) if names and pool else []
         at = pa.array([c for _, c, _ in found], pa.int64())
         columns = {
             "block": pa.array([key[0].as_py()] * len(found), pa.string()), "name": pa.array([names[k] for k, *_ in found], pa.string()), "candidate": candidates.column("name").take(at).cast(pa.string()),
@@ -140,13 +159,31 @@ def _tile(least: float):
 
 
 def _tiles(names: DataFrame) -> DataFrame:
-    """Of names (block, name, scheme_code; null for printed ones) the rows of every tile (block, i, j): a printed name is in each j of its i, a candidate in each i of its j."""
+    """Of names (block, name, scheme_code; null for printed ones; reached) the rows of every tile (block, i, j): a printed name is in each j of its i, a candidate in each i of its j."""
     counts = names.groupBy("block").agg(*[F.ceil(F.count_if(F.col("scheme_code").isNull() == asked) / most).cast("int").alias(c) for asked, most, c in ((True, NAMES, "rows"), (False, CANDIDATES, "columns"))])
+    counts = materialize(counts, tiles=F.sum(F.col("rows").cast("long") * F.col("columns")))
+    tasks = max(1, min(MOST_TASKS, counts.seen["tiles"] or 0))  # a tile is little data and much work, so it must not be put together with others by size
     asked, place = F.col("scheme_code").isNull(), F.xxhash64("name")
     own = F.pmod(place, F.when(asked, F.col("rows")).otherwise(F.col("columns"))).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.when(asked, F.col("columns")).otherwise(F.col("rows")) - 1))
     dealt = names.join(counts, "block").filter("rows > 0 and columns > 0").withColumns({"own": own}).withColumn("every", every)
-    return dealt.select("block", F.when(asked, F.col("own")).otherwise(F.col("every")).alias("i"), F.when(asked, F.col("every")).otherwise(F.col("own")).alias("j"), "name", "scheme_code")
+    return dealt.select("block", F.when(asked, F.col("own")).otherwise(F.col("every")).alias("i"), F.when(asked, F.col("every")).otherwise(F.col("own")).alias("j"), "name", "scheme_code", "reached").repartition(tasks, "block", "i", "j")
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scores = [token_set_ratio(a, b) for a, b in zip(batch.column("name").to_pylist(), batch.column("candidate").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("name"), pa.array(scores, pa.float64())], names=["block", "name", "reached"])
+
+
+def _reached(asked: DataFrame, pool: DataFrame) -> DataFrame:
+    """block, name, reached: the best score of a printed name among the candidates that share its rarest word, if at most TRIED do."""
+    by_word = lambda df: df.select("block", "name", F.explode(F.array_distinct(F.split("name", " "))).alias("word"))
+    words = by_word(pool)
+    rare = words.groupBy("block", "word").agg(F.count("*").alias("n")).filter(F.col("n") <= TRIED)
+    rarest = by_word(asked).join(rare, ["block", "word"]).groupBy("block", "name").agg(F.min_by("word", F.struct("n", "word")).alias("word"))
+    tried = rarest.join(words.join(rare, ["block", "word"], "left_semi").withColumnRenamed("name", "candidate"), ["block", "word"]).select("block", "name", "candidate")
+    return tried.mapInArrow(_scored, "block string, name string, reached double").groupBy("block", "name").agg(F.max("reached").alias("reached"))
 
 
 def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -159,7 +196,8 @@ def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = TH
     filled = lambda df, c: df.filter(F.col("block").isNotNull() & (F.trim(F.coalesce(F.col(c), F.lit(""))) != ""))
     pool = filled(candidates, "name").groupBy("block", "name").agg(F.min(F.coalesce(F.col("scheme_code").cast("string"), F.lit(""))).alias("scheme_code"))
     asked = filled(printed.select("block", "name"), "name").distinct()
-    tiles = _tiles(asked.withColumn("scheme_code", F.lit(None).cast("string")).unionByName(pool))
+    known = asked.join(_reached(asked, pool), ["block", "name"], "left")
+    tiles = _tiles(materialize(known.withColumn("scheme_code", F.lit(None).cast("string")).unionByName(pool, allowMissingColumns=True)))
     near = tiles.groupBy("block", "i", "j").applyInArrow(_tile(threshold - NEAR_BEST), "block string, name string, candidate string, scheme_code string, set_score double, plain double")
     by_name = Window.partitionBy("block", "name")
     best = near.withColumns({"_r": F.row_number().over(by_name.orderBy(F.desc("set_score"), "candidate")), "_best": F.max("set_score").over(by_name)})

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from fundlab import registry
+from fundlab.functions import matching
 
 
 @pytest.mark.parametrize("name", ["expense_files", "expense_ratio_last"])
@@ -15,3 +16,27 @@ def test_of_lines_with_one_key_the_first_of_the_table_counts(spark, tmp_path, na
     spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_tax double, l_shipdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {r.scheme_code: r.ter_pct for r in registry.queries()[name](spark, str(tmp_path)).collect()}
     assert got == {"7": 0.05, "8": 0.04}
+
+
+def test_a_tile_without_the_best_candidate_scores_few(monkeypatch):
+    """Every candidate is within the threshold of a name, but what the name reached elsewhere rules them out."""
+    names, candidates = [f"CUSTOMR {k:09} ESG FUND" for k in range(40)], [f"CUSTOMER {k:09} ESG FUND" for k in range(1000, 2000)]
+    scored, exact = [], matching.token_set_ratio
+    monkeypatch.setattr(matching, "token_set_ratio", lambda a, b: scored.append((a, b)) or exact(a, b))
+    assert list(matching.shortlists(names, candidates, [exact(n, n.replace("MR", "MER")) - matching.NEAR_BEST for n in names])) == []
+    assert len(scored) < 40 * 50
+
+
+def test_what_a_name_reaches_is_the_score_of_a_candidate(spark):
+    asked = spark.createDataFrame([("x", "CUSTOMR 1 FUND"), ("x", "CUSTOMR 7 FUND"), ("y", "CUSTOMR 2 FUND")], "block string, name string")
+    pool = spark.createDataFrame([("x", f"CUSTOMER {k} FUND") for k in range(40) if k != 7] + [("y", "OTHER 1 FUND")], "block string, name string")
+    got = {(r.block, r.name): r.reached for r in matching._reached(asked, pool).collect()}
+    assert got == {("x", "CUSTOMR 1 FUND"): matching.token_set_ratio("CUSTOMR 1 FUND", "CUSTOMER 1 FUND"), ("y", "CUSTOMR 2 FUND"): matching.token_set_ratio("CUSTOMR 2 FUND", "OTHER 1 FUND")}
+
+
+def test_tiles_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(matching, "NAMES", 5)
+    monkeypatch.setattr(matching, "CANDIDATES", 10)
+    names = spark.createDataFrame([("x", f"N {k}", None, None) for k in range(20)] + [("x", f"C {k}", "s", None) for k in range(20)], "block string, name string, scheme_code string, reached double")
+    tiles = matching._tiles(names)
+    assert tiles.count() == 20 * 2 + 20 * 4 and tiles.rdd.getNumPartitions() == 8
