@@ -6,6 +6,7 @@ import pytest
 
 from fundlab import registry
 from fundlab.functions import matching
+from fundlab.operators import windows
 
 
 @pytest.mark.parametrize("name", ["expense_files", "expense_ratio_last"])
@@ -40,3 +41,14 @@ def test_tiles_are_dealt_to_tasks(spark, monkeypatch):
     names = spark.createDataFrame([("x", f"N {k}", None, None) for k in range(20)] + [("x", f"C {k}", "s", None) for k in range(20)], "block string, name string, scheme_code string, reached double")
     tiles = matching._tiles(names)
     assert tiles.count() == 20 * 2 + 20 * 4 and tiles.rdd.getNumPartitions() == 8
+
+
+@pytest.mark.parametrize("head", [0, 3])
+def test_a_window_of_weeks_is_the_difference_of_running_sums(spark, head):
+    weeks, rows = 3, [("a", w, 1, 10.0**-w, 1, 10.0**-w / 2) for w in (0, 1, 4, 5, 6, 9)] + [("b", 2, 1, 7.0, 0, None)]
+    found = windows.week_windows(spark.createDataFrame(rows, "scheme_code string, week int, n long, v double, head_n long, head_v double"), ["n", "v"], weeks, head, [])
+    assert found.count() <= 10 + 1  # a row for a week, not for each window that holds it
+    got = {(r.scheme_code, r.k): (r.n, r.v) for r in found.collect()}
+    for k in range(7):
+        whole, part = [r for r in rows if r[0] == "a" and k <= r[1] < k + weeks], [r for r in rows if r[0] == "a" and r[1] == k + weeks and head]
+        assert got["a", k] == (len(whole) + len(part), pytest.approx(sum(r[3] for r in whole) + sum(r[5] for r in part), abs=1e-15))
