@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlab.operators.store import exists, read_table, upsert
-from fundlab.operators.windows import least_rows, window_days
+from fundlab.operators.windows import least_rows, week_windows, window_days
 from fundlab.storage import materialize, release
 
 #: Weeks, or weeks of windows' ends, of one partition.
@@ -68,8 +68,8 @@ def load(rows: DataFrame, path: str, needed: list[str], sums: dict[str, Column],
     state = read_table(spark, f"{path}/weeks")
     of = lambda week: F.floor(week / PERIOD).cast("int")
     state = state.join(low.select(F.explode(F.sequence(of(F.col("low")), of(F.col("most") + back))).alias("period")).distinct(), "period", "left_semi")
-    held = state.join(low, "scheme_code").withColumns({"from_k": F.greatest("low", F.col("week") - back), "to_k": F.least("week", "most")}).filter("from_k <= to_k")
-    summed = held.withColumn("k", F.explode(F.sequence("from_k", "to_k"))).groupBy("scheme_code", "first", *first, "k").agg(*[F.sum(F.when(F.col("k") == F.col("week") - weeks, F.col(f"head_{k}")).otherwise(F.col(k))).alias(k) for k in ("n", *sums)])
+    held = state.join(low, "scheme_code").filter(F.col("week") >= F.col("low"))
+    summed = week_windows(held, ["n", *sums], weeks, head, ["first", "low", "most", *first]).filter("k between low and most")
     valid = summed.filter(F.col("n") >= least_rows(years)).select("scheme_code", F.date_add("first", F.col("k") * 7 + length).alias("window_end"), "n", *first, *sums, F.floor(F.col("k") / PERIOD).cast("int").alias("period"))
     upsert(valid, f"{path}/windows", ["scheme_code", "window_end", "period"], "period")
     upsert(spans, f"{path}/schemes", ["scheme_code"])
