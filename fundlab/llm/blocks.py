@@ -59,17 +59,19 @@ def blocks(texts: pa.Array, limit: int = 1 << 20, tail: str = "\n") -> Iterator[
     """
     if not len(texts):
         return
-    wide = pa.large_string()
-    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(wide), ""), pa.scalar("", wide), pa.scalar(tail, wide))
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    _, where, raw = texts.buffers()
-    where = np.frombuffer(where, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes + len(tail.encode()), dtype=np.int64)
+    wide = pa.large_string()
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(where, where[first] + limit, "right")) - 1)
-        yield first, last, data[where[first] : where[last]], where[first : last + 1] - where[first]
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + limit, "right")))
+        part = pc.fill_null(texts.slice(first, last - first).cast(wide), "")  # one block at a time, not a copy of the batch
+        _, where, raw = (part := pc.binary_join_element_wise(part, pa.scalar("", wide), pa.scalar(tail, wide))).buffers()
+        where = np.frombuffer(where, np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        yield first, last, data[where[0] : where[-1]], where - where[0]
         first = last
 
 

@@ -12,6 +12,7 @@ no pieces; columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -25,29 +26,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fundlab.llm.blocks import SpanHash, blocks, row_of, words
+from fundlab.llm.blocks import LOWER, SPACE, SpanHash, blocks, row_of, words
 from fundlab.storage import materialize
 
 WINDOW = 4096
-#: Distinct words whose ids a Python worker remembers; beyond it it forgets them all. This bounds memory only.
-REMEMBERED = 2_000_000
+#: Distinct spans whose ids a Python worker remembers; beyond it it forgets those not met again. This bounds memory only.
+REMEMBERED = 1 << 20
+#: Bytes of texts that are encoded at once, and spans that the tokenizer is given at once.
+AT_ONCE, GIVEN = 1 << 21, 1 << 13
 #: What the tokenizer takes as one part, in lower-case words of letters, ASCII digits and ASCII marks.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[!-/:-@\[-`{-~]+")
 _NOT_LETTERS = {c: None for c in range(33, 127) if not chr(c).isalpha()}
+#: Bytes as the tokenizer splits words at: letters are those of ASCII and both bytes of U+00C0 to U+00FF.
+SEPARATOR, DIGIT, MARK, LETTER, OTHER = range(5)
+_KIND = np.array([SEPARATOR if SPACE[c] else OTHER if c < 33 or c in (39, 127) else DIGIT if chr(c).isdigit() else LETTER if chr(c).isalpha() else MARK for c in range(128)] + [LETTER] * 64 + [LETTER if c == 0xC3 else OTHER for c in range(192, 256)], np.uint8)
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of what is encoded apart, whether it is a whole word, and the bytes that tell one from another.
+
+    Words of ASCII and letters up to U+00FF are split into the tokenizer's parts, whose case does not count;
+    those with an apostrophe, ``<|``, a control character, U+00D7, U+00F7 or any other character are whole.
+    The data ends with a separator.
+    """
+    kind, lower = _KIND[data], LOWER[data]
+    bad = kind == OTHER
+    bad[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)) | (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if (at := np.flatnonzero(bad)).size:
+        start, end = words(data)
+        whole = np.unique(np.searchsorted(start, at, "right") - 1)
+        step = np.zeros(len(data), np.int8)
+        step[start[whole]], step[end[whole]] = 1, -1
+        inside = np.cumsum(step, dtype=np.int8).view(bool)
+        kind[inside] = OTHER
+        lower = np.where(inside, data, lower)
+    edge = np.append((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT), True)
+    begin = np.flatnonzero(np.append(True, edge[:-1]) & (kind != SEPARATOR))
+    return begin, np.flatnonzero(edge & (kind != SEPARATOR)) + 1, kind[begin] == OTHER, lower
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer that never joins across spaces.
 
-    Words are told apart by 64-bit hashes over a whole block at a time (two of a
-    million distinct words agree with a probability of about 3e-8). Each
-    distinct word is split into its parts once, and the tokenizers library encodes
-    the parts of all new words in one call.
+    Spans are told apart by 64-bit hashes over a whole block at a time (two of a
+    million distinct spans agree with a probability of about 3e-8). Each
+    distinct span is given to the tokenizers library once, many in one call.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,11 +87,20 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.hashes, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hashes, self.first, self.count, self.again = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
         self.flat = np.zeros(0, self.dtype)
 
+    def _make_room(self) -> None:
+        """Forget the spans that were not met again, or all if those that were are many."""
+        kept = np.flatnonzero(self.again)
+        n = self.count[kept]
+        if 2 * max(len(kept), int(n.sum()) // 8) > REMEMBERED:
+            return self.forget()
+        self.flat = _gather(self.flat, self.first[kept], n)
+        self.hashes, self.first, self.count, self.again = self.hashes[kept], np.cumsum(n, dtype=np.int64) - n, n, np.zeros(len(kept), bool)
+
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _parts(self, word: str) -> list[str] | None:
         """The word's parts in lower case; None where only the tokenizer knows them."""
@@ -71,38 +109,65 @@ class WordEncoder:
             return None
         return _PARTS.findall(low)
 
-    def _learn(self, words: list[str]) -> list[list[int]]:
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of parts and the number of each; the last id of each says that it ends there."""
+        ids = np.array(self._ids(" ".join(parts)), self.dtype)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(parts) else self._joined([np.array(self._ids(p), self.dtype) for p in parts])
+
+    def _joined(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([self.flat[:0], *ids]), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self._parts(w) for w in words]
         parts = list(set(chain.from_iterable(p for p in split if p is not None)))
-        ids = self._ids(" ".join(parts))  # the last id of each part says that it ends there
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist() if ids else []
-        if len(ends) == len(parts):
-            known = dict(zip(parts, (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-        else:
-            known = {p: self._ids(p) for p in parts}
-        return [self._ids(w) if p is None else known[p[0]] if len(p) == 1 else [i for x in p for i in known[x]] for w, p in zip(words, split, strict=True)]
+        ids, n = self._learn(parts)
+        known = dict(zip(parts, np.split(ids, np.cumsum(n)[:-1]), strict=True)) if parts else {}
+        return self._joined([np.array(self._ids(w), self.dtype) if p is None else known[p[0]] if len(p) == 1 else np.concatenate([known[x] for x in p]) for w, p in zip(words, split, strict=True)])
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, with end_id last, and all ids."""
-        start, end = words(data)
-        distinct, at, inverse = np.unique(SpanHash(data)(start, end), return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > REMEMBERED:
-            self.forget()
-        missing = np.isin(distinct, self.hashes, assume_unique=True, invert=True)
-        if missing.any():
-            raw = data.tobytes()
-            new = self._learn([raw[a:b].decode() for a, b in zip(start[at[missing]].tolist(), end[at[missing]].tolist(), strict=True)])
-            count = np.fromiter(map(len, new), np.int64, len(new))
-            first = len(self.flat) + np.cumsum(count) - count
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), self.dtype, int(count.sum()))])
-            order = np.argsort(hashes := np.concatenate([self.hashes, distinct[missing]]))
-            self.hashes, self.first, self.count = hashes[order], np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        start, end, whole, lower = spans(data)
+        hashes = SpanHash(lower)(start, end)
+        order = np.argsort(hashes)
+        distinct = hashes[order]
+        new = np.append(True, distinct[1:] != distinct[:-1])[: len(distinct)]
+        distinct, at = distinct[new], order[new]
+        inverse = np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        if len(self.hashes) + len(distinct) > REMEMBERED or len(self.flat) > 8 * REMEMBERED:
+            self._make_room()
         place = np.searchsorted(self.hashes, distinct)
+        missing = np.append(self.hashes, np.uint64(0))[place] != distinct if len(self.hashes) else np.ones(len(distinct), bool)
+        missing[place == len(self.hashes)] = True
+        self.again[place[~missing]] = True
+        if missing.any():
+            self._add(distinct[missing], place[missing], at[missing], start, end, whole, lower)
+            place = np.searchsorted(self.hashes, distinct)
         n, first = self.count[place][inverse], self.first[place][inverse]
-        done = np.cumsum(n)
-        ids = self.flat[np.repeat(first - (done - n), n) + np.arange(int(n.sum()))]
         per_text = np.bincount(row_of(offsets, start), n, minlength=len(offsets) - 1).astype(np.int64)
-        return per_text + 1, np.insert(ids, np.cumsum(per_text), np.array(end_id, self.dtype))
+        return per_text + 1, np.insert(_gather(self.flat, first, n), np.cumsum(per_text), np.array(end_id, self.dtype))
+
+    def _add(self, hashes: np.ndarray, place: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, whole: np.ndarray, lower: np.ndarray) -> None:
+        """Learn the spans ``at`` with these sorted hashes, which come in before ``place``."""
+        raw = lower.tobytes()
+        first, count, learned = np.zeros(len(at), np.int64), np.zeros(len(at), np.int32), [self.flat]
+        done = len(self.flat)
+        for those, learn in ((np.flatnonzero(~whole[at]), self._learn), (np.flatnonzero(whole[at]), self._learn_words)):
+            for k in range(0, len(those), GIVEN):
+                few = those[k : k + GIVEN]
+                ids, n = learn([raw[a:b].decode() for a, b in zip(start[at[few]].tolist(), end[at[few]].tolist(), strict=True)])
+                first[few], count[few] = done + np.cumsum(n) - n, n
+                learned.append(ids)
+                done += len(ids)
+        self.flat = np.concatenate(learned)
+        self.hashes, self.first, self.count, self.again = (np.insert(old, place, new) for old, new in ((self.hashes, hashes), (self.first, first), (self.count, count), (self.again, False)))
+
+
+def _gather(flat: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n values from each place on, one after another."""
+    done = np.cumsum(n, dtype=np.int64)
+    return flat[np.repeat(first - (done - n), n) + np.arange(int(done[-1]) if len(done) else 0)]
 
 
 def _tokenized(path: str, end_id: int):
@@ -110,7 +175,7 @@ def _tokenized(path: str, end_id: int):
         encode = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
         part, done = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for first, last, data, offsets in blocks(batch.column("text"), 1 << 22):
+            for first, last, data, offsets in blocks(batch.column("text"), AT_ONCE):
                 n, ids = encode(data, offsets, end_id)
                 before = done + np.cumsum(n) - n
                 done += int(n.sum())

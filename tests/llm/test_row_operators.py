@@ -5,11 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fundlab.llm import chat, mixing, packing, pii, quality_rules, queries
+from fundlab.llm import blocks, chat, mixing, packing, pii, quality_rules, queries
 from tests.llm.helpers import documents, odd_documents, save, words
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -240,3 +242,39 @@ def test_empty_tables(spark, tmp_path):
     for name in ("op4_pii", "op5_mixing", "op7_packing", "op10_quality_rules"):
         assert queries.queries()[name](spark, folder).count() == 0
     assert packing.WINDOW == 4096
+
+
+ODD = ["Alpha, alpha. ALPHA! l'eau it's 'tis 2x4 a1b22", "<|endoftext|> <|EndOfText|> a<|b", "Éa é × a×b ÷ ÿß Σας Жук 日本 µ² éa İx \x1c \x00a <|", "", None, "''s ...--- 'LL x'RE"]
+
+
+def test_a_span_is_encoded_once_whatever_its_case_and_what_stands_beside_it(monkeypatch):
+    """Before, each whole word was learned: its case and marks made it another one."""
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    given = []
+    ids = encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda text: given.extend(text.split()) or ids(text))
+    for _, _, data, offsets in blocks.blocks(pa.array(["Alpha, alpha. ALPHA! alpha", "alpha, (Alpha) alpha7"])):
+        encode(data, offsets, 2)
+    assert sorted(given) == sorted(["alpha", ",", ".", "!", "(", ")", "7"])
+
+
+@pytest.mark.parametrize("room", [1 << 20, 24])
+def test_ids_of_odd_words_are_the_tokenizers(monkeypatch, room):
+    monkeypatch.setattr(packing, "REMEMBERED", room)
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [*ODD, *(f"{x} {k} w{k % 7}é" for k in range(40) for x in ("Alpha,", "it's"))]
+    for first, last, data, offsets in blocks.blocks(pa.array(texts), 64):
+        n, ids = encode(data, offsets, 2)
+        want = [[*encode.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts[first:last]]
+        assert n.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert len(encode.hashes) <= max(room, 100)
+
+
+def test_blocks_copy_one_block_at_a_time():
+    """Before, the whole batch was copied twice: 16 MB here."""
+    texts = pa.array(["word " * 1600] * 1000)
+    held = pa.total_allocated_bytes()
+    of = blocks.blocks(texts, 1 << 16)
+    first = next(of)
+    assert first[:2] == (0, 8) and pa.total_allocated_bytes() - held < 1 << 20
+    assert [x[:2] for x in of][-1] == (992, 1000)
