@@ -43,6 +43,8 @@ ORDER = 5
 FREQUENT_WORDS, FREQUENT_GRAMS = 1 << 19, 1 << 20
 #: Distinct keys that a task gathers before it passes them on; grams that it costs at once (more where a group has more).
 HELD, AT_ONCE = 1 << 20, 1 << 17
+#: Bytes of texts that are counted and that are scored at once: every byte takes up to 100 bytes of working memory.
+COUNTED, LOOKED_UP = 1 << 19, 1 << 18
 _TAIL = "\n" * ORDER
 _BYTE = np.uint64(8)
 
@@ -109,7 +111,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts += int(taught_.sum())
         for taught in (True, False):
             part = batch.column("text").filter(pa.array(taught_ == taught))
-            for _, _, data, offsets in blocks(part, tail=_TAIL):
+            for _, _, data, offsets in blocks(part, COUNTED, _TAIL):
                 yield from by_gram[taught].add(np.delete(grams(_symbols(data, offsets)), _unscored(offsets)))
                 if taught:
                     lower = LOWER[data]
@@ -306,7 +308,7 @@ def _score(tables, id_type: pa.DataType):
         by_word, by_gram = tables.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for first, last, data, offsets in blocks(batch.column("text"), tail=_TAIL):
+            for first, last, data, offsets in blocks(batch.column("text"), LOOKED_UP, _TAIL):
                 n = last - first
                 ids = number + np.arange(n)
                 number += n
