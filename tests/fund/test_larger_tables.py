@@ -52,3 +52,17 @@ def test_a_window_of_weeks_is_the_difference_of_running_sums(spark, head):
     for k in range(7):
         whole, part = [r for r in rows if r[0] == "a" and k <= r[1] < k + weeks], [r for r in rows if r[0] == "a" and r[1] == k + weeks and head]
         assert got["a", k] == (len(whole) + len(part), pytest.approx(sum(r[3] for r in whole) + sum(r[5] for r in part), abs=1e-15))
+
+
+def test_active_share_deals_large_tables_to_more_tasks(spark, monkeypatch):
+    """Before, every step ran in spark.sql.shuffle.partitions tasks, whatever the rows."""
+    from fundlab import registry
+    from fundlab.plans import relations
+
+    sf = "/root/testdata/sf0.001"
+    few = registry.active_share_month(spark, sf)
+    monkeypatch.setattr(relations, "ROWS_A_TASK", 500)
+    n = relations.tasks(spark, sf)
+    many = registry.active_share_month(spark, sf)
+    assert n > 4 and many._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") >= 4
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
