@@ -29,13 +29,14 @@ def active_share(holdings: DataFrame, constituents: DataFrame, tasks: int | None
     holdings carry their scheme's ticker; months without both sides are absent. tasks: the number that
     holdings are dealt to at each step, so that a task's share does not grow with them; None: the session's.
     """
+    # Dealt without the ticker: where it is one constant, Spark drops it from the keys and would shuffle once more by the session's number.
     dealt = lambda df, *keys: df.repartition(tasks, *keys) if tasks else df
     portfolio = ["scheme_code", "ticker", "as_of_month"]
-    fund = dealt(weights(dealt(holdings, *portfolio), portfolio), "ticker", "as_of_month", "security")
+    fund = dealt(weights(dealt(holdings, "scheme_code", "as_of_month"), portfolio), "as_of_month", "security")
     index = weights(constituents, ["ticker", "as_of_month"], equity_only=False).withColumnRenamed("weight", "index_weight")
     # Over the union of securities: all index weights are 100 in total, so what a fund does not hold follows from what it does.
     shared = fund.join(index, ["ticker", "as_of_month", "security"], "left")
-    sums = dealt(shared, *portfolio).groupBy(*portfolio).agg(F.sum(F.abs(F.col("weight") - F.coalesce("index_weight", F.lit(0.0)))).alias("held"), F.sum(F.coalesce("index_weight", F.lit(0.0))).alias("met"))
+    sums = dealt(shared, "scheme_code", "as_of_month").groupBy(*portfolio).agg(F.sum(F.abs(F.col("weight") - F.coalesce("index_weight", F.lit(0.0)))).alias("held"), F.sum(F.coalesce("index_weight", F.lit(0.0))).alias("met"))
     totals = index.groupBy("ticker", "as_of_month").agg(F.sum("index_weight").alias("whole"))
     return sums.join(totals, ["ticker", "as_of_month"]).select("scheme_code", "as_of_month", ((F.col("held") + F.col("whole") - F.col("met")) / 2).alias("active_share"))
 
