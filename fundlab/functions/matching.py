@@ -41,8 +41,10 @@ AT_ONCE, TRIED = 256, 16
 MOST_TASKS = 4096
 #: Bounds are in single precision.
 ROUNDING = 1e-3
-#: Names of letters and one number; the most characters that are left out of a number to find others, and the names whose pairs are one task.
-NUMBERED, LEFT_OUT, NAMES_A_TASK = r"^(\p{L}+ )*[\p{N}_]+( \p{L}+)*$", 1, 1 << 14
+#: Names of letters and one number; the most candidates that are scored for a shared number, and characters left out of a number to find others.
+NUMBERED, SAME_NUMBER, LEFT_OUT = r"^(\p{L}+ )*[\p{N}_]+( \p{L}+)*$", 64, 1
+#: Printed names whose pairs are one task.
+NAMES_A_TASK = 1 << 14
 
 # Short names of companies whose code differs from it.
 COMPANY_CODES = {
@@ -52,7 +54,14 @@ COMPANY_CODES = {
 
 
 def common(a: str, b: str) -> int:
-    """Length of the longest common subsequence, with a bit for each character of a."""
+    """Length of the longest common subsequence, with a bit for each character of a between what both begin and end with."""
+    begin, most = 0, min(len(a), len(b))
+    while begin < most and a[begin] == b[begin]:
+        begin += 1
+    end = 0
+    while end < most - begin and a[-end - 1] == b[-end - 1]:
+        end += 1
+    a, b = a[begin : len(a) - end], b[begin : len(b) - end]
     places: dict[str, int] = {}
     for k, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << k
@@ -61,7 +70,7 @@ def common(a: str, b: str) -> int:
     for y in b:
         met = free & places.get(y, 0)
         free = (free + met | free - met) & whole
-    return len(a) - free.bit_count()
+    return begin + end + len(a) - free.bit_count()
 
 
 def ratio(a: str, b: str) -> float:
@@ -72,13 +81,16 @@ def ratio(a: str, b: str) -> float:
 def token_set_ratio(a: str, b: str) -> float:
     """The best ratio among the shared words and each side's shared and own words; 100 where one side has no own."""
     x, y = set(a.split()), set(b.split())
-    shared = " ".join(sorted(x & y))
+    shared = x & y
     if not x or not y:
         return 0.0
     if shared and (x <= y or y <= x):
         return 100.0
-    left, right = (" ".join(filter(None, [shared, " ".join(sorted(s))])) for s in (x - y, y - x))
-    return max(ratio(left, right), *((ratio(shared, left), ratio(shared, right)) if shared else (0.0,)))
+    left, right = (" ".join(sorted(s - shared)) for s in (x, y))
+    head = len(" ".join(shared)) + 1 if shared else 0  # both sides begin with the shared words and a blank
+    both = head + len(left), head + len(right)
+    score = 200.0 * (head + common(left, right)) / sum(both)
+    return max(score, 200.0 * (head - 1) / (head - 1 + min(both))) if shared else score
 
 
 def _incidence(rows: list[list], index: dict, weight=None) -> np.ndarray:
@@ -255,9 +267,9 @@ def _without(number: str, left_out: str) -> Column:
 
 
 def _by_number(asked: DataFrame, pool: DataFrame, least: float, tasks: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of names with numbers: scored pairs; block, name, reached of those in pairs; and of those whose pairs with numbered candidates are all there that can count."""
+    """Of names with numbers: block, name, reached of those with a candidate of their number; of those that need no tiles for numbered candidates; and the scored pairs of these."""
     asked, pool = (df.filter("number IS NOT NULL") for df in (asked, pool))
-    few = pool.groupBy("block", "number").agg(F.count("*").alias("n")).filter(F.col("n") <= TRIED).drop("n")
+    few = pool.groupBy("block", "number").agg(F.count("*").alias("n")).filter(F.col("n") <= SAME_NUMBER).drop("n")
     others = pool.select("block", "number", F.col("name").alias("candidate"), "scheme_code")
     equal = asked.select("block", "name", "number", "shape").join(few, ["block", "number"]).join(others, ["block", "number"])
     equal = materialize(_scored(equal.repartition(tasks, "block", "name")))
@@ -271,8 +283,9 @@ def _by_number(asked: DataFrame, pool: DataFrame, least: float, tasks: int) -> t
     theirs = pool.withColumnsRenamed({"name": "candidate", "number": "their", "shape": "other"}).join(near.select("block", "other", "e").distinct(), ["block", "other"])
     right = theirs.select("block", "candidate", "scheme_code", "their", "other", "e", _without("their", "e").alias("rest"))
     close = left.join(right, ["block", "other", "e", "rest"]).filter("number <> their").select("block", "name", "candidate", "scheme_code").distinct()
-    pairs = equal.drop("number", "shape").unionByName(_scored(close.repartition(tasks, "block", "name")))
-    return pairs, known.select("block", "name", "reached"), found.select("block", "name", "reached")
+    counted = equal.drop("number", "shape").join(found, ["block", "name"], "left_semi")  # tiles hold the others' pairs
+    pairs = counted.unionByName(_scored(close.repartition(tasks, "block", "name")))
+    return known.select("block", "name", "reached"), found.select("block", "name", "reached"), pairs
 
 
 def _by_tiles(asked: DataFrame, pool: DataFrame, least: float) -> DataFrame:
@@ -295,7 +308,7 @@ def match_names(printed: DataFrame, candidates: DataFrame, threshold: float = TH
     named = materialize(_numbered(asked.withColumn("scheme_code", F.lit(None).cast("string")).unionByName(pool)), asked=F.count_if(F.col("scheme_code").isNull()))
     tasks = max(int(named.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(named.seen["asked"] or 0) // NAMES_A_TASK))
     asked, pool = named.filter("scheme_code IS NULL").drop("scheme_code"), named.filter("scheme_code IS NOT NULL")
-    pairs, known, found = _by_number(asked, pool, least, tasks)
+    known, found, pairs = _by_number(asked, pool, least, tasks)
     others = asked.select(key).join(found, key, "left_anti")
     reached = known.unionByName(_reached(others.join(known, key, "left_anti"), pool))
     near = pairs.unionByName(_by_tiles(others.join(reached, key, "left"), pool, least)).unionByName(_by_tiles(found, pool.filter("number IS NULL"), least))

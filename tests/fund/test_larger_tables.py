@@ -64,6 +64,14 @@ def test_a_close_number_counts_where_the_words_are_in_order(spark):
     assert row.scheme_code == "00001"
 
 
+def test_a_candidate_of_a_tile_counts_once(spark):
+    """Six candidates of one number and one set of words, of which five are on the short list; the best of these is the fourth."""
+    words = {k: k * 20 for k in "ABCDEF"}  # so long that any other number is near the best, too
+    names = [" ".join([*map(words.get, order), "7"]) for order in ("ABCDEF", "BACDEF", "CABDEF", "DCBAFE", "EABCDF", "FABCDE")]
+    (row,) = matched(spark, [names[3]], [*names, names[0].replace("7", "8")])
+    assert row.scheme_code == "00003"
+
+
 def test_names_with_close_numbers_against_all_pairs(spark):
     """Names so long that other numbers are near the best, short ones, slips in numbers and letters, names without and with more numbers."""
     rng = random.Random(11)
